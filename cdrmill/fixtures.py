@@ -36,6 +36,10 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate")
     sup = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # The test tables are single-row-group files (one scan task); spread the
+    # narrow base rows so the stand-in lines are shaped in parallel, as real
+    # call-record files would be read.
+    li = li.repartition(spark.sparkContext.defaultParallelism)
     b = li.join(sup, li.l_suppkey == sup.s_suppkey, "inner").drop("s_suppkey")
     dup = b.where(F.col("l_partkey") % 7 == 0).withColumn("dup", F.lit(1))
     return b.withColumn("dup", F.lit(0)).unionByName(dup)

@@ -76,9 +76,15 @@ class MedOutput:
     held: DataFrame      # held rows, MED_HOLD_COLUMNS
 
 
+def finish_med(legs: DataFrame, clock: Clock = Clock()) -> tuple[DataFrame, DataFrame]:
+    """(enriched matched rows, held rows) of reasoned leg rows."""
+    matched, held = split_matched(legs)
+    return map_med(matched, clock), held.select(*MED_HOLD_COLUMNS)
+
+
 def enrich_med(lines: DataFrame, masters: Masters, clock: Clock = Clock(),
                date_mode: str = "regex") -> MedOutput:
     records = parse_records(lines)
     legs = med_legs(records, masters, clock, date_mode)
-    matched, held = split_matched(legs)
-    return MedOutput(records, legs, map_med(matched, clock), held.select(*MED_HOLD_COLUMNS))
+    enriched, held = finish_med(legs, clock)
+    return MedOutput(records, legs, enriched, held)

@@ -1,0 +1,88 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from cdrmill.operators.files import new_files
+from cdrmill.schema import ENRICHED_COLUMNS
+from cdrmill.sources.envelope import read_envelope_csv
+from cdrmill.sources.log import append_log, log_entries, read_log
+from cdrmill.sources.masters import (MasterFormatError, latest_snapshot, read_master,
+                                     snapshot_key)
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_master_wrong_separator_fails_fast(spark, tmp_path):
+    p = str(tmp_path / "Trunk_Group_20240410.csv")
+    _write(p, "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|t|ND1|OP|P\n")
+    assert read_master(spark, p, "trunk", sep="|").count() == 1
+    with pytest.raises(MasterFormatError):
+        read_master(spark, p, "trunk", sep=",")
+
+
+def test_latest_snapshot_by_name_and_by_folder(spark, tmp_path):
+    _write(str(tmp_path / "t" / "Trunk_Group_20240401.csv"), "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|N|OLD|P\n")
+    _write(str(tmp_path / "t" / "Trunk_Group_20240410.csv"), "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|N|NEW|P\n")
+    df = read_master(spark, str(tmp_path / "t" / "*.csv"), "trunk")
+    assert [r.OPERATOR for r in latest_snapshot(df, snapshot_key("name_date")).collect()] == ["NEW"]
+    _write(str(tmp_path / "f" / "20240401" / "m.csv"), "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|N|OLD|P\n")
+    _write(str(tmp_path / "f" / "20240502" / "m.csv"), "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|N|NEW|P\n")
+    df = read_master(spark, str(tmp_path / "f" / "*" / "*.csv"), "trunk")
+    assert [r.OPERATOR for r in latest_snapshot(df, snapshot_key("folder")).collect()] == ["NEW"]
+
+
+def _envelope(name, n):
+    head = ",".join(ENRICHED_COLUMNS)
+    recs = [",".join([f"{name}-{i}"] + [""] * 41) for i in range(n)]
+    return "\n".join([f"HDR,{name}", head, *recs, f"TRL,{name}", "EOF"]) + "\n"
+
+
+def test_envelope_zero_records_and_two_files(spark, tmp_path):
+    _write(str(tmp_path / "a.csv"), _envelope("a", 0))
+    _write(str(tmp_path / "b.csv"), _envelope("b", 3))
+    got = read_envelope_csv(spark, str(tmp_path / "*.csv")).collect()
+    assert sorted(r["INCOMING_NODE"] for r in got) == ["b-0", "b-1", "b-2"]
+    assert {r["file_name"] for r in got} == {"b.csv"}
+
+
+def test_envelope_file_split_across_many_tasks(spark, tmp_path):
+    _write(str(tmp_path / "big.csv"), _envelope("big", 3000))
+    _write(str(tmp_path / "tiny.csv"), _envelope("tiny", 1))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_envelope_csv(spark, str(tmp_path / "*.csv"))
+        got = df.select("INCOMING_NODE").collect()
+        parts = df.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    names = sorted(r[0] for r in got)
+    assert len(names) == 3001 and names == sorted([f"big-{i}" for i in range(3000)] + ["tiny-0"])
+    assert parts > 1
+
+
+def test_same_file_offered_twice_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "log")
+    lines = spark.createDataFrame([("x", "f1.cdr", "20240701"), ("y", "f2.cdr", "20240702")],
+                                  "value string, file_name string, original_date string")
+    e = log_entries(lines, processing_date=F.to_date(F.lit("2024-07-02")))
+    append_log(spark, path, e)
+    append_log(spark, path, e)
+    assert read_log(spark, path).count() == 2
+    assert new_files(lines, read_log(spark, path)).count() == 0
+
+
+def test_new_files_keeps_null_names(spark):
+    lines = spark.createDataFrame([("x", "seen.cdr"), ("y", None), ("z", "new.cdr")],
+                                  "value string, file_name string")
+    log = spark.createDataFrame([("seen.cdr",)], "filename string")
+    assert sorted(r.value for r in new_files(lines, log).collect()) == ["y", "z"]
+
+
+def test_absent_log_is_empty(spark, tmp_path):
+    assert read_log(spark, str(tmp_path / "nolog")).count() == 0
