@@ -111,3 +111,21 @@ def lookup_node(df: DataFrame, node_master: DataFrame, node: Column,
                 franchise_as: str = "n_franchise", flag: str | None = "node_hit") -> DataFrame:
     """Network node master by node = ID, giving the franchise."""
     return lookup(df, node_master, [(node, "ID")], {"FK_ORGA_FRAN": franchise_as}, flag)
+
+
+def sql_trunk_lookup(records: DataFrame, trunk: DataFrame, side: str = "incoming",
+                     broadcast: bool = True) -> DataFrame:
+    """The single-side trunk lookup written as Spark SQL over temp views
+    (same plan as ``lookup_trunk``; Catalyst optimises either form)."""
+    spark = records.sparkSession
+    n = next(_ids)
+    rv, tv = f"cdr_records_{n}", f"trunk_master_{n}"
+    records.createOrReplaceTempView(rv)
+    trunk.createOrReplaceTempView(tv)
+    hint = "/*+ BROADCAST(t) */ " if broadcast else ""
+    up = side.upper()
+    return spark.sql(f"""
+        SELECT {hint}r.*, t.POI AS {up}_POI, t.OPERATOR AS {up}_OPERATOR,
+               t.ID IS NOT NULL AS trunk_hit
+        FROM {rv} r
+        LEFT JOIN {tv} t ON t.ID = r.{side}_path AND t.FK_NNOD = r.{side}_node""")

@@ -629,6 +629,7 @@ ORACLES = {
     "transit_split": q_transit_split,
     "trunk_lookup_incoming": q_trunk_lookup_incoming,
     "trunk_lookup_outgoing": q_trunk_lookup_outgoing,
+    "trunk_lookup_sql": q_trunk_lookup_incoming,
     "franchise_lookup": q_franchise_lookup,
     "unique_master": q_unique_master,
     "latest_master": q_latest_master,

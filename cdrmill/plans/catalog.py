@@ -21,7 +21,8 @@ from cdrmill.functions.parse import (date_from_name, duration_seconds, hhmiss,
                                      parse_fixed_width, parse_yyyymmdd)
 from cdrmill.operators.audit import file_audit, load_totals
 from cdrmill.operators.files import new_files
-from cdrmill.operators.lookup import Masters, lookup_node, lookup_trunk, unique_master, clean_master
+from cdrmill.operators.lookup import (Masters, clean_master, lookup_node, lookup_trunk,
+                                     sql_trunk_lookup, unique_master)
 from cdrmill.operators.mapping import FIXED_CLOCK, Clock, map_med
 from cdrmill.operators.split import split_transit
 from cdrmill.plans.hold import reprocess_med_hold
@@ -130,6 +131,15 @@ def q_trunk_lookup_outgoing(spark, sf_dir):
     return _trunk_side(spark, sf_dir, "outgoing")
 
 
+def q_trunk_lookup_sql(spark, sf_dir):
+    """The incoming trunk lookup as Spark SQL over temp views."""
+    p = parse_records(fx.cdr_lines(spark, sf_dir))
+    m = _masters(spark, sf_dir)
+    j = sql_trunk_lookup(p, m.trunk, "incoming", broadcast=m.trunk_broadcast)
+    return j.select("file_name", "record_sequence_number", "incoming_path", "incoming_node",
+                    "INCOMING_POI", "INCOMING_OPERATOR", "trunk_hit")
+
+
 def q_franchise_lookup(spark, sf_dir):
     p = parse_records(fx.cdr_lines(spark, sf_dir))
     m = _masters(spark, sf_dir)
@@ -328,6 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transit_split": q_transit_split,
     "trunk_lookup_incoming": q_trunk_lookup_incoming,
     "trunk_lookup_outgoing": q_trunk_lookup_outgoing,
+    "trunk_lookup_sql": q_trunk_lookup_sql,
     "franchise_lookup": q_franchise_lookup,
     "unique_master": q_unique_master,
     "latest_master": q_latest_master,

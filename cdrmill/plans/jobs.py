@@ -32,7 +32,7 @@ from cdrmill.plans.med import dedup_records, finish_med, med_legs, parse_records
 from cdrmill.sinks.writers import read_hold, write_enriched, write_hold
 from cdrmill.sources.envelope import read_envelope_csv
 from cdrmill.sources.log import append_log, log_entries, read_log
-from cdrmill.sources.masters import read_latest_master
+from cdrmill.sources.masters import read_latest_master, read_master
 from cdrmill.sources.text import read_lines
 
 
@@ -41,14 +41,19 @@ class MasterPaths:
     trunk: str | list[str]
     node: str | list[str] | None = None
     sep: str = "|"
-    snapshot_by: str = "name_date"  # or "folder"
+    snapshot_by: str | None = "name_date"  # "folder", or None: every file of the glob
+
+    def _read(self, spark: SparkSession, path, kind: str) -> DataFrame:
+        if self.snapshot_by is None:
+            return read_master(spark, path, kind, self.sep)
+        return read_latest_master(spark, path, kind, self.sep, self.snapshot_by)
 
     def load(self, spark: SparkSession) -> Masters:
-        trunk = read_latest_master(spark, self.trunk, "trunk", self.sep, self.snapshot_by)
+        trunk = self._read(spark, self.trunk, "trunk")
         if self.node is None:  # ICT needs no node master
             node = spark.createDataFrame([], "ID string, NAME string, FK_ORGA_FRAN string")
         else:
-            node = read_latest_master(spark, self.node, "node", self.sep, self.snapshot_by)
+            node = self._read(spark, self.node, "node")
         return Masters.build(trunk, node)
 
 
@@ -98,6 +103,8 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     t0 = time.time()
     load_id = cfg.load_id or default_load_id("med", cfg.inputs, clock)
     lines = new_files(read_lines(spark, cfg.inputs, cfg.source_col), read_log(spark, cfg.log_path))
+    if lines.isEmpty():
+        return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
     masters = cfg.masters.load(spark)
     records = parse_records(lines)
     legs, obs = _observed(med_legs(records, masters, clock, cfg.date_mode), "med")
@@ -127,6 +134,8 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     load_id = cfg.load_id or default_load_id("ict", cfg.inputs, clock)
     records = read_envelope_csv(spark, cfg.inputs, source_col=cfg.source_col)
     records = new_files(records, read_log(spark, cfg.log_path))
+    if records.isEmpty():
+        return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
     out = enrich_ict(records, cfg.masters.load(spark), clock, cfg.date_mode)
     legs, obs = _observed(out.legs, "ict")
     legs = legs.persist(StorageLevel.MEMORY_AND_DISK)
