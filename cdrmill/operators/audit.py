@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def file_audit(records: DataFrame, kept: DataFrame, legs: DataFrame,
-               name_col: str = "file_name", reason_col: str = "hold_reason") -> DataFrame:
+def file_audit(records: DataFrame, legs: DataFrame, name_col: str = "file_name",
+               reason_col: str = "hold_reason", index_col: str = "leg_index") -> DataFrame:
     """One row per input file: records read, duplicates dropped, leg rows
-    matched and held.  Each input is first reduced to one row per file by a
-    partial aggregate, so only per-file counts are joined."""
+    matched and held.
+
+    Records kept by the duplicate check are counted on the leg rows (the
+    row with leg index 0, or the single no-leg row), so the check is not run
+    a second time.  Each input is reduced to one row per file by a partial
+    aggregate before anything is shuffled; only per-file counts are joined.
+    """
     n_in = records.groupBy(name_col).agg(F.count(F.lit(1)).alias("n_records"))
-    n_kept = kept.groupBy(name_col).agg(F.count(F.lit(1)).alias("n_kept"))
+    idx = F.col(index_col)
     n_legs = legs.groupBy(name_col).agg(
+        F.count_if(idx.isNull() | (idx == 0)).alias("n_kept"),
         F.count_if(F.col(reason_col).isNull()).alias("n_matched"),
         F.count_if(F.col(reason_col).isNotNull()).alias("n_held"))
-    out = n_in.join(n_kept, name_col, "left").join(n_legs, name_col, "left")
+    out = n_in.join(n_legs, name_col, "left")
     return out.select(
         F.col(name_col).alias("filename"),
         F.col("n_records"),

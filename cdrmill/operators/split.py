@@ -27,12 +27,18 @@ def side_present(node: str, path: str) -> Column:
 
 
 def split_transit(df: DataFrame, incoming: Sequence[str] = MED_INCOMING,
-                  outgoing: Sequence[str] = MED_OUTGOING, leg: str = "leg") -> DataFrame:
+                  outgoing: Sequence[str] = MED_OUTGOING, leg: str = "leg",
+                  index: str | None = None) -> DataFrame:
+    """``index`` (optional) numbers the leg rows of one record 0, 1 (NULL
+    for the no-leg row), so a record can be counted once after the split."""
     in_p = side_present(incoming[0], incoming[1])
     out_p = side_present(outgoing[0], outgoing[1])
     legs = F.filter(F.array(F.when(in_p, F.lit("I")), F.when(out_p, F.lit("O"))),
                     lambda x: x.isNotNull())
-    exploded = df.withColumn(leg, F.explode_outer(legs))
+    if index:
+        exploded = df.select("*", F.posexplode_outer(legs).alias(index, leg))
+    else:
+        exploded = df.withColumn(leg, F.explode_outer(legs))
     nulled = {c: F.when(F.col(leg) == "I", F.lit(None).cast("string")).otherwise(F.col(c))
               for c in outgoing}
     nulled.update({c: F.when(F.col(leg) == "O", F.lit(None).cast("string")).otherwise(F.col(c))

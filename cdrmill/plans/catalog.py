@@ -214,8 +214,7 @@ def q_hold_reprocess(spark, sf_dir):
 def _audit(spark, sf_dir):
     lines = new_files(fx.cdr_lines(spark, sf_dir), fx.processed_log(spark, sf_dir))
     out = enrich_med(lines, _masters(spark, sf_dir), FIXED_CLOCK)
-    kept = dedup_records(out.records)
-    return file_audit(out.records, kept, out.legs)
+    return file_audit(out.records, out.legs)
 
 
 def q_file_audit(spark, sf_dir):
@@ -280,17 +279,19 @@ def q_pipe_to_comma(spark, sf_dir):
                                                             "OPERATOR", "POI")
 
 
-def _write_cdr_files(spark, sf_dir) -> str:
+def write_cdr_files(spark, sf_dir) -> str:
+    """Stand-in call-record files: one folder per logical file, each written
+    by every task (record order inside a CDR file carries no meaning)."""
     root = scratch_path(spark, "cdr-in")
     (fx.cdr_lines(spark, sf_dir).select("value", F.col("file_name").alias("source"))
-     .repartition("source").write.partitionBy("source").text(root))
+     .write.partitionBy("source").text(root))
     return root
 
 
 def q_incremental_load(spark, sf_dir):
     """The MED load as a Structured Streaming query over the call-record
     files (``availableNow``), output read back."""
-    root = _write_cdr_files(spark, sf_dir)
+    root = write_cdr_files(spark, sf_dir)
     cfg = IncrementalConfig(root, scratch_path(spark, "inc-out"), scratch_path(spark, "inc-hold"),
                             scratch_path(spark, "inc-ckpt"), source_col="source")
     run_med_incremental(spark, cfg, _masters(spark, sf_dir), fx.processed_log(spark, sf_dir),

@@ -28,7 +28,7 @@ from cdrmill.operators.lookup import Masters
 from cdrmill.operators.mapping import Clock
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
-from cdrmill.plans.med import dedup_records, finish_med, med_legs, parse_records
+from cdrmill.plans.med import finish_med, med_legs, parse_records
 from cdrmill.sinks.writers import read_hold, write_enriched, write_hold
 from cdrmill.sources.envelope import read_envelope_csv
 from cdrmill.sources.log import append_log, log_entries, read_log
@@ -114,7 +114,7 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
         write_enriched(enriched, cfg.output_path, load_id, cfg.output_format, cfg.null_token)
         write_hold(held, cfg.hold_path, load_id)
         if cfg.audit_path:
-            audit = file_audit(records, dedup_records(records), legs)
+            audit = file_audit(records, legs)
             audit.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(
                 cfg.audit_path)
         entries = log_entries(legs, processing_date=clock.date())

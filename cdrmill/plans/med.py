@@ -61,11 +61,12 @@ def lookup_legs(legs: DataFrame, masters: Masters) -> DataFrame:
 
 def med_legs(records: DataFrame, masters: Masters, clock: Clock = Clock(),
              date_mode: str = "regex") -> DataFrame:
-    """De-duplicated, split, looked-up leg rows with ``hold_reason``."""
+    """De-duplicated, split, looked-up leg rows with ``hold_reason`` and
+    ``leg_index`` (0 on the first leg row of each kept record)."""
     kept = dedup_records(records)
     dated = kept.withColumns({"original_date": original_date("file_name", date_mode),
                               "processing_date": clock.date()})
-    return lookup_legs(split_transit(dated), masters)
+    return lookup_legs(split_transit(dated, index="leg_index"), masters)
 
 
 @dataclass
