@@ -619,6 +619,22 @@ def q_envelope_csv() -> str:
                                     "FROM ict_clean")
 
 
+def q_ict_hold_reprocess() -> str:
+    nul_keep = [c for c in ENRICHED_COLUMNS if c not in
+                ("poi_id", "network_operator_id", "PROCESSEDTIME")]
+    keep = ", ".join(f"h.{c}" for c in nul_keep)
+    return _with(ict_chain() + "," + FIXED_MASTERS + f""",
+ict_re AS (
+  SELECT {keep}, t.POI AS poi_id, t.OPERATOR AS network_operator_id,
+         '{REPROCESS_TIME}' AS PROCESSEDTIME, h.original_date, h.processing_date, h.leg
+  FROM (SELECT * FROM ict_reasoned WHERE hold_reason IS NOT NULL) h
+  LEFT JOIN trunk_fix_u t ON t.ID = coalesce(h.INCOMING_PATH, h.OUTGOING_PATH)
+                         AND t.FK_NNOD = coalesce(h.INCOMING_NODE, h.OUTGOING_NODE))""",
+                 f"""
+SELECT {', '.join(ENRICHED_COLUMNS)}, original_date, processing_date, leg FROM ict_re
+WHERE leg IS NOT NULL AND poi_id IS NOT NULL AND network_operator_id IS NOT NULL""")
+
+
 ORACLES = {
     "fixed_width_parse": q_fixed_width_parse,
     "event_fields": q_event_fields,
@@ -648,4 +664,5 @@ ORACLES = {
     "ict_enriched": q_ict_enriched,
     "ict_held": q_ict_held,
     "envelope_csv": q_envelope_csv,
+    "ict_hold_reprocess": q_ict_hold_reprocess,
 }

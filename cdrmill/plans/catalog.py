@@ -25,7 +25,7 @@ from cdrmill.operators.lookup import (Masters, clean_master, lookup_node, lookup
                                      sql_trunk_lookup, unique_master)
 from cdrmill.operators.mapping import FIXED_CLOCK, Clock, map_med
 from cdrmill.operators.split import split_transit
-from cdrmill.plans.hold import reprocess_med_hold
+from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
 from cdrmill.plans.med import (MED_HOLD_COLUMNS, dedup_records, enrich_med, med_legs,
                                original_date, parse_records)
@@ -329,6 +329,17 @@ def q_ict_held(spark, sf_dir):
     return comparable(out.held)
 
 
+def q_ict_hold_reprocess(spark, sf_dir):
+    """ICT held rows through the hold store, then the corrected trunk
+    master; released rows keep their first processing date."""
+    hold = scratch_path(spark, "ict-hold")
+    out = enrich_ict(_ict_records(spark, sf_dir), _masters(spark, sf_dir), FIXED_CLOCK)
+    write_hold(out.held, hold, "first")
+    done, _ = reprocess_ict_hold(read_hold(spark, hold).drop("load_id"),
+                                 _fixed_masters(spark, sf_dir), REPROCESS_CLOCK)
+    return comparable(done)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fixed_width_parse": q_fixed_width_parse,
     "event_fields": q_event_fields,
@@ -358,4 +369,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ict_enriched": q_ict_enriched,
     "ict_held": q_ict_held,
     "envelope_csv": q_envelope_csv,
+    "ict_hold_reprocess": q_ict_hold_reprocess,
 }

@@ -13,7 +13,9 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", app="cdrmill-tests", shuffle_partitions=8)
+    import tempfile
+    s = get_session("local[4]", app="cdrmill-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cdrmill-wh-")})
     yield s
     s.stop()
 
