@@ -30,10 +30,10 @@ from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
 from cdrmill.plans.med import finish_med, med_legs, parse_records
 from cdrmill.sinks.writers import read_hold, write_enriched, write_hold
-from cdrmill.sources.envelope import read_envelope_csv
+from cdrmill.sources.envelope import envelope_records
 from cdrmill.sources.log import append_log, log_entries, read_log
 from cdrmill.sources.masters import read_latest_master, read_master
-from cdrmill.sources.text import read_lines
+from cdrmill.sources.text import read_lines, read_lines_with_position
 
 
 @dataclass
@@ -132,10 +132,11 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     -> enriched / held, then the log."""
     t0 = time.time()
     load_id = cfg.load_id or default_load_id("ict", cfg.inputs, clock)
-    records = read_envelope_csv(spark, cfg.inputs, source_col=cfg.source_col)
-    records = new_files(records, read_log(spark, cfg.log_path))
-    if records.isEmpty():
+    lines = read_lines_with_position(spark, cfg.inputs, cfg.source_col)
+    lines = new_files(lines, read_log(spark, cfg.log_path))  # skip loaded files at the scan
+    if lines.isEmpty():  # stops at the first line of a new file
         return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
+    records = envelope_records(lines)
     out = enrich_ict(records, cfg.masters.load(spark), clock, cfg.date_mode)
     legs, obs = _observed(out.legs, "ict")
     legs = legs.persist(StorageLevel.MEMORY_AND_DISK)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdrmill.functions.parse import blank_to_null
-from cdrmill.operators.lookup import sized_broadcast
+from cdrmill.operators.lookup import broadcast_limit, sized_broadcast
 from cdrmill.schema import ENRICHED_COLUMNS
 from cdrmill.sources.text import read_lines_with_position
 
@@ -43,9 +43,27 @@ def envelope_positions(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFr
     return ranked.where((F.col("_a") <= head) | (F.col("_d") <= tail)).select(*POSITION)
 
 
+def positions_bound(lines: DataFrame, head: int, tail: int) -> int | None:
+    """Upper bound in bytes of ``envelope_positions``: at most ``head + tail``
+    rows per input file, each a path and two longs.  Taken from the scan's
+    file listing (driver metadata), so no job reads the data for it."""
+    try:
+        files = lines.inputFiles()
+    except Exception:  # noqa: BLE001 - not a plain file scan
+        return None
+    if not files:
+        return 0
+    return len(files) * (head + tail) * (max(len(f) for f in files) + 32)
+
+
 def strip_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
     """The lines that are neither envelope head nor trailer."""
-    drop, _ = sized_broadcast(envelope_positions(lines, head, tail))
+    positions = envelope_positions(lines, head, tail)
+    bound = positions_bound(lines, head, tail)
+    if bound is not None and bound <= broadcast_limit(lines.sparkSession):
+        drop = F.broadcast(positions)
+    else:
+        drop, _ = sized_broadcast(positions)
     return lines.join(drop, POSITION, "left_anti")
 
 
@@ -67,4 +85,11 @@ def read_envelope_csv(spark: SparkSession, paths: str | list[str],
     """Records of envelope CSV files: ``value, file_path, file_name`` and
     the named columns."""
     lines = read_lines_with_position(spark, paths, source_col, base_path)
+    return envelope_records(lines, columns, head, tail)
+
+
+def envelope_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS,
+                     head: int = 2, tail: int = 2) -> DataFrame:
+    """Positioned lines (``read_lines_with_position``, possibly filtered by a
+    narrow step such as the file check) -> parsed records."""
     return parse_csv_records(strip_envelope(lines, head, tail), columns)
