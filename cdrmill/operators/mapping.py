@@ -28,6 +28,19 @@ class Clock:
             return F.current_date()
         return F.to_date(F.lit(self.processing_date))
 
+    def resolved(self, spark) -> Clock:
+        """Fix an open clock to 'now' in the session time zone, once, so
+        every output of one load (and any retry of its stages) carries the
+        same processing time and date."""
+        if self.processed_time is not None and self.processing_date is not None:
+            return self
+        from datetime import datetime
+        from zoneinfo import ZoneInfo
+        tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
+        now = datetime.now(ZoneInfo(tz))
+        return Clock(self.processed_time or now.strftime("%Y-%m-%d %H:%M:%S"),
+                     self.processing_date or now.strftime("%Y-%m-%d"))
+
 
 FIXED_CLOCK = Clock("2024-07-02 10:00:00", "2024-07-02")
 

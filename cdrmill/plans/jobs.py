@@ -29,7 +29,8 @@ from cdrmill.operators.mapping import Clock
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
 from cdrmill.plans.med import finish_med, med_legs, parse_records
-from cdrmill.sinks.writers import read_hold, write_enriched, write_hold
+from cdrmill.sinks.writers import (append_table, create_partitioned_table, read_hold,
+                                   write_enriched, write_hold, write_per_file)
 from cdrmill.sources.envelope import envelope_records
 from cdrmill.sources.log import append_log, log_entries, read_log
 from cdrmill.sources.masters import read_latest_master, read_master
@@ -70,6 +71,17 @@ class JobConfig:
     date_mode: str = "regex"
     source_col: str | None = None
     load_id: str | None = None
+    table: str | None = None          # also append into this partitioned table
+    per_file_path: str | None = None  # also write one CSV folder per input file
+
+
+def _extra_sinks(enriched: DataFrame, cfg: JobConfig) -> None:
+    if cfg.table:
+        create_partitioned_table(enriched.sparkSession, cfg.table, enriched.schema,
+                                 ["processing_date"])
+        append_table(enriched, cfg.table)
+    if cfg.per_file_path:
+        write_per_file(enriched, cfg.per_file_path)
 
 
 @dataclass
@@ -101,6 +113,7 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     rows by (original_date, processing_date), held rows to the hold store,
     per-file audit, then the log."""
     t0 = time.time()
+    clock = clock.resolved(spark)
     load_id = cfg.load_id or default_load_id("med", cfg.inputs, clock)
     lines = new_files(read_lines(spark, cfg.inputs, cfg.source_col), read_log(spark, cfg.log_path))
     if lines.isEmpty():
@@ -112,6 +125,7 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     try:
         enriched, held = finish_med(legs, clock)
         write_enriched(enriched, cfg.output_path, load_id, cfg.output_format, cfg.null_token)
+        _extra_sinks(enriched, cfg)
         write_hold(held, cfg.hold_path, load_id)
         if cfg.audit_path:
             audit = file_audit(records, legs)
@@ -131,6 +145,7 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     """Envelope CSV extracts -> duplicate check -> split -> trunk lookup
     -> enriched / held, then the log."""
     t0 = time.time()
+    clock = clock.resolved(spark)
     load_id = cfg.load_id or default_load_id("ict", cfg.inputs, clock)
     lines = read_lines_with_position(spark, cfg.inputs, cfg.source_col)
     lines = new_files(lines, read_log(spark, cfg.log_path))  # skip loaded files at the scan
@@ -144,6 +159,7 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
         matched = legs.where(F.col("hold_reason").isNull()).drop("hold_reason")
         held = legs.where(F.col("hold_reason").isNotNull())
         write_enriched(matched, cfg.output_path, load_id, cfg.output_format, cfg.null_token)
+        _extra_sinks(matched, cfg)
         write_hold(held, cfg.hold_path, load_id)
         entries = log_entries(legs.withColumnRenamed("INPUTFILENAME", "file_name")
                               .select("file_name", "original_date"),
@@ -161,6 +177,7 @@ def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "
     held again under this run's ``load_id``; the loads that were read are
     then marked superseded (the folder being read is never rewritten)."""
     t0 = time.time()
+    clock = clock.resolved(spark)
     load_id = cfg.load_id or default_load_id(f"hold-{source_type.lower()}", cfg.hold_path, clock)
     sup_path = f"{cfg.hold_path.rstrip('/')}/_superseded"
     superseded = read_superseded(spark, sup_path)

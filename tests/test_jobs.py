@@ -104,11 +104,20 @@ def test_ict_job(spark, tmp_path):
                  EVENT_START_DATE="20240701", EVENT_START_TIME="10203000"),
     ]
     _write(f"{root}/in/ICT_20240701.csv", _envelope("ICT_20240701.csv", rows))
-    cfg = JobConfig(f"{root}/in/*.csv", masters, f"{root}/out", f"{root}/hold", f"{root}/log")
+    cfg = JobConfig(f"{root}/in/*.csv", masters, f"{root}/out", f"{root}/hold", f"{root}/log",
+                    table="ict_processed", per_file_path=f"{root}/per_file")
     r = run_ict(spark, cfg, DAY1)
+    assert spark.table("ict_processed").count() == 2
+    assert os.path.isdir(f"{root}/per_file/INPUTFILENAME=ICT_20240701.csv")
+    spark.sql("DROP TABLE ict_processed")
     assert r.metrics == {"leg_rows": 3, "matched": 2, "held": 1}
     out = read_partitioned(spark, f"{root}/out").collect()
     assert {x.leg for x in out} == {"I", "O"}
     assert all(x.poi_id == "POI1" and x.EVENT_START_TIME == "102030" and x.SOURCETYPE == "ICT"
                for x in out)
     assert read_hold(spark, f"{root}/hold").first().hold_reason == "trunk"
+
+
+def test_open_clock_is_fixed_once(spark):
+    c = Clock().resolved(spark)
+    assert c.processed_time and c.processing_date and c.resolved(spark) == c
