@@ -154,8 +154,8 @@ def q_unique_master(spark, sf_dir):
 
 
 def q_latest_master(spark, sf_dir):
-    """Two dated snapshots written as pipe files, one folder each; only the
-    newest is read back."""
+    """Two dated snapshots written as pipe files, one folder each; both are
+    read and the reader keeps only the newest."""
     root = scratch_path(spark, "snapshots")
     snaps = fx.trunk_snapshots(spark, sf_dir)
     (snaps.repartition("snapshot_name").write.option("header", True).option("sep", "|")
