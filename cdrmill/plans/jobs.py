@@ -29,7 +29,7 @@ from cdrmill.operators.mapping import Clock
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
 from cdrmill.plans.med import finish_med, med_legs, parse_records
-from cdrmill.sinks.writers import (append_table, create_partitioned_table, read_hold,
+from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, create_partitioned_table, read_hold,
                                    write_enriched, write_hold, write_per_file)
 from cdrmill.sources.envelope import envelope_records
 from cdrmill.sources.log import append_log, log_entries, read_log
@@ -68,6 +68,7 @@ class JobConfig:
     audit_path: str | None = None
     output_format: str = "parquet"    # or "csv" (header, text)
     null_token: str | None = None
+    time_format: str = CSV_TIME_FORMAT  # PROCESSEDTIME in CSV output
     date_mode: str = "regex"
     source_col: str | None = None
     load_id: str | None = None
@@ -124,7 +125,8 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     legs = legs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         enriched, held = finish_med(legs, clock)
-        write_enriched(enriched, cfg.output_path, load_id, cfg.output_format, cfg.null_token)
+        write_enriched(enriched, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
+                       cfg.time_format)
         _extra_sinks(enriched, cfg)
         write_hold(held, cfg.hold_path, load_id)
         if cfg.audit_path:
@@ -158,7 +160,8 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     try:
         matched = legs.where(F.col("hold_reason").isNull()).drop("hold_reason")
         held = legs.where(F.col("hold_reason").isNotNull())
-        write_enriched(matched, cfg.output_path, load_id, cfg.output_format, cfg.null_token)
+        write_enriched(matched, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
+                       cfg.time_format)
         _extra_sinks(matched, cfg)
         write_hold(held, cfg.hold_path, load_id)
         entries = log_entries(legs.withColumnRenamed("INPUTFILENAME", "file_name")
@@ -192,7 +195,8 @@ def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "
             done, still = reprocess_ict_hold(held.drop("load_id"), masters, clock)
         obs = Observation("hold")
         done = done.observe(obs, F.count(F.lit(1)).alias("released"))
-        write_enriched(done, cfg.output_path, load_id, cfg.output_format, cfg.null_token)
+        write_enriched(done, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
+                       cfg.time_format)
         write_hold(still, cfg.hold_path, load_id)
         (held.select("load_id").distinct().withColumn("by", F.lit(load_id))
          .write.mode("append").parquet(sup_path))

@@ -25,7 +25,8 @@ def _dynamic(df: DataFrame):
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
                       fmt: str = "parquet", load_id: str | None = None,
-                      header: bool = True, null_token: str | None = None) -> None:
+                      header: bool = True, null_token: str | None = None,
+                      time_format: str = CSV_TIME_FORMAT) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite).
 
     With ``load_id`` the load's own leaf partition is added under the
@@ -37,7 +38,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
         parts.append("load_id")
     w = _dynamic(df).mode("overwrite").partitionBy(*parts)
     if fmt == "csv":
-        w = w.option("header", header).option("timestampFormat", CSV_TIME_FORMAT)
+        w = w.option("header", header).option("timestampFormat", time_format)
         if null_token is not None:
             w = w.option("nullValue", null_token).option("emptyValue", "")
         w.csv(path)
@@ -46,11 +47,12 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def write_enriched(df: DataFrame, path: str, load_id: str, fmt: str = "parquet",
-                   null_token: str | None = None) -> None:
+                   null_token: str | None = None, time_format: str = CSV_TIME_FORMAT) -> None:
     """Enriched rows by original date and processing date (back-dated
-    loads included), one leaf per load."""
+    loads included), one leaf per load.  ``time_format`` renders
+    PROCESSEDTIME in CSV output (e.g. ``dd/MM/yyyy HH:mm``)."""
     write_partitioned(df, path, ["original_date", "processing_date"], fmt, load_id,
-                      null_token=null_token)
+                      null_token=null_token, time_format=time_format)
 
 
 def write_per_file(df: DataFrame, path: str, name_col: str = "INPUTFILENAME",

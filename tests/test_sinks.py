@@ -54,3 +54,12 @@ def test_per_file_folders_and_plain_csv(spark, tmp_path):
     export_csv(out.select("ANUM", "OUTGOING_POI"), str(tmp_path / "plain"), null_token="NA")
     text = spark.read.text(str(tmp_path / "plain")).first().value
     assert text == "91,NA"
+
+
+def test_csv_time_format_option(spark, tmp_path):
+    from cdrmill.sinks.writers import write_enriched
+    out = map_med(_enriched(spark), FIXED_CLOCK).select("ANUM", "PROCESSEDTIME", "original_date",
+                                                         "processing_date")
+    write_enriched(out, str(tmp_path / "e"), "L1", fmt="csv", time_format="dd/MM/yyyy HH:mm")
+    rows = spark.read.option("header", True).csv(str(tmp_path / "e")).collect()
+    assert rows[0].PROCESSEDTIME == "02/07/2024 10:00"
