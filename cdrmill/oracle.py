@@ -547,7 +547,7 @@ def ict_records_cte() -> str:
     src = _ict_src_cols()
     cols = ", ".join(f"{src.get(c, chr(39) * 2)} AS {c}" for c in ENRICHED_COLUMNS)
     clean = ", ".join(f"nullif(trim({c}), '') AS {c}" for c in ENRICHED_COLUMNS)
-    source = (f"'ICT' || {_v('k % 3')} || '_2024070' || {_v('1 + k % 3')} || '.csv'")
+    source = (f"'ICT' || {_v('k % 8')} || '_2024070' || {_v('1 + k % 8')} || '.csv'")
     return BASE + f""",
 ict_src AS (SELECT {cols}, {source} AS source FROM fields),
 ict_clean AS (SELECT {clean}, source AS file_name FROM ict_src)"""
