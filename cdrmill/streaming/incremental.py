@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdrmill.operators.files import new_files
 from cdrmill.operators.lookup import Masters
 from cdrmill.operators.mapping import Clock
-from cdrmill.plans.med import enrich_med
+from cdrmill.plans.med import finish_med, med_legs, parse_records
 from cdrmill.sinks.writers import write_enriched, write_hold
 
 
@@ -52,10 +53,16 @@ def run_med_incremental(spark: SparkSession, cfg: IncrementalConfig, masters: Ma
 
     def load(batch: DataFrame, batch_id: int) -> None:
         lines = new_files(batch, log) if log is not None else batch
-        out = enrich_med(lines, masters, clock)
-        load_id = f"{cfg.name}-{batch_id}"
-        write_enriched(out.enriched, cfg.output_dir, load_id)
-        write_hold(out.held, cfg.hold_dir, load_id)
+        # the leg rows feed two writes: computed once per micro-batch
+        legs = med_legs(parse_records(lines), masters, clock).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            enriched, held = finish_med(legs, clock)
+            load_id = f"{cfg.name}-{batch_id}"
+            write_enriched(enriched, cfg.output_dir, load_id)
+            write_hold(held, cfg.hold_dir, load_id)
+        finally:
+            legs.unpersist()
         batches.append(batch_id)
 
     q = (stream_lines(spark, cfg).writeStream.foreachBatch(load)
