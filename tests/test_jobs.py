@@ -121,3 +121,18 @@ def test_ict_job(spark, tmp_path):
 def test_open_clock_is_fixed_once(spark):
     c = Clock().resolved(spark)
     assert c.processed_time and c.processing_date and c.resolved(spark) == c
+
+
+def test_cli_med_job(spark, tmp_path):
+    from cdrmill.__main__ import main
+    root = str(tmp_path)
+    _write(f"{root}/trunk/Trunk_Group_20240401.csv", "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|ND1|OP1|POI1\n")
+    _write(f"{root}/node/Network_Node_20240401.csv", "ID|NAME|FK_ORGA_FRAN\nND1|n|FR1\n")
+    _write(f"{root}/in/MED.20240701100000.cdr",
+           _call("1", incoming_node="ND1", incoming_path="TG1") + "\n")
+    out = main(["med", "--inputs", f"{root}/in/*.cdr", "--trunk", f"{root}/trunk/*.csv",
+                "--node", f"{root}/node/*.csv", "--output", f"{root}/out", "--hold",
+                f"{root}/hold", "--log", f"{root}/log", "--format", "csv",
+                "--processing-date", "2024-07-02"])
+    assert out["matched"] == 1 and out["held"] == 0
+    assert os.path.isdir(f"{root}/out/original_date=20240701/processing_date=2024-07-02")
