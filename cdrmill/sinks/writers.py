@@ -83,8 +83,9 @@ def read_hold(spark: SparkSession, path: str, superseded: DataFrame | None = Non
     already taken over (``superseded``: one ``load_id`` per row)."""
     held = read_partitioned(spark, path)
     if superseded is not None:
-        held = held.join(F.broadcast(superseded.select("load_id").distinct()), "load_id",
-                         "left_anti")
+        from cdrmill.operators.lookup import sized_broadcast
+        gone, _ = sized_broadcast(superseded.select("load_id").distinct())
+        held = held.join(gone, "load_id", "left_anti")
     return held
 
 
