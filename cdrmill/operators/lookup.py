@@ -60,6 +60,20 @@ def sized_broadcast(df: DataFrame, limit: int | None = None) -> tuple[DataFrame,
     return df, False
 
 
+def master_stats(clean: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
+    """(rows, distinct complete keys, payload bytes) of a cleaned master in
+    one aggregate job.  Rows minus keys is what de-duplication drops (repeated
+    keys and rows with a missing key part); the bytes bound the de-duplicated
+    master from above, so they can decide the broadcast."""
+    size = reduce(lambda a, b: a + b,
+                  [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) + F.lit(8)
+                   for c in clean.columns])
+    row = clean.agg(F.count(F.lit(1)).alias("n"),
+                    F.count_distinct(*[F.col(k) for k in keys]).alias("k"),
+                    F.sum(size).alias("b")).first()
+    return int(row["n"]), int(row["k"]), int(row["b"] or 0)
+
+
 @dataclass
 class Masters:
     """De-duplicated trunk group and network node masters, ready to join."""
@@ -67,18 +81,25 @@ class Masters:
     node: DataFrame
     trunk_broadcast: bool = False
     node_broadcast: bool = False
+    trunk_dropped: int = 0   # master rows removed by key de-duplication
+    node_dropped: int = 0
 
     @classmethod
     def build(cls, trunk_raw: DataFrame, node_raw: DataFrame,
               limit: int | None = None) -> Masters:
-        trunk = unique_master(clean_master(trunk_raw.select("ID", "NAME", "FK_NNOD",
-                                                            "OPERATOR", "POI")),
-                              ["ID", "FK_NNOD"])
-        node = unique_master(clean_master(node_raw.select("ID", "NAME", "FK_ORGA_FRAN")),
-                             ["ID"])
-        trunk, tb = sized_broadcast(trunk, limit)
-        node, nb = sized_broadcast(node, limit)
-        return cls(trunk, node, tb, nb)
+        limit = broadcast_limit(trunk_raw.sparkSession) if limit is None else limit
+        out = {}
+        for name, raw, cols, keys in (
+                ("trunk", trunk_raw, ["ID", "NAME", "FK_NNOD", "OPERATOR", "POI"], ["ID", "FK_NNOD"]),
+                ("node", node_raw, ["ID", "NAME", "FK_ORGA_FRAN"], ["ID"])):
+            clean = clean_master(raw.select(*cols))
+            rows, nkeys, nbytes = master_stats(clean, keys)
+            unique = unique_master(clean, keys)
+            small = nbytes <= limit
+            out[name] = F.broadcast(unique) if small else unique
+            out[f"{name}_broadcast"] = small
+            out[f"{name}_dropped"] = rows - nkeys
+        return cls(**out)
 
 
 def lookup(df: DataFrame, master: DataFrame, on: Sequence[tuple[Column, str]],

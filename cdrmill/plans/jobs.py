@@ -140,6 +140,7 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     secs = time.time() - t0
     m = dict(obs.get)
     m["rows_per_sec"] = round(m.get("leg_rows", 0) / secs, 1) if secs else None
+    m["master_rows_dropped"] = masters.trunk_dropped + masters.node_dropped
     return JobResult(load_id, m, secs)
 
 

@@ -62,6 +62,7 @@ def test_padded_key_matches_and_repeated_master_key_keeps_count(spark):
                                                       "OPERATOR string, POI string"),
                          ["ID", "FK_NNOD"]).count() == 3  # untrimmed: the padded TG2 is a key of its own
     assert m.trunk.count() == 2
+    assert m.trunk_dropped == 2  # the repeated TG1 key and the padded TG2 copy
     calls = spark.createDataFrame([("TG1", "ND1"), ("TG2", "ND2"), ("TG9", "ND1")],
                                   "path string, node string")
     got = lookup_trunk(calls, m.trunk, F.col("path"), F.col("node")).collect()
