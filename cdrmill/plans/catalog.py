@@ -27,15 +27,13 @@ from cdrmill.operators.mapping import FIXED_CLOCK, Clock, map_med
 from cdrmill.operators.split import split_transit
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
-from cdrmill.plans.med import (MED_HOLD_COLUMNS, dedup_records, enrich_med, med_legs,
-                               original_date, parse_records)
+from cdrmill.plans.med import dedup_records, enrich_med, med_legs, original_date, parse_records
 from cdrmill.session import scratch_path
 from cdrmill.sinks.writers import (convert_separator, read_hold, read_partitioned,
                                    write_enriched, write_hold, write_partitioned)
 from cdrmill.sources.envelope import read_envelope_csv
 from cdrmill.sources.log import append_log, log_entries, read_log
-from cdrmill.sources.masters import read_latest_master, read_master, snapshot_key
-from cdrmill.sources.text import read_lines
+from cdrmill.sources.masters import read_latest_master, read_master
 from cdrmill.streaming.incremental import IncrementalConfig, run_med_incremental
 from cdrmill.schema import ENRICHED_COLUMNS, TRUNK_SCHEMA
 

@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
-
 from cdrmill import fixtures as fx
 from cdrmill.functions.parse import parse_fixed_width
 from cdrmill.operators.lookup import Masters
