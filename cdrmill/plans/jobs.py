@@ -29,6 +29,7 @@ from cdrmill.operators.mapping import Clock
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
 from cdrmill.plans.med import finish_med, med_legs, parse_records
+from cdrmill.sinks.keys import loaded_keys, write_keys
 from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, create_partitioned_table, read_hold,
                                    write_enriched, write_hold, write_per_file)
 from cdrmill.sources.envelope import envelope_records
@@ -72,6 +73,8 @@ class JobConfig:
     date_mode: str = "regex"
     source_col: str | None = None
     load_id: str | None = None
+    keys_dir: str | None = None       # also drop calls kept by earlier loads (MED)
+    keys_days: int | None = 31        # ...whose event date is this recent (None: all)
     table: str | None = None          # also append into this partitioned table
     per_file_path: str | None = None  # also write one CSV folder per input file
 
@@ -121,7 +124,9 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
         return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
     masters = cfg.masters.load(spark)
     records = parse_records(lines)
-    legs, obs = _observed(med_legs(records, masters, clock, cfg.date_mode), "med")
+    loaded = (loaded_keys(spark, cfg.keys_dir, clock.processing_date, cfg.keys_days, load_id)
+              if cfg.keys_dir else None)
+    legs, obs = _observed(med_legs(records, masters, clock, cfg.date_mode, loaded), "med")
     legs = legs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         enriched, held = finish_med(legs, clock)
@@ -133,6 +138,8 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
             audit = file_audit(records, legs)
             audit.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(
                 cfg.audit_path)
+        if cfg.keys_dir:
+            write_keys(legs, cfg.keys_dir, load_id)
         entries = log_entries(legs, processing_date=clock.date())
         append_log(spark, cfg.log_path, entries)
     finally:

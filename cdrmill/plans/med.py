@@ -59,11 +59,22 @@ def lookup_legs(legs: DataFrame, masters: Masters) -> DataFrame:
     return looked.withColumn("hold_reason", med_hold_reason())
 
 
+def drop_loaded(kept: DataFrame, loaded_keys: DataFrame) -> DataFrame:
+    """Remove calls whose duplicate-check key an earlier load already kept
+    (NULL-safe key equality, so NULL keys match as they group in the check)."""
+    k = loaded_keys.select(*[F.col(c).alias(f"_k_{c}") for c in MED_DEDUP_KEYS])
+    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in MED_DEDUP_KEYS]
+    return kept.join(k, cond, "left_anti")
+
+
 def med_legs(records: DataFrame, masters: Masters, clock: Clock = Clock(),
-             date_mode: str = "regex") -> DataFrame:
+             date_mode: str = "regex", loaded_keys: DataFrame | None = None) -> DataFrame:
     """De-duplicated, split, looked-up leg rows with ``hold_reason`` and
-    ``leg_index`` (0 on the first leg row of each kept record)."""
+    ``leg_index`` (0 on the first leg row of each kept record).  With
+    ``loaded_keys``, calls kept by an earlier load are dropped too."""
     kept = dedup_records(records)
+    if loaded_keys is not None:
+        kept = drop_loaded(kept, loaded_keys)
     dated = kept.withColumns({"original_date": original_date("file_name", date_mode),
                               "processing_date": clock.date()})
     return lookup_legs(split_transit(dated, index="leg_index"), masters)

@@ -6,6 +6,13 @@ processed-file log is still honoured so batch and incremental loads can be
 mixed.  Each micro-batch runs the same enrichment as the batch job and
 writes its output under its own ``load_id`` leaf (``<query>-<batch id>``),
 so a replayed batch overwrites only its own earlier attempt.
+
+Within a micro-batch the duplicate check is the batch one (deterministic
+winner).  With ``keys_dir`` set, calls already kept by an earlier batch or
+load are dropped as well: each batch appends the keys it kept (partitioned
+by event date) and anti-joins the keys of recent event dates (``keys_days``
+before the processing date, a watermark-like window); across batches the
+first loaded copy wins.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ from cdrmill.operators.files import new_files
 from cdrmill.operators.lookup import Masters
 from cdrmill.operators.mapping import Clock
 from cdrmill.plans.med import finish_med, med_legs, parse_records
+from cdrmill.sinks.keys import loaded_keys, write_keys
 from cdrmill.sinks.writers import write_enriched, write_hold
 
 
@@ -32,6 +40,8 @@ class IncrementalConfig:
     source_col: str | None = None      # folder partition naming the logical file
     max_files_per_trigger: int | None = None
     name: str = "med"
+    keys_dir: str | None = None  # set: also drop calls loaded by earlier batches
+    keys_days: int | None = 31   # ...whose event date is this recent (None: all)
 
 
 def stream_lines(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
@@ -53,14 +63,20 @@ def run_med_incremental(spark: SparkSession, cfg: IncrementalConfig, masters: Ma
 
     def load(batch: DataFrame, batch_id: int) -> None:
         lines = new_files(batch, log) if log is not None else batch
-        # the leg rows feed two writes: computed once per micro-batch
-        legs = med_legs(parse_records(lines), masters, clock).persist(
+        records = parse_records(lines)
+        load_id = f"{cfg.name}-{batch_id}"
+        bclock = clock.resolved(spark)  # one processing time per micro-batch
+        loaded = (loaded_keys(spark, cfg.keys_dir, bclock.processing_date, cfg.keys_days,
+                              load_id) if cfg.keys_dir else None)
+        # the leg rows feed two or three writes: computed once per micro-batch
+        legs = med_legs(records, masters, bclock, loaded_keys=loaded).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
-            enriched, held = finish_med(legs, clock)
-            load_id = f"{cfg.name}-{batch_id}"
+            enriched, held = finish_med(legs, bclock)
             write_enriched(enriched, cfg.output_dir, load_id)
             write_hold(held, cfg.hold_dir, load_id)
+            if cfg.keys_dir:
+                write_keys(legs, cfg.keys_dir, load_id)
         finally:
             legs.unpersist()
         batches.append(batch_id)

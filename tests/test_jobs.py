@@ -137,3 +137,45 @@ def test_cli_med_job(spark, tmp_path):
                 "--processing-date", "2024-07-02"])
     assert out["matched"] == 1 and out["held"] == 0
     assert os.path.isdir(f"{root}/out/original_date=20240701/processing_date=2024-07-02")
+
+
+def test_incremental_drops_calls_loaded_by_earlier_batches(spark, tmp_path):
+    from cdrmill.operators.lookup import Masters
+    from cdrmill.streaming.incremental import IncrementalConfig, run_med_incremental
+    root = str(tmp_path)
+    call = dict(incoming_node="ND1", incoming_path="TG1")
+    _write(f"{root}/in/B.20240702.cdr", _call("1", **call) + "\n" + _call("2", **call) + "\n")
+    _write(f"{root}/in/A.20240703.cdr", _call("1", **call) + "\n" + _call("3", **call) + "\n")
+    os.utime(f"{root}/in/B.20240702.cdr", (1_700_000_000, 1_700_000_000))  # B arrives first
+    os.utime(f"{root}/in/A.20240703.cdr", (1_700_000_100, 1_700_000_100))
+    trunk = spark.createDataFrame([("TG1", "a", "ND1", "OP", "P")],
+                                  "ID string, NAME string, FK_NNOD string, OPERATOR string, POI string")
+    node = spark.createDataFrame([("ND1", "n", "F")], "ID string, NAME string, FK_ORGA_FRAN string")
+    cfg = IncrementalConfig(f"{root}/in", f"{root}/out", f"{root}/hold", f"{root}/ckpt",
+                            max_files_per_trigger=1, keys_dir=f"{root}/keys")
+    m = Masters.build(trunk, node)
+    assert run_med_incremental(spark, cfg, m, clock=DAY1) == 2
+    out = read_partitioned(spark, f"{root}/out")
+    got = sorted((r.ANUM, r.INPUTFILENAME) for r in out.collect())
+    assert got == [("1", "B.20240702.cdr"), ("2", "B.20240702.cdr"), ("3", "A.20240703.cdr")]
+    assert run_med_incremental(spark, cfg, m, clock=DAY1) == 0  # nothing new
+
+
+def test_batch_job_drops_calls_of_earlier_loads(spark, tmp_path):
+    root = str(tmp_path)
+    masters = _masters(root, [("TG1", "a", "ND1", "OP1", "POI1")], [("ND1", "n", "FR1")], "20240401")
+    call = dict(incoming_node="ND1", incoming_path="TG1")
+    _write(f"{root}/d1/MED.20240701.cdr", _call("1", **call) + "\n")
+    _write(f"{root}/d2/MED.20240702.cdr", _call("1", **call) + "\n" + _call("5", **call) + "\n")
+    base = dict(masters=masters, output_path=f"{root}/out", hold_path=f"{root}/hold",
+                log_path=f"{root}/log", keys_dir=f"{root}/keys")
+    run_med(spark, JobConfig(inputs=f"{root}/d1/*.cdr", **base), DAY1)
+    r2 = run_med(spark, JobConfig(inputs=f"{root}/d2/*.cdr", **base), DAY2)
+    assert r2.metrics["matched"] == 1
+    got = sorted(r.ANUM for r in read_partitioned(spark, f"{root}/out").collect())
+    assert got == ["1", "5"]
+    # outside the window the earlier key is not consulted
+    far = Clock("2024-09-30 10:00:00", "2024-09-30")
+    _write(f"{root}/d3/MED.20240703.cdr", _call("1", **call) + "\n")
+    r3 = run_med(spark, JobConfig(inputs=f"{root}/d3/*.cdr", **base), far)
+    assert r3.metrics["matched"] == 1
