@@ -161,7 +161,8 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     lines = new_files(lines, read_log(spark, cfg.log_path))  # skip loaded files at the scan
     if lines.isEmpty():  # stops at the first line of a new file
         return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
-    records = envelope_records(lines)
+    env_obs = Observation("ict_envelope")
+    records = envelope_records(lines, observation=env_obs)
     out = enrich_ict(records, cfg.masters.load(spark), clock, cfg.date_mode)
     legs, obs = _observed(out.legs, "ict")
     legs = legs.persist(StorageLevel.MEMORY_AND_DISK)
@@ -178,7 +179,9 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
         append_log(spark, cfg.log_path, entries)
     finally:
         legs.unpersist()
-    return JobResult(load_id, dict(obs.get), time.time() - t0)
+    m = dict(obs.get)
+    m.update(env_obs.get)  # files read, files whose header line is not the expected one
+    return JobResult(load_id, m, time.time() - t0)
 
 
 def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "MED",

@@ -7,15 +7,17 @@ position.  Rather than sorting whole files (one task per file; a file may be
 huge), each split is summarised to its first and last positions by a partial
 aggregate; the envelope lines of a file are among the first ``head`` and
 last ``tail`` lines of its splits, so ranking those few candidates per file
-finds them.  The records are then the lines minus those positions (a
-broadcast anti-join after a size check; a shuffle anti-join beyond it).
+finds them.  The lines are then tagged with their envelope rank by a
+broadcast join (its size bounded by the file listing; a shuffle join beyond
+the limit) and the records are the untagged lines.  The header line can be
+checked in the same pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdrmill.functions.parse import blank_to_null
@@ -27,8 +29,9 @@ POSITION = ["file_path", "_blk", "_pos"]
 
 
 def envelope_positions(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
-    """(file_path, _blk, _pos) of the first ``head`` and last ``tail`` lines
-    of every file."""
+    """(file_path, _blk, _pos, _env) of the first ``head`` lines (``_env`` =
+    1, 2, ...) and the last ``tail`` lines (``_env`` = -1, -2, ... from the
+    end) of every file."""
     splits = lines.groupBy("file_path", "_blk").agg(F.min("_pos").alias("lo"),
                                                     F.max("_pos").alias("hi"))
     lo, hi = F.col("lo"), F.col("hi")
@@ -40,31 +43,39 @@ def envelope_positions(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFr
     desc = Window.partitionBy("file_path").orderBy(F.desc("_blk"), F.desc("_pos"))
     ranked = cand.select(*POSITION, F.row_number().over(asc).alias("_a"),
                          F.row_number().over(desc).alias("_d"))
-    return ranked.where((F.col("_a") <= head) | (F.col("_d") <= tail)).select(*POSITION)
+    env = F.when(F.col("_a") <= head, F.col("_a")).otherwise(-F.col("_d"))
+    return ranked.where((F.col("_a") <= head) | (F.col("_d") <= tail)).select(
+        *POSITION, env.cast("int").alias("_env"))
 
 
 def positions_bound(lines: DataFrame, head: int, tail: int) -> int | None:
     """Upper bound in bytes of ``envelope_positions``: at most ``head + tail``
-    rows per input file, each a path and two longs.  Taken from the scan's
-    file listing (driver metadata), so no job reads the data for it."""
+    rows per input file, each a path, two longs and an int.  Taken from the
+    scan's file listing (driver metadata), so no job reads the data for it."""
     try:
         files = lines.inputFiles()
     except Exception:  # noqa: BLE001 - not a plain file scan
         return None
     if not files:
         return 0
-    return len(files) * (head + tail) * (max(len(f) for f in files) + 32)
+    return len(files) * (head + tail) * (max(len(f) for f in files) + 40)
 
 
-def strip_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
-    """The lines that are neither envelope head nor trailer."""
+def tag_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
+    """Every line with ``_env``: its rank in the file head (1, 2, ...), from
+    the end (-1, -2, ...), or NULL for a record line."""
     positions = envelope_positions(lines, head, tail)
     bound = positions_bound(lines, head, tail)
     if bound is not None and bound <= broadcast_limit(lines.sparkSession):
-        drop = F.broadcast(positions)
+        env = F.broadcast(positions)
     else:
-        drop, _ = sized_broadcast(positions)
-    return lines.join(drop, POSITION, "left_anti")
+        env, _ = sized_broadcast(positions)
+    return lines.join(env, POSITION, "left")
+
+
+def strip_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
+    """The lines that are neither envelope head nor trailer."""
+    return tag_envelope(lines, head, tail).where(F.col("_env").isNull()).drop("_env")
 
 
 def parse_csv_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS,
@@ -89,7 +100,22 @@ def read_envelope_csv(spark: SparkSession, paths: str | list[str],
 
 
 def envelope_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS,
-                     head: int = 2, tail: int = 2) -> DataFrame:
+                     head: int = 2, tail: int = 2,
+                     observation: Observation | None = None, header_line: int = 2,
+                     sep: str = ",") -> DataFrame:
     """Positioned lines (``read_lines_with_position``, possibly filtered by a
-    narrow step such as the file check) -> parsed records."""
-    return parse_csv_records(strip_envelope(lines, head, tail), columns)
+    narrow step such as the file check) -> parsed records.
+
+    With ``observation``, the same pass also counts the files read
+    (``files``) and those whose header line (``header_line`` of the head)
+    is not the expected column list (``bad_headers``).
+    """
+    tagged = tag_envelope(lines, head, tail)
+    if observation is not None:
+        env = F.col("_env")
+        tagged = tagged.observe(
+            observation,
+            F.count_if(env == 1).alias("files"),
+            F.count_if((env == header_line)
+                       & (F.trim(F.col("value")) != F.lit(sep.join(columns)))).alias("bad_headers"))
+    return parse_csv_records(tagged.where(F.col("_env").isNull()).drop("_env"), columns, sep)

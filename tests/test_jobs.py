@@ -111,7 +111,7 @@ def test_ict_job(spark, tmp_path):
     assert spark.table("ict_processed").count() == 2
     assert os.path.isdir(f"{root}/per_file/INPUTFILENAME=ICT_20240701.csv")
     spark.sql("DROP TABLE ict_processed")
-    assert r.metrics == {"leg_rows": 3, "matched": 2, "held": 1}
+    assert r.metrics == {"leg_rows": 3, "matched": 2, "held": 1, "files": 1, "bad_headers": 0}
     out = read_partitioned(spark, f"{root}/out").collect()
     assert {x.leg for x in out} == {"I", "O"}
     assert all(x.poi_id == "POI1" and x.EVENT_START_TIME == "102030" and x.SOURCETYPE == "ICT"

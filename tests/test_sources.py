@@ -86,3 +86,17 @@ def test_new_files_keeps_null_names(spark):
 
 def test_absent_log_is_empty(spark, tmp_path):
     assert read_log(spark, str(tmp_path / "nolog")).count() == 0
+
+
+def test_envelope_header_check_counts_bad_files(spark, tmp_path):
+    from pyspark.sql import Observation
+    from cdrmill.sources.envelope import envelope_records
+    from cdrmill.sources.text import read_lines_with_position
+    _write(str(tmp_path / "good.csv"), _envelope("good", 2))
+    bad = _envelope("bad", 2).replace("INCOMING_NODE,OUTGOING_NODE", "OUTGOING_NODE,INCOMING_NODE")
+    _write(str(tmp_path / "bad.csv"), bad)
+    obs = Observation("env")
+    recs = envelope_records(read_lines_with_position(spark, str(tmp_path / "*.csv")),
+                            observation=obs)
+    assert recs.count() == 4
+    assert obs.get == {"files": 2, "bad_headers": 1}
