@@ -30,8 +30,9 @@ from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
 from cdrmill.plans.med import finish_med, med_legs, parse_records
 from cdrmill.sinks.keys import loaded_keys, write_keys
-from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, create_partitioned_table, read_hold,
-                                   write_enriched, write_hold, write_per_file)
+from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, commit_load,
+                                   create_partitioned_table, current_hold, write_enriched,
+                                   write_hold, write_per_file)
 from cdrmill.sources.envelope import envelope_records
 from cdrmill.sources.log import append_log, log_entries, read_log
 from cdrmill.sources.masters import read_latest_master, read_master
@@ -142,6 +143,7 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
             write_keys(legs, cfg.keys_dir, load_id)
         entries = log_entries(legs, processing_date=clock.date())
         append_log(spark, cfg.log_path, entries)
+        commit_load(spark, cfg.hold_path, load_id)
     finally:
         legs.unpersist()
     secs = time.time() - t0
@@ -177,6 +179,7 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
                               .select("file_name", "original_date"),
                               processing_date=clock.date())
         append_log(spark, cfg.log_path, entries)
+        commit_load(spark, cfg.hold_path, load_id)
     finally:
         legs.unpersist()
     m = dict(obs.get)
@@ -189,13 +192,12 @@ def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "
     """Held rows of earlier loads meet the newest masters.  Rows that
     match are written back-dated (their first processing date); the rest are
     held again under this run's ``load_id``; the loads that were read are
-    then marked superseded (the folder being read is never rewritten)."""
+    then marked superseded in the same commit append (the folder being read
+    is never rewritten)."""
     t0 = time.time()
     clock = clock.resolved(spark)
     load_id = cfg.load_id or default_load_id(f"hold-{source_type.lower()}", cfg.hold_path, clock)
-    sup_path = f"{cfg.hold_path.rstrip('/')}/_superseded"
-    superseded = read_superseded(spark, sup_path)
-    held = read_hold(spark, cfg.hold_path, superseded)
+    held = current_hold(spark, cfg.hold_path)
     held = held.where(F.col("load_id") != load_id)
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -209,15 +211,7 @@ def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "
         write_enriched(done, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
                        cfg.time_format)
         write_hold(still, cfg.hold_path, load_id)
-        (held.select("load_id").distinct().withColumn("by", F.lit(load_id))
-         .write.mode("append").parquet(sup_path))
+        commit_load(spark, cfg.hold_path, load_id, superseded=held.select("load_id"))
     finally:
         held.unpersist()
     return JobResult(load_id, dict(obs.get), time.time() - t0)
-
-
-def read_superseded(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema("load_id string, by string").parquet(path)
-    except Exception:  # noqa: BLE001 - absent on the first run
-        return spark.createDataFrame([], "load_id string, by string")

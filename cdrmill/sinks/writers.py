@@ -89,6 +89,42 @@ def read_hold(spark: SparkSession, path: str, superseded: DataFrame | None = Non
     return held
 
 
+COMMITS = "_commits"
+
+
+def commit_load(spark: SparkSession, hold_path: str, load_id: str,
+                superseded: DataFrame | None = None) -> None:
+    """Last step of a load or reprocess: one append (one write job) to the
+    hold store's commit table.  A reprocess records which loads it took
+    over in the same rows, so "committed" and "superseded" change together.
+    Leaves of a run that died before this step are ignored by
+    ``current_hold`` (and replaced when the run is repeated with its id)."""
+    rows = spark.createDataFrame([(load_id, None)], "load_id string, supersedes string")
+    if superseded is not None:
+        rows = rows.unionByName(superseded.select(
+            F.lit(load_id).alias("load_id"), F.col("load_id").alias("supersedes")).distinct())
+    rows.write.mode("append").parquet(f"{hold_path.rstrip('/')}/{COMMITS}")
+
+
+def read_commits(spark: SparkSession, hold_path: str) -> DataFrame:
+    try:
+        return spark.read.schema("load_id string, supersedes string").parquet(
+            f"{hold_path.rstrip('/')}/{COMMITS}")
+    except Exception:  # noqa: BLE001 - absent before the first commit
+        return spark.createDataFrame([], "load_id string, supersedes string")
+
+
+def current_hold(spark: SparkSession, hold_path: str) -> DataFrame:
+    """Held rows of committed loads that no committed reprocess took over."""
+    from cdrmill.operators.lookup import sized_broadcast
+    commits = read_commits(spark, hold_path)
+    live = (commits.select("load_id").distinct()
+            .join(commits.select(F.col("supersedes").alias("load_id")).distinct(), "load_id",
+                  "left_anti"))
+    live, _ = sized_broadcast(live)
+    return read_partitioned(spark, hold_path).join(live, "load_id", "left_semi")
+
+
 def create_partitioned_table(spark: SparkSession, name: str, schema: T.StructType,
                              partition_by: Sequence[str], fmt: str = "parquet",
                              location: str | None = None) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cdrmill.operators.mapping import Clock
 from cdrmill.plans.jobs import JobConfig, MasterPaths, run_hold_reprocess, run_ict, run_med
 from cdrmill.schema import ENRICHED_COLUMNS
-from cdrmill.sinks.writers import read_hold, read_partitioned
+from cdrmill.sinks.writers import current_hold, read_hold, read_partitioned
 from conftest import cdr_line
 
 DAY1 = Clock("2024-07-02 10:00:00", "2024-07-02")
@@ -74,9 +74,12 @@ def test_med_job_rerun_hold_and_backdating(spark, tmp_path):
     assert len(rel) == 1 and str(rel[0].processing_date) == "2024-07-02"
     assert rel[0].poi_id == "POI2"
     # the hold folder was not rewritten; the reprocessed load is superseded
-    sup = spark.read.parquet(f"{root}/hold/_superseded")
-    current = read_hold(spark, f"{root}/hold", sup)
-    assert current.count() == 0
+    assert current_hold(spark, f"{root}/hold").count() == 0
+    assert read_hold(spark, f"{root}/hold").count() == 1  # the first load's leaf is still there
+    # a load that died before its commit leaves a hold leaf nobody reads
+    from cdrmill.sinks.writers import write_hold
+    write_hold(read_hold(spark, f"{root}/hold").drop("load_id"), f"{root}/hold", "crashed")
+    assert current_hold(spark, f"{root}/hold").count() == 0
     r4 = run_hold_reprocess(spark, JobConfig(**{**cfg2.__dict__, "load_id": "r4"}), "MED", DAY2)
     assert r4.metrics == {"released": 0}
 
