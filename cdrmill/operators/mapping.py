@@ -151,4 +151,6 @@ def map_ict(df: DataFrame, clock: Clock = Clock()) -> DataFrame:
               (c("processing_date") if "processing_date" in df.columns
                else clock.date()).alias("processing_date"),
               c("leg")]
+    if "leg_index" in df.columns:
+        extras.append(c("leg_index"))
     return df.select(*[v.alias(k) for k, v in out.items()], *extras)

@@ -41,9 +41,9 @@ def lookup_ict(legs: DataFrame, masters: Masters, clock: Clock) -> DataFrame:
 
 @dataclass
 class IctOutput:
-    legs: DataFrame
-    enriched: DataFrame
-    held: DataFrame
+    legs: DataFrame      # every leg row with hold_reason and leg_index
+    enriched: DataFrame  # matched rows, 42 columns + extras
+    held: DataFrame      # held rows with hold_reason
 
 
 def enrich_ict(records: DataFrame, masters: Masters, clock: Clock = Clock(),
@@ -52,7 +52,7 @@ def enrich_ict(records: DataFrame, masters: Masters, clock: Clock = Clock(),
     kept = keep_first(prepared, ICT_DEDUP_KEYS, ICT_DEDUP_ORDER)
     dated = kept.withColumns({"original_date": original_date("file_name", date_mode),
                               "processing_date": clock.date()})
-    legs = split_transit(dated, ICT_INCOMING, ICT_OUTGOING)
+    legs = split_transit(dated, ICT_INCOMING, ICT_OUTGOING, index="leg_index")
     out = lookup_ict(legs, masters, clock)
     matched, held = split_matched(out)
-    return IctOutput(out, matched, held)
+    return IctOutput(out, matched.drop("leg_index"), held.drop("leg_index"))

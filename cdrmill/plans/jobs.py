@@ -155,7 +155,7 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
 
 def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobResult:
     """Envelope CSV extracts -> duplicate check -> split -> trunk lookup
-    -> enriched / held, then the log."""
+    -> enriched / held, per-file audit, then the log."""
     t0 = time.time()
     clock = clock.resolved(spark)
     load_id = cfg.load_id or default_load_id("ict", cfg.inputs, clock)
@@ -169,12 +169,16 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     legs, obs = _observed(out.legs, "ict")
     legs = legs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        matched = legs.where(F.col("hold_reason").isNull()).drop("hold_reason")
-        held = legs.where(F.col("hold_reason").isNotNull())
+        matched = legs.where(F.col("hold_reason").isNull()).drop("hold_reason", "leg_index")
+        held = legs.where(F.col("hold_reason").isNotNull()).drop("leg_index")
         write_enriched(matched, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
                        cfg.time_format)
         _extra_sinks(matched, cfg)
         write_hold(held, cfg.hold_path, load_id)
+        if cfg.audit_path:
+            audit = file_audit(records, legs.withColumnRenamed("INPUTFILENAME", "file_name"))
+            audit.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(
+                cfg.audit_path)
         entries = log_entries(legs.withColumnRenamed("INPUTFILENAME", "file_name")
                               .select("file_name", "original_date"),
                               processing_date=clock.date())

@@ -109,7 +109,8 @@ def test_ict_job(spark, tmp_path):
     ]
     _write(f"{root}/in/ICT_20240701.csv", _envelope("ICT_20240701.csv", rows))
     cfg = JobConfig(f"{root}/in/*.csv", masters, f"{root}/out", f"{root}/hold", f"{root}/log",
-                    table="ict_processed", per_file_path=f"{root}/per_file")
+                    audit_path=f"{root}/audit", table="ict_processed",
+                    per_file_path=f"{root}/per_file")
     r = run_ict(spark, cfg, DAY1)
     assert spark.table("ict_processed").count() == 2
     assert os.path.isdir(f"{root}/per_file/INPUTFILENAME=ICT_20240701.csv")
@@ -120,6 +121,9 @@ def test_ict_job(spark, tmp_path):
     assert all(x.poi_id == "POI1" and x.EVENT_START_TIME == "102030" and x.SOURCETYPE == "ICT"
                for x in out)
     assert read_hold(spark, f"{root}/hold").first().hold_reason == "trunk"
+    a = spark.read.parquet(f"{root}/audit").first()
+    assert (a.filename, a.n_records, a.n_duplicates, a.n_matched, a.n_held) == \
+        ("ICT_20240701.csv", 2, 0, 2, 1)
 
 
 def test_open_clock_is_fixed_once(spark):
