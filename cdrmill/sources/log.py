@@ -29,11 +29,10 @@ def log_entries(df: DataFrame, name_col: str = "file_name",
             .distinct().withColumn("processing_date", pdate))
 
 
-def append_log(spark: SparkSession, path: str, entries: DataFrame) -> DataFrame:
+def append_log(spark: SparkSession, path: str, entries: DataFrame) -> None:
     """Append the names not yet in the log (append only: the files being
-    read are never rewritten).  Returns what was appended."""
+    read are never rewritten)."""
     existing = read_log(spark, path).select(F.col("filename").alias("_seen"))
     new = (entries.select("filename", "original_date", "processing_date")
            .join(existing, F.col("filename") == F.col("_seen"), "left_anti"))
     new.write.mode("append").parquet(path)
-    return new
