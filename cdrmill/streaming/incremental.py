@@ -21,14 +21,14 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from cdrmill.operators.files import new_files
-from cdrmill.operators.lookup import Masters
 from cdrmill.operators.mapping import Clock
 from cdrmill.plans.med import finish_med, med_legs, parse_records
 from cdrmill.sinks.keys import loaded_keys, write_keys
-from cdrmill.sinks.writers import write_enriched, write_hold
+from cdrmill.sinks.writers import commit_load, write_enriched, write_hold
 
 
 @dataclass
@@ -55,13 +55,14 @@ def stream_lines(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
     return df.select(F.col("value"), name.alias("file_name"))
 
 
-def run_med_incremental(spark: SparkSession, cfg: IncrementalConfig, masters: Masters,
-                        log: DataFrame | None = None, clock: Clock = Clock()) -> int:
-    """Process every file not yet seen, then stop (``availableNow``).
-    Returns the number of micro-batches run."""
-    batches = []
+def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, masters,
+                  log: DataFrame | None, clock: Clock, batches: list):
+    """The per-micro-batch MED load.  ``masters`` is a built ``Masters`` or
+    anything with ``load(spark) -> Masters`` (e.g. ``MasterPaths``), which is
+    then re-read every micro-batch so newer master snapshots apply at once."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        m = masters.load(spark) if hasattr(masters, "load") else masters
         lines = new_files(batch, log) if log is not None else batch
         records = parse_records(lines)
         load_id = f"{cfg.name}-{batch_id}"
@@ -69,7 +70,7 @@ def run_med_incremental(spark: SparkSession, cfg: IncrementalConfig, masters: Ma
         loaded = (loaded_keys(spark, cfg.keys_dir, bclock.processing_date, cfg.keys_days,
                               load_id) if cfg.keys_dir else None)
         # the leg rows feed two or three writes: computed once per micro-batch
-        legs = med_legs(records, masters, bclock, loaded_keys=loaded).persist(
+        legs = med_legs(records, m, bclock, loaded_keys=loaded).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
             enriched, held = finish_med(legs, bclock)
@@ -77,10 +78,31 @@ def run_med_incremental(spark: SparkSession, cfg: IncrementalConfig, masters: Ma
             write_hold(held, cfg.hold_dir, load_id)
             if cfg.keys_dir:
                 write_keys(legs, cfg.keys_dir, load_id)
+            commit_load(spark, cfg.hold_dir, load_id)
         finally:
             legs.unpersist()
         batches.append(batch_id)
 
+    return load
+
+
+def start_med_stream(spark: SparkSession, cfg: IncrementalConfig, masters,
+                     log: DataFrame | None = None, clock: Clock = Clock(),
+                     interval: str = "1 minute") -> StreamingQuery:
+    """A long-running incremental load: a micro-batch every ``interval``
+    over the files that arrived since the last one.  Returns the query."""
+    load = _batch_loader(spark, cfg, masters, log, clock, [])
+    return (stream_lines(spark, cfg).writeStream.foreachBatch(load)
+            .option("checkpointLocation", cfg.checkpoint_dir)
+            .trigger(processingTime=interval).queryName(f"cdrmill-{cfg.name}").start())
+
+
+def run_med_incremental(spark: SparkSession, cfg: IncrementalConfig, masters,
+                        log: DataFrame | None = None, clock: Clock = Clock()) -> int:
+    """Process every file not yet seen, then stop (``availableNow``).
+    Returns the number of micro-batches run."""
+    batches: list = []
+    load = _batch_loader(spark, cfg, masters, log, clock, batches)
     q = (stream_lines(spark, cfg).writeStream.foreachBatch(load)
          .option("checkpointLocation", cfg.checkpoint_dir)
          .trigger(availableNow=True).start())

@@ -186,3 +186,25 @@ def test_batch_job_drops_calls_of_earlier_loads(spark, tmp_path):
     _write(f"{root}/d3/MED.20240703.cdr", _call("1", **call) + "\n")
     r3 = run_med(spark, JobConfig(inputs=f"{root}/d3/*.cdr", **base), far)
     assert r3.metrics["matched"] == 1
+
+
+def test_long_running_stream_reloads_masters(spark, tmp_path):
+    from cdrmill.streaming.incremental import IncrementalConfig, start_med_stream
+    root = str(tmp_path)
+    masters = _masters(root, [("TG1", "a", "ND1", "OP1", "POI1")], [("ND1", "n", "FR1")], "20240401")
+    call = dict(incoming_node="ND1", incoming_path="TG2")
+    _write(f"{root}/in/M.20240701.cdr", _call("1", **call) + "\n")
+    cfg = IncrementalConfig(f"{root}/in", f"{root}/out", f"{root}/hold", f"{root}/ckpt")
+    q = start_med_stream(spark, cfg, masters, clock=DAY1, interval="1 second")
+    try:
+        q.processAllAvailable()
+        assert current_hold(spark, f"{root}/hold").count() == 1  # TG2 unknown: held
+        # a newer trunk snapshot arrives; the next file's batch uses it
+        _masters(root, [("TG1", "a", "ND1", "OP1", "POI1"), ("TG2", "b", "ND1", "OP2", "POI2")],
+                 [("ND1", "n", "FR1")], "20240501")
+        _write(f"{root}/in/M.20240702.cdr", _call("2", **call) + "\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = read_partitioned(spark, f"{root}/out").collect()
+    assert [(r.ANUM, r.poi_id) for r in out] == [("2", "POI2")]
