@@ -208,3 +208,22 @@ def test_long_running_stream_reloads_masters(spark, tmp_path):
         q.stop()
     out = read_partitioned(spark, f"{root}/out").collect()
     assert [(r.ANUM, r.poi_id) for r in out] == [("2", "POI2")]
+
+
+def test_ict_hold_reprocess_job(spark, tmp_path):
+    root = str(tmp_path)
+    _write(f"{root}/trunk/Trunk_Group_20240401.csv", "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|ND1|OP1|POI1\n")
+    rows = [_ict_row(INCOMING_NODE="ND1", INCOMING_PATH="TG9", ANUM="3", BNUM="2",
+                     EVENT_START_DATE="20240701", EVENT_START_TIME="10203000")]
+    _write(f"{root}/in/ICT_20240701.csv", _envelope("ICT_20240701.csv", rows))
+    cfg = JobConfig(f"{root}/in/*.csv", MasterPaths(f"{root}/trunk/*.csv"), f"{root}/out",
+                    f"{root}/hold", f"{root}/log")
+    assert run_ict(spark, cfg, DAY1).metrics["held"] == 1
+    _write(f"{root}/trunk/Trunk_Group_20240501.csv",
+           "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|ND1|OP1|POI1\nTG9|b|ND1|OP9|POI9\n")
+    r = run_hold_reprocess(spark, cfg, "ICT", DAY2)
+    assert r.metrics == {"released": 1}
+    out = read_partitioned(spark, f"{root}/out").collect()
+    assert [(x.ANUM, x.poi_id, x.network_operator_id, str(x.processing_date)) for x in out] == \
+        [("3", "POI9", "OP9", "2024-07-02")]
+    assert current_hold(spark, f"{root}/hold").count() == 0
