@@ -635,6 +635,20 @@ SELECT {', '.join(ENRICHED_COLUMNS)}, original_date, processing_date, leg FROM i
 WHERE leg IS NOT NULL AND poi_id IS NOT NULL AND network_operator_id IS NOT NULL""")
 
 
+def q_ict_file_audit() -> str:
+    return _with(ict_chain() + """,
+n_in AS (SELECT file_name, count(*) AS n_records FROM ict_clean GROUP BY file_name),
+n_kept AS (SELECT file_name, count(*) AS n_kept FROM ict_kept GROUP BY file_name),
+n_legs AS (SELECT INPUTFILENAME AS file_name,
+                  count(*) FILTER (WHERE hold_reason IS NULL) AS n_matched,
+                  count(*) FILTER (WHERE hold_reason IS NOT NULL) AS n_held
+           FROM ict_reasoned GROUP BY INPUTFILENAME)""", """
+SELECT i.file_name AS filename, i.n_records,
+       i.n_records - coalesce(k.n_kept, 0) AS n_duplicates,
+       coalesce(l.n_matched, 0) AS n_matched, coalesce(l.n_held, 0) AS n_held
+FROM n_in i LEFT JOIN n_kept k USING (file_name) LEFT JOIN n_legs l USING (file_name)""")
+
+
 ORACLES = {
     "fixed_width_parse": q_fixed_width_parse,
     "event_fields": q_event_fields,
@@ -665,4 +679,5 @@ ORACLES = {
     "ict_held": q_ict_held,
     "envelope_csv": q_envelope_csv,
     "ict_hold_reprocess": q_ict_hold_reprocess,
+    "ict_file_audit": q_ict_file_audit,
 }

@@ -338,6 +338,13 @@ def q_ict_hold_reprocess(spark, sf_dir):
     return comparable(done)
 
 
+def q_ict_file_audit(spark, sf_dir):
+    """Per ICT extract: records read, duplicates dropped, legs matched/held."""
+    records = _ict_records(spark, sf_dir)
+    out = enrich_ict(records, _masters(spark, sf_dir), FIXED_CLOCK)
+    return file_audit(records, out.legs.withColumnRenamed("INPUTFILENAME", "file_name"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fixed_width_parse": q_fixed_width_parse,
     "event_fields": q_event_fields,
@@ -368,4 +375,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ict_held": q_ict_held,
     "envelope_csv": q_envelope_csv,
     "ict_hold_reprocess": q_ict_hold_reprocess,
+    "ict_file_audit": q_ict_file_audit,
 }
