@@ -36,7 +36,7 @@ from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, commit_load,
 from cdrmill.sources.envelope import envelope_records
 from cdrmill.sources.log import append_log, log_entries, read_log
 from cdrmill.sources.masters import read_latest_master, read_master
-from cdrmill.sources.text import read_lines, read_lines_with_position
+from cdrmill.sources.text import read_lines, read_lines_with_position, spread_if_unsplittable
 
 
 @dataclass
@@ -120,7 +120,8 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     t0 = time.time()
     clock = clock.resolved(spark)
     load_id = cfg.load_id or default_load_id("med", cfg.inputs, clock)
-    lines = new_files(read_lines(spark, cfg.inputs, cfg.source_col), read_log(spark, cfg.log_path))
+    scan = read_lines(spark, cfg.inputs, cfg.source_col)
+    lines = spread_if_unsplittable(new_files(scan, read_log(spark, cfg.log_path)), scan)
     if lines.isEmpty():
         return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
     masters = cfg.masters.load(spark)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cdrmill.functions.parse import blank_to_null
 from cdrmill.operators.lookup import broadcast_limit, sized_broadcast
 from cdrmill.schema import ENRICHED_COLUMNS
-from cdrmill.sources.text import read_lines_with_position
+from cdrmill.sources.text import read_lines_with_position, spread_if_unsplittable
 
 POSITION = ["file_path", "_blk", "_pos"]
 
@@ -118,4 +118,5 @@ def envelope_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS
             F.count_if(env == 1).alias("files"),
             F.count_if((env == header_line)
                        & (F.trim(F.col("value")) != F.lit(sep.join(columns)))).alias("bad_headers"))
-    return parse_csv_records(tagged.where(F.col("_env").isNull()).drop("_env"), columns, sep)
+    body = spread_if_unsplittable(tagged.where(F.col("_env").isNull()).drop("_env"), lines)
+    return parse_csv_records(body, columns, sep)

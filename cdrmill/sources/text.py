@@ -56,3 +56,23 @@ def read_lines_with_position(spark: SparkSession, paths: str | Sequence[str],
         F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_pos"),
     )
+
+
+# Codecs whose files Spark cannot split: one task reads a whole file.
+UNSPLITTABLE = (".gz", ".zst", ".zstd", ".snappy", ".lz4", ".deflate", ".z")
+
+
+def unsplittable(df: DataFrame) -> bool:
+    """Whether any input file of the scan is in an unsplittable format
+    (from the file listing; no data is read)."""
+    try:
+        return any(f.lower().endswith(UNSPLITTABLE) for f in df.inputFiles())
+    except Exception:  # noqa: BLE001 - not a file scan
+        return False
+
+
+def spread_if_unsplittable(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
+    """Rebalance rows right after the scan when whole compressed files land
+    in single tasks, so a huge file is parsed and pre-aggregated by many
+    tasks (AQE sizes the partitions).  Splittable input is left alone."""
+    return df.hint("rebalance") if unsplittable(scan if scan is not None else df) else df

@@ -29,6 +29,7 @@ from cdrmill.operators.mapping import Clock
 from cdrmill.plans.med import finish_med, med_legs, parse_records
 from cdrmill.sinks.keys import loaded_keys, write_keys
 from cdrmill.sinks.writers import commit_load, write_enriched, write_hold
+from cdrmill.sources.text import spread_if_unsplittable
 
 
 @dataclass
@@ -64,7 +65,7 @@ def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, masters,
     def load(batch: DataFrame, batch_id: int) -> None:
         m = masters.load(spark) if hasattr(masters, "load") else masters
         lines = new_files(batch, log) if log is not None else batch
-        records = parse_records(lines)
+        records = parse_records(spread_if_unsplittable(lines, batch))
         load_id = f"{cfg.name}-{batch_id}"
         bclock = clock.resolved(spark)  # one processing time per micro-batch
         loaded = (loaded_keys(spark, cfg.keys_dir, bclock.processing_date, cfg.keys_days,

@@ -227,3 +227,20 @@ def test_ict_hold_reprocess_job(spark, tmp_path):
     assert [(x.ANUM, x.poi_id, x.network_operator_id, str(x.processing_date)) for x in out] == \
         [("3", "POI9", "OP9", "2024-07-02")]
     assert current_hold(spark, f"{root}/hold").count() == 0
+
+
+def test_gzip_input_is_rebalanced_and_loads(spark, tmp_path):
+    import gzip
+    from cdrmill.sources.text import read_lines, spread_if_unsplittable
+    root = str(tmp_path)
+    masters = _masters(root, [("TG1", "a", "ND1", "OP1", "POI1")], [("ND1", "n", "FR1")], "20240401")
+    os.makedirs(f"{root}/in")
+    with gzip.open(f"{root}/in/MED.20240701.cdr.gz", "wt") as f:
+        f.write("".join(_call(str(i), incoming_node="ND1", incoming_path="TG1") + "\n"
+                        for i in range(50)))
+    scan = read_lines(spark, f"{root}/in/*.gz")
+    plan = spread_if_unsplittable(scan)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    cfg = JobConfig(f"{root}/in/*.gz", masters, f"{root}/out", f"{root}/hold", f"{root}/log")
+    assert run_med(spark, cfg, DAY1).metrics["matched"] == 50
+    assert read_partitioned(spark, f"{root}/out").first().INPUTFILENAME == "MED.20240701.cdr.gz"
