@@ -70,3 +70,46 @@ def test_random_lines_parse_like_plain_slicing(spark):
             pos += w
         want.append(tuple(row))
     assert got == want
+
+
+def test_keep_first_matches_brute_force(spark):
+    from cdrmill.operators.dedup import keep_first
+    rnd = random.Random(7)
+    pick = lambda xs: rnd.choice(xs)
+    rows = [(pick(["a", "b", None]), pick(["x", None]), pick(["f1", "f2", "f3", None]),
+             pick(["1", "2", None]), pick(["p", "q", None])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k1 string, k2 string, file string, seq string, v string")
+    got = {tuple(r) for r in keep_first(df, ["k1", "k2"], ["file", "seq"]).collect()}
+
+    def order(r):  # NULL first, then value; by file, seq, then the remaining column
+        return tuple((x is not None, x or "") for x in (r[2], r[3], r[4]))
+    want = {}
+    for r in rows:
+        k = (r[0], r[1])
+        if k not in want or order(r) < order(want[k]):
+            want[k] = r
+    assert got == set(want.values())
+
+
+def test_split_matches_brute_force(spark):
+    from cdrmill.operators.split import split_transit
+    rnd = random.Random(11)
+    pick = lambda: rnd.choice(["N", None])
+    rows = [(i, pick(), pick(), pick(), pick(), pick(), pick()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, incoming_node string, incoming_path string, "
+                                     "incoming_product string, outgoing_node string, "
+                                     "outgoing_path string, outgoing_product string")
+    got = sorted((r.id, r.leg, r.incoming_node, r.incoming_path, r.incoming_product,
+                  r.outgoing_node, r.outgoing_path, r.outgoing_product)
+                 for r in split_transit(df).collect())
+    want = []
+    for i, inn, inp, inr, on, op, orr in rows:
+        has_in, has_out = inn is not None or inp is not None, on is not None or op is not None
+        if has_in:
+            want.append((i, "I", inn, inp, inr, None, None, None))
+        if has_out:
+            want.append((i, "O", None, None, None, on, op, orr))
+        if not has_in and not has_out:
+            want.append((i, None, inn, inp, inr, on, op, orr))
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert sorted(got, key=key) == sorted(want, key=key)
