@@ -1,15 +1,16 @@
 """The jobs a user runs: MED load, ICT load, hold reprocess.
 
-Each job is one lazy plan with a few writes.  The leg rows feed three
-writes (enriched, held, audit), so they are persisted once (memory, then
-disk; a lost executor recomputes its blocks from lineage, which is
-deterministic).  Counts come from ``DataFrame.observe`` on that same pass,
-not from extra ``count()`` jobs.
-
-Commit order: enriched data, held rows, audit, and the processed-file log
-last.  A crash before the log entry means the files are read again; the
-re-run writes into the same ``load_id`` leaf partitions (dynamic
-overwrite), so nothing is doubled.
+Each job is one lazy plan with a few writes.  The leg rows feed all of them
+(enriched, held, audit, loaded keys, log), so they are persisted once
+(memory, then disk; a lost executor recomputes its blocks from lineage,
+which is deterministic).  Counts come from ``DataFrame.observe`` on that
+same pass, not from extra ``count()`` jobs.
+
+Commit order: enriched data, held rows, audit, loaded keys, the
+processed-file log, and last the hold store's commit entry.  A crash before
+the log entry means the files are read again; the re-run writes into the
+same ``load_id`` leaf partitions (dynamic overwrite), so nothing is doubled,
+and hold leaves of an uncommitted run are never read.
 """
 
 from __future__ import annotations
