@@ -15,9 +15,10 @@ def new_files(lines: DataFrame, log: DataFrame, name_col: str = "file_name",
     A left anti-join (a NULL name is kept, unlike ``~isin``).  When the log
     is small it is broadcast.  A big log is first cut down to the names of
     this batch (distinct names are a partial aggregate, one row per file and
-    map task), and that list, bounded by the batch's file count, is what
-    meets the lines; the lines themselves are never shuffled by file, which
-    would put a huge file into one task.
+    map task), and that list, bounded by the batch's file count, is broadcast
+    to the lines, which are not shuffled.  Only when even this batch's
+    names exceed the limit do the lines shuffle by name; AQE's skew-join
+    handling then splits a huge file's partition over several tasks.
     """
     seen = log.select(F.col(log_col).alias("_seen")).where(F.col("_seen").isNotNull())
     limit = broadcast_limit(lines.sparkSession)
