@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdrmill.schema import CDR_FIELDS_AND_WIDTHS, ENRICHED_COLUMNS
+from cdrmill.session import parallelism
 
 
 def _s(c: Column) -> Column:
@@ -39,7 +40,7 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The test tables are single-row-group files (one scan task); spread the
     # narrow base rows so the stand-in lines are shaped in parallel, as real
     # call-record files would be read.
-    li = li.repartition(spark.sparkContext.defaultParallelism)
+    li = li.repartition(parallelism(spark))
     b = li.join(sup, li.l_suppkey == sup.s_suppkey, "inner").drop("s_suppkey")
     copies = F.when(F.col("l_partkey") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0)))

@@ -46,18 +46,38 @@ def shared_dir(spark: SparkSession) -> str:
     mode (tests); on a cluster a machine-local folder would be wrong, so that
     case is an error.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
+    d = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         d = tempfile.mkdtemp(prefix="cdrmill-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        if sc is None:
+            try:
+                spark.conf.set("spark.checkpoint.dir", d)
+            except Exception:  # noqa: BLE001 - a core config may be read-only
+                pass
+    if sc is not None:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder (never reused)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/cdrmill-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Default task parallelism of the session (also under Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism",
+                                  spark.conf.get("spark.sql.shuffle.partitions", "200")))
