@@ -550,11 +550,12 @@ def ict_records_cte() -> str:
     source = (f"'ICT' || {_v('k % 8')} || '_2024070' || {_v('1 + k % 8')} || '.csv'")
     return BASE + f""",
 ict_src AS (SELECT {cols}, {source} AS source FROM fields),
-ict_clean AS (SELECT {clean}, source AS file_name FROM ict_src)"""
+ict_clean AS (SELECT {clean}, source AS file_name,
+                     concat_ws(',', {', '.join(ENRICHED_COLUMNS)}) AS value FROM ict_src)"""
 
 
 def ict_chain() -> str:
-    order = ["file_name"] + [c for c in ENRICHED_COLUMNS if c not in _ICT_KEYS]
+    order = ["file_name", "value"]
     nul = "CAST(NULL AS VARCHAR)"
     others = [c for c in ENRICHED_COLUMNS if c not in _ICT_IN + _ICT_OUT]
     o = ", ".join(others)
@@ -581,7 +582,7 @@ ict_kept AS (
     SELECT *, row_number() OVER (PARTITION BY {', '.join(_ICT_KEYS)}
                                  ORDER BY {_order(order)}) AS rn
     FROM ict_prep) WHERE rn = 1),
-ict_dated AS (SELECT *, {ORIGINAL_DATE} AS original_date,
+ict_dated AS (SELECT * EXCLUDE (value), {ORIGINAL_DATE} AS original_date,
                      '{FIXED_DATE}' AS processing_date FROM ict_kept),
 ict_legs AS (
   SELECT 'I' AS leg, INCOMING_NODE, {nul} AS OUTGOING_NODE, INCOMING_PATH, {nul} AS OUTGOING_PATH,

@@ -18,9 +18,11 @@ from cdrmill.operators.mapping import Clock, map_ict
 from cdrmill.operators.matching import ict_hold_reason, split_matched
 from cdrmill.operators.split import ICT_INCOMING, ICT_OUTGOING, split_transit
 from cdrmill.plans.med import original_date
+from cdrmill.sources.envelope import parse_csv_records
 from cdrmill.schema import ENRICHED_COLUMNS, ICT_DEDUP_KEYS
 
-ICT_DEDUP_ORDER = ["file_name"]
+# Winner of a duplicate group: lowest file name, then the raw record line.
+ICT_DEDUP_ORDER = ["file_name", "value"]
 
 
 def prepare_records(records: DataFrame) -> DataFrame:
@@ -30,6 +32,18 @@ def prepare_records(records: DataFrame) -> DataFrame:
         "EVENT_START_TIME", hhmiss(F.col("EVENT_START_TIME")))
 
 
+def dedup_ict(records: DataFrame) -> DataFrame:
+    """Duplicate check on parsed envelope records (``value`` = the raw CSV
+    line).  Only the four keys, the file name and the raw line cross the
+    shuffle (Catalyst prunes the CSV parse to the keys before it); the
+    winner's line is parsed again afterwards."""
+    slim = records.select(
+        "value", "file_name", "ANUM", "BNUM", "EVENT_START_DATE",
+        hhmiss(F.col("EVENT_START_TIME")).alias("EVENT_START_TIME"))
+    kept = keep_first(slim, ICT_DEDUP_KEYS, ICT_DEDUP_ORDER)
+    return prepare_records(parse_csv_records(kept.select("value", "file_name")))
+
+
 def lookup_ict(legs: DataFrame, masters: Masters, clock: Clock) -> DataFrame:
     looked = lookup_trunk(legs, masters.trunk,
                           F.coalesce(F.col("INCOMING_PATH"), F.col("OUTGOING_PATH")),
@@ -48,8 +62,7 @@ class IctOutput:
 
 def enrich_ict(records: DataFrame, masters: Masters, clock: Clock = Clock(),
                date_mode: str = "regex") -> IctOutput:
-    prepared = prepare_records(records)
-    kept = keep_first(prepared, ICT_DEDUP_KEYS, ICT_DEDUP_ORDER)
+    kept = dedup_ict(records)
     dated = kept.withColumns({"original_date": original_date("file_name", date_mode),
                               "processing_date": clock.date()})
     legs = split_transit(dated, ICT_INCOMING, ICT_OUTGOING, index="leg_index")
