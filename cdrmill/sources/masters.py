@@ -2,19 +2,20 @@
 
 A master read with the wrong separator would silently become one column
 whose every lookup misses; the header is checked eagerly and a mismatch is an
-error.  Snapshots of a master (several dated files, or dated folders) are
-read together and only the newest is kept.
+error.  Of several snapshots (dated files, or dated folders) only the
+newest is read, chosen from the file listing.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdrmill.functions.parse import date_from_name, parent_name
+from cdrmill.functions.parse import DATE_IN_NAME, date_from_name, parent_name
 from cdrmill.schema import NODE_COLUMNS, TRUNK_COLUMNS
 
 KINDS = {"trunk": TRUNK_COLUMNS, "node": NODE_COLUMNS}
@@ -72,6 +73,32 @@ def latest_snapshot(df: DataFrame, key: Column) -> DataFrame:
             .drop("_newest").withColumnRenamed("_snap", "snapshot"))
 
 
+def _key_of(path: str, by: str) -> str | None:
+    if by == "name_date":
+        m = re.search(DATE_IN_NAME, path.rstrip("/").rsplit("/", 1)[-1])
+        return m.group(0) if m else None
+    if by == "folder":
+        parts = path.rstrip("/").rsplit("/", 2)
+        return parts[-2] if len(parts) >= 2 else None
+    raise ValueError(by)
+
+
+def newest_files(spark: SparkSession, path: str | list[str], by: str = "name_date") -> list[str]:
+    """The files of the newest snapshot, chosen from the file listing (no
+    data is read), so older snapshots are never scanned."""
+    files = spark.read.text(path).inputFiles()
+    keys = {f: _key_of(f, by) for f in files}
+    dated = [k for k in keys.values() if k]
+    if not dated:
+        raise MasterFormatError(f"no dated snapshot under {path!r} (by {by})")
+    newest = max(dated)
+    return sorted(f for f, k in keys.items() if k == newest)
+
+
 def read_latest_master(spark: SparkSession, path: str | list[str], kind: str = "trunk",
                        sep: str = "|", by: str = "name_date") -> DataFrame:
-    return latest_snapshot(read_master(spark, path, kind, sep), snapshot_key(by))
+    """Rows of the newest snapshot only (by date in the file name, or by
+    last folder name), with its key in ``snapshot``."""
+    files = newest_files(spark, path, by)
+    return read_master(spark, files, kind, sep).withColumn(
+        "snapshot", F.lit(_key_of(files[0], by)))

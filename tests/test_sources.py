@@ -100,3 +100,20 @@ def test_envelope_header_check_counts_bad_files(spark, tmp_path):
                             observation=obs)
     assert recs.count() == 4
     assert obs.get == {"files": 2, "bad_headers": 1}
+
+
+def test_read_latest_master_reads_only_the_newest(spark, tmp_path):
+    from cdrmill.sources.masters import newest_files, read_latest_master
+    h = "ID|NAME|FK_NNOD|OPERATOR|POI\n"
+    _write(str(tmp_path / "t" / "Trunk_Group_20240401.csv"), h + "TG1|a|N|OLD|P\n")
+    _write(str(tmp_path / "t" / "Trunk_Group_20240410.csv"), h + "TG1|a|N|NEW|P\nTG2|b|N|NEW|P\n")
+    _write(str(tmp_path / "t" / "notes.csv"), h)
+    files = newest_files(spark, str(tmp_path / "t" / "*.csv"))
+    assert [f.rsplit("/", 1)[-1] for f in files] == ["Trunk_Group_20240410.csv"]
+    df = read_latest_master(spark, str(tmp_path / "t" / "*.csv"))
+    assert sorted((r.ID, r.OPERATOR, r.snapshot) for r in df.collect()) == \
+        [("TG1", "NEW", "20240410"), ("TG2", "NEW", "20240410")]
+    _write(str(tmp_path / "f" / "20240401" / "Trunk_Group_Master.csv"), h + "TG1|a|N|OLD|P\n")
+    _write(str(tmp_path / "f" / "20240502" / "Trunk_Group_Master.csv"), h + "TG1|a|N|NEW|P\n")
+    df = read_latest_master(spark, str(tmp_path / "f" / "*" / "*.csv"), by="folder")
+    assert [(r.OPERATOR, r.snapshot) for r in df.collect()] == [("NEW", "20240502")]
