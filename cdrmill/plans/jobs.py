@@ -30,6 +30,7 @@ from cdrmill.operators.mapping import Clock
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
 from cdrmill.plans.med import finish_med, med_legs, parse_records
+from cdrmill.session import size_shuffle_partitions
 from cdrmill.sinks.keys import loaded_keys, write_keys
 from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, commit_load,
                                    create_partitioned_table, current_hold, write_enriched,
@@ -77,6 +78,7 @@ class JobConfig:
     load_id: str | None = None
     keys_dir: str | None = None       # also drop calls kept by earlier loads (MED)
     keys_days: int | None = 31        # ...whose event date is this recent (None: all)
+    size_partitions: bool = True      # raise shuffle partitions from the input size
     table: str | None = None          # also append into this partitioned table
     per_file_path: str | None = None  # also write one CSV folder per input file
 
@@ -125,6 +127,7 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     lines = spread_if_unsplittable(new_files(scan, read_log(spark, cfg.log_path)), scan)
     if lines.isEmpty():
         return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
+    parts = size_shuffle_partitions(spark, cfg.inputs) if cfg.size_partitions else None
     masters = cfg.masters.load(spark)
     records = parse_records(lines)
     loaded = (loaded_keys(spark, cfg.keys_dir, clock.processing_date, cfg.keys_days, load_id)
@@ -152,6 +155,8 @@ def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     m = dict(obs.get)
     m["rows_per_sec"] = round(m.get("leg_rows", 0) / secs, 1) if secs else None
     m["master_rows_dropped"] = masters.trunk_dropped + masters.node_dropped
+    if parts is not None:
+        m["shuffle_partitions"] = parts
     return JobResult(load_id, m, secs)
 
 
@@ -165,6 +170,8 @@ def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobR
     lines = new_files(lines, read_log(spark, cfg.log_path))  # skip loaded files at the scan
     if lines.isEmpty():  # stops at the first line of a new file
         return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
+    if cfg.size_partitions:
+        size_shuffle_partitions(spark, cfg.inputs)
     env_obs = Observation("ict_envelope")
     records = envelope_records(lines, observation=env_obs)
     out = enrich_ict(records, cfg.masters.load(spark), clock, cfg.date_mode)

@@ -50,7 +50,7 @@ def test_med_job_rerun_hold_and_backdating(spark, tmp_path):
                     audit_path=f"{root}/audit")
     r1 = run_med(spark, cfg, DAY1)
     assert r1.metrics == {"leg_rows": 4, "matched": 3, "held": 1, "master_rows_dropped": 0,
-                          "rows_per_sec": r1.metrics["rows_per_sec"]}
+                          "rows_per_sec": r1.metrics["rows_per_sec"], "shuffle_partitions": 8}
     out = read_partitioned(spark, f"{root}/out")
     assert out.count() == 3
     assert {r.INPUTFILENAME for r in out.collect()} == {"MED.20240701100000.cdr",
@@ -244,3 +244,17 @@ def test_gzip_input_is_rebalanced_and_loads(spark, tmp_path):
     cfg = JobConfig(f"{root}/in/*.gz", masters, f"{root}/out", f"{root}/hold", f"{root}/log")
     assert run_med(spark, cfg, DAY1).metrics["matched"] == 50
     assert read_partitioned(spark, f"{root}/out").first().INPUTFILENAME == "MED.20240701.cdr.gz"
+
+
+def test_shuffle_partitions_sized_from_input_bytes(spark, tmp_path):
+    from cdrmill.session import input_bytes, size_shuffle_partitions
+    _write(f"{tmp_path}/a/x.cdr", "x" * 1000)
+    _write(f"{tmp_path}/a/y.cdr", "y" * 500)
+    assert input_bytes(spark, f"{tmp_path}/a/*.cdr") == 1500
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, f"{tmp_path}/a/*.cdr", 1.0, 100) == 15
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "15"
+        assert size_shuffle_partitions(spark, f"{tmp_path}/a/*.cdr", 1.0, 1000) == 15  # never lowers
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
