@@ -199,7 +199,7 @@ def _held_and_reprocessed(spark, sf_dir):
     reads the store and enriches what now matches."""
     hold = scratch_path(spark, "hold")
     write_hold(_med_run(spark, sf_dir).held, hold, "first")
-    held = read_hold(spark, hold)
+    held = read_hold(spark, hold).where(F.col("hold_class") == "lookup")
     done, still = reprocess_med_hold(held, _fixed_masters(spark, sf_dir), REPROCESS_CLOCK)
     return done, still
 
@@ -333,8 +333,8 @@ def q_ict_hold_reprocess(spark, sf_dir):
     hold = scratch_path(spark, "ict-hold")
     out = enrich_ict(_ict_records(spark, sf_dir), _masters(spark, sf_dir), FIXED_CLOCK)
     write_hold(out.held, hold, "first")
-    done, _ = reprocess_ict_hold(read_hold(spark, hold).drop("load_id"),
-                                 _fixed_masters(spark, sf_dir), REPROCESS_CLOCK)
+    held = read_hold(spark, hold).where(F.col("hold_class") == "lookup")
+    done, _ = reprocess_ict_hold(held, _fixed_masters(spark, sf_dir), REPROCESS_CLOCK)
     return comparable(done)
 
 

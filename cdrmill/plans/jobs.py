@@ -210,15 +210,16 @@ def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "
     t0 = time.time()
     clock = clock.resolved(spark)
     load_id = cfg.load_id or default_load_id(f"hold-{source_type.lower()}", cfg.hold_path, clock)
-    held = current_hold(spark, cfg.hold_path)
+    held = current_hold(spark, cfg.hold_path, "lookup")  # final rows are never re-read
     held = held.where(F.col("load_id") != load_id)
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         masters = cfg.masters.load(spark)
+        base = held.drop("load_id", "hold_class")
         if source_type == "MED":
-            done, still = reprocess_med_hold(held.drop("load_id"), masters, clock)
+            done, still = reprocess_med_hold(base, masters, clock)
         else:
-            done, still = reprocess_ict_hold(held.drop("load_id"), masters, clock)
+            done, still = reprocess_ict_hold(base, masters, clock)
         obs = Observation("hold")
         done = done.observe(obs, F.count(F.lit(1)).alias("released"))
         write_enriched(done, cfg.output_path, load_id, cfg.output_format, cfg.null_token,

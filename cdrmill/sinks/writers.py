@@ -61,9 +61,19 @@ def write_per_file(df: DataFrame, path: str, name_col: str = "INPUTFILENAME",
     write_partitioned(df, path, [name_col, *partition_by], fmt)
 
 
+def hold_class(reason: str = "hold_reason"):
+    """``final`` for rows no newer master can fix (no leg, or no date in the
+    file name), ``lookup`` for rows waiting for master data."""
+    r = F.col(reason)
+    return (F.when(r.contains("no_leg") | r.contains("no_date"), F.lit("final"))
+            .otherwise(F.lit("lookup")))
+
+
 def write_hold(held: DataFrame, path: str, load_id: str) -> None:
-    """Held rows, by original date, one leaf per load that held them."""
-    write_partitioned(held, path, ["original_date"], "parquet", load_id)
+    """Held rows by class, then original date, one leaf per load that held
+    them (a reprocess reads only the ``lookup`` class)."""
+    write_partitioned(held.withColumn("hold_class", hold_class()), path,
+                      ["hold_class", "original_date"], "parquet", load_id)
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
@@ -72,7 +82,7 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.option("basePath", path).parquet(path)
     casts = {}
     for c, t in (("original_date", "string"), ("load_id", "string"),
-                 ("processing_date", "date")):
+                 ("hold_class", "string"), ("processing_date", "date")):
         if c in df.columns:
             casts[c] = F.col(c).cast(t)
     return df.withColumns(casts)
@@ -114,15 +124,22 @@ def read_commits(spark: SparkSession, hold_path: str) -> DataFrame:
         return spark.createDataFrame([], "load_id string, supersedes string")
 
 
-def current_hold(spark: SparkSession, hold_path: str) -> DataFrame:
-    """Held rows of committed loads that no committed reprocess took over."""
+def current_hold(spark: SparkSession, hold_path: str, cls: str | None = None) -> DataFrame:
+    """Held rows of committed loads.  ``lookup`` rows count only until a
+    committed reprocess took their load over; ``final`` rows (which no
+    reprocess reads) stay where they were written.  ``cls`` restricts to one
+    class (a partition filter, so the other class is not read)."""
     from cdrmill.operators.lookup import sized_broadcast
     commits = read_commits(spark, hold_path)
-    live = (commits.select("load_id").distinct()
-            .join(commits.select(F.col("supersedes").alias("load_id")).distinct(), "load_id",
-                  "left_anti"))
-    live, _ = sized_broadcast(live)
-    return read_partitioned(spark, hold_path).join(live, "load_id", "left_semi")
+    committed, _ = sized_broadcast(commits.select("load_id").distinct())
+    gone, _ = sized_broadcast(commits.where(F.col("supersedes").isNotNull())
+                              .select(F.col("supersedes").alias("_gone")).distinct())
+    held = read_partitioned(spark, hold_path)
+    if cls is not None:
+        held = held.where(F.col("hold_class") == cls)
+    held = held.join(committed, "load_id", "left_semi")
+    return held.join(gone, (F.col("load_id") == F.col("_gone"))
+                     & (F.col("hold_class") == "lookup"), "left_anti")
 
 
 def create_partitioned_table(spark: SparkSession, name: str, schema: T.StructType,

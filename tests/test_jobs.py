@@ -258,3 +258,21 @@ def test_shuffle_partitions_sized_from_input_bytes(spark, tmp_path):
         assert size_shuffle_partitions(spark, f"{tmp_path}/a/*.cdr", 1.0, 1000) == 15  # never lowers
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_final_hold_rows_are_not_reprocessed(spark, tmp_path):
+    root = str(tmp_path)
+    masters = _masters(root, [("TG1", "a", "ND1", "OP1", "POI1")], [("ND1", "n", "FR1")], "20240401")
+    _write(f"{root}/in/MED.20240701.cdr",
+           _call("1", incoming_node="ND1", incoming_path="TG2") + "\n" + _call("2") + "\n")
+    cfg = JobConfig(f"{root}/in/*.cdr", masters, f"{root}/out", f"{root}/hold", f"{root}/log")
+    assert run_med(spark, cfg, DAY1).metrics["held"] == 2
+    classes = {(r.anum, r.hold_class) for r in current_hold(spark, f"{root}/hold").collect()}
+    assert classes == {("1", "lookup"), ("2", "final")}
+    masters2 = _masters(root, [("TG1", "a", "ND1", "OP1", "POI1"), ("TG2", "b", "ND1", "OP2", "POI2")],
+                        [("ND1", "n", "FR1")], "20240501")
+    r = run_hold_reprocess(spark, JobConfig(**{**cfg.__dict__, "masters": masters2}), "MED", DAY2)
+    assert r.metrics == {"released": 1}
+    left = [(x.anum, x.hold_reason) for x in current_hold(spark, f"{root}/hold").collect()]
+    assert left == [("2", "no_leg")]  # still held, written once, never re-read
+    assert current_hold(spark, f"{root}/hold", "lookup").count() == 0
