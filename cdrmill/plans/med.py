@@ -60,11 +60,14 @@ def lookup_legs(legs: DataFrame, masters: Masters) -> DataFrame:
 
 
 def drop_loaded(kept: DataFrame, loaded_keys: DataFrame) -> DataFrame:
-    """Remove calls whose duplicate-check key an earlier load already kept
-    (NULL-safe key equality, so NULL keys match as they group in the check)."""
-    k = loaded_keys.select(*[F.col(c).alias(f"_k_{c}") for c in MED_DEDUP_KEYS])
-    cond = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in MED_DEDUP_KEYS]
-    return kept.join(k, cond, "left_anti")
+    """Remove calls whose duplicate-check key an earlier load already kept.
+
+    A plain equi-join on the four key columns: ``kept`` is already hash
+    partitioned on exactly those columns by the duplicate check, so only the
+    keys store is shuffled (a NULL-safe join would shuffle every kept call a
+    second time).  A call with a missing key part is therefore never taken
+    for a repeat of an earlier load; it is kept, not dropped."""
+    return kept.join(loaded_keys.select(*MED_DEDUP_KEYS), MED_DEDUP_KEYS, "left_anti")
 
 
 def med_legs(records: DataFrame, masters: Masters, clock: Clock = Clock(),
