@@ -13,10 +13,16 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
 
-from cdrmill.operators.mapping import Clock
-from cdrmill.plans.jobs import JobConfig, MasterPaths, run_hold_reprocess, run_ict, run_med
-from cdrmill.session import get_session
+if not __package__:  # run as a file (spark-submit cdrmill/__main__.py): find the package
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from cdrmill.operators.mapping import Clock  # noqa: E402
+from cdrmill.plans.jobs import (JobConfig, MasterPaths, run_hold_reprocess,  # noqa: E402
+                                run_ict, run_med)
+from cdrmill.session import get_session  # noqa: E402
 
 
 def _parser() -> argparse.ArgumentParser:
