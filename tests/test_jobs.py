@@ -276,3 +276,22 @@ def test_final_hold_rows_are_not_reprocessed(spark, tmp_path):
     left = [(x.anum, x.hold_reason) for x in current_hold(spark, f"{root}/hold").collect()]
     assert left == [("2", "no_leg")]  # still held, written once, never re-read
     assert current_hold(spark, f"{root}/hold", "lookup").count() == 0
+
+
+def test_cli_ict_and_hold(spark, tmp_path):
+    from cdrmill.__main__ import main
+    root = str(tmp_path)
+    _write(f"{root}/trunk/Trunk_Group_20240401.csv", "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|ND1|OP1|POI1\n")
+    rows = [_ict_row(INCOMING_NODE="ND1", INCOMING_PATH="TG1", ANUM="1", BNUM="2",
+                     EVENT_START_DATE="20240701", EVENT_START_TIME="10203000"),
+            _ict_row(INCOMING_NODE="ND1", INCOMING_PATH="TG9", ANUM="3", BNUM="2",
+                     EVENT_START_DATE="20240701", EVENT_START_TIME="10203000")]
+    _write(f"{root}/in/ICT_20240701.csv", _envelope("ICT_20240701.csv", rows))
+    common = ["--trunk", f"{root}/trunk/*.csv", "--output", f"{root}/out", "--hold",
+              f"{root}/hold", "--log", f"{root}/log", "--processing-date", "2024-07-02"]
+    out = main(["ict", "--inputs", f"{root}/in/*.csv", *common])
+    assert (out["matched"], out["held"], out["files"], out["bad_headers"]) == (1, 1, 1, 0)
+    _write(f"{root}/trunk/Trunk_Group_20240501.csv",
+           "ID|NAME|FK_NNOD|OPERATOR|POI\nTG1|a|ND1|OP1|POI1\nTG9|b|ND1|OP9|POI9\n")
+    out = main(["hold", "--source", "ICT", *common[:-1], "2024-07-03"])
+    assert out["released"] == 1
