@@ -47,8 +47,12 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
+BROADCAST_CONF = "spark.cdrmill.broadcast.maxBytes"  # spark.* so spark-submit --conf passes it
+
+
 def broadcast_limit(spark) -> int:
-    return int(spark.conf.get("cdrmill.broadcast.maxBytes", str(DEFAULT_BROADCAST_BYTES)))
+    v = spark.conf.get(BROADCAST_CONF, None) or spark.conf.get("cdrmill.broadcast.maxBytes", None)
+    return int(v) if v else DEFAULT_BROADCAST_BYTES
 
 
 def sized_broadcast(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:

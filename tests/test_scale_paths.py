@@ -41,13 +41,13 @@ def test_big_log_path_matches_broadcast_path(spark):
     lines = fx.cdr_lines(spark, SF)
     log = fx.processed_log(spark, SF)
     a = new_files(lines, log)
-    spark.conf.set("cdrmill.broadcast.maxBytes", "0")
+    spark.conf.set("spark.cdrmill.broadcast.maxBytes", "0")
     try:
         b = new_files(lines, log)
         ra = _rows(a)
         rb = _rows(b)
     finally:
-        spark.conf.unset("cdrmill.broadcast.maxBytes")
+        spark.conf.unset("spark.cdrmill.broadcast.maxBytes")
     assert ra == rb and ra[1] < lines.count()
 
 
