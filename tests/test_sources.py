@@ -117,3 +117,24 @@ def test_read_latest_master_reads_only_the_newest(spark, tmp_path):
     _write(str(tmp_path / "f" / "20240502" / "Trunk_Group_Master.csv"), h + "TG1|a|N|NEW|P\n")
     df = read_latest_master(spark, str(tmp_path / "f" / "*" / "*.csv"), by="folder")
     assert [(r.OPERATOR, r.snapshot) for r in df.collect()] == [("NEW", "20240502")]
+
+
+def test_envelope_random_files_and_split_sizes(spark, tmp_path):
+    import random
+    rnd = random.Random(3)
+    want = set()
+    for f in range(6):
+        n = rnd.choice([0, 1, 2, 3, rnd.randint(4, 300)])
+        recs = [",".join([f"f{f}r{i}", "x" * rnd.randint(0, 60)] + [""] * 40) for i in range(n)]
+        _write(str(tmp_path / f"e{f}.csv"), "\n".join(
+            [f"HDR,{f}", ",".join(ENRICHED_COLUMNS), *recs, f"TRL,{f}", "EOF"]) + "\n")
+        want |= {f"f{f}r{i}" for i in range(n)}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ["200", "1500", "9000", old]:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = [r[0] for r in read_envelope_csv(spark, str(tmp_path / "*.csv"))
+                   .select("INCOMING_NODE").collect()]
+            assert sorted(got) == sorted(want), size
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
