@@ -113,3 +113,97 @@ def test_split_matches_brute_force(spark):
             want.append((i, None, inn, inp, inr, on, op, orr))
     key = lambda t: tuple((x is None, str(x)) for x in t)
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_med_flow_matches_python_model_on_random_rows(spark):
+    import re
+    from datetime import datetime
+    rnd = random.Random(5)
+    ch = rnd.choice
+    nodes, paths = ["ND1", "ND2", "ND3", ""], ["TG1", "TG2", "TG3", ""]
+    lines = []
+    for i in range(400):
+        f = dict(anum=ch(["1", "2", "3", ""]), bnum=ch(["7", "8"]),
+                 event_start_date=ch(["20240701", "20240702"]), event_start_time="10000000",
+                 event_duration=ch(["00000130", "0000ZZ00", ""]),
+                 incoming_node=ch(nodes), incoming_path=ch(paths),
+                 outgoing_node=ch(nodes), outgoing_path=ch(paths),
+                 incoming_product=ch(["MA", ""]), outgoing_product=ch(["MB", ""]),
+                 record_sequence_number=str(rnd.randint(0, 5)))
+        lines.append((cdr_line(**f), ch(["A.20240701.cdr", "B.20240702.cdr", "C.nodate.cdr",
+                                         "D.20241399.cdr"])))
+    trunk = [("TG1", "t", "ND1", "OP1", "P1"), ("TG1", "s", "ND1", "OP9", "P9"),
+             ("TG2", "t", "ND2", "OP2", "P2"), ("TG3", "t", "ND1", "OP3", "P3")]
+    node = [("ND1", "n", "F1"), ("ND2", "n", "F2")]
+    df = spark.createDataFrame(lines, "value string, file_name string")
+    m = Masters.build(spark.createDataFrame(trunk, "ID string, NAME string, FK_NNOD string, "
+                                                   "OPERATOR string, POI string"),
+                      spark.createDataFrame(node, "ID string, NAME string, FK_ORGA_FRAN string"))
+    out = enrich_med(df, m, FIXED_CLOCK)
+    cols = ["INPUTFILENAME", "ANUM", "BNUM", "EVENT_START_DATE", "leg", "INCOMING_POI",
+            "OUTGOING_POI", "FRANCHISE", "BILLING_OPERATOR", "poi_id", "network_operator_id",
+            "EVENT_DURATION", "original_date"]
+    got = [tuple(r) for r in out.enriched.select(*cols).collect()]
+    got_held = [(r.file_name, r.anum, r.leg, r.hold_reason) for r in out.held.collect()]
+
+    # ---- plain Python model
+    recs = []
+    for value, fname in lines:
+        pos, r = 0, {}
+        for n, w in CDR_FIELDS_AND_WIDTHS:
+            r[n] = value[pos:pos + w].strip() or None
+            pos += w
+        r["file_name"] = fname
+        recs.append(r)
+    used = ["incoming_node", "outgoing_node", "event_duration", "incoming_path", "outgoing_path",
+            "incoming_product", "outgoing_product", "event_direction"]
+    nf = lambda x: (x is not None, x or "")  # noqa: E731  NULL first
+    best = {}
+    for r in recs:
+        k = (r["anum"], r["bnum"], r["event_start_date"], r["event_start_time"])
+        o = tuple(nf(r[c]) for c in ["file_name", "record_sequence_number"] + used)
+        if k not in best or o < best[k][0]:
+            best[k] = (o, r)
+    tm = {}
+    for t in trunk:
+        if (t[0], t[2]) not in tm or (t[1], t[3], t[4]) < tm[(t[0], t[2])][0]:
+            tm[(t[0], t[2])] = ((t[1], t[3], t[4]), t)
+    nm = {n[0]: n[2] for n in node}
+
+    def odate(fname):
+        mt = re.search(r"\d{8}", fname)
+        if not mt:
+            return None
+        try:
+            datetime.strptime(mt.group(0), "%Y%m%d")
+            return mt.group(0)
+        except ValueError:
+            return None
+
+    def secs(d):
+        if d is None or not (d[:4].isdigit() and d[4:6].isdigit() and d[6:8].isdigit()):
+            return None
+        return int(d[:4]) * 3600 + int(d[4:6]) * 60 + int(d[6:8])
+
+    want, want_held = [], []
+    for _, r in best.values():
+        has_in = r["incoming_node"] is not None or r["incoming_path"] is not None
+        has_out = r["outgoing_node"] is not None or r["outgoing_path"] is not None
+        legs = ([("I", r["incoming_node"], r["incoming_path"])] if has_in else []) + \
+               ([("O", r["outgoing_node"], r["outgoing_path"])] if has_out else [])
+        od = odate(r["file_name"])
+        for leg, nd, pth in legs or [(None, None, None)]:
+            t = tm.get((pth, nd))
+            fr = nm.get(nd)
+            reasons = ([] if leg else ["no_leg"]) + (["trunk"] if leg and not t else []) + \
+                      (["node"] if leg and fr is None else []) + ([] if od else ["no_date"])
+            if reasons:
+                want_held.append((r["file_name"], r["anum"], leg, "+".join(reasons)))
+                continue
+            poi, op = t[1][4], t[1][3]
+            want.append((r["file_name"], r["anum"], r["bnum"], r["event_start_date"], leg,
+                         poi if leg == "I" else None, poi if leg == "O" else None, fr,
+                         op, poi, op, secs(r["event_duration"]), od))
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert sorted(got_held, key=key) == sorted(want_held, key=key)
