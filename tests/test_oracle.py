@@ -30,6 +30,7 @@ def test_query_matches_oracle(spark, con, name):
     assert a == b
 
 
-def test_entry_runs(spark):
+def test_entry_runs_with_a_stable_schema(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "INPUTFILENAME" in df.columns
+    assert E.entry(spark).schema == df.schema
