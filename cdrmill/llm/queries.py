@@ -1,9 +1,15 @@
 """The corpus operators' registered queries and their DuckDB statements."""
 
+from cdrmill.llm.decontam import op4_decontamination
+from cdrmill.llm.mixing import op7_mixing
+from cdrmill.llm.near_dup import op3_near_duplicates
 from cdrmill.llm.shard_ring import op1_sharding
 
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_decontamination": op4_decontamination,
+    "op7_mixing": op7_mixing,
 }
 
 LLM_ORACLES: dict[str, str] = {}
