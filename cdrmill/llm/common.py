@@ -45,9 +45,9 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def write_binary_rows(df: DataFrame, path: str, column: str) -> None:
-    """Write the binary ``column`` of ``df`` as raw files, one per partition,
-    through Spark's own committed writer (any Hadoop store, safe against lost
+def write_binary_rows(df: DataFrame, path: str, column: str, by: list[str] | None = None) -> None:
+    """Write the binary ``column`` of ``df`` as raw files, one per partition (and
+    folder, with ``by``), through Spark's own committed writer (any Hadoop store, safe against lost
     executors and speculative tasks).
 
     Spark's text writer puts a separator after each row.  The separator here is
@@ -56,6 +56,7 @@ def write_binary_rows(df: DataFrame, path: str, column: str) -> None:
     """
     raw = F.col(column)
     body = raw.substr(F.lit(1), F.length(raw) - 1).cast("string")
-    df.select(F.when(F.endswith(raw, F.lit(bytearray(b"\0"))), body)
+    by = by or []
+    df.select(*by, F.when(raw.substr(F.length(raw), F.lit(1)) == F.lit(bytearray(b"\0")), body)
               .otherwise(F.raise_error(F.lit("a record must end with a zero byte")))
-              .alias("value")).write.option("lineSep", "\0").text(path)
+              .alias("value")).write.option("lineSep", "\0").partitionBy(*by).text(path)

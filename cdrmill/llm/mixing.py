@@ -8,7 +8,7 @@ calibrated probability, by a hash of the row, so a rerun draws the same rows.
 The corpus is aggregated once (map-side combined, so a hot source is a few
 partial sums).  The raking runs on the cell table only (its size is the product
 of the dimensions' values), as windowed marginal sums with a checkpoint after
-each sweep.
+each sweep: in one task as long as the cells are few, shuffled beyond.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ KEEP = 0.85         # share of all tokens that the mix shall hold
 TOLERANCE = 1e-6
 MAX_SWEEPS = 40
 SEED = 17
+CELLS_PER_TASK = 100_000
 BROADCAST_BYTES = 32 << 20
 
 
@@ -44,7 +45,7 @@ def surface_topic(text: Column) -> Column:
     (over 2 % table and code signs), ``figures`` (over 5 % digits), ``prose``."""
     text = F.coalesce(text, F.lit(""))
     low = F.lower(text)
-    share = lambda chars: (F.length(text) - F.length(F.translate(text, chars, ""))) \
+    share = lambda chars: F.regexp_count(text, F.lit(f"[{chars}]")) \
         / F.greatest(F.length(text), F.lit(1))
     has = lambda *words: reduce(lambda a, b: a | b, [low.contains(w) for w in words])
     return (F.when(has("copyright", "license", "licence", "warranty"), "legal")
@@ -97,8 +98,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP,
     for d in DIMS:
         state = state.join(targets[d].withColumnRenamed("target", f"{d}_target"), d, "left")
     state = checkpointed(state)
+    # few cells: one task, in which the marginal sums need no shuffle
+    small = state.count() <= CELLS_PER_TASK
     for _ in range(max_sweeps):
-        new = state.withColumn("before", F.col("share"))
+        new = (state.coalesce(1) if small else state).withColumn("before", F.col("share"))
         for d in DIMS:
             margin = F.sum("share").over(Window.partitionBy(d))
             new = new.withColumn("share", F.when(

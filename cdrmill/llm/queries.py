@@ -1,15 +1,29 @@
 """The corpus operators' registered queries and their DuckDB statements."""
 
+import corpus_pipeline
 from cdrmill.llm.decontam import op4_decontamination
 from cdrmill.llm.mixing import op7_mixing
+from cdrmill.llm.multi_index import op6_nearest_neighbours
 from cdrmill.llm.near_dup import op3_near_duplicates
+from cdrmill.llm.secrets import op9_secrets
 from cdrmill.llm.shard_ring import op1_sharding
+from cdrmill.llm.token_count import op5_token_counts
+from cdrmill.llm.token_files import op8_token_files
+from cdrmill.llm.toxicity import op2_toxicity
+from cdrmill.llm.warc import op10_warc
 
 LLM_QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_toxicity": op2_toxicity,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_decontamination": op4_decontamination,
+    "op5_token_counts": op5_token_counts,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op7_mixing": op7_mixing,
+    "op8_token_files": op8_token_files,
+    "op9_secrets": op9_secrets,
+    "op10_warc": op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {}
