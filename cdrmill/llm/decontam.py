@@ -69,8 +69,10 @@ def _extended(equal: Column) -> Column:
 
 
 def _verified(hits: DataFrame) -> DataFrame:
-    """Overlaps around the hits (document words ``w`` at ``pos``, item words
-    ``iw`` at ``ipos``) that are long and equal enough."""
+    """Overlaps around the hits that are long and equal enough.  A hit has the item
+    words ``iw``, the place ``ipos`` of the hit in them, the document words ``w``
+    beside them, the place ``pos`` of the hit in those, and the place ``at`` of
+    the first of those in the document."""
     same = lambda a, b: F.zip_with(a, b, lambda x, y: x == y)
     cut = lambda c, start, n: F.slice(c, start + 1, n)
     pos, ipos = F.col("pos"), F.col("ipos")
@@ -86,7 +88,7 @@ def _verified(hits: DataFrame) -> DataFrame:
                 cut("w", pos, F.lit(SPAN)), cut("iw", ipos, F.lit(SPAN))), lambda e: e))))
     hits = (hits.withColumn("n_words", F.col("l.words") + F.col("r.words") + SPAN)
             .withColumn("n_equal", F.col("l.same") + F.col("r.same") + F.col("mid"))
-            .withColumn("first_word", pos - F.col("l.words")))
+            .withColumn("first_word", F.col("at") + pos - F.col("l.words")))
     return hits.where((F.col("n_words") >= MIN_WORDS)
                       & (F.col("n_equal") >= MIN_EQUAL * F.col("n_words")))
 
@@ -113,7 +115,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
         benchmark.select("item_id", text_key(F.col("text")).alias("ikey"),
                          word_hashes(F.col("text")).alias("w")).where(F.size("w") >= SPAN)
         .dropDuplicates(["item_id", "ikey"]))
-    seeds = _seeds(items.dropDuplicates(["ikey"]), "ipos", ["ikey"])
+    seeds = _seeds(items.dropDuplicates(["ikey"]).withColumn("n", F.size("w")), "ipos",
+                   ["ikey", "n"])
     item_words = items.select("item_id", "ikey", F.col("w").alias("iw"))
     seeds, small = sized_broadcast(checkpointed(seeds), broadcast_bytes)
     item_words, small_items = sized_broadcast(item_words, broadcast_bytes)
@@ -122,6 +125,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
     else:
         hits = (_seeds(words, "pos", ["text_key"]).join(seeds, "seed").drop("seed").distinct()
                 .join(words, "text_key"))
+    # only the words beside the item go on, however long the document
+    at = F.greatest(F.col("pos") - F.col("ipos"), F.lit(0))
+    hits = hits.select("doc_id", "text_key", "ikey", "ipos", at.alias("at"),
+                       (F.col("pos") - at).alias("pos"),
+                       F.slice("w", at + 1, F.col("n")).alias("w"))
     found = _verified(hits.join(item_words, "ikey"))
     best = F.max(F.struct("n_equal", "n_words", (-F.col("first_word")).alias("back")))
     return (found.groupBy("doc_id", "text_key", "item_id").agg(best.alias("b"))

@@ -27,6 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cdrmill.llm.common import table
 
@@ -258,7 +259,8 @@ def prefix_table(docs: DataFrame, path: str | None = None) -> DataFrame:
                           pa.list_(pa.list_(pa.int32())))], ["doc_id", "prefix_counts"])
 
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(run, rows.drop("text").schema.add("prefix_counts", "array<array<int>>"))
+    return rows.mapInArrow(run, rows.drop("text").schema.add(
+        "prefix_counts", T.ArrayType(T.ArrayType(T.IntegerType()))))
 
 
 def fits(prefix_counts: Column, budget: Column | int) -> Column:

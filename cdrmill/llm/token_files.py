@@ -38,7 +38,8 @@ SHARD_SLOTS = 8192
 KEY = 0x5EED
 ROUNDS = 6
 NO_ID = -(1 << 63)
-TAIL = struct.Struct(">qIIQ")
+TAIL = ">qIIQ"
+TAIL_BYTES = struct.calcsize(TAIL)
 PIECES_KEPT = 400_000
 
 _U = np.uint64
@@ -149,7 +150,8 @@ def _sequences(vocabulary: str, length: int, first: dict[int, int], size: dict[i
                 for no, i in enumerate(range(0, len(ids), 2 * length)):
                     part_ids = ids[i:i + 2 * length]
                     n = len(part_ids) // 2
-                    records.append(part_ids + end * (length - n) + TAIL.pack(
+                    records.append(part_ids + end * (length - n) + struct.pack(
+                        TAIL, 
                         NO_ID if doc_id is None else doc_id, no, n, 0))
                     if len(records) == 2048:
                         yield batch_of(at + done, records)
@@ -163,7 +165,7 @@ def _sequences(vocabulary: str, length: int, first: dict[int, int], size: dict[i
 
 
 def stride_of(length: int) -> int:
-    return 2 * length + TAIL.size
+    return 2 * length + TAIL_BYTES
 
 
 def write_shards(docs: DataFrame, path: str, length: int = LENGTH, shard_slots: int = SHARD_SLOTS,
@@ -209,9 +211,9 @@ def _read(length: int, shard_slots: int, start: int, upto: int):
                 found = []
                 for i in range(lo, hi):
                     record = data[i * stride:(i + 1) * stride]
-                    doc_id, no, n, _ = TAIL.unpack(record[-TAIL.size:])
+                    doc_id, no, n, _ = struct.unpack(TAIL, record[-TAIL_BYTES:])
                     found.append((base + i, shard, i * stride, None if doc_id == NO_ID else doc_id,
-                                  no, n, zlib.crc32(record[:-TAIL.size]), bytes(record[:2 * n])))
+                                  no, n, zlib.crc32(record[:-TAIL_BYTES]), bytes(record[:2 * n])))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
                          pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from cdrmill.llm import mixing as M
-from conftest import DOCS
+from .conftest import DOCS
 
 
 def rake_by_hand(cells, targets, keep):

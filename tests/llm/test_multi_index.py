@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from cdrmill.llm import multi_index as M
-from conftest import SMALL
+from .conftest import SMALL
 
 
 def brute(vectors, queries, top):

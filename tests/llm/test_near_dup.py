@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from cdrmill.llm import near_dup as N
-from conftest import DOCS, doc_rows
+from .conftest import DOCS, doc_rows
 
 WORDS = [f"w{i}" for i in range(3000)]
 

@@ -3,7 +3,7 @@ import zlib
 import pytest
 
 from cdrmill.llm import toxicity as T
-from conftest import SMALL
+from .conftest import SMALL
 
 BIG = "/root/testdata/sf0.1"
 

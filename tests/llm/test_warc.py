@@ -6,7 +6,7 @@ import zlib
 import pytest
 
 from cdrmill.llm import warc as W
-from conftest import SMALL
+from .conftest import SMALL
 
 
 def expected(pages):
