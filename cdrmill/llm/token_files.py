@@ -151,7 +151,7 @@ def _sequences(vocabulary: str, length: int, first: dict[int, int], size: dict[i
                     part_ids = ids[i:i + 2 * length]
                     n = len(part_ids) // 2
                     records.append(part_ids + end * (length - n) + struct.pack(
-                        TAIL, 
+                        TAIL,
                         NO_ID if doc_id is None else doc_id, no, n, 0))
                     if len(records) == 2048:
                         yield batch_of(at + done, records)

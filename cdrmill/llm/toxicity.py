@@ -58,7 +58,7 @@ SECOND_PERSON = frozenset("""
 LEET = str.maketrans("013457@$!", "oieastasi")
 WORD = re.compile(r"\w+")
 # letters with digits or signs put between them: id1ot, tr@sh, m*ron
-DISGUISED = re.compile(r"\b[^\W\d_]+[0-9@$*!#]+[^\W\d_][\w@$*!#]*")
+DISGUISED = re.compile(r"\b[^\W\d_]+[0-9@$*!#]+[^\W\d_][\w@$*#]*")
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
 SPACED = re.compile(r"\b(?:[^\W\d_][ .\-_]){3,}[^\W\d_]\b")
 RUN_OF_MARKS = re.compile(r"[!?]{2,}")
