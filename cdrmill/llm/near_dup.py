@@ -10,10 +10,14 @@ ICWS draws per hash function one (shingle, level) sample; two texts draw the
 same with probability equal to their weighted Jaccard similarity.  Bands of
 samples make candidates, each compared on the whole texts:
 
-* every bucket's members against its smallest member, one text stream per
+* every bucket's members against its most central member (the one whose buckets
+  are fullest: the original rather than an edit), one text stream per
   representative, split over tasks where it has many members;
 * then, where a bucket still holds several connected classes, the members of
-  different classes against one another (first by their sample agreement).
+  different classes against one another.  In a crowded bucket most of these
+  pairs can't reach the threshold, and an exact filter keeps them from being
+  made: two texts that do must share a shingle among their rarest ones, up to a
+  fifth of their weight, and enough weight that is not theirs alone.
 
 So no link between bucket members is skipped, and none is tested inside a
 class that is connected already.
@@ -39,6 +43,7 @@ DF_BITS = 20
 DF_BLOCK = 1 << 14
 AGREE = 0.5                   # share of samples that a later-round candidate must agree on
 MEMBERS_PER_TASK_SLICE = 256
+CROWD = 64                    # from so many members on a bucket's pairs are filtered first
 COLUMNS_AT_ONCE = 4096
 BROADCAST_BYTES = 32 << 20
 
@@ -236,6 +241,49 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return work.mapInArrow(_comparer(idf, threshold), "a binary, b binary, similarity double")
 
 
+def _rarest(idf, rarity, threshold: float):
+    """Per text its rarest shingles, up to the weight that a text at the threshold
+    may lack, and the weight (``shared``) that some other text may have too."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for key, root, text in zip(*(c.to_pylist() for c in batch.columns)):
+                keys, tf = shingles(text)
+                w = weights(keys, tf, idf.value)
+                rare = rarity.value[(keys & _U((1 << DF_BITS) - 1)).astype(np.int64)]
+                order = np.lexsort((keys, -rare))
+                total, shared = float(w.sum()), float(w[rare < 1].sum())
+                lacking = np.cumsum(w[order])
+                n = int(np.searchsorted(lacking, (1 - threshold) * total * (1 + 1e-9), "right")) + 1
+                first = keys[order[:n]]
+                out[0].extend(first.view(np.int64).tolist())
+                for column, value in zip(out[1:], (key, root, total, shared)):
+                    column.extend([value] * len(first))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.binary(),
+                                                      pa.float64(), pa.float64()))],
+                ["shingle", "text_key", "root", "total", "shared"])
+    return run
+
+
+def _across(rows: DataFrame, on: str, possible: Column) -> DataFrame:
+    """Pairs (a, b) of ``rows`` (on, text_key, root, ...) that agree in ``on`` and
+    differ in root, where ``possible`` holds (of columns ``a_...``, ``b_...``).
+    Rows of one root are never paired with each other."""
+    kinds = rows.select(on, "root").distinct()
+    crossing = (kinds.withColumnRenamed("root", "a_root")
+                .join(kinds.withColumnRenamed("root", "b_root"), on).where("a_root < b_root"))
+    rest = [c for c in rows.columns if c != on]
+    side = lambda s: rows.select(on, *[F.col(c).alias(f"{s}_{c}") for c in rest])
+    pairs = crossing.join(side("a"), [on, "a_root"])
+    b = side("b").withColumnRenamed("b_root", "root_b")
+    b = b.withColumnRenamed(on, "on_b")
+    return (pairs.join(b, (F.col(on) == F.col("on_b")) & (F.col("b_root") == F.col("root_b"))
+                       & possible)
+            .select(F.least("a_text_key", "b_text_key").alias("a"),
+                    F.greatest("a_text_key", "b_text_key").alias("b")).distinct())
+
+
 def agreement(a: Column, b: Column) -> Column:
     """Share of equal samples of two sample strings (4 bytes each)."""
     same = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda i: F.when(
@@ -294,10 +342,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         j, F.substring("samples", j * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("bucket")
     member = (texts.where("samples is not null")
               .select("text_key", "total", "first", band))
-    heads = (member.groupBy("bucket")
-             .agg(F.min(F.struct("first", F.col("text_key").alias("a"),
-                                 F.col("total").alias("a_total"))).alias("h"),
-                  F.count(F.lit(1)).alias("n")).where("n > 1")
+    full = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    member = stored(member.join(full, "bucket"), "near-members")
+    central = member.groupBy("text_key").agg((-F.sum("n")).alias("rank"))
+    heads = (member.join(central, "text_key").groupBy("bucket")
+             .agg(F.min(F.struct("rank", "first", F.col("text_key").alias("a"),
+                                 F.col("total").alias("a_total"))).alias("h"))
              .select("bucket", "h.a", "h.a_total"))
     buckets = stored(member.drop("first").join(heads, "bucket"), "near-buckets")
     alike = F.least("total", "a_total") >= threshold * F.greatest("total", "a_total")
@@ -307,14 +357,18 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     whole = rows.where("text_key is not null").withColumn("late", F.col("doc_id").isNull())
     owner = texts.select("text_key", "first.late", "first.doc_id")
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        used = checkpointed(pairs.select(F.col("a").alias("text_key"))
-                            .union(pairs.select("b")).distinct().join(owner, "text_key"))
-        used, _ = sized_broadcast(used, BROADCAST_BYTES)
-        source = (whole.alias("w").join(used.alias("u"), (
+    def texts_of(keys: DataFrame) -> DataFrame:
+        """(text_key, ..., text) for rows with distinct text keys."""
+        used, _ = sized_broadcast(checkpointed(keys.join(owner, "text_key")), BROADCAST_BYTES)
+        extra = [c for c in keys.columns if c != "text_key"]
+        return (whole.alias("w").join(used.alias("u"), (
             (F.col("w.text_key") == F.col("u.text_key"))
             & F.col("w.doc_id").eqNullSafe(F.col("u.doc_id"))))
-            .select(F.col("w.text_key").alias("text_key"), "w.text"))
+            .select(F.col("w.text_key").alias("text_key"), *[f"u.{c}" for c in extra], "w.text"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        source = texts_of(pairs.select(F.col("a").alias("text_key")).union(pairs.select("b"))
+                          .distinct())
         return stored(_verified(pairs, source, shared, threshold).distinct(), "near-links")
 
     links = compared(star)
@@ -325,16 +379,21 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                .withColumn("root", F.coalesce("root", "text_key")))
     several = (classed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"))
                .where("x < y").select("bucket"))
-    mixed = checkpointed(classed.join(several, "bucket").select("bucket", "text_key", "total", "root"))
-    kinds = mixed.select("bucket", "root").distinct()
-    crossing = (kinds.withColumnRenamed("root", "root_a")
-                .join(kinds.withColumnRenamed("root", "root_b"), "bucket")
-                .where("root_a < root_b"))
-    side = lambda s: mixed.select("bucket", F.col("root").alias(f"root_{s}"),
-                                  F.col("text_key").alias(s), F.col("total").alias(f"{s}_total"))
-    cross = (crossing.join(side("a"), ["bucket", "root_a"]).join(side("b"), ["bucket", "root_b"])
-             .where(F.least("a_total", "b_total") >= threshold * F.greatest("a_total", "b_total"))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    mixed = checkpointed(classed.join(several, "bucket")
+                         .select("bucket", "text_key", "root", "total", "n"))
+    near_size = (F.least("a_total", "b_total") >= threshold * F.greatest("a_total", "b_total"))
+    cross = _across(mixed.where(F.col("n") <= CROWD).drop("n"), "bucket", near_size)
+    crowd = mixed.where(F.col("n") > CROWD).select("text_key", "root").distinct()
+    if crowd.limit(1).count():
+        crowd = texts_of(crowd)
+        rarity = spark.sparkContext.broadcast(idf_table(crowd))  # 4 MB, fixed
+        rare = stored(crowd.mapInArrow(
+            _rarest(shared, rarity, threshold),
+            "shingle long, text_key binary, root binary, total double, shared double"), "near-rare")
+        # similarity t needs an overlap of t / (1 + t) of both weights together
+        enough = (F.least("a_shared", "b_shared") * (1 + 1e-9)
+                  >= threshold / (1 + threshold) * (F.col("a_total") + F.col("b_total")))
+        cross = cross.unionByName(_across(rare, "shingle", near_size & enough)).distinct()
     tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     drawn = texts.select("text_key", "samples")
     cross = (cross.join(tested, ["a", "b"], "left_anti")

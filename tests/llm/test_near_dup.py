@@ -33,6 +33,8 @@ def corpus():
     texts += [shared + text(rng, rng.randint(60, 90)) for _ in range(40)]
     big = text(rng, 250)
     texts += [edited(rng, big, 2) for _ in range(60)] + [big] * 10
+    wide = text(rng, 200)  # a group of edits from light to heavy, in the same buckets
+    texts += [edited(rng, wide, rng.randint(1, 14)) for _ in range(90)] + [wide]
     rng.shuffle(texts)
     return [" ".join(t) for t in texts]
 
@@ -57,7 +59,9 @@ def brute(texts, idf):
     return [find(i) for i in range(len(texts))]
 
 
-def test_classes_equal_brute_force(spark, corpus):
+@pytest.mark.parametrize("crowd", [N.CROWD, 3])
+def test_classes_equal_brute_force(spark, corpus, monkeypatch, crowd):
+    monkeypatch.setattr(N, "CROWD", crowd)
     docs = spark.createDataFrame(doc_rows(list(enumerate(corpus))), DOCS).repartition(5)
     out = {r["doc_id"]: r for r in N.near_classes(docs).collect()}
     want = brute(corpus, N.idf_table(docs))
@@ -81,6 +85,40 @@ def test_shingles_are_exact():
     assert set(N.shingles("q r s t u")[0]) <= set(tail)
 
 
+def test_rarest_shingles_meet_wherever_texts_are_alike(corpus):
+    """The filter for crowded buckets is exact: each pair at the threshold shares a
+    rare shingle and passes the bound on shared weight."""
+    class Table:
+        def __init__(self, value):
+            self.value = value
+
+    sets = [N.shingles(t) for t in corpus]
+    df = np.zeros(1 << N.DF_BITS)
+    place = lambda k: (k & N._U((1 << N.DF_BITS) - 1)).astype(int)
+    for k, _ in sets:
+        df[place(k)] += 1
+    rarity = Table((np.log((1 + len(sets)) / np.maximum(df, 1)) / np.log(1 + len(sets))))
+    idf = Table(np.ones(1 << N.DF_BITS, np.float32))
+    batch = N.pa.RecordBatch.from_pydict({
+        "k": N.pa.array([str(i).encode() for i in range(len(sets))], N.pa.binary()),
+        "r": N.pa.array([b"x"] * len(sets), N.pa.binary()), "t": corpus})
+    (out,) = N._rarest(idf, rarity, 0.8)(iter([batch]))
+    rare, size = {}, {}
+    for s, k, _, total, shared in zip(*(c.to_pylist() for c in out.columns)):
+        rare.setdefault(int(k), set()).add(s)
+        size[int(k)] = total, shared
+    weighted = [(k, N.weights(k, tf, idf.value)) for k, tf in sets]
+    met = 0
+    for i in range(len(sets)):
+        for j in range(i):
+            if N.weighted_jaccard(weighted[i], weighted[j]) >= 0.8:
+                met += 1
+                assert rare[i] & rare[j]
+                assert min(size[i][1], size[j][1]) * (1 + 1e-9) >= 0.8 / 1.8 * (
+                    size[i][0] + size[j][0])
+    assert met > 100
+
+
 def test_sample_agreement_estimates_similarity():
     rng = np.random.default_rng(1)
     got, want = [], []
