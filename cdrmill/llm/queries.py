@@ -26,4 +26,18 @@ LLM_QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+# The other operators' results depend on hashes, models or searches that SQL has not;
+# tests/llm holds them against brute force.
+LLM_ORACLES = {
+    "op10_warc": """
+        WITH d AS (
+          SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                 sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (SELECT payload_digest, min(page_id) AS first FROM d
+              WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to,
+               CAST(NULL AS VARCHAR) AS problem
+        FROM d LEFT JOIN f USING (payload_digest)""",
+}
