@@ -1,4 +1,4 @@
-"""Command line: ``python -m cdrmill {med,ict,hold} ...`` (or spark-submit it).
+"""Command line: ``python -m cdrmill {med,ict,hold,parse,stream} ...`` (or spark-submit it).
 
 Examples::
 
@@ -21,21 +21,26 @@ if not __package__:  # run as a file (spark-submit cdrmill/__main__.py): find th
 
 from cdrmill.operators.mapping import Clock  # noqa: E402
 from cdrmill.plans.jobs import (JobConfig, MasterPaths, run_hold_reprocess,  # noqa: E402
-                                run_ict, run_med)
+                                run_ict, run_med, run_parse)
 from cdrmill.session import get_session  # noqa: E402
+from cdrmill.streaming.incremental import IncrementalConfig, run_med_incremental  # noqa: E402
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="cdrmill")
-    p.add_argument("job", choices=["med", "ict", "hold"])
+    p.add_argument("job", choices=["med", "ict", "hold", "parse", "stream"],
+                   help="stream: load what has arrived in --inputs since the last call")
     p.add_argument("--inputs", nargs="+", default=[], help="input files or globs")
-    p.add_argument("--trunk", required=True, help="trunk group master file(s) or glob")
+    p.add_argument("--trunk", help="trunk group master file(s) or glob (all but parse)")
     p.add_argument("--node", help="network node master file(s) or glob (MED)")
     p.add_argument("--master-sep", default="|")
     p.add_argument("--snapshot-by", default="name_date", choices=["name_date", "folder", "all"])
     p.add_argument("--output", required=True)
-    p.add_argument("--hold", required=True)
-    p.add_argument("--log", required=True)
+    p.add_argument("--hold", help="hold store (all but parse)")
+    p.add_argument("--log", help="processed-file log (all but parse)")
+    p.add_argument("--keys", help="also drop calls that earlier loads kept (MED)")
+    p.add_argument("--checkpoint", help="stream only: its checkpoint folder")
+    p.add_argument("--hold-after", action="store_true", help="then reprocess the held rows")
     p.add_argument("--audit")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--null-token")
@@ -44,21 +49,38 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--table", help="also append into this partitioned table")
     p.add_argument("--per-file", help="also write one CSV folder per input file")
     p.add_argument("--source", default="MED", choices=["MED", "ICT"], help="hold job only")
-    p.add_argument("--load-id")
+    p.add_argument("--load-id", help="first part of the run's id")
     p.add_argument("--processing-date", help="yyyy-MM-dd (default: today)")
     p.add_argument("--master", help="Spark master URL (default: from spark-submit)")
     return p
 
 
 def main(argv: list[str] | None = None) -> dict:
-    a = _parser().parse_args(argv)
+    parser = _parser()
+    a = parser.parse_args(argv)
+    needed = ["inputs"] if a.job == "parse" else ["trunk", "hold", "log"] + (
+        ["inputs", "checkpoint"] if a.job == "stream" else [])
+    if lacking := [f"--{n}" for n in needed if not getattr(a, n)]:
+        parser.error(f"{a.job} needs {', '.join(lacking)}")
     spark = get_session(a.master)
+    if a.job == "parse":
+        out = {"job": a.job, "records": run_parse(spark, a.inputs, a.output,
+                                                  null_token=a.null_token)}
+        print(json.dumps(out))
+        return out
     masters = MasterPaths(a.trunk, a.node, a.master_sep,
                           None if a.snapshot_by == "all" else a.snapshot_by)
     cfg = JobConfig(a.inputs, masters, a.output, a.hold, a.log, a.audit, a.format,
                     a.null_token, a.time_format, a.date_mode, load_id=a.load_id,
-                    table=a.table, per_file_path=a.per_file)
+                    table=a.table, per_file_path=a.per_file, keys_dir=a.keys,
+                    hold_after=a.hold_after)
     clock = Clock(None, a.processing_date)
+    if a.job == "stream":
+        inc = IncrementalConfig(a.inputs[0], a.output, a.hold, a.checkpoint, keys_dir=a.keys,
+                                log_path=a.log, date_mode=a.date_mode)
+        out = {"job": a.job, "batches": run_med_incremental(spark, inc, masters, clock=clock)}
+        print(json.dumps(out))
+        return out
     if a.job == "med":
         r = run_med(spark, cfg, clock)
     elif a.job == "ict":

@@ -3,7 +3,6 @@ from cdrmill.functions.parse import (  # noqa: F401
     blank_to_null,
     date_from_name,
     duration_seconds,
-    format_processed_time,
     hhmiss,
     parent_name,
     parse_fixed_width,

@@ -97,6 +97,3 @@ def parent_name(path: Column | str) -> Column:
     """Name of the folder that holds a file."""
     return F.regexp_extract(_c(path), r"([^/]+)/[^/]*$", 1)
 
-
-def format_processed_time(c: Column | str, fmt: str = "dd/MM/yyyy HH:mm") -> Column:
-    return F.date_format(_c(c), fmt)

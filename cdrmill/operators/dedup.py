@@ -32,6 +32,3 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return agg.select(*[F.col(c) if c in keys else F.col("_winner")[c].alias(c)
                         for c in df.columns])
 
-
-def count_per(df: DataFrame, by: str, name: str) -> DataFrame:
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -121,12 +122,13 @@ def map_med(df: DataFrame, clock: Clock = Clock(), transit_first: bool = False)
     return df.select(*[v.alias(k) for k, v in cols.items()], *extras)
 
 
-def map_ict(df: DataFrame, clock: Clock = Clock()) -> DataFrame:
+def map_ict(df: DataFrame, clock: Clock = Clock(), keep: Sequence[str] = ()) -> DataFrame:
     """Cleaned ICT leg rows (42 upper-case input columns, ``file_name``,
     ``leg``, ``t_poi``/``t_operator``) -> 42 ICT columns + extras.
 
     Most columns pass through; counts and usages become int; start time is
-    cut to HHMISS; the ids are recomputed on the row's own leg.
+    cut to HHMISS; the ids are recomputed on the row's own leg.  Columns named in
+    ``keep`` pass through as well.
     """
     c = F.col
     out: dict[str, Column] = {}
@@ -153,4 +155,4 @@ def map_ict(df: DataFrame, clock: Clock = Clock()) -> DataFrame:
               c("leg")]
     if "leg_index" in df.columns:
         extras.append(c("leg_index"))
-    return df.select(*[v.alias(k) for k, v in out.items()], *extras)
+    return df.select(*[v.alias(k) for k, v in out.items()], *extras, *keep)

@@ -21,12 +21,14 @@ def med_hold_reason(leg: str = "leg", trunk_hit: str = "trunk_hit",
 
 
 def ict_hold_reason(leg: str = "leg", poi: str = "poi_id",
-                    operator: str = "network_operator_id") -> Column:
-    """ICT rows match when the looked-up POI and OPERATOR are both present."""
+                    operator: str = "network_operator_id", date: str = "original_date") -> Column:
+    """ICT rows match when the looked-up POI and OPERATOR are both present and
+    the file name has a date."""
     has_leg = F.col(leg).isNotNull()
     parts = [
         F.when(~has_leg, F.lit("no_leg")),
         F.when(has_leg & (F.col(poi).isNull() | F.col(operator).isNull()), F.lit("trunk")),
+        F.when(F.col(date).isNull(), F.lit("no_date")),
     ]
     return F.nullif(F.concat_ws("+", *parts), F.lit(""))
 

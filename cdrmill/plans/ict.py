@@ -62,10 +62,23 @@ class IctOutput:
 
 def enrich_ict(records: DataFrame, masters: Masters, clock: Clock = Clock(),
                date_mode: str = "regex") -> IctOutput:
-    kept = dedup_ict(records)
-    dated = kept.withColumns({"original_date": original_date("file_name", date_mode),
-                              "processing_date": clock.date()})
-    legs = split_transit(dated, ICT_INCOMING, ICT_OUTGOING, index="leg_index")
+    """Records with a ``line_problem`` bypass the duplicate check (their keys may
+    be in the wrong place) and the split, and are held with it as the reason."""
+    def dated(df: DataFrame) -> DataFrame:
+        return df.withColumns({"original_date": original_date("file_name", date_mode),
+                               "processing_date": clock.date()})
+
+    kept = dated(dedup_ict(records.where("line_problem is null").drop("line_problem")))
+    legs = split_transit(kept, ICT_INCOMING, ICT_OUTGOING, index="leg_index")
     out = lookup_ict(legs, masters, clock)
+    broken = records.where("line_problem is not null")
+    problem = broken.select(*prepare_records(broken).columns, "line_problem")
+    problem = dated(problem).withColumns({
+        "EVENT_START_TIME": hhmiss(F.col("EVENT_START_TIME")),
+        "leg": F.lit(None).cast("string"), "leg_index": F.lit(None).cast("int"),
+        "t_poi": F.lit(None).cast("string"), "t_operator": F.lit(None).cast("string")})
+    held = (map_ict(problem, clock, keep=["line_problem"])
+            .withColumnRenamed("line_problem", "hold_reason"))
+    out = out.unionByName(held.select(*out.columns))
     matched, held = split_matched(out)
     return IctOutput(out, matched.drop("leg_index"), held.drop("leg_index"))

@@ -1,44 +1,51 @@
-"""The jobs a user runs: MED load, ICT load, hold reprocess.
+"""The jobs a user runs: MED load, ICT load, hold reprocess, parsed-only export.
 
 Each job is one lazy plan with a few writes.  The leg rows feed all of them
-(enriched, held, audit, loaded keys, log), so they are persisted once
-(memory, then disk; a lost executor recomputes its blocks from lineage,
-which is deterministic).  Counts come from ``DataFrame.observe`` on that
-same pass, not from extra ``count()`` jobs.
-
-Commit order: enriched data, held rows, audit, loaded keys, the
-processed-file log, and last the hold store's commit entry.  A crash before
-the log entry means the files are read again; the re-run writes into the
-same ``load_id`` leaf partitions (dynamic overwrite), so nothing is doubled,
-and hold leaves of an uncommitted run are never read.
+(enriched, held, audit, loaded keys), so they are persisted once (memory, then
+disk; a lost executor recomputes its blocks from lineage, which is
+deterministic).  The pass that fills them counts them.
+
+Every run has an id of its own and writes all its rows under it.  The commit
+entry, written last, makes them count; every reader (enriched, held, audit, keys,
+table, log) takes committed loads only.  So a run that died is as if it never
+was: its files are not logged, and the next run loads them.  Two runs of one job
+on one day stand beside each other.
+
+Input files are known by full path.  Logged ones are taken out of the listing
+before the scan, and every scanned file is logged, whatever became of its
+records.
 """
 
 from __future__ import annotations
 
-import hashlib
 import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdrmill.functions.parse import parse_fixed_width
 from cdrmill.operators.audit import file_audit
-from cdrmill.operators.files import new_files
 from cdrmill.operators.lookup import Masters
 from cdrmill.operators.mapping import Clock
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
-from cdrmill.plans.med import finish_med, med_legs, parse_records
-from cdrmill.session import size_shuffle_partitions
+from cdrmill.plans.med import finish_med, med_legs, original_date, parse_records
+from cdrmill.session import sized_shuffle
+from cdrmill.sinks.commits import commit_load, new_load_id, only_committed
 from cdrmill.sinks.keys import loaded_keys, write_keys
-from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, commit_load,
-                                   create_partitioned_table, current_hold, write_enriched,
-                                   write_hold, write_per_file)
+from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, create_partitioned_table,
+                                   current_hold, export_csv, has_hold, write_audit,
+                                   write_enriched, write_hold, write_per_file)
 from cdrmill.sources.envelope import envelope_records
-from cdrmill.sources.log import append_log, log_entries, read_log
+from cdrmill.sources.listing import InputFile, new_input_files, scan_groups
+from cdrmill.sources.log import log_files, read_log
 from cdrmill.sources.masters import read_latest_master, read_master
-from cdrmill.sources.text import read_lines, read_lines_with_position, spread_if_unsplittable
+from cdrmill.sources.text import read_line_groups, read_lines_with_position
+
+
+LEG_COUNTS = ("leg_rows", "matched", "held")
 
 
 @dataclass
@@ -75,21 +82,30 @@ class JobConfig:
     time_format: str = CSV_TIME_FORMAT  # PROCESSEDTIME in CSV output
     date_mode: str = "regex"
     source_col: str | None = None
-    load_id: str | None = None
+    load_id: str | None = None        # first part of the run's id (default: job and date)
     keys_dir: str | None = None       # also drop calls kept by earlier loads (MED)
-    keys_days: int | None = 31        # ...whose event date is this recent (None: all)
-    size_partitions: bool = True      # raise shuffle partitions from the input size
+    size_partitions: bool = True      # enough shuffle partitions for the new files' bytes
     table: str | None = None          # also append into this partitioned table
     per_file_path: str | None = None  # also write one CSV folder per input file
+    hold_after: bool = False          # then reprocess the held rows in the same call
 
 
-def _extra_sinks(enriched: DataFrame, cfg: JobConfig) -> None:
+def _write_matched(enriched: DataFrame, cfg: JobConfig, load_id: str) -> None:
+    """The enriched rows of a run, into every sink that is set."""
+    write_enriched(enriched, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
+                   cfg.time_format)
     if cfg.table:
-        create_partitioned_table(enriched.sparkSession, cfg.table, enriched.schema,
-                                 ["processing_date"])
-        append_table(enriched, cfg.table)
+        rows = enriched.withColumn("load_id", F.lit(load_id))
+        create_partitioned_table(enriched.sparkSession, cfg.table, rows.schema,
+                                 ["processing_date", "load_id"])
+        append_table(rows, cfg.table)
     if cfg.per_file_path:
-        write_per_file(enriched, cfg.per_file_path)
+        write_per_file(enriched, cfg.per_file_path, load_id=load_id)
+
+
+def read_table(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """The rows of committed loads in the job's table."""
+    return only_committed(spark.table(cfg.table), cfg.hold_path)
 
 
 @dataclass
@@ -99,119 +115,126 @@ class JobResult:
     seconds: float = 0.0
 
 
-def default_load_id(kind: str, inputs, clock: Clock) -> str:
-    """Same inputs on the same processing day give the same id, so a re-run
-    replaces its own earlier partial output."""
-    spec = repr(sorted(inputs) if isinstance(inputs, list) else inputs)
-    day = clock.processing_date or time.strftime("%Y-%m-%d")
-    return f"{kind}-{day}-{hashlib.sha1(spec.encode()).hexdigest()[:10]}"
+def _listed(spark: SparkSession, files: list[InputFile]) -> DataFrame:
+    return spark.createDataFrame([(f.path, f.name) for f in files], "path string, name string")
+
+
+def _log_scanned(spark: SparkSession, files: list[InputFile], cfg: JobConfig, clock: Clock,
+                 load_id: str) -> None:
+    log_files(_listed(spark, files), cfg.log_path, original_date("name", cfg.date_mode),
+              clock.date(), load_id)
+
 
+def _nothing(load_id: str, t0: float) -> JobResult:
+    return JobResult(load_id, dict.fromkeys(LEG_COUNTS, 0), time.time() - t0)
 
-def _observed(legs: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
+
+def _then_hold(spark: SparkSession, cfg: JobConfig, source: str, clock: Clock,
+               result: JobResult) -> JobResult:
+    if cfg.hold_after:
+        again = run_hold_reprocess(spark, cfg, source, clock)
+        result.metrics["released"] = again.metrics["released"]
+        result.seconds += again.seconds
+    return result
+
+
+def _counted(legs: DataFrame) -> dict:
+    """Compute the persisted legs in one pass and count them on the way."""
     reason = F.col("hold_reason")
-    legs = legs.observe(obs, F.count(F.lit(1)).alias("leg_rows"),
-                        F.count_if(reason.isNull()).alias("matched"),
-                        F.count_if(reason.isNotNull()).alias("held"))
-    return legs, obs
+    return legs.agg(F.count(F.lit(1)).alias("leg_rows"),
+                    F.count_if(reason.isNull()).alias("matched"),
+                    F.count_if(reason.isNotNull()).alias("held")).first().asDict()
 
 
 def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobResult:
     """New files only -> duplicate check -> split -> lookups -> enriched
     rows by (original_date, processing_date), held rows to the hold store,
-    per-file audit, then the log."""
+    per-file audit, log, commit."""
     t0 = time.time()
     clock = clock.resolved(spark)
-    load_id = cfg.load_id or default_load_id("med", cfg.inputs, clock)
-    scan = read_lines(spark, cfg.inputs, cfg.source_col)
-    lines = spread_if_unsplittable(new_files(scan, read_log(spark, cfg.log_path)), scan)
-    if lines.isEmpty():
-        return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
-    parts = size_shuffle_partitions(spark, cfg.inputs) if cfg.size_partitions else None
+    load_id = new_load_id("med", clock.processing_date, cfg.load_id)
+    files = new_input_files(spark, cfg.inputs, read_log(spark, cfg.log_path, cfg.hold_path),
+                            cfg.source_col)
+    if not files:
+        return _then_hold(spark, cfg, "MED", clock, _nothing(load_id, t0))
     masters = cfg.masters.load(spark)
+    lines = read_line_groups(spark, scan_groups(files, cfg.source_col), cfg.source_col)
     records = parse_records(lines)
-    loaded = (loaded_keys(spark, cfg.keys_dir, clock.processing_date, cfg.keys_days, load_id)
-              if cfg.keys_dir else None)
-    legs, obs = _observed(med_legs(records, masters, clock, cfg.date_mode, loaded), "med")
-    legs = legs.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        enriched, held = finish_med(legs, clock)
-        write_enriched(enriched, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
-                       cfg.time_format)
-        _extra_sinks(enriched, cfg)
-        write_hold(held, cfg.hold_path, load_id)
-        if cfg.audit_path:
-            audit = file_audit(records, legs)
-            audit.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(
-                cfg.audit_path)
-        if cfg.keys_dir:
-            write_keys(legs, cfg.keys_dir, load_id)
-        entries = log_entries(legs, processing_date=clock.date())
-        append_log(spark, cfg.log_path, entries)
-        commit_load(spark, cfg.hold_path, load_id)
-    finally:
-        legs.unpersist()
+    with sized_shuffle(spark, sum(f.length for f in files), cfg.size_partitions) as parts:
+        loaded = (loaded_keys(spark, cfg.keys_dir, cfg.hold_path, records, load_id)
+                  if cfg.keys_dir else None)
+        legs = med_legs(records, masters, clock, cfg.date_mode, loaded).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        try:
+            m = _counted(legs)
+            enriched, held = finish_med(legs, clock)
+            _write_matched(enriched, cfg, load_id)
+            write_hold(held, cfg.hold_path, load_id)
+            if cfg.audit_path:
+                write_audit(file_audit(records, legs), cfg.audit_path, load_id)
+            if cfg.keys_dir:
+                write_keys(legs, cfg.keys_dir, load_id)
+            _log_scanned(spark, files, cfg, clock, load_id)
+            commit_load(spark, cfg.hold_path, load_id)
+        finally:
+            legs.unpersist()
     secs = time.time() - t0
-    m = dict(obs.get)
     m["rows_per_sec"] = round(m.get("leg_rows", 0) / secs, 1) if secs else None
     m["master_rows_dropped"] = masters.trunk_dropped + masters.node_dropped
-    if parts is not None:
-        m["shuffle_partitions"] = parts
-    return JobResult(load_id, m, secs)
+    m["shuffle_partitions"] = parts
+    m["files"] = len(files)
+    return _then_hold(spark, cfg, "MED", clock, JobResult(load_id, m, secs))
 
 
 def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobResult:
     """Envelope CSV extracts -> duplicate check -> split -> trunk lookup
-    -> enriched / held, per-file audit, then the log."""
+    -> enriched / held, per-file audit, log, commit."""
     t0 = time.time()
     clock = clock.resolved(spark)
-    load_id = cfg.load_id or default_load_id("ict", cfg.inputs, clock)
-    lines = read_lines_with_position(spark, cfg.inputs, cfg.source_col)
-    lines = new_files(lines, read_log(spark, cfg.log_path))  # skip loaded files at the scan
-    if lines.isEmpty():  # stops at the first line of a new file
-        return JobResult(load_id, {"leg_rows": 0, "matched": 0, "held": 0}, time.time() - t0)
-    if cfg.size_partitions:
-        size_shuffle_partitions(spark, cfg.inputs)
-    env_obs = Observation("ict_envelope")
-    records = envelope_records(lines, observation=env_obs)
-    out = enrich_ict(records, cfg.masters.load(spark), clock, cfg.date_mode)
-    legs, obs = _observed(out.legs, "ict")
-    legs = legs.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        matched = legs.where(F.col("hold_reason").isNull()).drop("hold_reason", "leg_index")
-        held = legs.where(F.col("hold_reason").isNotNull()).drop("leg_index")
-        write_enriched(matched, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
-                       cfg.time_format)
-        _extra_sinks(matched, cfg)
-        write_hold(held, cfg.hold_path, load_id)
-        if cfg.audit_path:
-            audit = file_audit(records, legs.withColumnRenamed("INPUTFILENAME", "file_name"))
-            audit.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(
-                cfg.audit_path)
-        entries = log_entries(legs.withColumnRenamed("INPUTFILENAME", "file_name")
-                              .select("file_name", "original_date"),
-                              processing_date=clock.date())
-        append_log(spark, cfg.log_path, entries)
-        commit_load(spark, cfg.hold_path, load_id)
-    finally:
-        legs.unpersist()
-    m = dict(obs.get)
-    m.update(env_obs.get)  # files read, files whose header line is not the expected one
-    return JobResult(load_id, m, time.time() - t0)
+    load_id = new_load_id("ict", clock.processing_date, cfg.load_id)
+    files = new_input_files(spark, cfg.inputs, read_log(spark, cfg.log_path, cfg.hold_path),
+                            cfg.source_col)
+    if not files:
+        return _then_hold(spark, cfg, "ICT", clock, _nothing(load_id, t0))
+    with sized_shuffle(spark, sum(f.length for f in files), cfg.size_partitions):
+        records = None
+        for paths, base, _ in scan_groups(files, cfg.source_col):
+            part = envelope_records(read_lines_with_position(spark, paths, cfg.source_col, base))
+            records = part if records is None else records.unionByName(part)
+        out = enrich_ict(records, cfg.masters.load(spark), clock, cfg.date_mode)
+        legs = out.legs.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            m = _counted(legs)
+            matched = legs.where(F.col("hold_reason").isNull()).drop("hold_reason", "leg_index")
+            held = legs.where(F.col("hold_reason").isNotNull()).drop("leg_index")
+            _write_matched(matched, cfg, load_id)
+            write_hold(held, cfg.hold_path, load_id)
+            bad = (legs.where(F.col("hold_reason").contains("bad_header"))
+                   .agg(F.countDistinct("INPUTFILENAME").alias("n")).first()["n"])
+            if cfg.audit_path:
+                audit = file_audit(records, legs.withColumnRenamed("INPUTFILENAME", "file_name"))
+                write_audit(audit, cfg.audit_path, load_id)
+            _log_scanned(spark, files, cfg, clock, load_id)
+            commit_load(spark, cfg.hold_path, load_id)
+        finally:
+            legs.unpersist()
+    m.update(files=len(files), bad_headers=bad)
+    return _then_hold(spark, cfg, "ICT", clock, JobResult(load_id, m, time.time() - t0))
 
 
 def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "MED",
                        clock: Clock = Clock()) -> JobResult:
     """Held rows of earlier loads meet the newest masters.  Rows that
-    match are written back-dated (their first processing date); the rest are
-    held again under this run's ``load_id``; the loads that were read are
-    then marked superseded in the same commit append (the folder being read
-    is never rewritten)."""
+    match are written back-dated (their first processing date) to the same sinks
+    as a load's; the rest are held again under this run's id; the loads that were
+    read are then marked superseded in the same commit append (the folder being
+    read is never rewritten)."""
     t0 = time.time()
     clock = clock.resolved(spark)
-    load_id = cfg.load_id or default_load_id(f"hold-{source_type.lower()}", cfg.hold_path, clock)
+    load_id = new_load_id(f"hold-{source_type.lower()}", clock.processing_date, cfg.load_id)
+    if not has_hold(spark, cfg.hold_path):
+        return JobResult(load_id, {"released": 0}, time.time() - t0)
     held = current_hold(spark, cfg.hold_path, "lookup")  # final rows are never re-read
-    held = held.where(F.col("load_id") != load_id)
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         masters = cfg.masters.load(spark)
@@ -220,12 +243,22 @@ def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "
             done, still = reprocess_med_hold(base, masters, clock)
         else:
             done, still = reprocess_ict_hold(base, masters, clock)
-        obs = Observation("hold")
-        done = done.observe(obs, F.count(F.lit(1)).alias("released"))
-        write_enriched(done, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
-                       cfg.time_format)
+        released = done.count()
+        _write_matched(done, cfg, load_id)
         write_hold(still, cfg.hold_path, load_id)
         commit_load(spark, cfg.hold_path, load_id, superseded=held.select("load_id"))
     finally:
         held.unpersist()
-    return JobResult(load_id, dict(obs.get), time.time() - t0)
+    return JobResult(load_id, {"released": released}, time.time() - t0)
+
+
+def run_parse(spark: SparkSession, inputs: str | list[str], output_path: str,
+              header: bool = True, null_token: str | None = None) -> int:
+    """Parsed-only export: every call record's 21 fields and its file name as CSV.
+    Returns the number of records."""
+    files = new_input_files(spark, inputs)
+    if not files:
+        return 0
+    lines = read_line_groups(spark, scan_groups(files)).select("value", "file_name")
+    export_csv(parse_fixed_width(lines), output_path, header=header, null_token=null_token)
+    return lines.count()

@@ -62,12 +62,20 @@ def lookup_legs(legs: DataFrame, masters: Masters) -> DataFrame:
 def drop_loaded(kept: DataFrame, loaded_keys: DataFrame) -> DataFrame:
     """Remove calls whose duplicate-check key an earlier load already kept.
 
-    A plain equi-join on the four key columns: ``kept`` is already hash
-    partitioned on exactly those columns by the duplicate check, so only the
-    keys store is shuffled (a NULL-safe join would shuffle every kept call a
-    second time).  A call with a missing key part is therefore never taken
-    for a repeat of an earlier load; it is kept, not dropped."""
-    return kept.join(loaded_keys.select(*MED_DEDUP_KEYS), MED_DEDUP_KEYS, "left_anti")
+    A plain equi-join on the four key columns, in which blank parts are empty
+    text: ``kept`` is already hash partitioned on exactly those columns by the
+    duplicate check, so only the keys store is shuffled.  The rule is the one
+    inside a load: blank key parts are equal, here as there."""
+    return kept.join(filled_keys(loaded_keys).select(*MED_DEDUP_KEYS), MED_DEDUP_KEYS, "left_anti")
+
+
+def filled_keys(df: DataFrame) -> DataFrame:
+    """Blank duplicate-check key parts as empty text (so that they compare equal)."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in MED_DEDUP_KEYS})
+
+
+def blanked_keys(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in MED_DEDUP_KEYS})
 
 
 def med_legs(records: DataFrame, masters: Masters, clock: Clock = Clock(),
@@ -75,9 +83,10 @@ def med_legs(records: DataFrame, masters: Masters, clock: Clock = Clock(),
     """De-duplicated, split, looked-up leg rows with ``hold_reason`` and
     ``leg_index`` (0 on the first leg row of each kept record).  With
     ``loaded_keys``, calls kept by an earlier load are dropped too."""
-    kept = dedup_records(records)
-    if loaded_keys is not None:
-        kept = drop_loaded(kept, loaded_keys)
+    if loaded_keys is None:
+        kept = dedup_records(records)
+    else:
+        kept = blanked_keys(drop_loaded(dedup_records(filled_keys(records)), loaded_keys))
     dated = kept.withColumns({"original_date": original_date("file_name", date_mode),
                               "processing_date": clock.date()})
     return lookup_legs(split_transit(dated, index="leg_index"), masters)

@@ -57,8 +57,6 @@ CDR_COLUMNS = [f.name for f in CDR_LAYOUT]
 CDR_UNUSED = CDR_COLUMNS[12:]
 CDR_USED = CDR_COLUMNS[:12] + ["record_sequence_number"]
 
-CDR_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CDR_COLUMNS])
-
 # Record-level duplicate check keys (same call seen twice).
 MED_DEDUP_KEYS = ["anum", "bnum", "event_start_date", "event_start_time"]
 ICT_DEDUP_KEYS = ["ANUM", "BNUM", "EVENT_START_DATE", "EVENT_START_TIME"]
@@ -101,17 +99,12 @@ INT_COLUMNS = [
     "AMOUNT", "FLAT_RATE_CHARGE", "START_CALL_COUNT",
 ]
 
-# Extra columns carried next to the 42 (partition keys and provenance).
-EXTRA_COLUMNS = ["original_date", "processing_date", "leg"]
-
-ICT_INPUT_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in ENRICHED_COLUMNS]
-)
-
 LOG_SCHEMA = T.StructType([
     T.StructField("filename", T.StringType(), True),
     T.StructField("original_date", T.StringType(), True),
     T.StructField("processing_date", T.DateType(), True),
+    T.StructField("path", T.StringType(), True),      # full path, the file's identity
+    T.StructField("load_id", T.StringType(), True),   # counts once this load is committed
 ])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,23 +84,18 @@ def parallelism(spark: SparkSession) -> int:
                                   spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def input_bytes(spark: SparkSession, paths) -> int:
-    """Total size of the input files, from file metadata only (the
-    ``binaryFile`` source reads no content when only ``length`` is used)."""
-    from pyspark.sql import functions as F
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    row = spark.read.format("binaryFile").load(paths).agg(F.sum("length").alias("b")).first()
-    return int(row["b"] or 0)
-
-
-def size_shuffle_partitions(spark: SparkSession, paths, shuffle_ratio: float = 0.5,
-                            target_bytes: int = 256 << 20) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so the duplicate-check shuffle
-    (about ``shuffle_ratio`` of the input bytes) gets ~``target_bytes`` per
-    partition; never lowers a larger setting (AQE still coalesces)."""
-    want = -(-int(input_bytes(spark, paths) * shuffle_ratio) // target_bytes)
-    cur = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if want > cur:
-        spark.conf.set("spark.sql.shuffle.partitions", str(want))
-        return want
-    return cur
+@contextmanager
+def sized_shuffle(spark: SparkSession, input_bytes: int, on: bool = True,
+                  shuffle_ratio: float = 0.5, target_bytes: int = 256 << 20):
+    """While a job runs, enough shuffle partitions for ``shuffle_ratio`` of its
+    input at ``target_bytes`` each (never fewer than set); yields their number
+    and puts the session's setting back."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    want = max(int(before), -(-int(input_bytes * shuffle_ratio) // target_bytes)) if on \
+        else int(before)
+    spark.conf.set(key, str(want))
+    try:
+        yield want
+    finally:
+        spark.conf.set(key, before)

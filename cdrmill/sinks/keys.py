@@ -1,45 +1,50 @@
 """Store of the duplicate-check keys already loaded.
 
-Lets a load drop calls that an earlier load (or micro-batch) already kept.
-Keys are partitioned by event date and, below that, by load, so a load
-reads only the recent dates and a replay rewrites only its own leaf.
+Lets a load drop calls that an earlier load (or micro-batch) already kept,
+however long ago.  The key holds the event date, so keys are partitioned by it
+and a load reads exactly the partitions of the dates that occur in it.  Text that
+is no date shares one partition.  Below the date each load has its own leaf.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdrmill.sinks.writers import read_partitioned, write_partitioned
+from cdrmill.functions.parse import parse_yyyymmdd
+from cdrmill.sinks.commits import is_missing, only_committed
+from cdrmill.sinks.writers import write_partitioned
 
 KEY_COLUMNS = ["anum", "bnum", "event_start_date", "event_start_time"]
+KEY_SCHEMA = ", ".join(f"{c} string" for c in [*KEY_COLUMNS, "key_date", "load_id"])
+NO_DATE = "none"
+
+
+def key_date() -> Column:
+    date = F.col("event_start_date")
+    return F.when(parse_yyyymmdd(date).isNotNull(), date).otherwise(F.lit(NO_DATE))
 
 
-def loaded_keys(spark: SparkSession, keys_dir: str, processing_date: str,
-                days: int | None, own_load: str) -> DataFrame | None:
-    """Keys kept by earlier loads.  With ``days``, only calls whose event
-    date is at most ``days`` before the processing date are checked (a
-    static partition filter on ``event_start_date``, pruned at planning, like
-    a streaming watermark); ``None`` checks every key ever loaded.  A replay
-    of this load ignores its own keys."""
+def loaded_keys(spark: SparkSession, keys_dir: str, hold_path: str, batch: DataFrame,
+                own_load: str) -> DataFrame | None:
+    """Keys that committed earlier loads kept, of the event dates in ``batch``
+    (parsed records).  The dates are broadcast (calendar days bound them), which
+    prunes the key partitions at run time.  None before the first load."""
     try:
-        keys = read_partitioned(spark, keys_dir)
-    except AnalysisException:
-        return None  # no earlier load
-    date = F.col("event_start_date").cast("string")
-    if days is not None:
-        cutoff = (datetime.strptime(processing_date, "%Y-%m-%d")
-                  - timedelta(days=days)).strftime("%Y%m%d")
-        keys = keys.where(date >= F.lit(cutoff))
-    return keys.where(F.col("load_id") != own_load).select(
-        "anum", "bnum", date.alias("event_start_date"), "event_start_time")
+        keys = spark.read.schema(KEY_SCHEMA).option("basePath", keys_dir).parquet(keys_dir)
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise
+    dates = batch.select(key_date().alias("key_date")).distinct()
+    keys = keys.where(F.col("load_id") != own_load).join(F.broadcast(dates), "key_date",
+                                                         "left_semi")
+    return only_committed(keys, hold_path).select(*KEY_COLUMNS)
 
 
 def write_keys(legs: DataFrame, keys_dir: str, load_id: str) -> None:
     """Keys of the calls this load kept (one per call: the first leg row)."""
     first = legs.where(F.col("leg_index").isNull() | (F.col("leg_index") == 0))
-    write_partitioned(first.select(*KEY_COLUMNS), keys_dir, ["event_start_date"], "parquet",
-                      load_id)
+    write_partitioned(first.select(*KEY_COLUMNS).withColumn("key_date", key_date()), keys_dir,
+                      ["key_date"], "parquet", load_id)

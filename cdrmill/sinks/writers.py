@@ -1,21 +1,27 @@
 """Sinks: partitioned enriched output, hold store, tables, CSV exports.
 
 Every write is a distributed Spark write (no collect, no single task).
-Writes that a re-run may repeat are idempotent: each load writes its own
-leaf partition (``load_id``) under dynamic partition overwrite, so a retry
-replaces its own earlier attempt and never another load's rows.  That also
-makes back-dated loading safe: held rows reprocessed days later land in the
-partition of their original date beside the rows already there.
+Each load writes its own leaf partition (``load_id``) under dynamic partition
+overwrite, beside and never over another load's rows.  That also makes
+back-dated loading safe: held rows reprocessed days later land in the
+partition of their original date beside the rows already there.  Rows are
+rebalanced on the partition columns before a write, so the number of files
+follows the data and not tasks x partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdrmill.operators.lookup import sized_broadcast
+from cdrmill.sinks.commits import (commit_load, is_missing, only_committed,  # noqa: F401
+                                   read_commits)
+
 CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -36,6 +42,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
     if load_id is not None:
         df = df.withColumn("load_id", F.lit(load_id))
         parts.append("load_id")
+    df = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
     w = _dynamic(df).mode("overwrite").partitionBy(*parts)
     if fmt == "csv":
         w = w.option("header", header).option("timestampFormat", time_format)
@@ -56,16 +63,19 @@ def write_enriched(df: DataFrame, path: str, load_id: str, fmt: str = "parquet",
 
 
 def write_per_file(df: DataFrame, path: str, name_col: str = "INPUTFILENAME",
-                   partition_by: Sequence[str] = ("processing_date",), fmt: str = "csv") -> None:
-    """One folder per input file (then by date), as the per-file export."""
-    write_partitioned(df, path, [name_col, *partition_by], fmt)
+                   partition_by: Sequence[str] = ("processing_date",), fmt: str = "csv",
+                   load_id: str | None = None) -> None:
+    """One folder per input file (then by date, then by load), as the per-file
+    export."""
+    write_partitioned(df, path, [name_col, *partition_by], fmt, load_id)
 
 
 def hold_class(reason: str = "hold_reason"):
-    """``final`` for rows no newer master can fix (no leg, or no date in the
-    file name), ``lookup`` for rows waiting for master data."""
+    """``final`` for rows no newer master can fix (no leg, no date in the file
+    name, a broken line or header), ``lookup`` for rows waiting for master data."""
     r = F.col(reason)
-    return (F.when(r.contains("no_leg") | r.contains("no_date"), F.lit("final"))
+    return (F.when(r.contains("no_leg") | r.contains("no_date") | r.contains("ragged")
+                   | r.contains("bad_header"), F.lit("final"))
             .otherwise(F.lit("lookup")))
 
 
@@ -93,35 +103,35 @@ def read_hold(spark: SparkSession, path: str, superseded: DataFrame | None = Non
     already taken over (``superseded``: one ``load_id`` per row)."""
     held = read_partitioned(spark, path)
     if superseded is not None:
-        from cdrmill.operators.lookup import sized_broadcast
         gone, _ = sized_broadcast(superseded.select("load_id").distinct())
         held = held.join(gone, "load_id", "left_anti")
     return held
 
 
-COMMITS = "_commits"
+def read_enriched(spark: SparkSession, path: str, hold_path: str) -> DataFrame:
+    """Enriched rows (Parquet output) of committed loads."""
+    return only_committed(read_partitioned(spark, path), hold_path)
 
 
-def commit_load(spark: SparkSession, hold_path: str, load_id: str,
-                superseded: DataFrame | None = None) -> None:
-    """Last step of a load or reprocess: one append (one write job) to the
-    hold store's commit table.  A reprocess records which loads it took
-    over in the same rows, so "committed" and "superseded" change together.
-    Leaves of a run that died before this step are ignored by
-    ``current_hold`` (and replaced when the run is repeated with its id)."""
-    rows = spark.createDataFrame([(load_id, None)], "load_id string, supersedes string")
-    if superseded is not None:
-        rows = rows.unionByName(superseded.select(
-            F.lit(load_id).alias("load_id"), F.col("load_id").alias("supersedes")).distinct())
-    rows.write.mode("append").parquet(f"{hold_path.rstrip('/')}/{COMMITS}")
+def write_audit(audit: DataFrame, path: str, load_id: str) -> None:
+    """Per-file counts of one load."""
+    write_partitioned(audit, path, [], "parquet", load_id)
+
+
+def read_audit(spark: SparkSession, path: str, hold_path: str) -> DataFrame:
+    """Per-file counts of committed loads."""
+    return only_committed(read_partitioned(spark, path), hold_path)
 
 
-def read_commits(spark: SparkSession, hold_path: str) -> DataFrame:
+def has_hold(spark: SparkSession, hold_path: str) -> bool:
+    """Whether any held row was ever written."""
     try:
-        return spark.read.schema("load_id string, supersedes string").parquet(
-            f"{hold_path.rstrip('/')}/{COMMITS}")
-    except Exception:  # noqa: BLE001 - absent before the first commit
-        return spark.createDataFrame([], "load_id string, supersedes string")
+        read_partitioned(spark, hold_path)
+        return True
+    except AnalysisException as e:
+        if is_missing(e, empty_too=True):
+            return False
+        raise
 
 
 def current_hold(spark: SparkSession, hold_path: str, cls: str | None = None) -> DataFrame:
@@ -129,15 +139,13 @@ def current_hold(spark: SparkSession, hold_path: str, cls: str | None = None) ->
     committed reprocess took their load over; ``final`` rows (which no
     reprocess reads) stay where they were written.  ``cls`` restricts to one
     class (a partition filter, so the other class is not read)."""
-    from cdrmill.operators.lookup import sized_broadcast
     commits = read_commits(spark, hold_path)
-    committed, _ = sized_broadcast(commits.select("load_id").distinct())
     gone, _ = sized_broadcast(commits.where(F.col("supersedes").isNotNull())
                               .select(F.col("supersedes").alias("_gone")).distinct())
     held = read_partitioned(spark, hold_path)
     if cls is not None:
         held = held.where(F.col("hold_class") == cls)
-    held = held.join(committed, "load_id", "left_semi")
+    held = only_committed(held, hold_path)
     return held.join(gone, (F.col("load_id") == F.col("_gone"))
                      & (F.col("hold_class") == "lookup"), "left_anti")
 

@@ -9,15 +9,22 @@ aggregate; the envelope lines of a file are among the first ``head`` and
 last ``tail`` lines of its splits, so ranking those few candidates per file
 finds them.  The lines are then tagged with their envelope rank by a
 broadcast join (its size bounded by the file listing; a shuffle join beyond
-the limit) and the records are the untagged lines.  The header line can be
-checked in the same pass.
+the limit) and the records are the untagged lines.
+
+Columns are taken by the names in each file's header line, which the position
+pass finds along the way.  Files with the expected header are parsed as they are;
+the lines of others are first put in the expected order.  A line with another
+number of fields than its header is marked ``ragged``, every line of a file
+whose header lacks a column ``bad_header``: such records are held, not guessed.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdrmill.functions.parse import blank_to_null
@@ -26,26 +33,36 @@ from cdrmill.schema import ENRICHED_COLUMNS
 from cdrmill.sources.text import read_lines_with_position, spread_if_unsplittable
 
 POSITION = ["file_path", "_blk", "_pos"]
+HEADER_MARKS = ("ANUM", "BNUM", "EVENT_START_DATE")
+HEADER_BYTES = 4096  # allowed for a header line in the size bound
+# a comma outside quotes (only files with another header than expected are split so)
+FIELD_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def envelope_positions(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
-    """(file_path, _blk, _pos, _env) of the first ``head`` lines (``_env`` =
+    """(file_path, _blk, _pos, _env, header) of the first ``head`` lines (``_env`` =
     1, 2, ...) and the last ``tail`` lines (``_env`` = -1, -2, ... from the
-    end) of every file."""
-    splits = lines.groupBy("file_path", "_blk").agg(F.min("_pos").alias("lo"),
-                                                    F.max("_pos").alias("hi"))
+    end) of every file; ``header`` is the line itself where it looks like a
+    header (it names the duplicate-check columns)."""
+    looks = F.upper("value")
+    like_header = reduce(lambda a, b: a & b, [looks.contains(k) for k in HEADER_MARKS])
+    splits = lines.groupBy("file_path", "_blk").agg(
+        F.min("_pos").alias("lo"), F.max("_pos").alias("hi"),
+        F.min(F.when(like_header, F.struct("_pos", "value"))).alias("h"))
     lo, hi = F.col("lo"), F.col("hi")
     picks = ([F.when(lo + i <= hi, lo + i) for i in range(head)]
              + [F.when(hi - i >= lo, hi - i) for i in range(tail)])
-    cand = (splits.select("file_path", "_blk", F.explode(F.array(*picks)).alias("_pos"))
-            .where(F.col("_pos").isNotNull()).distinct())
+    cand = (splits.select("file_path", "_blk", "h", F.explode(F.array_distinct(F.array(*picks)))
+                          .alias("_pos"))
+            .where(F.col("_pos").isNotNull())
+            .withColumn("header", F.when(F.col("h._pos") == F.col("_pos"), F.col("h.value"))))
     asc = Window.partitionBy("file_path").orderBy("_blk", "_pos")
     desc = Window.partitionBy("file_path").orderBy(F.desc("_blk"), F.desc("_pos"))
-    ranked = cand.select(*POSITION, F.row_number().over(asc).alias("_a"),
+    ranked = cand.select(*POSITION, "header", F.row_number().over(asc).alias("_a"),
                          F.row_number().over(desc).alias("_d"))
     env = F.when(F.col("_a") <= head, F.col("_a")).otherwise(-F.col("_d"))
     return ranked.where((F.col("_a") <= head) | (F.col("_d") <= tail)).select(
-        *POSITION, env.cast("int").alias("_env"))
+        *POSITION, env.cast("int").alias("_env"), "header")
 
 
 def positions_bound(lines: DataFrame, head: int, tail: int) -> int | None:
@@ -58,19 +75,37 @@ def positions_bound(lines: DataFrame, head: int, tail: int) -> int | None:
         return None
     if not files:
         return 0
-    return len(files) * (head + tail) * (max(len(f) for f in files) + 40)
+    return len(files) * ((head + tail) * (max(len(f) for f in files) + 40) + HEADER_BYTES)
 
 
 def tag_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
     """Every line with ``_env``: its rank in the file head (1, 2, ...), from
     the end (-1, -2, ...), or NULL for a record line."""
     positions = envelope_positions(lines, head, tail)
+    return lines.join(_small(positions.drop("header"), lines, head, tail), POSITION, "left")
+
+
+def _small(df: DataFrame, lines: DataFrame, head: int, tail: int) -> DataFrame:
+    """``df`` (a few rows per input file) for broadcasting, if it is small."""
     bound = positions_bound(lines, head, tail)
     if bound is not None and bound <= broadcast_limit(lines.sparkSession):
-        env = F.broadcast(positions)
-    else:
-        env, _ = sized_broadcast(positions)
-    return lines.join(env, POSITION, "left")
+        return F.broadcast(df)
+    return sized_broadcast(df)[0]
+
+
+def header_orders(positions: DataFrame, columns: Sequence[str], header_line: int = 2,
+                  sep: str = ",") -> DataFrame:
+    """(file_path, width, order) of the files whose header is another than
+    ``columns``: its number of fields and the place (1, ...) of each expected
+    column in it, 0 for a missing one; NULL where no header was found."""
+    names = F.transform(F.split(F.upper("header"), sep), lambda x: F.trim(F.translate(x, '"', "")))
+    heads = positions.where(F.col("_env") == header_line)
+    return (heads.where(F.col("header").isNull()
+                        | (F.trim("header") != F.lit(sep.join(columns))))
+            .select("file_path", F.size(names).alias("_width"), F.when(
+                F.col("header").isNotNull(),
+                F.array(*[F.array_position(names, F.lit(c.upper())).cast("int")
+                          for c in columns])).alias("_order"), F.lit(True).alias("_other")))
 
 
 def strip_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
@@ -79,44 +114,56 @@ def strip_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
 
 
 def parse_csv_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS,
-                      sep: str = ",") -> DataFrame:
+                      sep: str = ",", broken: str | None = None) -> DataFrame:
     """CSV text of each record line -> the named string columns, blanks to
-    NULL.  ``value`` (the raw record) and provenance columns pass through."""
+    NULL.  ``value`` (the raw record) and provenance columns pass through.
+    ``broken`` names a column that tells lines with another number of fields."""
     ddl = ", ".join(f"`{c}` STRING" for c in columns)
-    rec = F.from_csv(F.col("value"), ddl, {"sep": sep, "mode": "PERMISSIVE"})
+    options = {"sep": sep, "mode": "PERMISSIVE"}
+    if broken is not None:
+        ddl += ", `_broken` STRING"
+        options["columnNameOfCorruptRecord"] = "_broken"
+    rec = F.from_csv(F.col("value"), ddl, options)
     keep = [c for c in lines.columns if not c.startswith("_")]
+    told = [] if broken is None else [F.col("_r")["_broken"].isNotNull().alias(broken)]
     return lines.select(*keep, rec.alias("_r")).select(
-        *keep, *[blank_to_null(F.col("_r")[c]).alias(c) for c in columns])
+        *keep, *[blank_to_null(F.col("_r")[c]).alias(c) for c in columns], *told)
 
 
 def read_envelope_csv(spark: SparkSession, paths: str | list[str],
                       columns: Sequence[str] = ENRICHED_COLUMNS,
                       source_col: str | None = None, base_path: str | None = None,
                       head: int = 2, tail: int = 2) -> DataFrame:
-    """Records of envelope CSV files: ``value, file_path, file_name`` and
-    the named columns."""
+    """Records of envelope CSV files: ``value, file_path, file_name``, the named
+    columns and ``line_problem``."""
     lines = read_lines_with_position(spark, paths, source_col, base_path)
     return envelope_records(lines, columns, head, tail)
 
 
 def envelope_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS,
-                     head: int = 2, tail: int = 2,
-                     observation: Observation | None = None, header_line: int = 2,
+                     head: int = 2, tail: int = 2, header_line: int = 2,
                      sep: str = ",") -> DataFrame:
-    """Positioned lines (``read_lines_with_position``, possibly filtered by a
-    narrow step such as the file check) -> parsed records.
+    """Positioned lines (``read_lines_with_position``) -> parsed records.
 
-    With ``observation``, the same pass also counts the files read
-    (``files``) and those whose header line (``header_line`` of the head)
-    is not the expected column list (``bad_headers``).
+    ``value`` is the record line in the order of ``columns``.  ``line_problem`` is
+    NULL, ``ragged`` (another number of fields than the header) or ``bad_header``
+    (the file has no header line, or not all columns in it).
     """
-    tagged = tag_envelope(lines, head, tail)
-    if observation is not None:
-        env = F.col("_env")
-        tagged = tagged.observe(
-            observation,
-            F.count_if(env == 1).alias("files"),
-            F.count_if((env == header_line)
-                       & (F.trim(F.col("value")) != F.lit(sep.join(columns)))).alias("bad_headers"))
+    positions = envelope_positions(lines, head, tail)
+    tagged = lines.join(_small(positions.drop("header"), lines, head, tail), POSITION, "left")
     body = spread_if_unsplittable(tagged.where(F.col("_env").isNull()).drop("_env"), lines)
-    return parse_csv_records(body, columns, sep)
+    orders = header_orders(positions, columns, header_line, sep)
+    body = body.join(_small(orders, lines, head, tail), "file_path", "left")
+    fields = F.split(F.col("value"), FIELD_COMMA if sep == "," else re.escape(sep), -1)
+    lacking = F.col("_order").isNull() | F.array_contains("_order", 0)
+    ordered = F.concat_ws(sep, F.transform("_order", lambda i: F.when(
+        i > 0, F.coalesce(F.get(fields, i - 1), F.lit(""))).otherwise("")))
+    other = F.coalesce("_other", F.lit(False))
+    body = body.select(
+        F.when(other & F.col("_order").isNotNull(), ordered).otherwise(F.col("value")).alias("value"),
+        "file_path", "file_name",
+        F.when(other & lacking, "bad_header")
+        .when(other & (F.size(fields) != F.col("_width")), "ragged").alias("line_problem"))
+    parsed = parse_csv_records(body, columns, sep, broken="broken")
+    return parsed.withColumn("line_problem", F.coalesce(
+        "line_problem", F.when(F.col("broken"), "ragged"))).drop("broken")

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def plain(path: Column) -> Column:
+    """A ``_metadata`` path or name (URL-encoded) as the file system has it."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), decoded).otherwise(path)
+
+
 def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -27,7 +33,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str],
     if base_path:
         r = r.option("basePath", base_path)
     df = r.text(_paths(paths))
-    name = F.col(source_col) if source_col else F.col("_metadata.file_name")
+    name = F.col(source_col) if source_col else plain(F.col("_metadata.file_name"))
     return df.select(
         F.col("value"),
         F.col("_metadata.file_path").alias("file_path"),
@@ -48,7 +54,7 @@ def read_lines_with_position(spark: SparkSession, paths: str | Sequence[str],
     if base_path:
         r = r.option("basePath", base_path)
     df = r.text(_paths(paths))
-    name = F.col(source_col) if source_col else F.col("_metadata.file_name")
+    name = F.col(source_col) if source_col else plain(F.col("_metadata.file_name"))
     return df.select(
         F.col("value"),
         F.col("_metadata.file_path").alias("file_path"),
@@ -71,6 +77,17 @@ def unsplittable(df: DataFrame) -> bool:
         return False
 
 
+def read_line_groups(spark: SparkSession, groups, source_col: str | None = None) -> DataFrame:
+    """``value, file_path, file_name`` of the scans ``(paths, base path,
+    splittable)``; only the rows of compressed files are spread."""
+    out = None
+    for paths, base, splittable in groups:
+        df = read_lines(spark, paths, source_col, base)
+        df = df if splittable else df.hint("rebalance")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 def spread_if_unsplittable(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
     """Rebalance rows right after the scan when whole compressed files land
     in single tasks, so a huge file is parsed and pre-aggregated by many

@@ -1,22 +1,23 @@
 """Incremental MED loading with Structured Streaming.
 
 The file stream source remembers which files it has already offered (its
-checkpoint), which is the input-file duplicate check done natively; the
-processed-file log is still honoured so batch and incremental loads can be
-mixed.  Each micro-batch runs the same enrichment as the batch job and
-writes its output under its own ``load_id`` leaf (``<query>-<batch id>``),
-so a replayed batch overwrites only its own earlier attempt.
+checkpoint), which is the input-file duplicate check done natively.  With
+``log_path`` the processed-file log is shared with the batch jobs: each
+micro-batch reads it anew, skips the files in it and logs its own.  Each
+micro-batch runs the same enrichment as the batch job and writes its output under
+its own ``load_id`` leaf (stream, checkpoint, batch id).  A replayed batch
+overwrites its own earlier attempt, or does nothing if that was committed.
 
 Within a micro-batch the duplicate check is the batch one (deterministic
 winner).  With ``keys_dir`` set, calls already kept by an earlier batch or
 load are dropped as well: each batch appends the keys it kept (partitioned
-by event date) and anti-joins the keys of recent event dates (``keys_days``
-before the processing date, a watermark-like window); across batches the
-first loaded copy wins.
+by event date) and anti-joins the keys of its own event dates; across batches
+the first loaded copy wins.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -26,10 +27,13 @@ from pyspark.sql import functions as F
 
 from cdrmill.operators.files import new_files
 from cdrmill.operators.mapping import Clock
-from cdrmill.plans.med import finish_med, med_legs, parse_records
+from cdrmill.plans.med import finish_med, med_legs, original_date, parse_records
+from cdrmill.sinks.commits import commit_load, is_committed
 from cdrmill.sinks.keys import loaded_keys, write_keys
-from cdrmill.sinks.writers import commit_load, write_enriched, write_hold
-from cdrmill.sources.text import spread_if_unsplittable
+from cdrmill.sinks.writers import write_enriched, write_hold
+from cdrmill.sources.listing import without_logged
+from cdrmill.sources.log import log_files, read_log
+from cdrmill.sources.text import plain, spread_if_unsplittable
 
 
 @dataclass
@@ -42,7 +46,13 @@ class IncrementalConfig:
     max_files_per_trigger: int | None = None
     name: str = "med"
     keys_dir: str | None = None  # set: also drop calls loaded by earlier batches
-    keys_days: int | None = 31   # ...whose event date is this recent (None: all)
+    log_path: str | None = None  # set: share the processed-file log with batch jobs
+    date_mode: str = "regex"
+
+    def load_id(self, batch_id: int) -> str:
+        """The same for every attempt at a batch, and no other stream's."""
+        place = hashlib.sha1(self.checkpoint_dir.encode()).hexdigest()[:10]
+        return f"{self.name}-{place}-{batch_id}"
 
 
 def stream_lines(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
@@ -52,8 +62,15 @@ def stream_lines(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
     if cfg.max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
     df = r.load(cfg.input_dir)
-    name = F.col(cfg.source_col) if cfg.source_col else F.col("_metadata.file_name")
-    return df.select(F.col("value"), name.alias("file_name"))
+    name = F.col(cfg.source_col) if cfg.source_col else plain(F.col("_metadata.file_name"))
+    return df.select(F.col("value"), plain(F.col("_metadata.file_path")).alias("file_path"),
+                     name.alias("file_name"))
+
+
+def _without_logged(lines: DataFrame, log: DataFrame) -> DataFrame:
+    """Lines of files that are not in the log, by path (see ``listing``)."""
+    named = lines.withColumns({"path": F.col("file_path"), "name": F.col("file_name")})
+    return without_logged(named, log).drop("path", "name")
 
 
 def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, masters,
@@ -63,15 +80,22 @@ def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, masters,
     then re-read every micro-batch so newer master snapshots apply at once."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        load_id = cfg.load_id(batch_id)
+        if is_committed(spark, cfg.hold_dir, load_id):
+            return  # a replay of a batch that was done
         m = masters.load(spark) if hasattr(masters, "load") else masters
         lines = new_files(batch, log) if log is not None else batch
+        if cfg.log_path:
+            known = read_log(spark, cfg.log_path, cfg.hold_dir)
+            lines = _without_logged(lines, known)
+            files = (lines.select(F.col("file_path").alias("path"), F.col("file_name").alias("name"))
+                     .distinct())
         records = parse_records(spread_if_unsplittable(lines, batch))
-        load_id = f"{cfg.name}-{batch_id}"
         bclock = clock.resolved(spark)  # one processing time per micro-batch
-        loaded = (loaded_keys(spark, cfg.keys_dir, bclock.processing_date, cfg.keys_days,
-                              load_id) if cfg.keys_dir else None)
+        loaded = (loaded_keys(spark, cfg.keys_dir, cfg.hold_dir, records, load_id)
+                  if cfg.keys_dir else None)
         # the leg rows feed two or three writes: computed once per micro-batch
-        legs = med_legs(records, m, bclock, loaded_keys=loaded).persist(
+        legs = med_legs(records, m, bclock, cfg.date_mode, loaded_keys=loaded).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
             enriched, held = finish_med(legs, bclock)
@@ -79,6 +103,9 @@ def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, masters,
             write_hold(held, cfg.hold_dir, load_id)
             if cfg.keys_dir:
                 write_keys(legs, cfg.keys_dir, load_id)
+            if cfg.log_path:
+                log_files(files, cfg.log_path, original_date("name", cfg.date_mode), bclock.date(),
+                          load_id)
             commit_load(spark, cfg.hold_dir, load_id)
         finally:
             legs.unpersist()

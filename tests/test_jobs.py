@@ -50,7 +50,7 @@ def test_med_job_rerun_hold_and_backdating(spark, tmp_path):
                     audit_path=f"{root}/audit")
     r1 = run_med(spark, cfg, DAY1)
     assert r1.metrics == {"leg_rows": 4, "matched": 3, "held": 1, "master_rows_dropped": 0,
-                          "rows_per_sec": r1.metrics["rows_per_sec"], "shuffle_partitions": 8}
+                          "rows_per_sec": r1.metrics["rows_per_sec"], "shuffle_partitions": 8, "files": 2}
     out = read_partitioned(spark, f"{root}/out")
     assert out.count() == 3
     assert {r.INPUTFILENAME for r in out.collect()} == {"MED.20240701100000.cdr",
@@ -181,11 +181,11 @@ def test_batch_job_drops_calls_of_earlier_loads(spark, tmp_path):
     assert r2.metrics["matched"] == 1
     got = sorted(r.ANUM for r in read_partitioned(spark, f"{root}/out").collect())
     assert got == ["1", "5"]
-    # outside the window the earlier key is not consulted
+    # an earlier call is known however long ago it was loaded
     far = Clock("2024-09-30 10:00:00", "2024-09-30")
     _write(f"{root}/d3/MED.20240703.cdr", _call("1", **call) + "\n")
     r3 = run_med(spark, JobConfig(inputs=f"{root}/d3/*.cdr", **base), far)
-    assert r3.metrics["matched"] == 1
+    assert r3.metrics["matched"] == 0
 
 
 def test_long_running_stream_reloads_masters(spark, tmp_path):
@@ -246,18 +246,15 @@ def test_gzip_input_is_rebalanced_and_loads(spark, tmp_path):
     assert read_partitioned(spark, f"{root}/out").first().INPUTFILENAME == "MED.20240701.cdr.gz"
 
 
-def test_shuffle_partitions_sized_from_input_bytes(spark, tmp_path):
-    from cdrmill.session import input_bytes, size_shuffle_partitions
-    _write(f"{tmp_path}/a/x.cdr", "x" * 1000)
-    _write(f"{tmp_path}/a/y.cdr", "y" * 500)
-    assert input_bytes(spark, f"{tmp_path}/a/*.cdr") == 1500
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffle_partitions(spark, f"{tmp_path}/a/*.cdr", 1.0, 100) == 15
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "15"
-        assert size_shuffle_partitions(spark, f"{tmp_path}/a/*.cdr", 1.0, 1000) == 15  # never lowers
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+def test_shuffle_partitions_sized_for_the_job_only(spark):
+    from cdrmill.session import sized_shuffle
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    with sized_shuffle(spark, 1500, shuffle_ratio=1.0, target_bytes=100) as n:
+        assert n == 15 and spark.conf.get(key) == "15"
+    assert spark.conf.get(key) == old
+    with sized_shuffle(spark, 10, shuffle_ratio=1.0, target_bytes=100) as n:
+        assert n == int(old)  # never fewer than set
 
 
 def test_final_hold_rows_are_not_reprocessed(spark, tmp_path):

@@ -4,11 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from cdrmill.plans.catalog import QUERIES as PLAIN
+from cdrmill.plans.job_queries import JOB_QUERIES
 from conftest import SF
 from tools.oracle_check import digest
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+CATALOG = PLAIN | JOB_QUERIES
+QUERIES = {n: q for n, q in E.queries().items() if n in CATALOG}
+SQL = {n: q for n, q in E.oracle_sql().items() if n in CATALOG}
 
 
 @pytest.fixture(scope="module")
