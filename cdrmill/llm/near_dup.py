@@ -17,7 +17,7 @@ samples make candidates, each compared on the whole texts:
   different classes against one another.  In a crowded bucket most of these
   pairs can't reach the threshold, and an exact filter keeps them from being
   made: two texts that do must share a shingle among their rarest ones, up to a
-  fifth of their weight, and enough weight that is not theirs alone.
+  fifth of their weight, and have enough weight from the first such one on.
 
 So no link between bucket members is skipped, and none is tested inside a
 class that is connected already.
@@ -41,6 +41,7 @@ BANDS, ROWS = 12, 3           # a pair at 0.8 shares a bucket with probability 0
 HASHES = BANDS * ROWS
 DF_BITS = 20
 DF_BLOCK = 1 << 14
+RARITY_ROWS = 3               # tables that must all have met a shingle again in a crowd
 AGREE = 0.5                   # share of samples that a later-round candidate must agree on
 MEMBERS_PER_TASK_SLICE = 256
 CROWD = 64                    # from so many members on a bucket's pairs are filtered first
@@ -92,7 +93,7 @@ def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def weights(keys: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return tf * (1.0 + idf[(keys & _U((1 << DF_BITS) - 1)).astype(np.int64)])
+    return tf * (1.0 + idf[places(keys, 0)])
 
 
 def icws(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -132,31 +133,40 @@ def weighted_jaccard(a: tuple, b: tuple) -> float:
 
 # -- document frequencies ---------------------------------------------------
 
-def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, docs = np.zeros(1 << DF_BITS, np.int64), 0
-    for batch in batches:
-        found, held = [], 0
-        for text in batch.column(0):
-            if (t := text.as_py()) is None:
-                continue
-            docs += 1
-            found.append((shingles(t)[0] & _U((1 << DF_BITS) - 1)).astype(np.int64))
-            held += len(found[-1])
-            if held > 1 << 19:
-                counts += np.bincount(np.concatenate(found), minlength=1 << DF_BITS)
-                found, held = [], 0
-        if found:
-            counts += np.bincount(np.concatenate(found), minlength=1 << DF_BITS)
-    if docs:
-        blocks = [counts[i:i + DF_BLOCK] for i in range(0, 1 << DF_BITS, DF_BLOCK)]
-        blocks.append(np.array([docs], np.int64))
-        for i, b in enumerate(blocks):
-            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()),
-                                              "counts": pa.array([b.tobytes()], pa.binary())})
+def places(keys: np.ndarray, row: int) -> np.ndarray:
+    """Where shingles count in a row of a table (each row uses other hash bits)."""
+    return ((keys >> _U(DF_BITS * row)) & _U((1 << DF_BITS) - 1)).astype(np.int64) \
+        + (row << DF_BITS)
+
+
+def _count_partition(rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, docs = np.zeros(rows << DF_BITS, np.int64), 0
+        for batch in batches:
+            found, held = [], 0
+            for text in batch.column(0):
+                if (t := text.as_py()) is None:
+                    continue
+                docs += 1
+                keys = shingles(t)[0]
+                found += [places(keys, r) for r in range(rows)]
+                held += rows * len(keys)
+                if held > 1 << 19:
+                    counts += np.bincount(np.concatenate(found), minlength=len(counts))
+                    found, held = [], 0
+            if found:
+                counts += np.bincount(np.concatenate(found), minlength=len(counts))
+        if docs:
+            blocks = [counts[i:i + DF_BLOCK] for i in range(0, len(counts), DF_BLOCK)]
+            blocks.append(np.array([docs], np.int64))
+            for i, b in enumerate(blocks):
+                yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()),
+                                                  "counts": pa.array([b.tobytes()], pa.binary())})
+    return run
 
 
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}  # at most 65 fixed-size blocks
+    sums: dict[int, np.ndarray] = {}  # a fixed number of fixed-size blocks
     for batch in batches:
         for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             block = np.frombuffer(raw, np.int64)
@@ -166,17 +176,19 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           "counts": pa.array([b.tobytes()], pa.binary())})
 
 
-def idf_table(docs: DataFrame) -> np.ndarray:
+def idf_table(docs: DataFrame, rows: int = 1) -> np.ndarray:
     """Damped inverse document frequency per hash bucket, in (0, 1]: 1 for a
-    bucket seen once, near 0 for one in every document.  Partitions count into
-    arrays that are added up block by block; 8 MB reach the driver."""
+    bucket seen once, near 0 for one in every document.  ``rows`` tables of other
+    hash bits stand one after another; a shingle is at least as rare as the rarest
+    of its buckets says.  Partitions count into arrays that are added up block by
+    block; 8 MB a row reach the driver."""
     schema = "block int, counts binary"
-    sums = (docs.select("text").mapInArrow(_count_partition, schema)
+    sums = (docs.select("text").mapInArrow(_count_partition(rows), schema)
             .repartition(64, "block").mapInArrow(_add_blocks, schema).collect())
     got = {r["block"]: np.frombuffer(bytes(r["counts"]), np.int64) for r in sums}
     if not got:
-        return np.ones(1 << DF_BITS, np.float32)
-    n_blocks = (1 << DF_BITS) // DF_BLOCK
+        return np.ones(rows << DF_BITS, np.float32)
+    n_blocks = (rows << DF_BITS) // DF_BLOCK
     df = np.concatenate([got[i] for i in range(n_blocks)])
     n = int(got[n_blocks][0])
     return (np.log((1.0 + n) / (np.minimum(np.maximum(df, 1), n) + 0.0)) / np.log(1.0 + n)
@@ -243,26 +255,28 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
 
 def _rarest(idf, rarity, threshold: float):
     """Per text its rarest shingles, up to the weight that a text at the threshold
-    may lack, and the weight (``shared``) that some other text may have too."""
+    may lack, without those that no other text has.  ``rest`` is the weight from a
+    shingle on, in the order from rare to frequent: if it is the first that two
+    texts have in common, their overlap is at most that."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for key, root, text in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, tf = shingles(text)
                 w = weights(keys, tf, idf.value)
-                rare = rarity.value[(keys & _U((1 << DF_BITS) - 1)).astype(np.int64)]
+                rare = np.max([rarity.value[places(keys, r)] for r in range(RARITY_ROWS)], axis=0)
                 order = np.lexsort((keys, -rare))
-                total, shared = float(w.sum()), float(w[rare < 1].sum())
-                lacking = np.cumsum(w[order])
-                n = int(np.searchsorted(lacking, (1 - threshold) * total * (1 + 1e-9), "right")) + 1
-                first = keys[order[:n]]
-                out[0].extend(first.view(np.int64).tolist())
-                for column, value in zip(out[1:], (key, root, total, shared)):
-                    column.extend([value] * len(first))
+                total = float(w.sum())
+                rest = total - np.cumsum(w[order]) + w[order]
+                first = (rest * (1 + 1e-9) >= threshold * total) & (rare[order] < 1)
+                out[0].extend(keys[order][first].view(np.int64).tolist())
+                for column, value in zip(out[1:4], (key, root, total)):
+                    column.extend([value] * int(first.sum()))
+                out[4].extend(rest[first].tolist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.binary(), pa.binary(),
                                                       pa.float64(), pa.float64()))],
-                ["shingle", "text_key", "root", "total", "shared"])
+                ["shingle", "text_key", "root", "total", "rest"])
     return run
 
 
@@ -386,12 +400,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     crowd = mixed.where(F.col("n") > CROWD).select("text_key", "root").distinct()
     if crowd.limit(1).count():
         crowd = texts_of(crowd)
-        rarity = spark.sparkContext.broadcast(idf_table(crowd))  # 4 MB, fixed
+        rarity = spark.sparkContext.broadcast(idf_table(crowd, RARITY_ROWS))  # 12 MB, fixed
         rare = stored(crowd.mapInArrow(
             _rarest(shared, rarity, threshold),
-            "shingle long, text_key binary, root binary, total double, shared double"), "near-rare")
+            "shingle long, text_key binary, root binary, total double, rest double"), "near-rare")
         # similarity t needs an overlap of t / (1 + t) of both weights together
-        enough = (F.least("a_shared", "b_shared") * (1 + 1e-9)
+        enough = (F.least("a_rest", "b_rest") * (1 + 1e-9)
                   >= threshold / (1 + threshold) * (F.col("a_total") + F.col("b_total")))
         cross = cross.unionByName(_across(rare, "shingle", near_size & enough)).distinct()
     tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

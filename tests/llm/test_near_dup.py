@@ -87,16 +87,16 @@ def test_shingles_are_exact():
 
 def test_rarest_shingles_meet_wherever_texts_are_alike(corpus):
     """The filter for crowded buckets is exact: each pair at the threshold shares a
-    rare shingle and passes the bound on shared weight."""
+    rare shingle with enough weight from there on."""
     class Table:
         def __init__(self, value):
             self.value = value
 
     sets = [N.shingles(t) for t in corpus]
-    df = np.zeros(1 << N.DF_BITS)
-    place = lambda k: (k & N._U((1 << N.DF_BITS) - 1)).astype(int)
+    df = np.zeros(N.RARITY_ROWS << N.DF_BITS)
     for k, _ in sets:
-        df[place(k)] += 1
+        for r in range(N.RARITY_ROWS):
+            np.add.at(df, N.places(k, r), 1)
     rarity = Table((np.log((1 + len(sets)) / np.maximum(df, 1)) / np.log(1 + len(sets))))
     idf = Table(np.ones(1 << N.DF_BITS, np.float32))
     batch = N.pa.RecordBatch.from_pydict({
@@ -104,18 +104,17 @@ def test_rarest_shingles_meet_wherever_texts_are_alike(corpus):
         "r": N.pa.array([b"x"] * len(sets), N.pa.binary()), "t": corpus})
     (out,) = N._rarest(idf, rarity, 0.8)(iter([batch]))
     rare, size = {}, {}
-    for s, k, _, total, shared in zip(*(c.to_pylist() for c in out.columns)):
-        rare.setdefault(int(k), set()).add(s)
-        size[int(k)] = total, shared
+    for s, k, _, total, rest in zip(*(c.to_pylist() for c in out.columns)):
+        rare.setdefault(int(k), {})[s] = rest
+        size[int(k)] = total
     weighted = [(k, N.weights(k, tf, idf.value)) for k, tf in sets]
     met = 0
     for i in range(len(sets)):
         for j in range(i):
             if N.weighted_jaccard(weighted[i], weighted[j]) >= 0.8:
                 met += 1
-                assert rare[i] & rare[j]
-                assert min(size[i][1], size[j][1]) * (1 + 1e-9) >= 0.8 / 1.8 * (
-                    size[i][0] + size[j][0])
+                assert any(min(rare[i][s], rare[j][s]) * (1 + 1e-9) >= 0.8 / 1.8 * (
+                    size[i] + size[j]) for s in rare[i].keys() & rare[j].keys())
     assert met > 100
 
 
