@@ -88,18 +88,31 @@ def test_absent_log_is_empty(spark, tmp_path):
     assert read_log(spark, str(tmp_path / "nolog")).count() == 0
 
 
-def test_envelope_header_check_counts_bad_files(spark, tmp_path):
-    from pyspark.sql import Observation
-    from cdrmill.sources.envelope import envelope_records
-    from cdrmill.sources.text import read_lines_with_position
-    _write(str(tmp_path / "good.csv"), _envelope("good", 2))
-    bad = _envelope("bad", 2).replace("INCOMING_NODE,OUTGOING_NODE", "OUTGOING_NODE,INCOMING_NODE")
-    _write(str(tmp_path / "bad.csv"), bad)
-    obs = Observation("env")
-    recs = envelope_records(read_lines_with_position(spark, str(tmp_path / "*.csv")),
-                            observation=obs)
-    assert recs.count() == 4
-    assert obs.get == {"files": 2, "bad_headers": 1}
+def test_envelope_columns_are_taken_by_header(spark, tmp_path):
+    from cdrmill.schema import ENRICHED_COLUMNS
+    from cdrmill.sources.envelope import read_envelope_csv
+
+    def write(name, header, rows):
+        _write(str(tmp_path / name), "\n".join(["HDR", ",".join(header), *rows, "TRL", "EOF"]) + "\n")
+
+    row = {c: f"v{i}" for i, c in enumerate(ENRICHED_COLUMNS)} | {"ANUM": '"a,1"'}
+    line = lambda cols: ",".join(row[c] for c in cols)
+    back = list(reversed(ENRICHED_COLUMNS))
+    lacking = [c for c in ENRICHED_COLUMNS if c != "BNUM"]
+    write("a.csv", ENRICHED_COLUMNS, [line(ENRICHED_COLUMNS), line(ENRICHED_COLUMNS[:30])])
+    write("b.csv", [f" {c.lower()} " for c in back], [line(back), line(back) + ",more"])
+    write("c.csv", [*back, "EXTRA"], [line(back) + ",x"])
+    write("d.csv", lacking, [line(lacking)])
+    write("e.csv", ["no", "header"], [line(ENRICHED_COLUMNS)])
+    got = {}
+    for r in read_envelope_csv(spark, str(tmp_path / "*.csv")).collect():
+        got.setdefault(r.file_name, []).append(r)
+    problems = {f: sorted(str(r.line_problem) for r in rows) for f, rows in got.items()}
+    assert problems == {"a.csv": ["None", "ragged"], "b.csv": ["None", "ragged"], "c.csv": ["None"],
+                        "d.csv": ["bad_header"], "e.csv": ["bad_header"]}
+    good = [r for rows in got.values() for r in rows if r.line_problem is None]
+    want = [row[c].strip('"') for c in ENRICHED_COLUMNS]
+    assert len(good) == 3 and all([r[c] for c in ENRICHED_COLUMNS] == want for r in good)
 
 
 def test_read_latest_master_reads_only_the_newest(spark, tmp_path):
