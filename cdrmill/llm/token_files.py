@@ -15,7 +15,6 @@ the document id (i64, big-endian), the number of the sequence in its document
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,7 +22,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +38,6 @@ ROUNDS = 6
 NO_ID = -(1 << 63)
 TAIL = ">qIIQ"
 TAIL_BYTES = struct.calcsize(TAIL)
-PIECES_KEPT = 400_000
 
 _U = np.uint64
 
@@ -73,8 +70,8 @@ def slots(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 # -- tokens ---------------------------------------------------------------------
 
 class Tokens:
-    """Token ids as u16 bytes.  Words are encoded once per worker and looked up
-    after that; the split pattern is the vocabulary's own."""
+    """A vocabulary of ranks; texts become token ids as u16 bytes.  Special strings
+    in a text are ordinary text."""
 
     def __init__(self, vocabulary: str):
         import base64
@@ -83,35 +80,14 @@ class Tokens:
         import tiktoken
         with open(P.path(vocabulary), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("words", pat_str=P.PATTERN, mergeable_ranks=ranks,
+        self.encode = tiktoken.Encoding("ranks", pat_str=P.PATTERN, mergeable_ranks=ranks,
                                         special_tokens={}).encode_ordinary
-        # white space written out: Python's \s has four separators more (0x1c-0x1f)
-        space = r"\t-\r \x85\xa0  -     　"
-        pattern = (P.PATTERN.replace(r"[^\s", f"[^{space}").replace(r"(?!\S)", f"(?![^{space}])")
-                   .replace(r"\s+", f"[{space}]+"))
-        self.split = regex.compile(pattern).findall
-        letters = "A-Za-zÀ-ÖØ-öø-ÿ"
-        self.latin_split = re.compile(pattern.replace(r"\p{L}+", f"[{letters}]+").replace(
-            r"\p{N}+", "[0-9]+").replace(r"\p{L}\p{N}", f"{letters}0-9")).findall
-        self.is_latin = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*").fullmatch
-        self.known = _Known(self.encode)
-
-    def __call__(self, text: str) -> bytes:
-        pieces = (self.latin_split if self.is_latin(text) else self.split)(text)
-        return b"".join(map(self.known.__getitem__, pieces))
 
+    def count(self, text: str) -> int:
+        return len(self.encode(text))
 
-class _Known(dict):
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece), "<u2").tobytes()
-        if len(self) >= PIECES_KEPT:
-            self.clear()
-        self[piece] = ids
-        return ids
+    def __call__(self, text: str) -> bytes:
+        return np.array(self.encode(text), "<u2").tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -121,10 +97,10 @@ def tokens(vocabulary: str) -> Tokens:
 
 def _partition_sizes(vocabulary: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, n = tokens(vocabulary), 0
+        count, n = tokens(vocabulary).count, 0
         for batch in batches:
             for t in batch.column("text"):
-                n += -(-(len(encode(t.as_py() or "")) // 2 + 1) // length)
+                n += -(-(count(t.as_py() or "") + 1) // length)
         yield pa.RecordBatch.from_pydict({
             "part": pa.array([TaskContext.get().partitionId()], pa.int32()),
             "n": pa.array([n], pa.int64())})
