@@ -1,9 +1,9 @@
 """Store of the duplicate-check keys already loaded.
 
 Lets a load drop calls that an earlier load (or micro-batch) already kept,
-however long ago.  The key holds the event date, so keys are partitioned by it
-and a load reads exactly the partitions of the dates that occur in it.  Text that
-is no date shares one partition.  Below the date each load has its own leaf.
+however long ago.  The key holds the event date, so keys are partitioned by its
+month and a load reads exactly the partitions of the months that occur in it.  Text
+that is no date shares one partition.  Below the month each load has its own leaf.
 """
 
 from __future__ import annotations
@@ -17,19 +17,20 @@ from cdrmill.sinks.commits import is_missing, only_committed
 from cdrmill.sinks.writers import write_partitioned
 
 KEY_COLUMNS = ["anum", "bnum", "event_start_date", "event_start_time"]
-KEY_SCHEMA = ", ".join(f"{c} string" for c in [*KEY_COLUMNS, "key_date", "load_id"])
+KEY_SCHEMA = ", ".join(f"{c} string" for c in [*KEY_COLUMNS, "key_month", "load_id"])
 NO_DATE = "none"
 
 
-def key_date() -> Column:
+def key_month() -> Column:
     date = F.col("event_start_date")
-    return F.when(parse_yyyymmdd(date).isNotNull(), date).otherwise(F.lit(NO_DATE))
+    return F.when(parse_yyyymmdd(date).isNotNull(), F.substring(date, 1, 6)).otherwise(
+        F.lit(NO_DATE))
 
 
 def loaded_keys(spark: SparkSession, keys_dir: str, hold_path: str, batch: DataFrame,
                 own_load: str) -> DataFrame | None:
-    """Keys that committed earlier loads kept, of the event dates in ``batch``
-    (parsed records).  The dates are broadcast (calendar days bound them), which
+    """Keys that committed earlier loads kept, of the event months in ``batch``
+    (parsed records).  The months are broadcast (the calendar bounds them), which
     prunes the key partitions at run time.  None before the first load."""
     try:
         keys = spark.read.schema(KEY_SCHEMA).option("basePath", keys_dir).parquet(keys_dir)
@@ -37,8 +38,8 @@ def loaded_keys(spark: SparkSession, keys_dir: str, hold_path: str, batch: DataF
         if is_missing(e):
             return None
         raise
-    dates = batch.select(key_date().alias("key_date")).distinct()
-    keys = keys.where(F.col("load_id") != own_load).join(F.broadcast(dates), "key_date",
+    months = batch.select(key_month().alias("key_month")).distinct()
+    keys = keys.where(F.col("load_id") != own_load).join(F.broadcast(months), "key_month",
                                                          "left_semi")
     return only_committed(keys, hold_path).select(*KEY_COLUMNS)
 
@@ -46,5 +47,5 @@ def loaded_keys(spark: SparkSession, keys_dir: str, hold_path: str, batch: DataF
 def write_keys(legs: DataFrame, keys_dir: str, load_id: str) -> None:
     """Keys of the calls this load kept (one per call: the first leg row)."""
     first = legs.where(F.col("leg_index").isNull() | (F.col("leg_index") == 0))
-    write_partitioned(first.select(*KEY_COLUMNS).withColumn("key_date", key_date()), keys_dir,
-                      ["key_date"], "parquet", load_id)
+    write_partitioned(first.select(*KEY_COLUMNS).withColumn("key_month", key_month()), keys_dir,
+                      ["key_month"], "parquet", load_id)
