@@ -269,7 +269,7 @@ def q_ict_two_loads_same_day(spark, sf_dir):
     root = scratch_path(spark, "ict-hours")
     (fx.ict_envelope_lines(spark, sf_dir)
      .withColumn("hour", F.when(F.substring("source", 4, 1) < "4", "10").otherwise("11"))
-     .repartition("source").sortWithinPartitions("source", "section")
+     .repartition("source").sortWithinPartitions("hour", "source", "section")
      .select("value", "hour", "source").write.partitionBy("hour", "source").text(root))
     cfg = job_config(spark, sf_dir, f"{root}/hour=10")
     run_ict(spark, cfg, FIXED_CLOCK)
