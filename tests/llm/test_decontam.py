@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import pytest
 
@@ -79,6 +80,58 @@ def test_every_pair_of_close_replacements_is_tolerated():
         assert any(m[i] == m[i + gap] == "0" for m in D.MASKS for i in range(D.SPAN - gap))
 
 
+def overlap(doc, item):
+    """Whether two word lists overlap by the definition, without seeds."""
+    for shift in range(-len(item) + 1, len(doc)):
+        p = max(shift, 0)
+        sums = [0]
+        for a, b in zip(doc[p:], item[p - shift:]):
+            sums.append(sums[-1] + (a == b))
+        if any(sums[j] - sums[i] >= D.MIN_EQUAL * (j - i)
+               for i in range(len(sums)) for j in range(i + D.MIN_WORDS, len(sums))):
+            return True
+    return False
+
+
+def test_every_placement_of_replaced_words_is_hit():
+    for n, k in ((12, 2), (15, 3), (20, 4)):
+        for lost in combinations(range(n), k):
+            assert any(all(at + i not in lost for i in m)
+                       for at in range(n - D.SPAN + 1) for m in MASKS), (n, lost)
+
+
+@pytest.mark.parametrize("limit", [D.BROADCAST_BYTES, 0])
+def test_equals_definition_without_seeds(spark, limit):
+    """Short items with a fifth or a little more of the words replaced, also in
+    longer items and at the ends, against all alignments of all pairs."""
+    rng = random.Random(4)
+    word = lambda: f"v{rng.randrange(3000)}"
+    items = [[word() for _ in range(n)] for n in (12, 12, 13, 15, 15, 16, 20, 25, 30, 45)]
+    docs = []
+    for k in range(400):
+        part = list(items[k % len(items)])
+        lo = rng.randrange(len(part) - 11)
+        part = part[lo:lo + rng.randint(12, len(part))]
+        for i in rng.sample(range(len(part)), int(len(part) * .2) + (k % 4 == 0)):
+            part[i] = word()
+        docs.append([word() for _ in range(rng.randint(0, 30))] + part
+                    + [word() for _ in range(rng.randint(0, 30))])
+    want = {(i, j) for i, d in enumerate(docs) for j, t in enumerate(items) if overlap(d, t)}
+    assert len(want) > 300
+    df = spark.createDataFrame(doc_rows([(i, " ".join(d)) for i, d in enumerate(docs)]), DOCS)
+    bench = spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)],
+                                  "item_id long, text string")
+    out = D.contaminated(df, bench, limit).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in out} == want
+    for r in out:
+        part = docs[r["doc_id"]][r["first_word"]:r["first_word"] + r["n_words"]]
+        item = items[r["item_id"]]
+        assert len(part) == r["n_words"] >= D.MIN_WORDS
+        assert r["n_equal"] >= D.MIN_EQUAL * r["n_words"]
+        assert any(sum(a == b for a, b in zip(part, item[q:])) == r["n_equal"]
+                   for q in range(len(item) - len(part) + 1))
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, None), (None, ""), (3, "short one"), (None, " ".join(f"word{i * 7919 % 1009}"
