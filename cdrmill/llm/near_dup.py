@@ -2,9 +2,11 @@
 
 A text is the weighted set of its shingles of five lower-cased words, with
 weight ``tf * (1 + idf)``; ``idf`` in (0, 1] comes from document frequencies
-counted over all documents in 2^20 hash buckets (a table of fixed size, whatever
-the corpus).  The inverse frequency is damped so that a group of thousands of
-copies does not make its own text worthless against the few words edited in it.
+counted exactly over all documents: blocks of documents send their distinct
+shingles, packed, to ranges of the hash space and get back their frequencies in
+the same order.  The inverse frequency is
+damped so that a group of thousands of copies does not make its own text
+worthless against the few words edited in it.
 
 ICWS draws per hash function one (shingle, level) sample; two texts draw the
 same with probability equal to their weighted Jaccard similarity.  Bands of
@@ -46,6 +48,8 @@ AGREE = 0.5                   # share of samples that a later-round candidate mu
 MEMBERS_PER_TASK_SLICE = 256
 CROWD = 64                    # from so many members on a bucket's pairs are filtered first
 COLUMNS_AT_ONCE = 4096
+BLOCKS, BLOCK_BYTES = 512, 8 << 20  # blocks of documents: at least, and text for one
+PARTS, PART_BYTES = 64, 24 << 20    # ranges of the hash space: at least, and text for one
 BROADCAST_BYTES = 32 << 20
 
 _U = np.uint64
@@ -96,6 +100,32 @@ def weights(keys: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return tf * (1.0 + idf[places(keys, 0)])
 
 
+def exact_weights(tf: np.ndarray, df: np.ndarray, n: int) -> np.ndarray:
+    """Weights by the shingles' frequencies in ``n`` documents."""
+    return tf * (1.0 + np.log((1.0 + n) / df) / np.log(1.0 + n))
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as bytes, behind the width of one in bytes."""
+    most = int(counts.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as their gaps, high bytes apart from low ones, so that they compress."""
+    return np.diff(keys, prepend=_U(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    gaps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8")
+    return np.cumsum(gaps.ravel(), dtype=_U)
+
+
 def icws(keys: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """The ``HASHES`` samples of a weighted set, each a 32-bit hash of the drawn
     shingle and its level."""
@@ -195,36 +225,115 @@ def idf_table(docs: DataFrame, rows: int = 1) -> np.ndarray:
             ).astype(np.float32)
 
 
-# -- samples, candidates, verification --------------------------------------
+def _distinct(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate([np.empty(0, _U), *sets]), return_counts=True)
 
-def _sampler(idf):
+
+def _pieces(parts: int):
+    """(block, part, keys, df): the distinct shingles of a block of documents in one
+    range of the hash space, and how many of those documents have each.  The rows of
+    a block come one after another."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def piece(block: int, found: list[np.ndarray]) -> pa.RecordBatch:
+            keys, counts = _distinct(found)
+            part = ((keys >> _U(32)) * _U(parts)) >> _U(32)
+            first = np.flatnonzero(np.diff(part, prepend=_U(parts)))
+            ends = np.append(first[1:], len(keys))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block] * len(first), pa.int64()), pa.array(part[first], pa.int32()),
+                 pa.array([packed_keys(keys[i:j]) for i, j in zip(first, ends)], pa.binary()),
+                 pa.array([packed(counts[i:j]) for i, j in zip(first, ends)], pa.binary())],
+                ["block", "part", "keys", "df"])
+
+        at, found = None, []
         for batch in batches:
-            totals, samples = [], []
-            for text in batch.column("text"):
-                t = text.as_py()
-                keys, tf = shingles(t) if t is not None else (np.empty(0, _U), None)
-                if len(keys):
-                    w = weights(keys, tf, idf.value)
-                    totals.append(float(w.sum()))
-                    samples.append(icws(keys, w).tobytes())
-                else:
-                    totals.append(0.0)
-                    samples.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(totals, pa.float64()),
-                 pa.array(samples, pa.binary())], ["doc_id", "text_key", "total", "samples"])
+            for block, text in zip(batch.column("block").to_pylist(), batch.column("text")):
+                if block != at and found:
+                    yield piece(at, found)
+                    found = []
+                at = block
+                if (t := text.as_py()) is not None:
+                    found.append(shingles(t)[0])
+        if found:
+            yield piece(at, found)
+    return run
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each piece the frequency of its shingles in all documents, in their order.
+    One range of the hash space is held at a time."""
+    def counted(part: int, pieces: list[tuple]) -> pa.RecordBatch:
+        _, where = np.unique(np.concatenate([p[1] for p in pieces]), return_inverse=True)
+        df = np.bincount(where, np.concatenate([p[2] for p in pieces])).astype(np.int64)[where]
+        ends = np.cumsum([len(p[1]) for p in pieces])[:-1]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[0] for p in pieces], pa.int64()),
+             pa.array([part] * len(pieces), pa.int32()),
+             pa.array([packed(d) for d in np.split(df, ends)], pa.binary())],
+            ["block", "part", "df"])
+
+    at, pieces = None, []
+    for batch in batches:
+        for block, part, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            if part != at and pieces:
+                yield counted(at, pieces)
+                pieces = []
+            at = part
+            pieces.append((block, unpacked_keys(keys), unpacked(counts)))
+    if pieces:
+        yield counted(at, pieces)
+
+
+def document_frequencies(blocks: DataFrame, parts: int) -> DataFrame:
+    """(block, part, df): the exact document frequencies of the distinct shingles of
+    each block, sorted, by ranges of the hash space.  ``blocks`` (block, text, ...)
+    is partitioned by block."""
+    return (blocks.sortWithinPartitions("block")
+            .mapInArrow(_pieces(parts), "block long, part int, keys binary, df binary")
+            .repartition("part").sortWithinPartitions("part")
+            .mapInArrow(_counted, "block long, part int, df binary"))
+
+
+# -- samples, candidates, verification --------------------------------------
+
+def _sampler(n: int):
+    """Total weight, samples and document frequencies of the texts of a block, from
+    its rows and its shingles' frequencies."""
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        texts = docs.column("text").to_pylist()
+        sets = [shingles(t) if t is not None else (np.empty(0, _U), None) for t in texts]
+        block_keys = _distinct([k for k, _ in sets])[0]
+        pieces = sorted(zip(found.column("part").to_pylist(), found.column("df").to_pylist()))
+        freq = np.concatenate([np.empty(0, np.int64), *(unpacked(df) for _, df in pieces)])
+        if len(freq) != len(block_keys):
+            raise ValueError(f"{len(block_keys)} shingles have {len(freq)} frequencies")
+        totals, samples, dfs = [], [], []
+        for keys, tf in sets:
+            if len(keys):
+                df = freq[np.searchsorted(block_keys, keys)]
+                w = exact_weights(tf, df, n)
+                totals.append(float(w.sum()))
+                samples.append(icws(keys, w).tobytes())
+                dfs.append(packed(df))
+            else:
+                totals.append(0.0)
+                samples.append(None)
+                dfs.append(None)
+        return pa.table({"doc_id": docs.column("doc_id"), "text_key": docs.column("text_key"),
+                         "total": pa.array(totals, pa.float64()),
+                         "samples": pa.array(samples, pa.binary()),
+                         "df": pa.array(dfs, pa.binary())})
     return run
 
 
-def _comparer(idf, threshold: float):
+def _comparer(n: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, one = None, None  # the representative that streams by, and its weighted set
         for batch in batches:
             links = []
-            for a, part, role, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for a, part, role, key, text, df in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, tf = shingles(text)
-                this = keys, weights(keys, tf, idf.value)
+                this = keys, exact_weights(tf, unpacked(df), n)
                 if role == 0:
                     at, one = (a, part), this
                 elif at == (a, part):
@@ -237,7 +346,7 @@ def _comparer(idf, threshold: float):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
     """The ``pairs`` (a, b) of text keys at or above the threshold.  Each ``a``
     is held once per slice of its partners; a slice's partners stream by."""
     hot = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS_PER_TASK_SLICE)
@@ -248,22 +357,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     heads = hot.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
                        F.lit(0).alias("role"), F.col("a").alias("text_key"))
     work = (members.unionByName(heads).join(texts, "text_key")
-            .select("a", "part", "role", "text_key", "text")
+            .select("a", "part", "role", "text_key", "text", "df")
             .repartition("a", "part").sortWithinPartitions("a", "part", "role"))
-    return work.mapInArrow(_comparer(idf, threshold), "a binary, b binary, similarity double")
+    return work.mapInArrow(_comparer(n, threshold), "a binary, b binary, similarity double")
 
 
 def _rarest(idf, rarity, threshold: float):
     """Per text its rarest shingles, up to the weight that a text at the threshold
     may lack, without those that no other text has.  ``rest`` is the weight from a
     shingle on, in the order from rare to frequent: if it is the first that two
-    texts have in common, their overlap is at most that."""
+    texts have in common, their overlap is at most that.  Rows are (text_key, root,
+    text, df) and ``idf`` the number of documents; without ``df``, ``idf`` is a
+    broadcast table for the weights."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for key, root, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, root, text, *df in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, tf = shingles(text)
-                w = weights(keys, tf, idf.value)
+                w = (exact_weights(tf, unpacked(df[0]), idf) if df
+                     else weights(keys, tf, idf.value))
                 rare = np.max([rarity.value[places(keys, r)] for r in range(RARITY_ROWS)], axis=0)
                 order = np.lexsort((keys, -rare))
                 total = float(w.sum())
@@ -341,16 +453,24 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     (``text_key`` NULL, always a keeper).  Repeated rows give repeated rows.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(idf_table(docs))  # 4 MB, fixed
+    n, nbytes = docs.agg(F.count("text"), F.sum(F.octet_length("text"))).first()
     rows = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
-    sampled = stored(rows.mapInArrow(
-        _sampler(shared), rows.select("doc_id", "text_key").schema
-        .add("total", "double").add("samples", "binary")), "near-samples")
+    # both uses read one shuffle, so they keep the same columns
+    blocks = rows.withColumn("block", F.pmod(
+        F.xxhash64("doc_id", "text_key"), F.lit(max(BLOCKS, (nbytes or 0) // BLOCK_BYTES + 1)))
+        .cast("long")).repartition("block")
+    found = document_frequencies(blocks, max(PARTS, (nbytes or 0) // PART_BYTES + 1))
+    sampled = stored(
+        blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
+            _sampler(n), rows.select("doc_id", "text_key").schema
+            .add("total", "double").add("samples", "binary").add("df", "binary")),
+        "near-samples")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id")
     texts = stored(
         sampled.where("text_key is not null").groupBy("text_key")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"),
-             F.first("total").alias("total"), F.first("samples").alias("samples")), "near-texts")
+             F.first("total").alias("total"), F.first("samples").alias("samples"),
+             F.first("df").alias("df")), "near-texts")
 
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(
         j, F.substring("samples", j * (4 * ROWS) + 1, F.lit(4 * ROWS))))).alias("bucket")
@@ -369,7 +489,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                         .select("a", F.col("text_key").alias("b")).distinct())
 
     whole = rows.where("text_key is not null").withColumn("late", F.col("doc_id").isNull())
-    owner = texts.select("text_key", "first.late", "first.doc_id")
+    owner = texts.select("text_key", "first.late", "first.doc_id", "df")
 
     def texts_of(keys: DataFrame) -> DataFrame:
         """(text_key, ..., text) for rows with distinct text keys."""
@@ -378,12 +498,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return (whole.alias("w").join(used.alias("u"), (
             (F.col("w.text_key") == F.col("u.text_key"))
             & F.col("w.doc_id").eqNullSafe(F.col("u.doc_id"))))
-            .select(F.col("w.text_key").alias("text_key"), *[f"u.{c}" for c in extra], "w.text"))
+            .select(F.col("w.text_key").alias("text_key"), *[f"u.{c}" for c in extra], "w.text", "u.df"))
 
     def compared(pairs: DataFrame) -> DataFrame:
         source = texts_of(pairs.select(F.col("a").alias("text_key")).union(pairs.select("b"))
                           .distinct())
-        return stored(_verified(pairs, source, shared, threshold).distinct(), "near-links")
+        return stored(_verified(pairs, source, n, threshold).distinct(), "near-links")
 
     links = compared(star)
     roots = components(links)
@@ -402,7 +522,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         crowd = texts_of(crowd)
         rarity = spark.sparkContext.broadcast(idf_table(crowd, RARITY_ROWS))  # 12 MB, fixed
         rare = stored(crowd.mapInArrow(
-            _rarest(shared, rarity, threshold),
+            _rarest(n, rarity, threshold),
             "shingle long, text_key binary, root binary, total double, rest double"), "near-rare")
         # similarity t needs an overlap of t / (1 + t) of both weights together
         enough = (F.least("a_rest", "b_rest") * (1 + 1e-9)

@@ -74,6 +74,53 @@ def test_classes_equal_brute_force(spark, corpus, monkeypatch, crowd):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
 
 
+@pytest.mark.parametrize("parts", [1, 7, N.PARTS])
+def test_document_frequencies_are_exact(spark, corpus, parts):
+    df = Counter(k for t in corpus for k in N.shingles(t)[0].tolist())
+    # shingles that share one of 2^20 buckets with others have their own frequency
+    assert sum(Counter(k % (1 << N.DF_BITS) for k in df).values()) > len(
+        {k % (1 << N.DF_BITS) for k in df}) + 100
+    blocks = spark.createDataFrame([(i // 40, t) for i, t in enumerate(corpus)]
+                                   + [(0, None), (99, ""), (99, None)], "block long, text string")
+    got = {}
+    for r in N.document_frequencies(blocks.repartition("block"), parts).collect():
+        got[r["block"], r["part"]] = N.unpacked(bytes(r["df"])).tolist()
+    for block in range(0, len(corpus), 40):
+        keys = sorted({k for t in corpus[block:block + 40] for k in N.shingles(t)[0].tolist()})
+        found = [n for p in range(parts) for n in got.get((block // 40, p), [])]
+        assert found == [df[k] for k in keys]
+
+
+def test_weights_use_exact_frequencies(spark, corpus, monkeypatch):
+    """Texts' total weights, as the classes use them."""
+    kept = {}
+
+    def stored(df, name):
+        kept[name] = out = N.checkpointed(df)
+        return out
+
+    monkeypatch.setattr(N, "stored", stored)
+    monkeypatch.setattr(N, "BLOCKS", 20)
+    texts = [*corpus, "", "  "]
+    docs = spark.createDataFrame(doc_rows([*enumerate(texts), (None, None)]), DOCS).repartition(5)
+    N.near_classes(docs)
+    sets = [N.shingles(t) for t in texts]
+    df = Counter(k for keys, _ in sets for k in keys.tolist())
+    total = {r["doc_id"]: r["total"] for r in kept["near-samples"].collect()}
+    for i, (keys, tf) in enumerate(sets):
+        idf = [np.log((1 + len(texts)) / df[k]) / np.log(1 + len(texts)) for k in keys.tolist()]
+        assert total[i] == pytest.approx(sum(tf * (1 + np.array(idf))), rel=1e-12)
+    assert total[None] == 0
+
+
+def test_packed_counts():
+    for most in (1, 255, 256, 70_000, 1 << 40):
+        assert N.unpacked(N.packed(np.array([1, most, 7]))).tolist() == [1, most, 7]
+    assert N.unpacked(N.packed(np.empty(0, np.int64))).tolist() == []
+    keys = np.array([0, 5, 1 << 40, (1 << 64) - 1], np.uint64)
+    assert N.unpacked_keys(N.packed_keys(keys)).tolist() == keys.tolist()
+
+
 def test_shingles_are_exact():
     words = "A b  c\td e f g a b c d e".lower().split()
     keys, n = N.shingles(" A b  c\td e f g a b c d E ")
