@@ -38,6 +38,38 @@ def test_recall_and_exact_scores(spark, sf):
     assert hits / (10 * len(want)) >= 0.9
 
 
+@pytest.mark.parametrize("rows", [2000, 12_000])
+def test_recall_without_the_floor(spark, rows):
+    """The index on its own: ``least`` would rank all of a table of 2,000 rows.  The
+    larger table is drawn with the mean and covariance of the smaller one."""
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    index = M.build_index(vectors)
+    x = {r["vec_id"]: np.frombuffer(bytes(r["v"])) for r in index.rows.collect()}
+    if rows > len(x):
+        known = np.array(list(x.values()))
+        more = np.random.default_rng(6).multivariate_normal(
+            known.mean(0), np.cov(known.T), rows).tolist()
+        index = M.build_index(spark.createDataFrame(
+            list(enumerate(more)), "vec_id long, embedding array<double>"))
+        x = {r["vec_id"]: np.frombuffer(bytes(r["v"])) for r in index.rows.collect()}
+    assert len(x) == rows
+    ids = np.array(sorted(x))
+    every = rows // 200
+    found = {}
+    queries = index.rows.where(f"vec_id % {every} = 0")
+    for r in M.search(index, queries, least=0).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    matrix = np.array([x[i] for i in ids])
+    hit = total = 0
+    for q in ids[ids % every == 0]:
+        d = ((matrix - x[q]) ** 2).sum(1)
+        d[ids == q] = np.inf
+        want = set(ids[np.argsort(d, kind="stable")[:M.TOP]].tolist())
+        hit, total = hit + len(want & found[q]), total + len(want)
+    assert total > 1500
+    assert 0.9 <= hit / total
+
+
 def test_walk_meets_cells_in_order_of_distance():
     rng = np.random.default_rng(4)
     for _ in range(50):
