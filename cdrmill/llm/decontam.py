@@ -154,7 +154,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame,
 
     An overlap has ``MIN_WORDS`` words or more, ``MIN_EQUAL`` of them equal at
     equal places.  Texts or items that are NULL, empty or shorter than
-    ``MIN_WORDS`` take no part.  Repeated rows give one result row; rows of one
+    ``MIN_WORDS`` take no part: an item below 12 words is not searched, so not even
+    an exact copy of it is found.  Repeated rows give one result row; rows of one
     ``doc_id`` with different texts are kept apart by ``text_key``.  Columns
     other than ``doc_id, text`` and ``item_id, text`` are ignored.
 
