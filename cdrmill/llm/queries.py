@@ -7,6 +7,7 @@ from cdrmill.llm.multi_index import op6_nearest_neighbours
 from cdrmill.llm.near_dup import op3_near_duplicates
 from cdrmill.llm.secrets import op9_secrets
 from cdrmill.llm.shard_ring import op1_sharding
+from cdrmill.llm.sliced_topk import op12_top_k
 from cdrmill.llm.token_count import op5_token_counts
 from cdrmill.llm.token_files import op8_token_files
 from cdrmill.llm.toxicity import op2_toxicity
@@ -23,6 +24,7 @@ LLM_QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op12_top_k": op12_top_k,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -40,4 +42,19 @@ LLM_ORACLES = {
                CASE WHEN page_id <> first THEN first END AS refers_to,
                CAST(NULL AS VARCHAR) AS problem
         FROM d LEFT JOIN f USING (payload_digest)""",
+    "op12_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e
+          FROM embeddings
+          WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id,
+                 CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+        r AS (
+          SELECT query_id, CAST(row_number() OVER (
+                   PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                 vec_id, score FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
 }
