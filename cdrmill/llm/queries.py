@@ -1,6 +1,7 @@
 """The corpus operators' registered queries and their DuckDB statements."""
 
 import corpus_pipeline
+from cdrmill.llm.box_codes import op13_vector_codes
 from cdrmill.llm.decontam import op4_decontamination
 from cdrmill.llm.mixing import op7_mixing
 from cdrmill.llm.multi_index import op6_nearest_neighbours
@@ -25,6 +26,7 @@ LLM_QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
     "op12_top_k": op12_top_k,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
