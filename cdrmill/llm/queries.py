@@ -6,6 +6,7 @@ from cdrmill.llm.decontam import op4_decontamination
 from cdrmill.llm.mixing import op7_mixing
 from cdrmill.llm.multi_index import op6_nearest_neighbours
 from cdrmill.llm.near_dup import op3_near_duplicates
+from cdrmill.llm.prefix_trie import op11_prefix_trie
 from cdrmill.llm.secrets import op9_secrets
 from cdrmill.llm.shard_ring import op1_sharding
 from cdrmill.llm.sliced_topk import op12_top_k
@@ -25,6 +26,7 @@ LLM_QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_top_k": op12_top_k,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
