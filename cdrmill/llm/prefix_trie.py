@@ -76,7 +76,8 @@ def ranked(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, stored(spans, "trie-spans")
 
 
-def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+def rebuilt(conversations: DataFrame, shard_convs: int = SHARD_CONVS,
+            band_turns: int = BAND_TURNS) -> tuple[DataFrame, DataFrame]:
     """Members (conv, shard, length) and their turns (shard, band, conv, pos, k1, k2,
     words), where pos counts from 1."""
     rows, spans = ranked(conversations)
@@ -86,11 +87,11 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = (convs.withColumn("base", _base(F.col("conv"))).join(bases, "base", "left")
                .withColumn("h", _shared(F.col("conv")))
                .withColumn("taken", F.least("h", F.coalesce("base_own", F.lit(0)))))
-    # ranges of ids that exist, SHARD_CONVS at most in each, ascending
+    # ranges of ids that exist, shard_convs at most in each, ascending
     members = members.repartitionByRange("conv").sortWithinPartitions("conv").select(
         "conv", "base", "h", "taken", "own",
         (F.col("taken") + F.greatest(F.col("own") - F.col("h"), F.lit(0))).alias("length"),
-        F.expr(f"monotonically_increasing_id() div {SHARD_CONVS}").alias("shard"))
+        F.expr(f"monotonically_increasing_id() div {shard_convs}").alias("shard"))
     members = stored(members, "trie-members")
 
     placed = spans.select("conv", "pid", "lo", "before")
@@ -107,15 +108,15 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     turns = own.select(*out).unionByName(shared.select(*out))
     half = lambda n: F.xxhash64(F.col("pos"), F.substring("turn", n, 8))
     turns = turns.select(
-        "shard", F.expr(f"(pos - 1) div {BAND_TURNS}").alias("band"), "conv", "length", "pos",
+        "shard", F.expr(f"(pos - 1) div {band_turns}").alias("band"), "conv", "length", "pos",
         half(1).alias("k1"), half(9).alias("k2"), "words")
     return members, stored(turns, "trie-index")
 
 
-def band_starts(members: DataFrame, turns: DataFrame) -> DataFrame:
+def band_starts(members: DataFrame, turns: DataFrame, band_turns: int = BAND_TURNS) -> DataFrame:
     """Where each conversation enters each band: the key and the words of its path so
-    far.  Longer conversations than a band give one row for ``BAND_TURNS`` turns."""
-    whole_bands = (turns.where(F.col("length") > BAND_TURNS)
+    far.  Conversations longer than a band give one row for ``band_turns`` turns."""
+    whole_bands = (turns.where(F.col("length") > band_turns)
                    .groupBy("shard", "conv", "length", "band")
                    .agg(F.bit_xor("k1").alias("x1"), F.bit_xor("k2").alias("x2"),
                         F.sum("words").alias("w")))
@@ -133,11 +134,11 @@ class Shard:
     """The index of one shard and band: bitsets (whole numbers, bit i for the i-th
     conversation by id) of (position, turn)."""
 
-    def __init__(self, starts: dict, turns: dict):
+    def __init__(self, depth: int, starts: dict, turns: dict):
         order = np.argsort(starts["conv"], kind="stable")
         pick = lambda c: np.asarray(starts[c])[order].tolist()
         self.convs, self.length = pick("conv"), pick("length")
-        self.depth = starts["band"][0] * BAND_TURNS
+        self.depth = depth  # of the starts
         at = {c: i for i, c in enumerate(self.convs)}
         self.path: list[list] = [[] for _ in self.convs]   # turns of each conversation
         self.postings: dict[tuple, int] = {}
@@ -192,11 +193,12 @@ class Shard:
         return out
 
 
-def _shard_of(group: pa.Table) -> Shard:
-    cols = {c: group[c].to_pylist() for c in ("band", "conv", "length", "pos", "k1", "k2", "words")}
+def _shard_of(group: pa.Table, band_turns: int) -> Shard:
+    cols = {c: group[c].to_pylist() for c in ("conv", "length", "pos", "k1", "k2", "words")}
     start = [i for i, p in enumerate(cols["pos"]) if p is None]
     turn = [i for i, p in enumerate(cols["pos"]) if p is not None]
-    return Shard({c: [v[i] for i in start] for c, v in cols.items()},
+    return Shard(group["band"][0].as_py() * band_turns,
+                 {c: [v[i] for i in start] for c, v in cols.items()},
                  {c: [cols[c][i] for i in turn] for c in ("conv", "pos", "k1", "k2", "words")})
 
 
@@ -209,22 +211,26 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(", "))])
 
 
-def _shard_nodes(group: pa.Table) -> pa.Table:
-    schema = _arrow(SHARD_NODES)
-    s, shard, rows = _shard_of(group), group["shard"][0].as_py(), []
-    for depth, k1, k2, p1, p2, bits, words, total in s.nodes():
-        ended = bits & s.ends.get(depth, 0)
-        ids = [s.convs[i] for i in s.members(ended)]
-        least = s.convs[(bits & -bits).bit_length() - 1]
-        rows.append((depth, k1, k2, p1, p2, least, bits.bit_count(), words, total, shard, 0,
-                     len(ids), ",".join(map(str, ids[:END_IDS])) if ids else None))
-        for piece, i in enumerate(range(END_IDS, len(ids), END_IDS), 1):
-            rows.append((depth, k1, k2, p1, p2, least, 0, words, total, shard, piece, 0,
-                         ",".join(map(str, ids[i:i + END_IDS]))))
+def _columns(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _shard_nodes(band_turns: int):
+    def run(group: pa.Table) -> pa.Table:
+        s, shard, rows = _shard_of(group, band_turns), group["shard"][0].as_py(), []
+        for depth, k1, k2, p1, p2, bits, words, total in s.nodes():
+            ids = [s.convs[i] for i in s.members(bits & s.ends.get(depth, 0))]
+            least = s.convs[(bits & -bits).bit_length() - 1]
+            rows.append((depth, k1, k2, p1, p2, least, bits.bit_count(), words, total, shard, 0,
+                         len(ids), ",".join(map(str, ids[:END_IDS])) if ids else None))
+            for piece, i in enumerate(range(END_IDS, len(ids), END_IDS), 1):
+                rows.append((depth, k1, k2, p1, p2, least, 0, words, total, shard, piece, 0,
+                             ",".join(map(str, ids[i:i + END_IDS]))))
+        return _columns(rows, _arrow(SHARD_NODES))
+    return run
+
+
 MERGED = ("depth long, k1 long, k2 long, p1 long, p2 long, conv_id long, n_convs long, "
           "n_ends long, words long, path_words long, ends_sha256 string")
 
@@ -265,33 +271,37 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SUMS = "depth long, k1 long, k2 long, n_leaves long, saved_tokens long, top long"
 
 
-def _subtree_sums(group: pa.Table) -> pa.Table:
+def _subtree_sums(band_turns: int):
     """Second descent.  Start rows carry, per conversation, from which depth it owns
     its path (``owns``), the words before that (``unowned``) and whether it owns a
     childless node (``leaf``).  ``top`` is 1 where the owner's part begins; only the
     owner's shard can say so, as others' members begin deeper."""
-    schema = _arrow(SUMS)
-    s, rows = _shard_of(group), []
-    at = {c: i for i, c in enumerate(s.convs)}
-    owns, unowned = [0] * len(at), [0] * len(at)
-    leaves, later = 0, {}
-    for conv, o, u, leaf in zip(*(group[c].to_pylist() for c in ("conv", "owns", "unowned", "leaf"))):
-        if o is not None:
-            i = at[conv]
-            owns[i], unowned[i] = o, u
-            leaves |= leaf << i
-    for depth, k1, k2, _, _, bits, words, total in s.nodes():
-        if depth not in later:
-            later[depth] = sum(1 << i for i, o in enumerate(owns) if o > depth)
-        others = bits & later[depth]
-        saved = sum(unowned[i] for i in s.members(others)) - others.bit_count() * (total - words)
-        least = (bits & -bits).bit_length() - 1
-        rows.append((depth, k1, k2, (bits & leaves).bit_count(), saved, int(owns[least] == depth)))
-    columns = list(zip(*rows)) if rows else [[] for _ in schema]
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
-
-def prefix_trie(conversations: DataFrame) -> DataFrame:
+    def run(group: pa.Table) -> pa.Table:
+        s, rows = _shard_of(group, band_turns), []
+        at = {c: i for i, c in enumerate(s.convs)}
+        owns, unowned = [0] * len(at), [0] * len(at)
+        leaves, later = 0, {}
+        for conv, o, u, leaf in zip(*(group[c].to_pylist()
+                                      for c in ("conv", "owns", "unowned", "leaf"))):
+            if o is not None:
+                i = at[conv]
+                owns[i], unowned[i] = o, u
+                leaves |= leaf << i
+        for depth, k1, k2, _, _, bits, words, total in s.nodes():
+            if depth not in later:
+                later[depth] = sum(1 << i for i, o in enumerate(owns) if o > depth)
+            others = bits & later[depth]
+            saved = (sum(unowned[i] for i in s.members(others))
+                     - others.bit_count() * (total - words))
+            least = (bits & -bits).bit_length() - 1
+            rows.append((depth, k1, k2, (bits & leaves).bit_count(), saved,
+                         int(owns[least] == depth)))
+        return _columns(rows, _arrow(SUMS))
+    return run
+
+
+def prefix_trie(conversations: DataFrame, shard_convs: int = SHARD_CONVS,
+                band_turns: int = BAND_TURNS) -> DataFrame:
     """One row per node of the trie of rebuilt ``conversations`` (conv_id, turn, role,
     text; other columns are ignored): conv_id, depth, parent_conv_id, n_convs,
     n_children, n_leaves, saved_tokens, ends_sha256.
@@ -301,14 +311,14 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     text counts as empty, rows without a conv_id take no part.  ``c % 20`` has the
     sign of ``c``, as in SQL.  Texts of any length count whole and are not kept.  An
     empty table has no node, not even a root."""
-    members, turns = rebuilt(conversations)
-    starts = band_starts(members, turns)
+    members, turns = rebuilt(conversations, shard_convs, band_turns)
+    starts = band_starts(members, turns, band_turns)
     none = F.lit(None).cast("long")
     rows = turns.select("shard", "band", "conv", "length", "pos", "k1", "k2", "words")
     gate = ["shard", "band", "conv", "length", "pos", "k1", "k2", "words"]
     entry = starts.withColumn("pos", none)
     found = (rows.unionByName(entry.select(gate)).groupBy("shard", "band")
-             .applyInArrow(_shard_nodes, SHARD_NODES))
+             .applyInArrow(_shard_nodes(band_turns), SHARD_NODES))
     by_key = [*NODE, "shard", "piece"]
     nodes = stored(found.repartition(*NODE).sortWithinPartitions(*by_key)
                    .mapInArrow(_merge, MERGED), "trie-nodes")
@@ -325,7 +335,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     extra = [none.alias(c) for c in ("owns", "unowned", "leaf")]
     entry = entry.join(flags, "conv").select(*gate, "owns", "unowned", "leaf")
     sums = (rows.select(*gate, *extra).unionByName(entry).groupBy("shard", "band")
-            .applyInArrow(_subtree_sums, SUMS))
+            .applyInArrow(_subtree_sums(band_turns), SUMS))
 
     # one grouping brings a node's own row, its children and its sums together
     children = nodes.where(F.col("depth") > 0).groupBy(

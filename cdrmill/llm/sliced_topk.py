@@ -29,8 +29,9 @@ BLOCK_ROWS = 8192       # rows of a block (on average: rows are dealt by hash)
 TILE_QUERIES = 512
 EVERY = 20              # ids divisible by it are the registered query's queries
 TOP = 20
-LARGEST = 1 << 62       # components beyond it count as it
+LARGEST = 1 << 53       # components beyond it count as it
 LONG = 1 << 63
+LOW_BITS = 62           # scores go as two longs: floor(score / 2**62) and the rest
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -170,7 +171,7 @@ def search_block(block: Block, own: int, query: list[int], top: int) -> tuple[np
         if s is not None:
             bit = (s[rows // 64] >> (rows % 64).astype(np.uint64)) & np.uint64(1)
             values += (bit.astype(object) if wide else bit.astype(np.int64)) * (1 << w)
-    return block.ids[rows], [min(max(int(v) + offset, -LONG), LONG - 1) for v in values]
+    return block.ids[rows], [int(v) + offset for v in values]
 
 
 def _usable(vector) -> F.Column:
@@ -221,10 +222,10 @@ def build_index(vectors: DataFrame, scale: int = SCALE, block_rows: int = BLOCK_
 
 
 def _tile(scale: int, top: int):
-    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    out = pa.schema([(c, pa.int64()) for c in ("query_id", "vec_id", "high", "low")])
 
     def run(index: pa.Table, queries: pa.Table) -> pa.Table:
-        found: tuple[list, list, list] = ([], [], [])
+        found: tuple[list, list, list, list] = ([], [], [], [])
         if index.num_rows and queries.num_rows:
             ids = np.frombuffer(index["ids"][0].as_py(), np.int64)
             words = -(-len(ids) // 64)
@@ -235,7 +236,8 @@ def _tile(scale: int, top: int):
                                                                   scale).tolist(), top)
                 found[0].extend([own] * len(near))
                 found[1].extend(near.tolist())
-                found[2].extend(scores)
+                found[2].extend(s >> LOW_BITS for s in scores)
+                found[3].extend(s & ((1 << LOW_BITS) - 1) for s in scores)
         return pa.table(dict(zip(out.names, found)), schema=out)
     return run
 
@@ -245,8 +247,8 @@ def search(index: SlicedIndex, queries: DataFrame, top: int = TOP,
     """``query_id, rank, vec_id, score``: for each of ``queries`` (vec_id, v as in
     ``index.vectors``, ids distinct) the ``top`` rows of the index with the highest
     inner product of the quantised vectors, ties to the smaller id, the query's own
-    id left out; fewer candidates give fewer rows.  Scores are exact; one beyond a
-    long's range is given as the nearest long."""
+    id left out; fewer candidates give fewer rows.  Scores are ranked exactly; one beyond
+    a long's range is given as the nearest long."""
     groups = max(1, math.ceil(queries.count() / tile_queries))
     blocks = index.blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     asked = (queries.select("vec_id", "v",
@@ -254,10 +256,12 @@ def search(index: SlicedIndex, queries: DataFrame, top: int = TOP,
              .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"),
                                                        F.lit(index.count - 1).cast("long")))))
     best = blocks.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInArrow(
-        _tile(index.scale, top), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        _tile(index.scale, top), "query_id long, vec_id long, high long, low long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("low"), "vec_id")
+    score = (F.when(F.col("high") > 1, F.lit(LONG - 1)).when(F.col("high") < -2, F.lit(-LONG))
+             .otherwise(F.col("high") * F.lit(1 << LOW_BITS) + F.col("low")))
     return (best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", score.alias("score")))
 
 
 def highest_products(vectors: DataFrame, every: int = EVERY, top: int = TOP) -> DataFrame:

@@ -1,4 +1,5 @@
 import duckdb
+import pytest
 
 from cdrmill.llm.queries import LLM_ORACLES, LLM_QUERIES
 from .conftest import SMALL
@@ -7,7 +8,7 @@ from .conftest import SMALL
 def test_names():
     assert [n for n in LLM_QUERIES if n != "pipeline"] == sorted(
         (n for n in LLM_QUERIES if n != "pipeline"), key=lambda n: int(n[2:].split("_")[0]))
-    assert len(LLM_QUERIES) == 11 and set(LLM_ORACLES) <= set(LLM_QUERIES)
+    assert len(LLM_QUERIES) == 14 and set(LLM_ORACLES) <= set(LLM_QUERIES)
 
 
 def test_warc_query_equals_sql(spark):
@@ -18,3 +19,15 @@ def test_warc_query_equals_sql(spark):
     assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type",
                            "refers_to", "problem"]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["op11_prefix_trie", "op12_top_k"])
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("conversations", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    want = con.execute(LLM_ORACLES[name])
+    columns = [c[0] for c in want.description]
+    got = LLM_QUERIES[name](spark, SMALL)
+    assert got.columns == columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want.fetchall(), key=str)
