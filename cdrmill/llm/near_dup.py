@@ -53,6 +53,7 @@ CROWD = 64                    # from so many members on a bucket's pairs are fil
 COLUMNS_AT_ONCE = 4096
 BLOCKS, BLOCK_BYTES = 512, 8 << 20  # blocks of documents: at least, and text for one
 PARTS, PART_BYTES = 64, 24 << 20    # ranges of the hash space: at least, and text for one
+SORTED_AT_ONCE = 1 << 18            # shingles of one sort within such a range
 BROADCAST_BYTES = 32 << 20
 
 _U = np.uint64
@@ -262,27 +263,48 @@ def _pieces(parts: int):
     return run
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each piece (sorted keys and their counts) the sums over all pieces, in the
+    order of its keys.  Keys are compared a stretch at a time, so what is sorted
+    at once stays small beside the pieces."""
+    out = [np.zeros(len(k), np.int64) for k in keys]
+    n = max(1, sum(map(len, keys)) // SORTED_AT_ONCE)
+    low = min((k[0] for k in keys if len(k)), default=_U(0))
+    high = max((k[-1] for k in keys if len(k)), default=_U(0))
+    cuts = np.array([int(low) + (int(high) - int(low)) * i // n for i in range(1, n)], _U)
+    at = [np.concatenate([[0], np.searchsorted(k, cuts), [len(k)]]) for k in keys]
+    for i in range(n):
+        part = [k[a[i]:a[i + 1]] for k, a in zip(keys, at)]
+        _, where = np.unique(np.concatenate(part), return_inverse=True)
+        sums = np.bincount(where, np.concatenate([c[a[i]:a[i + 1]] for c, a in zip(counts, at)]))
+        ends = np.cumsum([len(p) for p in part])[:-1]
+        for o, a, found in zip(out, at, np.split(sums[where], ends)):
+            o[a[i]:a[i + 1]] = found
+    return out
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each piece the frequency of its shingles in all documents, in their order.
     One range of the hash space is held at a time."""
     def counted(part: int, pieces: list[tuple]) -> pa.RecordBatch:
-        _, where = np.unique(np.concatenate([p[1] for p in pieces]), return_inverse=True)
-        df = np.bincount(where, np.concatenate([p[2] for p in pieces])).astype(np.int64)[where]
-        ends = np.cumsum([len(p[1]) for p in pieces])[:-1]
+        df = _summed([p[1] for p in pieces], [p[2] for p in pieces])
         return pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in pieces], pa.int64()),
              pa.array([part] * len(pieces), pa.int32()),
-             pa.array([packed(d) for d in np.split(df, ends)], pa.binary())],
+             pa.array([packed(d) for d in df], pa.binary())],
             ["block", "part", "df"])
 
     at, pieces = None, []
     for batch in batches:
-        for block, part, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+        for block, part, keys, counts in zip(*batch.columns):
+            part = part.as_py()
             if part != at and pieces:
                 yield counted(at, pieces)
                 pieces = []
             at = part
-            pieces.append((block, unpacked_keys(keys), unpacked(counts)))
+            raw = counts.as_py()
+            pieces.append((block.as_py(), unpacked_keys(keys.as_buffer()),
+                           np.frombuffer(raw, f"<u{raw[0]}", offset=1)))
     if pieces:
         yield counted(at, pieces)
 
