@@ -2,42 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cdrmill.operators.dedup import FILE_BLANKS, FILE_LINES
+
 
-def file_audit(records: DataFrame, legs: DataFrame, name_col: str = "file_name",
-               reason_col: str = "hold_reason", index_col: str = "leg_index") -> DataFrame:
-    """One row per input file: records read, duplicates dropped, leg rows
-    matched and held.
+def file_audit(legs: DataFrame, keys: Sequence[str], name_col: str = "file_name",
+               reason_col: str = "hold_reason", index_col: str = "leg_index",
+               unchecked: Sequence[str] = ("ragged", "bad_header")) -> DataFrame:
+    """One row per input file with records: records read, duplicates dropped, how many
+    of those were merged under a key with a blank part, leg rows matched and held.
 
-    Records kept by the duplicate check are counted on the leg rows (the
-    row with leg index 0, or the single no-leg row), so the check is not run
-    a second time.  Each input is reduced to one row per file by a partial
-    aggregate before anything is shuffled; only per-file counts are joined.
+    ``legs`` come from a duplicate check that counted its input (``keep_first_counted``),
+    so they carry a row of counts per file and one grouping is enough: the input is not
+    read again.  Kept records are the leg rows with index 0 and the no-leg rows; those
+    held for an ``unchecked`` reason never were in the check.
     """
-    n_in = records.groupBy(name_col).agg(F.count(F.lit(1)).alias("n_records"))
-    idx = F.col(index_col)
-    n_legs = legs.groupBy(name_col).agg(
-        F.count_if(idx.isNull() | (idx == 0)).alias("n_kept"),
-        F.count_if(F.col(reason_col).isNull()).alias("n_matched"),
-        F.count_if(F.col(reason_col).isNotNull()).alias("n_held"))
-    out = n_in.join(n_legs, name_col, "left")
+    idx, reason, call = F.col(index_col), F.col(reason_col), F.col(FILE_LINES).isNull()
+    kept = call & (idx.isNull() | (idx == 0))
+    blank = F.lit(False)
+    for k in keys:
+        blank = blank | F.col(k).isNull()
+    blank = blank & ~F.coalesce(reason.isin(list(unchecked)), F.lit(False))
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    out = legs.groupBy(F.col(name_col).alias("filename")).agg(
+        n(FILE_LINES).alias("n_records"), n(FILE_BLANKS).alias("blanks"),
+        F.count_if(kept).alias("kept"), F.count_if(kept & blank).alias("blanks_kept"),
+        F.count_if(call & reason.isNull()).alias("n_matched"),
+        F.count_if(call & reason.isNotNull()).alias("n_held"))
     return out.select(
-        F.col(name_col).alias("filename"),
-        F.col("n_records"),
-        (F.col("n_records") - F.coalesce(F.col("n_kept"), F.lit(0))).alias("n_duplicates"),
-        F.coalesce(F.col("n_matched"), F.lit(0)).alias("n_matched"),
-        F.coalesce(F.col("n_held"), F.lit(0)).alias("n_held"),
-    )
+        "filename", "n_records", (F.col("n_records") - F.col("kept")).alias("n_duplicates"),
+        (F.col("blanks") - F.col("blanks_kept")).alias("n_blank_merges"), "n_matched", "n_held")
 
 
 def load_totals(audit: DataFrame) -> DataFrame:
     """One row of totals over a file audit."""
     return audit.agg(
         F.count(F.lit(1)).alias("n_files"),
-        F.sum("n_records").alias("n_records"),
-        F.sum("n_duplicates").alias("n_duplicates"),
-        F.sum("n_matched").alias("n_matched"),
-        F.sum("n_held").alias("n_held"),
-    )
+        *[F.sum(c).alias(c) for c in ("n_records", "n_duplicates", "n_blank_merges", "n_matched",
+                                      "n_held")])

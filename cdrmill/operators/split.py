@@ -28,11 +28,13 @@ def side_present(node: str, path: str) -> Column:
 
 def split_transit(df: DataFrame, incoming: Sequence[str] = MED_INCOMING,
                   outgoing: Sequence[str] = MED_OUTGOING, leg: str = "leg",
-                  index: str | None = None) -> DataFrame:
+                  index: str | None = None, whole: str | None = None) -> DataFrame:
     """``index`` (optional) numbers the leg rows of one record 0, 1 (NULL
-    for the no-leg row), so a record can be counted once after the split."""
-    in_p = side_present(incoming[0], incoming[1])
-    out_p = side_present(outgoing[0], outgoing[1])
+    for the no-leg row), so a record can be counted once after the split.  Records
+    with the column ``whole`` set are not split: one row without a leg."""
+    apart = F.lit(True) if whole is None else F.col(whole).isNull()
+    in_p = side_present(incoming[0], incoming[1]) & apart
+    out_p = side_present(outgoing[0], outgoing[1]) & apart
     legs = F.filter(F.array(F.when(in_p, F.lit("I")), F.when(out_p, F.lit("O"))),
                     lambda x: x.isNotNull())
     if index:

@@ -445,28 +445,35 @@ SELECT {med_map_select(f"'{REPROCESS_TIME}'")} FROM re_reasoned WHERE hold_reaso
 
 
 
-def _audit_ctes() -> str:
-    return med_chain() + """,
-n_in AS (SELECT file_name, count(*) AS n_records FROM med_parsed GROUP BY file_name),
-n_kept AS (SELECT file_name, count(*) AS n_kept FROM med_kept GROUP BY file_name),
+BLANK_KEY = " OR ".join(f"{c} IS NULL" for c in _KEYS)
+
+
+def audit_ctes(chain: str | None = None) -> str:
+    return (chain or med_chain()) + f""",
+n_in AS (SELECT file_name, count(*) AS n_records, count(*) FILTER (WHERE {BLANK_KEY}) AS b
+         FROM med_parsed GROUP BY file_name),
+n_kept AS (SELECT file_name, count(*) AS n_kept, count(*) FILTER (WHERE {BLANK_KEY}) AS b
+           FROM med_kept GROUP BY file_name),
 n_legs AS (SELECT file_name, count(*) FILTER (WHERE hold_reason IS NULL) AS n_matched,
                   count(*) FILTER (WHERE hold_reason IS NOT NULL) AS n_held
            FROM med_reasoned GROUP BY file_name),
 audit AS (
   SELECT i.file_name AS filename, i.n_records,
          i.n_records - coalesce(k.n_kept, 0) AS n_duplicates,
+         i.b - coalesce(k.b, 0) AS n_blank_merges,
          coalesce(l.n_matched, 0) AS n_matched, coalesce(l.n_held, 0) AS n_held
   FROM n_in i LEFT JOIN n_kept k USING (file_name) LEFT JOIN n_legs l USING (file_name))"""
 
 
 def q_file_audit() -> str:
-    return _with(_audit_ctes(), "SELECT * FROM audit")
+    return _with(audit_ctes(), "SELECT * FROM audit")
 
 
 def q_load_metrics() -> str:
-    return _with(_audit_ctes(), """
+    return _with(audit_ctes(), """
 SELECT count(*) AS n_files, CAST(sum(n_records) AS BIGINT) AS n_records,
        CAST(sum(n_duplicates) AS BIGINT) AS n_duplicates,
+       CAST(sum(n_blank_merges) AS BIGINT) AS n_blank_merges,
        CAST(sum(n_matched) AS BIGINT) AS n_matched, CAST(sum(n_held) AS BIGINT) AS n_held
 FROM audit""")
 
@@ -637,15 +644,18 @@ WHERE leg IS NOT NULL AND poi_id IS NOT NULL AND network_operator_id IS NOT NULL
 
 
 def q_ict_file_audit() -> str:
-    return _with(ict_chain() + """,
-n_in AS (SELECT file_name, count(*) AS n_records FROM ict_clean GROUP BY file_name),
-n_kept AS (SELECT file_name, count(*) AS n_kept FROM ict_kept GROUP BY file_name),
+    return _with(ict_chain() + f""",
+n_in AS (SELECT file_name, count(*) AS n_records, count(*) FILTER (WHERE {BLANK_KEY}) AS b
+         FROM ict_clean GROUP BY file_name),
+n_kept AS (SELECT file_name, count(*) AS n_kept, count(*) FILTER (WHERE {BLANK_KEY}) AS b
+           FROM ict_kept GROUP BY file_name),
 n_legs AS (SELECT INPUTFILENAME AS file_name,
                   count(*) FILTER (WHERE hold_reason IS NULL) AS n_matched,
                   count(*) FILTER (WHERE hold_reason IS NOT NULL) AS n_held
            FROM ict_reasoned GROUP BY INPUTFILENAME)""", """
 SELECT i.file_name AS filename, i.n_records,
        i.n_records - coalesce(k.n_kept, 0) AS n_duplicates,
+       i.b - coalesce(k.b, 0) AS n_blank_merges,
        coalesce(l.n_matched, 0) AS n_matched, coalesce(l.n_held, 0) AS n_held
 FROM n_in i LEFT JOIN n_kept k USING (file_name) LEFT JOIN n_legs l USING (file_name)""")
 

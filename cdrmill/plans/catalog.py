@@ -35,7 +35,7 @@ from cdrmill.sources.envelope import read_envelope_csv
 from cdrmill.sources.log import append_log, log_entries, read_log
 from cdrmill.sources.masters import read_latest_master, read_master
 from cdrmill.streaming.incremental import IncrementalConfig, run_med_incremental
-from cdrmill.schema import ENRICHED_COLUMNS, TRUNK_SCHEMA
+from cdrmill.schema import ENRICHED_COLUMNS, ICT_DEDUP_KEYS, MED_DEDUP_KEYS, TRUNK_SCHEMA
 
 REPROCESS_CLOCK = Clock("2024-07-03 09:00:00", "2024-07-03")
 
@@ -211,8 +211,8 @@ def q_hold_reprocess(spark, sf_dir):
 
 def _audit(spark, sf_dir):
     lines = new_files(fx.cdr_lines(spark, sf_dir), fx.processed_log(spark, sf_dir))
-    out = enrich_med(lines, _masters(spark, sf_dir), FIXED_CLOCK)
-    return file_audit(out.records, out.legs)
+    out = enrich_med(lines, _masters(spark, sf_dir), FIXED_CLOCK, counted=True)
+    return file_audit(out.legs, MED_DEDUP_KEYS)
 
 
 def q_file_audit(spark, sf_dir):
@@ -341,9 +341,8 @@ def q_ict_hold_reprocess(spark, sf_dir):
 
 def q_ict_file_audit(spark, sf_dir):
     """Per ICT extract: records read, duplicates dropped, legs matched/held."""
-    records = _ict_records(spark, sf_dir)
-    out = enrich_ict(records, _masters(spark, sf_dir), FIXED_CLOCK)
-    return file_audit(records, out.legs.withColumnRenamed("INPUTFILENAME", "file_name"))
+    out = enrich_ict(_ict_records(spark, sf_dir), _masters(spark, sf_dir), FIXED_CLOCK, counted=True)
+    return file_audit(out.legs, ICT_DEDUP_KEYS, "INPUTFILENAME")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

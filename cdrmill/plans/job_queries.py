@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdrmill import fixtures as fx
@@ -19,22 +19,30 @@ from cdrmill.plans.jobs import (JobConfig, MasterPaths, read_table, run_hold_rep
                                 run_med, run_parse)
 from cdrmill.schema import CDR_COLUMNS, ENRICHED_COLUMNS
 from cdrmill.session import scratch_path
-from cdrmill.sinks.writers import append_table, current_hold, read_enriched
+from cdrmill.sinks.commits import hadoop_path
+from cdrmill.sinks.maintenance import clean_up, compact_hold, compact_output, load_sizes
+from cdrmill.sinks.writers import (append_table, current_hold, read_audit, read_enriched,
+                                   write_enriched)
 from cdrmill.sources.envelope import read_envelope_csv
 from cdrmill.sources.log import read_log
-from cdrmill.streaming.incremental import IncrementalConfig, run_med_incremental
+from cdrmill.sources.masters import read_rejects
+from cdrmill.streaming.incremental import (IncrementalConfig, run_ict_incremental,
+                                           run_med_incremental)
+from cdrmill.streaming.metrics import read_metrics
 
 LATER = Clock("2024-07-03 09:00:00", "2024-07-03")
+KEYS_BUCKETS = 4  # the stand-in calls are spread over 84 months
 CALL = ["ANUM", "BNUM", "EVENT_START_DATE", "EVENT_START_TIME"]
 
 
 # ---------------------------------------------------------------- inputs
 def masters_as_files(spark: SparkSession, sf_dir: str, corrected: bool = False,
-                     date: str = "20240401") -> MasterPaths:
-    """The stand-in masters as pipe files in dated folders."""
+                     date: str = "20240401", added: DataFrame | None = None) -> MasterPaths:
+    """The stand-in masters (with further trunk rows) as pipe files in dated folders."""
     root = scratch_path(spark, "masters")
     trunk = (fx.corrected_trunk_master if corrected else fx.trunk_master)(spark, sf_dir)
     node = (fx.corrected_node_master if corrected else fx.node_master)(spark, sf_dir)
+    trunk = trunk if added is None else trunk.unionByName(added)
     for kind, df in (("trunk", trunk), ("node", node)):
         df.write.option("header", True).option("sep", "|").csv(f"{root}/{kind}/{date}")
     return MasterPaths(f"{root}/trunk/*/*.csv", f"{root}/node/*/*.csv", snapshot_by="folder")
@@ -65,7 +73,7 @@ def job_config(spark: SparkSession, sf_dir: str, inputs: str, **more) -> JobConf
     root = scratch_path(spark, "job")
     return JobConfig(inputs, more.pop("masters", None) or masters_as_files(spark, sf_dir),
                      f"{root}/out", f"{root}/hold", f"{root}/log", audit_path=f"{root}/audit",
-                     source_col="source", **more)
+                     source_col="source", keys_buckets=KEYS_BUCKETS, **more)
 
 
 # ---------------------------------------------------------------- results
@@ -245,11 +253,11 @@ def write_odd_extracts(spark: SparkSession, sf_dir: str) -> str:
 
 
 def q_envelope_reordered_header(spark, sf_dir):
-    """Records of the extracts whose header has the columns in another order."""
+    """Records of all odd extracts: columns by header name whatever their order, and what
+    is wrong with the lines of the others."""
     root = write_odd_extracts(spark, sf_dir)
     rows = read_envelope_csv(spark, root, source_col="source", base_path=root)
-    return (rows.where(F.substring("file_name", 4, 1).isin("0", "4"))
-            .select("file_name", *ENRICHED_COLUMNS))
+    return rows.select("file_name", "line_problem", *ENRICHED_COLUMNS)
 
 
 def q_ict_bad_records_held(spark, sf_dir):
@@ -275,12 +283,330 @@ def q_ict_two_loads_same_day(spark, sf_dir):
     run_ict(spark, cfg, FIXED_CLOCK)
     cfg.inputs = f"{root}/hour=*"
     run_ict(spark, cfg, FIXED_CLOCK)
+    return _ict_states(spark, cfg)
+
+
+# ---------------------------------------------------------------- overlapping runs
+def _interleaved(first: JobConfig, second: JobConfig, run: Callable) -> None:
+    """``first`` runs; when all its rows are written and only the commit is left,
+    ``second`` runs from beginning to end."""
+    begun = []
+
+    def other() -> None:
+        if not begun:
+            begun.append(True)
+            run(second)
+
+    first.before_commit = other
+    run(first)
+
+
+def _copy(cfg: JobConfig, **changed) -> JobConfig:
+    return JobConfig(**{**cfg.__dict__, **changed})
+
+
+def q_overlapping_runs(spark, sf_dir):
+    """Two loads that overlap: one is offered both hours, the other the first hour only
+    and commits first.  Every leg is there once."""
+    root = write_hours(spark, sf_dir)
+    both = job_config(spark, sf_dir, f"{root}/hour=*")
+    _interleaved(both, _copy(both, inputs=f"{root}/hour=10"),
+                 lambda cfg: run_med(spark, cfg, FIXED_CLOCK))
+    return stored_calls(spark, both)
+
+
+def q_overlapping_runs_keys(spark, sf_dir):
+    """Two loads of different files with calls in common overlap: the one that commits
+    second drops the calls that the other one kept."""
+    root = write_hours(spark, sf_dir)
+    late = job_config(spark, sf_dir, f"{root}/hour=11")
+    late.keys_dir = late.output_path + "-keys"
+    _interleaved(late, _copy(late, inputs=f"{root}/hour=10"),
+                 lambda cfg: run_med(spark, cfg, FIXED_CLOCK))
+    return stored_calls(spark, late)
+
+
+def q_overlapping_hold_runs(spark, sf_dir):
+    """Two hold runs that overlap release every held leg once."""
+    root = write_hours(spark, sf_dir)
+    cfg = job_config(spark, sf_dir, f"{root}/hour=*")
+    run_med(spark, cfg, FIXED_CLOCK)
+    cfg.masters = masters_as_files(spark, sf_dir, corrected=True)
+    _interleaved(cfg, _copy(cfg), lambda c: run_hold_reprocess(spark, c, "MED", LATER))
+    return stored_calls(spark, cfg)
+
+
+# ---------------------------------------------------------------- hold by difference
+def q_hold_master_difference(spark, sf_dir):
+    """Masters that gain a few entries: only the held rows of their nodes are read again.
+    Returns every leg and its state, as after a full pass."""
+    root = write_hours(spark, sf_dir)
+    cfg = job_config(spark, sf_dir, f"{root}/hour=*")
+    run_med(spark, cfg, FIXED_CLOCK)
+    added = fx.corrected_trunk_master(spark, sf_dir).where(
+        (F.col("ID") == "TG999999") & (F.col("FK_NNOD") < "ND05"))
+    cfg.masters = masters_as_files(spark, sf_dir, added=added)
+    run_hold_reprocess(spark, cfg, "MED", LATER)
+    return stored_calls(spark, cfg)
+
+
+def q_ict_hold_job(spark, sf_dir):
+    """The ICT job, then its hold job with corrected masters: released legs keep their
+    first processing date.  Legs per file, state and date."""
+    root = scratch_path(spark, "ict-hold-in")
+    (fx.ict_envelope_lines(spark, sf_dir).repartition("source")
+     .sortWithinPartitions("source", "section").select("value", "source")
+     .write.partitionBy("source").text(root))
+    cfg = job_config(spark, sf_dir, root)
+    run_ict(spark, cfg, FIXED_CLOCK)
+    cfg.masters = masters_as_files(spark, sf_dir, corrected=True)
+    run_hold_reprocess(spark, cfg, "ICT", LATER)
+    return _ict_states(spark, cfg, "processing_date")
+
+
+# ---------------------------------------------------------------- counts and odd lines
+def odd_lines(lines: DataFrame) -> DataFrame:
+    """Call records, some with blank numbers (blank duplicate-check keys), some cut off
+    after the numbers."""
+    v, digit = F.col("value"), F.substring("value", 106, 1)
+    return lines.withColumn("value", F.when(digit == "3", F.concat(
+        F.substring(v, 1, 66), F.lit(" " * 56), F.substring(v, 123, 296)))
+        .when(digit == "5", F.rtrim(F.substring(v, 1, 122))).otherwise(v))
+
+
+def q_odd_lines_audit(spark, sf_dir):
+    """The job's audit over odd lines: records merged under a blank key have a column of
+    their own."""
+    root = scratch_path(spark, "odd-lines")
+    (odd_lines(fx.cdr_lines(spark, sf_dir)).select("value", F.col("file_name").alias("source"))
+     .write.partitionBy("source").text(root))
+    cfg = job_config(spark, sf_dir, root)
+    run_med(spark, cfg, FIXED_CLOCK)
+    return read_audit(spark, cfg.audit_path, cfg.hold_path).drop("load_id")
+
+
+# ---------------------------------------------------------------- streams
+STREAM_STEPS = (("0", "1"), ("2",), ("3",))  # files that arrive together
+
+
+def recent(lines: DataFrame) -> DataFrame:
+    """Call records of yesterday; those of callers ending in 9 are a month old.  The date
+    they had goes behind the called number, so that calls stay as distinct as they are."""
+    v = F.col("value")
+    days = F.when(F.substring(v, 78, 1) == "9", 30).otherwise(1)
+    day = F.date_format(F.date_sub(F.current_date(), days), "yyyyMMdd")
+    return lines.withColumn("value", F.concat(
+        F.substring(v, 1, 40), day, F.substring(v, 49, 58), F.substring(v, 41, 8),
+        F.substring(v, 115, 304)))
+
+
+def _streamed(spark: SparkSession, sf_dir: str, lines: DataFrame, **how) -> IncrementalConfig:
+    """The stream run three times over a growing folder."""
+    root = scratch_path(spark, "stream")
+    base = scratch_path(spark, "stream-out")
+    cfg = IncrementalConfig(root, f"{base}/out", f"{base}/hold", f"{base}/ckpt",
+                            source_col="source", **how)
+    masters = masters_as_files(spark, sf_dir)
+    for files in STREAM_STEPS:
+        (lines.where(F.substring("file_name", 4, 1).isin(*files))
+         .select("value", F.col("file_name").alias("source"))
+         .write.mode("append").partitionBy("source").text(root))
+        run_med_incremental(spark, cfg, masters, clock=FIXED_CLOCK)
+    return cfg
+
+
+def _states(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
+    return stored_calls(spark, JobConfig(None, None, cfg.output_dir, cfg.hold_dir, None))
+
+
+def q_stream_late_repeats(spark, sf_dir):
+    """A stream that drops repeats by its own state: those within two days of event time
+    go, in whichever batch they come; older calls pass by the state."""
+    cfg = _streamed(spark, sf_dir, recent(fx.cdr_lines(spark, sf_dir)), repeats_within="2 days")
+    return _states(spark, cfg).drop("EVENT_START_DATE", "file_name")
+
+
+def q_stream_batch_metrics(spark, sf_dir):
+    """Rows per micro-batch from the stream's metrics table."""
+    metrics = scratch_path(spark, "stream-metrics")
+    _streamed(spark, sf_dir, fx.cdr_lines(spark, sf_dir), metrics_path=metrics)
+    return read_metrics(spark, metrics).where("batch_ms > 0 and records_per_sec > 0").select(
+        F.row_number().over(Window.orderBy("batch_id")).cast("long").alias("batch_no"),
+        "records", "leg_rows", "matched", "held")
+
+
+def _place(spark: SparkSession, folder: str, target: str, only: str) -> None:
+    """Move the extract files of a written folder to ``target/<name>/extract.csv``."""
+    _, path, fs = hadoop_path(spark, folder)
+    for d in fs.listStatus(path):
+        name = d.getPath().getName()
+        if not name.startswith("source=") or name[len("source=ICT")] not in only:
+            continue
+        part = next(p.getPath() for p in fs.listStatus(d.getPath())
+                    if p.getPath().getName().startswith("part-"))
+        _, to, _ = hadoop_path(spark, f"{target}/{name}/extract.csv")
+        fs.mkdirs(to.getParent())
+        fs.delete(to, False)
+        fs.rename(part, to)
+
+
+def q_ict_stream(spark, sf_dir):
+    """Extracts as a stream: half of them have no trailer when the first batch runs and
+    wait; later they are whole.  Legs per file and state, as from two batch loads."""
+    lines = fx.ict_envelope_lines(spark, sf_dir)
+    landing = scratch_path(spark, "ict-landing")
+    for complete in (False, True):
+        whole = scratch_path(spark, "ict-part")
+        (lines.where((F.substring("source", 4, 1) < "4") != F.lit(complete))
+         .where(F.lit(complete) | (F.substring("source", 4, 1) < "4") | (F.col("section") < 3))
+         .unionByName(lines.where(~F.lit(complete) & (F.substring("source", 4, 1) >= "4")
+                                  & (F.col("section") < 3)))
+         .repartition("source").sortWithinPartitions("source", "section").select("value", "source")
+         .write.partitionBy("source").text(whole))
+        _place(spark, whole, landing, "4567" if complete else "01234567")
+        base = f"{landing}-out"
+        cfg = IncrementalConfig(landing, f"{base}/out", f"{base}/hold", f"{base}/ckpt",
+                                source_col="source", name="ict", log_path=f"{base}/log")
+        run_ict_incremental(spark, cfg, masters_as_files(spark, sf_dir), FIXED_CLOCK)
+    return _ict_states(spark, JobConfig(None, None, cfg.output_dir, cfg.hold_dir, None))
+
+
+def _ict_states(spark: SparkSession, cfg: JobConfig, *more: str) -> DataFrame:
+    """Legs per file and state (and more columns, as text) that the stores hold."""
+    more = [F.col(c).cast("string").alias(c) for c in more]
     done = read_enriched(spark, cfg.output_path, cfg.hold_path).select(
-        "INPUTFILENAME", F.lit("matched").alias("state"))
+        "INPUTFILENAME", F.lit("matched").alias("state"), *more)
     held = current_hold(spark, cfg.hold_path).select(
-        "INPUTFILENAME", F.col("hold_reason").alias("state"))
-    return (done.unionByName(held).groupBy(F.col("INPUTFILENAME").alias("file_name"), "state")
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+        "INPUTFILENAME", F.col("hold_reason").alias("state"), *more)
+    both = done.unionByName(held).withColumnRenamed("INPUTFILENAME", "file_name")
+    return both.groupBy(*both.columns).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_ict_cross_load_dedup(spark, sf_dir):
+    """Two runs of the ICT job: the second drops the calls that the first one kept."""
+    root = scratch_path(spark, "ict-hours")
+    (fx.ict_envelope_lines(spark, sf_dir)
+     .withColumn("hour", F.when(F.substring("source", 4, 1) < "4", "10").otherwise("11"))
+     .repartition("source").sortWithinPartitions("hour", "source", "section")
+     .select("value", "hour", "source").write.partitionBy("hour", "source").text(root))
+    cfg = job_config(spark, sf_dir, f"{root}/hour=10")
+    cfg.keys_dir = cfg.output_path + "-keys"
+    run_ict(spark, cfg, FIXED_CLOCK)
+    cfg.inputs = f"{root}/hour=*"
+    run_ict(spark, cfg, FIXED_CLOCK)
+    return _ict_states(spark, cfg)
+
+
+# ---------------------------------------------------------------- upkeep
+def q_compacted_stores(spark, sf_dir):
+    """Two loads and a hold run, then both stores compacted and dead leaves removed (also
+    those of a run that died): the same legs as before, fewer leaves."""
+    cfg = _two_loads(spark, sf_dir, hour_by_file)
+    cfg.masters = masters_as_files(spark, sf_dir, corrected=True)
+    run_hold_reprocess(spark, cfg, "MED", LATER)
+    died = read_enriched(spark, cfg.output_path, cfg.hold_path).drop("load_id")
+    write_enriched(died, cfg.output_path, "died-before-commit")
+    leaves = lambda: sum(load_sizes(spark, p).count() for p in (cfg.output_path, cfg.hold_path))
+    before = leaves()
+    compact_output(spark, cfg.output_path, cfg.hold_path, "2024-07-04")
+    compact_hold(spark, cfg.hold_path, "2024-07-04")
+    clean_up(spark, cfg.hold_path, cfg.output_path, grace_seconds=0)
+    if leaves() >= before:
+        raise AssertionError("compaction left as many leaves as there were")
+    return stored_calls(spark, cfg)
+
+
+# ---------------------------------------------------------------- masters
+def q_master_rejects(spark, sf_dir):
+    """A trunk master with broken lines, lines without a key and padded ones: what is left
+    out, with the reason, and what is used."""
+    c = F.col
+    trunk = fx.trunk_master(spark, sf_dir).withColumn(
+        "d", F.substring("ID", -1, 1))
+    fields = [F.when((c("d") == "1") & F.lit(n == "ID"), " ").when(
+        c("d") == "2", F.concat(F.lit("  "), c(n), F.lit("   "))).otherwise(c(n))
+        for n in ("ID", "NAME", "FK_NNOD", "OPERATOR", "POI")]
+    line = F.concat_ws("|", *fields)
+    line = (F.when(c("d") == "3", F.concat_ws("|", c("ID"), c("NAME")))
+            .when(c("d") == "4", F.concat(line, F.lit("|x"))).otherwise(line))
+    lines = trunk.select(F.lit(1).alias("n"), line.alias("value"))
+    head = spark.createDataFrame([(0, "ID|NAME|FK_NNOD|OPERATOR|POI")], "n int, value string")
+    root = scratch_path(spark, "broken-masters")
+    (lines.unionByName(head).repartition(1).sortWithinPartitions("n").select("value")
+     .write.text(f"{root}/trunk/20240401"))
+    paths = MasterPaths(f"{root}/trunk/*/*.txt", None, snapshot_by="folder", max_broken=0.5,
+                        rejects_path=f"{root}/rejects")
+    used = paths.load(spark).trunk
+    return read_rejects(spark, f"{root}/rejects").select(c("problem").alias("state"), "line").unionByName(
+        used.select(F.lit("used").alias("state"),
+                    F.concat_ws("|", "ID", "NAME", "FK_NNOD", "OPERATOR", "POI").alias("line")))
+
+
+# ---------------------------------------------------------------- other sinks and names
+def q_table_replace(spark, sf_dir):
+    """A job that replaces its table: after two loads it holds the second one's rows."""
+    name = "latest_" + scratch_path(spark, "t").rsplit("-", 1)[-1]
+    root = write_hours(spark, sf_dir)
+    cfg = job_config(spark, sf_dir, f"{root}/hour=10", table=name, table_replace=True)
+    run_med(spark, cfg, FIXED_CLOCK)
+    cfg.inputs = f"{root}/hour=*"
+    run_med(spark, cfg, FIXED_CLOCK)
+    return spark.table(name).groupBy("INPUTFILENAME", "leg").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("CHARGED_USAGE").cast("long")).alias("usage"))
+
+
+def q_plain_csv_export(spark, sf_dir):
+    """The job's CSV without header and partitions, read back by position."""
+    root = write_hours(spark, sf_dir)
+    cfg = job_config(spark, sf_dir, f"{root}/hour=*")
+    cfg.plain_csv_path = cfg.output_path + "-plain"
+    run_med(spark, cfg, FIXED_CLOCK)
+    cols = [*ENRICHED_COLUMNS, "original_date", "processing_date", "leg"]
+    return spark.read.schema(", ".join(f"`{c}` string" for c in cols)).csv(cfg.plain_csv_path)
+
+
+def q_named_files_open_clock(spark, sf_dir):
+    """Files with names of their own (no folder names them), masters by the date in their
+    file name, the session's clock: calls with their file's first letters, the operator
+    of the newest master, and whether time and date are those of the run."""
+    root = scratch_path(spark, "named-in")
+    staged = scratch_path(spark, "staged")
+    (fx.cdr_lines(spark, sf_dir).select("value", F.col("file_name").alias("source"))
+     .write.partitionBy("source").text(staged))
+    _, path, fs = hadoop_path(spark, staged)
+    for d in fs.listStatus(path):
+        name = d.getPath().getName()
+        if name.startswith("source="):
+            _, to, _ = hadoop_path(spark, f"{root}/{name[7:11]}")
+            fs.mkdirs(to)
+            for i, p in enumerate(p for p in fs.listStatus(d.getPath())
+                                  if p.getPath().getName().startswith("part-")):
+                _, to, _ = hadoop_path(spark, f"{root}/{name[7:11]}/{i}_{name[7:]}")
+                fs.rename(p.getPath(), to)
+    masters = scratch_path(spark, "named-masters")
+    snaps = fx.trunk_snapshots(spark, sf_dir)
+    for kind, date, df in (("trunk", "20240401", snaps.where("OPERATOR = 'OLD'")),
+                           ("trunk", "20240410", snaps.where("OPERATOR <> 'OLD'")),
+                           ("node", "20240401", fx.node_master(spark, sf_dir))):
+        stage = scratch_path(spark, "stage-master")
+        df.drop("snapshot_name").coalesce(1).write.option("header", True).option("sep", "|").csv(stage)
+        _, path, fs = hadoop_path(spark, stage)
+        part = next(p.getPath() for p in fs.listStatus(path) if p.getPath().getName().startswith("part-"))
+        _, to, _ = hadoop_path(spark, f"{masters}/{kind}/{kind}_{date}.csv")
+        fs.mkdirs(to.getParent())
+        fs.rename(part, to)
+    cfg = job_config(spark, sf_dir, f"{root}/*/*.cdr",
+                     masters=MasterPaths(f"{masters}/trunk/*.csv", f"{masters}/node/*.csv"))
+    cfg.source_col = None
+    begun = Clock().resolved(spark)
+    run_med(spark, cfg)
+    ended = Clock().resolved(spark)
+    time, date = F.col("PROCESSEDTIME"), F.col("processing_date")
+    return read_enriched(spark, cfg.output_path, cfg.hold_path).select(
+        *CALL, "leg", "network_operator_id",
+        F.regexp_extract("INPUTFILENAME", r"^\d+_(MED\d\.\d+\.cdr)$", 1).alias("file_name"),
+        time.between(begun.time(), ended.time()).alias("time_of_run"),
+        date.between(begun.date(), ended.date()).alias("date_of_run"))
 
 
 JOB_QUERIES = {
@@ -297,4 +623,19 @@ JOB_QUERIES = {
     "envelope_reordered_header": q_envelope_reordered_header,
     "ict_bad_records_held": q_ict_bad_records_held,
     "ict_two_loads_same_day": q_ict_two_loads_same_day,
+    "overlapping_runs": q_overlapping_runs,
+    "overlapping_runs_keys": q_overlapping_runs_keys,
+    "overlapping_hold_runs": q_overlapping_hold_runs,
+    "hold_master_difference": q_hold_master_difference,
+    "ict_hold_job": q_ict_hold_job,
+    "odd_lines_audit": q_odd_lines_audit,
+    "stream_late_repeats": q_stream_late_repeats,
+    "stream_batch_metrics": q_stream_batch_metrics,
+    "ict_stream": q_ict_stream,
+    "ict_cross_load_dedup": q_ict_cross_load_dedup,
+    "compacted_stores": q_compacted_stores,
+    "master_rejects": q_master_rejects,
+    "table_replace": q_table_replace,
+    "plain_csv_export": q_plain_csv_export,
+    "named_files_open_clock": q_named_files_open_clock,
 }

@@ -3,13 +3,16 @@
 Each job is one lazy plan with a few writes.  The leg rows feed all of them
 (enriched, held, audit, loaded keys), so they are persisted once (memory, then
 disk; a lost executor recomputes its blocks from lineage, which is
-deterministic).  The pass that fills them counts them.
+deterministic).  The pass that fills them counts them, and they carry a row of
+counts per input file, so the audit reads nothing again.
 
-Every run has an id of its own and writes all its rows under it.  The commit
-entry, written last, makes them count; every reader (enriched, held, audit, keys,
+Every run has an id of its own and writes all its rows under it.  Its commit,
+written last, makes them count; every reader (enriched, held, audit, keys,
 table, log) takes committed loads only.  So a run that died is as if it never
 was: its files are not logged, and the next run loads them.  Two runs of one job
-on one day stand beside each other.
+on one day stand beside each other, also when they overlap: the one that commits
+second and finds a file, a call key or a held row of its own committed meanwhile
+starts again from what is left.
 
 Input files are known by full path.  Logged ones are taken out of the listing
 before the scan, and every scanned file is logged, whatever became of its
@@ -19,29 +22,34 @@ records.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cdrmill.functions.parse import parse_fixed_width
 from cdrmill.operators.audit import file_audit
-from cdrmill.operators.lookup import Masters
+from cdrmill.operators.dedup import FILE_LINES, without_counts
+from cdrmill.operators.lookup import Masters, sized_broadcast
 from cdrmill.operators.mapping import Clock
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
-from cdrmill.plans.ict import enrich_ict
+from cdrmill.plans.ict import finish_ict, ict_legs
 from cdrmill.plans.med import finish_med, med_legs, original_date, parse_records
+from cdrmill.schema import ICT_DEDUP_KEYS, LOG_SCHEMA, MED_DEDUP_KEYS
 from cdrmill.session import sized_shuffle
-from cdrmill.sinks.commits import commit_load, new_load_id, only_committed
-from cdrmill.sinks.keys import loaded_keys, write_keys
+from cdrmill.sinks.commits import (Commit, commit_list, commit_load, latest_version, new_load_id,
+                                   only_committed, until_committed)
+from cdrmill.sinks.keys import any_shared, kept_keys, key_buckets, key_month, loaded_keys, write_keys
+from cdrmill.sinks.master_store import changed_buckets, keep_snapshot, met_snapshots
 from cdrmill.sinks.writers import (CSV_TIME_FORMAT, append_table, create_partitioned_table,
-                                   current_hold, export_csv, has_hold, write_audit,
+                                   current_hold, export_csv, has_hold, overwrite_table, write_audit,
                                    write_enriched, write_hold, write_per_file)
 from cdrmill.sources.envelope import envelope_records
 from cdrmill.sources.listing import InputFile, new_input_files, scan_groups
 from cdrmill.sources.log import log_files, read_log
-from cdrmill.sources.masters import read_latest_master, read_master
+from cdrmill.sources.masters import MAX_BROKEN, read_latest_master, read_master
 from cdrmill.sources.text import read_line_groups, read_lines_with_position
 
 
@@ -54,11 +62,14 @@ class MasterPaths:
     node: str | list[str] | None = None
     sep: str = "|"
     snapshot_by: str | None = "name_date"  # "folder", or None: every file of the glob
+    max_broken: float = MAX_BROKEN         # share of broken lines from which a master is refused
+    rejects_path: str | None = None        # broken lines go here
 
     def _read(self, spark: SparkSession, path, kind: str) -> DataFrame:
+        how = {"max_broken": self.max_broken, "rejects_path": self.rejects_path}
         if self.snapshot_by is None:
-            return read_master(spark, path, kind, self.sep)
-        return read_latest_master(spark, path, kind, self.sep, self.snapshot_by)
+            return read_master(spark, path, kind, self.sep, **how)
+        return read_latest_master(spark, path, kind, self.sep, self.snapshot_by, **how)
 
     def load(self, spark: SparkSession) -> Masters:
         trunk = self._read(spark, self.trunk, "trunk")
@@ -83,18 +94,29 @@ class JobConfig:
     date_mode: str = "regex"
     source_col: str | None = None
     load_id: str | None = None        # first part of the run's id (default: job and date)
-    keys_dir: str | None = None       # also drop calls kept by earlier loads (MED)
+    keys_dir: str | None = None       # also drop calls kept by earlier loads
+    keys_buckets: int = 32            # of a new keys store: shuffle partitions of the largest loads
     size_partitions: bool = True      # enough shuffle partitions for the new files' bytes
     table: str | None = None          # also append into this partitioned table
+    table_replace: bool = False       # the table holds the rows of the last run only
+    plain_csv_path: str | None = None  # also one CSV folder: no header, no partitions, last run's rows
     per_file_path: str | None = None  # also write one CSV folder per input file
     hold_after: bool = False          # then reprocess the held rows in the same call
+    count_lines: bool = False         # also count the records read (the audit does so, too)
+    hold_full: bool = False           # reprocess all waiting rows, not just those of changed masters
+    before_commit: Callable[[], None] | None = None  # called when all is written
 
 
-def _write_matched(enriched: DataFrame, cfg: JobConfig, load_id: str) -> None:
+def _write_matched(enriched: DataFrame, cfg: JobConfig, load_id: str,
+                   written: Observation | None = None) -> None:
     """The enriched rows of a run, into every sink that is set."""
     write_enriched(enriched, cfg.output_path, load_id, cfg.output_format, cfg.null_token,
-                   cfg.time_format)
-    if cfg.table:
+                   cfg.time_format, written)
+    if cfg.plain_csv_path:
+        export_csv(enriched, cfg.plain_csv_path, null_token=cfg.null_token)
+    if cfg.table and cfg.table_replace:
+        overwrite_table(enriched, cfg.table)
+    elif cfg.table:
         rows = enriched.withColumn("load_id", F.lit(load_id))
         create_partitioned_table(enriched.sparkSession, cfg.table, rows.schema,
                                  ["processing_date", "load_id"])
@@ -119,12 +141,6 @@ def _listed(spark: SparkSession, files: list[InputFile]) -> DataFrame:
     return spark.createDataFrame([(f.path, f.name) for f in files], "path string, name string")
 
 
-def _log_scanned(spark: SparkSession, files: list[InputFile], cfg: JobConfig, clock: Clock,
-                 load_id: str) -> None:
-    log_files(_listed(spark, files), cfg.log_path, original_date("name", cfg.date_mode),
-              clock.date(), load_id)
-
-
 def _nothing(load_id: str, t0: float) -> JobResult:
     return JobResult(load_id, dict.fromkeys(LEG_COUNTS, 0), time.time() - t0)
 
@@ -140,116 +156,191 @@ def _then_hold(spark: SparkSession, cfg: JobConfig, source: str, clock: Clock,
 
 def _counted(legs: DataFrame) -> dict:
     """Compute the persisted legs in one pass and count them on the way."""
-    reason = F.col("hold_reason")
-    return legs.agg(F.count(F.lit(1)).alias("leg_rows"),
-                    F.count_if(reason.isNull()).alias("matched"),
-                    F.count_if(reason.isNotNull()).alias("held")).first().asDict()
+    reason, call = F.col("hold_reason"), F.lit(True)
+    counts = []
+    if FILE_LINES in legs.columns:
+        call = F.col(FILE_LINES).isNull()
+        counts = [F.coalesce(F.sum(FILE_LINES), F.lit(0)).alias("records")]
+    return legs.agg(F.count_if(call).alias("leg_rows"),
+                    F.count_if(call & reason.isNull()).alias("matched"),
+                    F.count_if(call & reason.isNotNull()).alias("held"), *counts).first().asDict()
 
 
-def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobResult:
-    """New files only -> duplicate check -> split -> lookups -> enriched
-    rows by (original_date, processing_date), held rows to the hold store,
-    per-file audit, log, commit."""
+def same_files(spark: SparkSession, log_path: str, loads: list[str], files: DataFrame) -> bool:
+    """Whether one of ``files`` (path) was logged by ``loads``."""
+    log = spark.read.schema(LOG_SCHEMA).parquet(log_path).where(F.col("load_id").isin(loads))
+    theirs, _ = sized_broadcast(log.select("path").distinct())
+    return files.join(theirs, "path", "left_semi").limit(1).count() > 0
+
+
+@dataclass
+class _Source:
+    """What differs between the loads of the two sources."""
+    kind: str
+    keys: list[str]
+    name_col: str                      # of the legs
+    records: Callable                  # (spark, files, cfg) -> parsed records
+    legs: Callable                     # (records, masters, clock, date_mode, loaded, counted)
+    finish: Callable                   # (legs, clock) -> (matched, held)
+
+
+def _med_records(spark: SparkSession, files: list[InputFile], cfg: JobConfig) -> DataFrame:
+    return parse_records(read_line_groups(spark, scan_groups(files, cfg.source_col), cfg.source_col))
+
+
+def _ict_records(spark: SparkSession, files: list[InputFile], cfg: JobConfig) -> DataFrame:
+    out = None
+    for paths, base, _ in scan_groups(files, cfg.source_col):
+        part = envelope_records(read_lines_with_position(spark, paths, cfg.source_col, base))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+MED = _Source("med", MED_DEDUP_KEYS, "file_name", _med_records, med_legs, finish_med)
+ICT = _Source("ict", ICT_DEDUP_KEYS, "INPUTFILENAME", _ict_records, ict_legs,
+              lambda legs, clock: finish_ict(legs))
+
+
+def _load(spark: SparkSession, src: _Source, cfg: JobConfig, clock: Clock) -> JobResult:
+    """One attempt at a load: new files to legs to all sinks, then the commit."""
     t0 = time.time()
-    clock = clock.resolved(spark)
-    load_id = new_load_id("med", clock.processing_date, cfg.load_id)
+    load_id = new_load_id(src.kind, clock.processing_date, cfg.load_id)
+    seen = latest_version(spark, cfg.hold_path)
     files = new_input_files(spark, cfg.inputs, read_log(spark, cfg.log_path, cfg.hold_path),
                             cfg.source_col)
     if not files:
-        return _then_hold(spark, cfg, "MED", clock, _nothing(load_id, t0))
+        return _nothing(load_id, t0)
+    return load_files(spark, src, files, cfg, clock, load_id, seen, t0)
+
+
+def load_files(spark: SparkSession, src: _Source, files: list[InputFile], cfg: JobConfig,
+               clock: Clock, load_id: str, seen: int, t0: float,
+               batch: str | None = None, records: DataFrame | None = None) -> JobResult:
+    """Load the given files under ``load_id`` and commit, or raise ``CommitConflict``.
+    ``records`` are their records, where a stream has parsed them already."""
     masters = cfg.masters.load(spark)
-    lines = read_line_groups(spark, scan_groups(files, cfg.source_col), cfg.source_col)
-    records = parse_records(lines)
-    with sized_shuffle(spark, sum(f.length for f in files), cfg.size_partitions) as parts:
-        loaded = (loaded_keys(spark, cfg.keys_dir, cfg.hold_path, records, load_id)
-                  if cfg.keys_dir else None)
-        legs = med_legs(records, masters, clock, cfg.date_mode, loaded).persist(
+    snapshot = keep_snapshot(spark, cfg.hold_path, masters)
+    records = src.records(spark, files, cfg) if records is None else records
+    buckets = key_buckets(spark, cfg.keys_dir, cfg.keys_buckets) if cfg.keys_dir else None
+    with sized_shuffle(spark, sum(f.length for f in files), cfg.size_partitions,
+                       exactly=buckets) as parts:
+        loaded = None
+        if cfg.keys_dir:
+            months = records.select(key_month(src.keys[2]).alias("key_month")).distinct()
+            loaded = loaded_keys(spark, cfg.keys_dir, cfg.hold_path, months, buckets)
+        legs = src.legs(records, masters, clock, cfg.date_mode, loaded,
+                        cfg.audit_path is not None or cfg.count_lines).persist(
             StorageLevel.MEMORY_AND_DISK)
         try:
             m = _counted(legs)
-            enriched, held = finish_med(legs, clock)
+            enriched, held = src.finish(legs, clock)
             _write_matched(enriched, cfg, load_id)
             write_hold(held, cfg.hold_path, load_id)
             if cfg.audit_path:
-                write_audit(file_audit(records, legs), cfg.audit_path, load_id)
-            if cfg.keys_dir:
-                write_keys(legs, cfg.keys_dir, load_id)
-            _log_scanned(spark, files, cfg, clock, load_id)
-            commit_load(spark, cfg.hold_path, load_id)
+                write_audit(file_audit(legs, src.keys, src.name_col), cfg.audit_path, load_id)
+            kept = kept_keys(without_counts(legs), src.keys) if cfg.keys_dir else None
+            if kept is not None:
+                write_keys(kept, cfg.keys_dir, load_id, buckets)
+            listed = _listed(spark, files) if files else None
+            if files:
+                log_files(listed, cfg.log_path, original_date("name", cfg.date_mode), clock.date(),
+                          load_id)
+            if src is ICT:
+                m["bad_headers"] = (legs.where(F.col("hold_reason").contains("bad_header"))
+                                    .agg(F.countDistinct("INPUTFILENAME").alias("n")).first()["n"])
+
+            def conflicts(newer: list[str]) -> bool:
+                return (listed is not None and same_files(
+                    spark, cfg.log_path, newer, listed)) or (
+                    kept is not None and any_shared(kept, loaded_keys(
+                        spark, cfg.keys_dir, cfg.hold_path, None, buckets, newer)))
+
+            if cfg.before_commit:
+                cfg.before_commit()
+            commit_load(spark, cfg.hold_path, Commit(load_id, seen, masters=snapshot, batch=batch),
+                        conflicts)
         finally:
             legs.unpersist()
     secs = time.time() - t0
-    m["rows_per_sec"] = round(m.get("leg_rows", 0) / secs, 1) if secs else None
-    m["master_rows_dropped"] = masters.trunk_dropped + masters.node_dropped
-    m["shuffle_partitions"] = parts
-    m["files"] = len(files)
-    return _then_hold(spark, cfg, "MED", clock, JobResult(load_id, m, secs))
+    m.update(files=len(files), rows_per_sec=round(m["leg_rows"] / secs, 1) if secs else None,
+             master_rows_dropped=masters.trunk_dropped + masters.node_dropped,
+             shuffle_partitions=parts)
+    return JobResult(load_id, m, secs)
+
+
+def run_med(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobResult:
+    """New files only -> duplicate check -> split -> lookups -> enriched
+    rows by (original_date, processing_date), held rows to the hold store,
+    per-file audit, log, commit."""
+    clock = clock.resolved(spark)
+    done = until_committed(lambda: _load(spark, MED, cfg, clock))
+    return _then_hold(spark, cfg, "MED", clock, done)
 
 
 def run_ict(spark: SparkSession, cfg: JobConfig, clock: Clock = Clock()) -> JobResult:
     """Envelope CSV extracts -> duplicate check -> split -> trunk lookup
     -> enriched / held, per-file audit, log, commit."""
-    t0 = time.time()
     clock = clock.resolved(spark)
-    load_id = new_load_id("ict", clock.processing_date, cfg.load_id)
-    files = new_input_files(spark, cfg.inputs, read_log(spark, cfg.log_path, cfg.hold_path),
-                            cfg.source_col)
-    if not files:
-        return _then_hold(spark, cfg, "ICT", clock, _nothing(load_id, t0))
-    with sized_shuffle(spark, sum(f.length for f in files), cfg.size_partitions):
-        records = None
-        for paths, base, _ in scan_groups(files, cfg.source_col):
-            part = envelope_records(read_lines_with_position(spark, paths, cfg.source_col, base))
-            records = part if records is None else records.unionByName(part)
-        out = enrich_ict(records, cfg.masters.load(spark), clock, cfg.date_mode)
-        legs = out.legs.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            m = _counted(legs)
-            matched = legs.where(F.col("hold_reason").isNull()).drop("hold_reason", "leg_index")
-            held = legs.where(F.col("hold_reason").isNotNull()).drop("leg_index")
-            _write_matched(matched, cfg, load_id)
-            write_hold(held, cfg.hold_path, load_id)
-            bad = (legs.where(F.col("hold_reason").contains("bad_header"))
-                   .agg(F.countDistinct("INPUTFILENAME").alias("n")).first()["n"])
-            if cfg.audit_path:
-                audit = file_audit(records, legs.withColumnRenamed("INPUTFILENAME", "file_name"))
-                write_audit(audit, cfg.audit_path, load_id)
-            _log_scanned(spark, files, cfg, clock, load_id)
-            commit_load(spark, cfg.hold_path, load_id)
-        finally:
-            legs.unpersist()
-    m.update(files=len(files), bad_headers=bad)
-    return _then_hold(spark, cfg, "ICT", clock, JobResult(load_id, m, time.time() - t0))
-
-
-def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "MED",
-                       clock: Clock = Clock()) -> JobResult:
-    """Held rows of earlier loads meet the newest masters.  Rows that
-    match are written back-dated (their first processing date) to the same sinks
-    as a load's; the rest are held again under this run's id; the loads that were
-    read are then marked superseded in the same commit append (the folder being
-    read is never rewritten)."""
+    done = until_committed(lambda: _load(spark, ICT, cfg, clock))
+    return _then_hold(spark, cfg, "ICT", clock, done)
+
+
+def hold_work(spark: SparkSession, cfg: JobConfig, masters: Masters,
+              snapshot: str) -> DataFrame | None:
+    """The waiting rows that ``masters`` (stored as ``snapshot``) may look up otherwise
+    than the masters they have met: whole leaves of the buckets that hold a node
+    whose entries changed.  Leaves of other buckets are not read and stay where they
+    are.  None if no bucket is touched."""
+    met = met_snapshots(commit_list(spark, cfg.hold_path))
+    touched = {old: changed_buckets(spark, cfg.hold_path, None if cfg.hold_full else old, masters)
+               for old in set(met.values()) if cfg.hold_full or old != snapshot}
+    pairs = [(load, b) for load, old in met.items() for b in touched.get(old, ())]
+    if not pairs:
+        return None
+    work, _ = sized_broadcast(spark.createDataFrame(pairs, "load_id string, hold_bucket int"))
+    held = current_hold(spark, cfg.hold_path, "lookup", sorted({b for _, b in pairs}))
+    return held.join(work, ["load_id", "hold_bucket"], "left_semi")
+
+
+def _reprocess(spark: SparkSession, cfg: JobConfig, source_type: str, clock: Clock) -> JobResult:
     t0 = time.time()
-    clock = clock.resolved(spark)
     load_id = new_load_id(f"hold-{source_type.lower()}", clock.processing_date, cfg.load_id)
+    seen = latest_version(spark, cfg.hold_path)
     if not has_hold(spark, cfg.hold_path):
         return JobResult(load_id, {"released": 0}, time.time() - t0)
-    held = current_hold(spark, cfg.hold_path, "lookup")  # final rows are never re-read
+    masters = cfg.masters.load(spark)
+    snapshot = keep_snapshot(spark, cfg.hold_path, masters)
+    held = hold_work(spark, cfg, masters, snapshot)
+    if held is None:
+        return JobResult(load_id, {"released": 0}, time.time() - t0)
     held = held.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        masters = cfg.masters.load(spark)
-        base = held.drop("load_id", "hold_class")
-        if source_type == "MED":
-            done, still = reprocess_med_hold(base, masters, clock)
-        else:
-            done, still = reprocess_ict_hold(base, masters, clock)
-        released = done.count()
-        _write_matched(done, cfg, load_id)
+        base = held.drop("load_id", "hold_class", "hold_bucket")
+        reprocess = reprocess_med_hold if source_type == "MED" else reprocess_ict_hold
+        done, still = reprocess(base, masters, clock)
+        released = Observation("released")
+        _write_matched(done, cfg, load_id, released)
         write_hold(still, cfg.hold_path, load_id)
-        commit_load(spark, cfg.hold_path, load_id, superseded=held.select("load_id"))
+        taken = [(r["load_id"], r["hold_bucket"]) for r in
+                 held.select("load_id", "hold_bucket").distinct().collect()]  # leaves, no rows
+        if cfg.before_commit:
+            cfg.before_commit()
+        commit_load(spark, cfg.hold_path, Commit(load_id, seen, "hold", masters=snapshot,
+                                                 supersedes=taken))
     finally:
         held.unpersist()
-    return JobResult(load_id, {"released": released}, time.time() - t0)
+    return JobResult(load_id, {"released": released.get["rows"]}, time.time() - t0)
+
+
+def run_hold_reprocess(spark: SparkSession, cfg: JobConfig, source_type: str = "MED",
+                       clock: Clock = Clock()) -> JobResult:
+    """Held rows of earlier loads meet the newest masters, as far as these
+    changed since (``hold_work``).  Rows that match are written back-dated (their first
+    processing date) to the same sinks as a load's; the rest of the leaves read are
+    held again under this run's id, and the commit marks those leaves as replaced
+    (the folder being read is never rewritten)."""
+    clock = clock.resolved(spark)
+    return until_committed(lambda: _reprocess(spark, cfg, source_type, clock))
 
 
 def run_parse(spark: SparkSession, inputs: str | list[str], output_path: str,
@@ -260,5 +351,7 @@ def run_parse(spark: SparkSession, inputs: str | list[str], output_path: str,
     if not files:
         return 0
     lines = read_line_groups(spark, scan_groups(files)).select("value", "file_name")
-    export_csv(parse_fixed_width(lines), output_path, header=header, null_token=null_token)
-    return lines.count()
+    written = Observation("parsed")  # counted by the tasks that write, so one scan is enough
+    export_csv(parse_fixed_width(lines).observe(written, F.count(F.lit(1)).alias("rows")),
+               output_path, header=header, null_token=null_token)
+    return written.get["rows"]

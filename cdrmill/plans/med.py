@@ -9,13 +9,14 @@ checked) -> hold reason -> 42-column projection.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdrmill.functions.parse import date_from_name, parse_fixed_width, parse_yyyymmdd
-from cdrmill.operators.dedup import keep_first
+from cdrmill.operators.dedup import keep_first, keep_first_counted, without_counts
 from cdrmill.operators.lookup import Masters, lookup_node, lookup_trunk
 from cdrmill.operators.mapping import Clock, map_med
 from cdrmill.operators.matching import med_hold_reason, split_matched
@@ -36,8 +37,10 @@ def parse_records(lines: DataFrame) -> DataFrame:
     return parse_fixed_width(lines.select("value", "file_name"), keep=CDR_USED)
 
 
-def dedup_records(records: DataFrame) -> DataFrame:
-    return keep_first(records, MED_DEDUP_KEYS, MED_DEDUP_ORDER)
+def dedup_records(records: DataFrame, counted: bool = False) -> DataFrame:
+    """One record per call; ``counted`` adds a row of counts per input file."""
+    keep = keep_first_counted if counted else keep_first
+    return keep(records, MED_DEDUP_KEYS, MED_DEDUP_ORDER)
 
 
 def original_date(name_col: str = "file_name", mode: str = "regex"):
@@ -59,34 +62,38 @@ def lookup_legs(legs: DataFrame, masters: Masters) -> DataFrame:
     return looked.withColumn("hold_reason", med_hold_reason())
 
 
-def drop_loaded(kept: DataFrame, loaded_keys: DataFrame) -> DataFrame:
+def drop_loaded(kept: DataFrame, loaded_keys: DataFrame,
+                keys: Sequence[str] = MED_DEDUP_KEYS) -> DataFrame:
     """Remove calls whose duplicate-check key an earlier load already kept.
 
     A plain equi-join on the four key columns, in which blank parts are empty
-    text: ``kept`` is already hash partitioned on exactly those columns by the
-    duplicate check, so only the keys store is shuffled.  The rule is the one
-    inside a load: blank key parts are equal, here as there."""
-    return kept.join(filled_keys(loaded_keys).select(*MED_DEDUP_KEYS), MED_DEDUP_KEYS, "left_anti")
+    text (the store holds them so): ``kept`` is already hash partitioned on exactly
+    those columns by the duplicate check, and the store is bucketed by them, so
+    neither side is shuffled again where both have the same number of partitions.
+    The rule is the one inside a load: blank key parts are equal, here as there."""
+    return kept.join(loaded_keys.toDF(*keys), list(keys), "left_anti")
 
 
-def filled_keys(df: DataFrame) -> DataFrame:
+def filled_keys(df: DataFrame, keys: Sequence[str] = MED_DEDUP_KEYS) -> DataFrame:
     """Blank duplicate-check key parts as empty text (so that they compare equal)."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in MED_DEDUP_KEYS})
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in keys})
 
 
-def blanked_keys(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in MED_DEDUP_KEYS})
+def blanked_keys(df: DataFrame, keys: Sequence[str] = MED_DEDUP_KEYS) -> DataFrame:
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in keys})
 
 
 def med_legs(records: DataFrame, masters: Masters, clock: Clock = Clock(),
-             date_mode: str = "regex", loaded_keys: DataFrame | None = None) -> DataFrame:
+             date_mode: str = "regex", loaded_keys: DataFrame | None = None,
+             counted: bool = False) -> DataFrame:
     """De-duplicated, split, looked-up leg rows with ``hold_reason`` and
     ``leg_index`` (0 on the first leg row of each kept record).  With
-    ``loaded_keys``, calls kept by an earlier load are dropped too."""
+    ``loaded_keys``, calls kept by an earlier load are dropped too.  ``counted``
+    carries a row of counts per input file along (see ``file_audit``)."""
     if loaded_keys is None:
-        kept = dedup_records(records)
+        kept = dedup_records(records, counted)
     else:
-        kept = blanked_keys(drop_loaded(dedup_records(filled_keys(records)), loaded_keys))
+        kept = blanked_keys(drop_loaded(dedup_records(filled_keys(records), counted), loaded_keys))
     dated = kept.withColumns({"original_date": original_date("file_name", date_mode),
                               "processing_date": clock.date()})
     return lookup_legs(split_transit(dated, index="leg_index"), masters)
@@ -102,13 +109,13 @@ class MedOutput:
 
 def finish_med(legs: DataFrame, clock: Clock = Clock()) -> tuple[DataFrame, DataFrame]:
     """(enriched matched rows, held rows) of reasoned leg rows."""
-    matched, held = split_matched(legs)
+    matched, held = split_matched(without_counts(legs))
     return map_med(matched, clock), held.select(*MED_HOLD_COLUMNS)
 
 
 def enrich_med(lines: DataFrame, masters: Masters, clock: Clock = Clock(),
-               date_mode: str = "regex") -> MedOutput:
+               date_mode: str = "regex", counted: bool = False) -> MedOutput:
     records = parse_records(lines)
-    legs = med_legs(records, masters, clock, date_mode)
+    legs = med_legs(records, masters, clock, date_mode, counted=counted)
     enriched, held = finish_med(legs, clock)
     return MedOutput(records, legs, enriched, held)

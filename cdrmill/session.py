@@ -86,14 +86,16 @@ def parallelism(spark: SparkSession) -> int:
 
 @contextmanager
 def sized_shuffle(spark: SparkSession, input_bytes: int, on: bool = True,
-                  shuffle_ratio: float = 0.5, target_bytes: int = 256 << 20):
+                  shuffle_ratio: float = 0.5, target_bytes: int = 256 << 20,
+                  exactly: int | None = None):
     """While a job runs, enough shuffle partitions for ``shuffle_ratio`` of its
-    input at ``target_bytes`` each (never fewer than set); yields their number
-    and puts the session's setting back."""
+    input at ``target_bytes`` each (never fewer than set), or ``exactly`` so many (to
+    meet a bucketed table); yields their number and puts the session's setting back."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     want = max(int(before), -(-int(input_bytes * shuffle_ratio) // target_bytes)) if on \
         else int(before)
+    want = exactly or want
     spark.conf.set(key, str(want))
     try:
         yield want

@@ -1,51 +1,91 @@
 """Store of the duplicate-check keys already loaded.
 
 Lets a load drop calls that an earlier load (or micro-batch) already kept,
-however long ago.  The key holds the event date, so keys are partitioned by its
-month and a load reads exactly the partitions of the months that occur in it.  Text
-that is no date shares one partition.  Below the month each load has its own leaf.
+however long ago.  The store is a bucketed table over ``keys_dir``: keys are
+bucketed by the four columns the check joins on, so a load joins its kept calls
+with the store without shuffling the store.  The key holds the event date, so the
+table is partitioned by its month and a load reads exactly the partitions of the
+months that occur in it; text that is no date shares one partition.  Below the month
+each load has its own leaf.
+
+Blank key parts are stored as empty text, as the check compares them.  The number
+of buckets is laid down with the first load (``_layout/``).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import hashlib
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdrmill.functions.parse import parse_yyyymmdd
-from cdrmill.sinks.commits import is_missing, only_committed
-from cdrmill.sinks.writers import write_partitioned
+from cdrmill.operators.lookup import sized_broadcast
+from cdrmill.sinks.commits import only_committed, put_if_absent
 
 KEY_COLUMNS = ["anum", "bnum", "event_start_date", "event_start_time"]
-KEY_SCHEMA = ", ".join(f"{c} string" for c in [*KEY_COLUMNS, "key_month", "load_id"])
 NO_DATE = "none"
+LAYOUT = "_layout/buckets.json"
 
 
-def key_month() -> Column:
-    date = F.col("event_start_date")
+def key_month(date: str = "event_start_date") -> Column:
+    date = F.col(date)
     return F.when(parse_yyyymmdd(date).isNotNull(), F.substring(date, 1, 6)).otherwise(
         F.lit(NO_DATE))
 
 
-def loaded_keys(spark: SparkSession, keys_dir: str, hold_path: str, batch: DataFrame,
-                own_load: str) -> DataFrame | None:
-    """Keys that committed earlier loads kept, of the event months in ``batch``
-    (parsed records).  The months are broadcast (the calendar bounds them), which
-    prunes the key partitions at run time.  None before the first load."""
-    try:
-        keys = spark.read.schema(KEY_SCHEMA).option("basePath", keys_dir).parquet(keys_dir)
-    except AnalysisException as e:
-        if is_missing(e):
-            return None
-        raise
-    months = batch.select(key_month().alias("key_month")).distinct()
-    keys = keys.where(F.col("load_id") != own_load).join(F.broadcast(months), "key_month",
-                                                         "left_semi")
+def key_buckets(spark: SparkSession, keys_dir: str, buckets: int) -> int:
+    """The store's number of buckets; ``buckets`` if this is its first use."""
+    path = f"{keys_dir.rstrip('/')}/{LAYOUT}"
+    put_if_absent(spark, path, json.dumps({"buckets": buckets}) + "\n")
+    return int(spark.read.schema("buckets int").json(path).first()["buckets"])
+
+
+def keys_table(spark: SparkSession, keys_dir: str, buckets: int) -> str:
+    """The store as a table of this session's catalog; its name."""
+    n = key_buckets(spark, keys_dir, buckets)
+    name = "loaded_keys_" + hashlib.sha1(keys_dir.rstrip("/").encode()).hexdigest()[:16]
+    cols = ", ".join(f"{c} string" for c in [*KEY_COLUMNS, "key_month", "load_id"])
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+              f"PARTITIONED BY (key_month, load_id) CLUSTERED BY ({', '.join(KEY_COLUMNS)}) "
+              f"SORTED BY ({', '.join(KEY_COLUMNS)}) INTO {n} BUCKETS LOCATION '{keys_dir}'")
+    spark.sql(f"MSCK REPAIR TABLE {name}")  # leaves that other sessions wrote
+    return name
+
+
+def loaded_keys(spark: SparkSession, keys_dir: str, hold_path: str, months: DataFrame | None,
+                buckets: int, loads: list[str] | None = None) -> DataFrame:
+    """Keys that committed loads kept (only ``loads``, if given), of the event
+    ``months`` (``key_month``; None: all).  Months and loads are broadcast (the calendar
+    bounds the one, its measured size the other), which prunes partitions at run
+    time and leaves the buckets where they are."""
+    keys = spark.table(keys_table(spark, keys_dir, buckets))
+    if loads is not None:
+        keys = keys.where(F.col("load_id").isin(loads))
+    if months is not None:
+        keys = keys.join(F.broadcast(months), "key_month", "left_semi")
     return only_committed(keys, hold_path).select(*KEY_COLUMNS)
 
 
-def write_keys(legs: DataFrame, keys_dir: str, load_id: str) -> None:
-    """Keys of the calls this load kept (one per call: the first leg row)."""
+def kept_keys(legs: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the calls that a load kept (one per call: the first leg row), named
+    and filled as the store has them."""
     first = legs.where(F.col("leg_index").isNull() | (F.col("leg_index") == 0))
-    write_partitioned(first.select(*KEY_COLUMNS).withColumn("key_month", key_month()), keys_dir,
-                      ["key_month"], "parquet", load_id)
+    return first.select(*[F.coalesce(F.col(k), F.lit("")).alias(c)
+                          for k, c in zip(keys, KEY_COLUMNS)])
+
+
+def write_keys(kept: DataFrame, keys_dir: str, load_id: str, buckets: int) -> None:
+    """The ``kept_keys`` of a load as its leaf: one file a month and bucket."""
+    spark = kept.sparkSession
+    name = keys_table(spark, keys_dir, buckets)
+    (kept.withColumns({"key_month": key_month(), "load_id": F.lit(load_id)})
+     .repartition(key_buckets(spark, keys_dir, buckets), *KEY_COLUMNS)
+     .write.mode("append").insertInto(name))
+
+
+def any_shared(kept: DataFrame, others: DataFrame) -> bool:
+    """Whether the two sets of keys meet."""
+    small, _ = sized_broadcast(others)
+    return kept.join(small, KEY_COLUMNS, "left_semi").limit(1).count() > 0

@@ -14,13 +14,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdrmill.operators.lookup import sized_broadcast
-from cdrmill.sinks.commits import (commit_load, is_missing, only_committed,  # noqa: F401
-                                   read_commits)
+from cdrmill.sinks.commits import is_missing, only_committed, replaced_loads, superseded_leaves
+from cdrmill.sinks.master_store import node_bucket
 
 CSV_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -32,17 +32,20 @@ def _dynamic(df: DataFrame):
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
                       fmt: str = "parquet", load_id: str | None = None,
                       header: bool = True, null_token: str | None = None,
-                      time_format: str = CSV_TIME_FORMAT) -> None:
+                      time_format: str = CSV_TIME_FORMAT,
+                      written: Observation | None = None) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite).
 
     With ``load_id`` the load's own leaf partition is added under the
-    given ones.
+    given ones.  ``written`` observes the number of rows in the tasks that write them.
     """
     parts = list(partition_by)
     if load_id is not None:
         df = df.withColumn("load_id", F.lit(load_id))
         parts.append("load_id")
     df = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    if written is not None:
+        df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     w = _dynamic(df).mode("overwrite").partitionBy(*parts)
     if fmt == "csv":
         w = w.option("header", header).option("timestampFormat", time_format)
@@ -54,12 +57,13 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
 
 
 def write_enriched(df: DataFrame, path: str, load_id: str, fmt: str = "parquet",
-                   null_token: str | None = None, time_format: str = CSV_TIME_FORMAT) -> None:
+                   null_token: str | None = None, time_format: str = CSV_TIME_FORMAT,
+                   written: Observation | None = None) -> None:
     """Enriched rows by original date and processing date (back-dated
     loads included), one leaf per load.  ``time_format`` renders
     PROCESSEDTIME in CSV output (e.g. ``dd/MM/yyyy HH:mm``)."""
     write_partitioned(df, path, ["original_date", "processing_date"], fmt, load_id,
-                      null_token=null_token, time_format=time_format)
+                      null_token=null_token, time_format=time_format, written=written)
 
 
 def write_per_file(df: DataFrame, path: str, name_col: str = "INPUTFILENAME",
@@ -79,11 +83,17 @@ def hold_class(reason: str = "hold_reason"):
             .otherwise(F.lit("lookup")))
 
 
+FINAL_BUCKET = -1  # rows that no master can help need no bucket
+
+
 def write_hold(held: DataFrame, path: str, load_id: str) -> None:
-    """Held rows by class, then original date, one leaf per load that held
-    them (a reprocess reads only the ``lookup`` class)."""
-    write_partitioned(held.withColumn("hold_class", hold_class()), path,
-                      ["hold_class", "original_date"], "parquet", load_id)
+    """Held rows by class, bucket of their node and original date, one leaf per load
+    that held them.  A reprocess reads only the ``lookup`` class, and of it the
+    buckets whose master entries changed."""
+    node = F.coalesce(F.col("incoming_node"), F.col("outgoing_node"))
+    rows = held.withColumn("hold_class", hold_class()).withColumn("hold_bucket", F.when(
+        F.col("hold_class") == "final", F.lit(FINAL_BUCKET)).otherwise(node_bucket(node)))
+    write_partitioned(rows, path, ["hold_class", "hold_bucket", "original_date"], "parquet", load_id)
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
@@ -92,7 +102,7 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.option("basePath", path).parquet(path)
     casts = {}
     for c, t in (("original_date", "string"), ("load_id", "string"),
-                 ("hold_class", "string"), ("processing_date", "date")):
+                 ("hold_class", "string"), ("hold_bucket", "int"), ("processing_date", "date")):
         if c in df.columns:
             casts[c] = F.col(c).cast(t)
     return df.withColumns(casts)
@@ -110,7 +120,8 @@ def read_hold(spark: SparkSession, path: str, superseded: DataFrame | None = Non
 
 def read_enriched(spark: SparkSession, path: str, hold_path: str) -> DataFrame:
     """Enriched rows (Parquet output) of committed loads."""
-    return only_committed(read_partitioned(spark, path), hold_path)
+    gone, _ = sized_broadcast(replaced_loads(spark, hold_path))
+    return only_committed(read_partitioned(spark, path), hold_path).join(gone, "load_id", "left_anti")
 
 
 def write_audit(audit: DataFrame, path: str, load_id: str) -> None:
@@ -134,20 +145,22 @@ def has_hold(spark: SparkSession, hold_path: str) -> bool:
         raise
 
 
-def current_hold(spark: SparkSession, hold_path: str, cls: str | None = None) -> DataFrame:
-    """Held rows of committed loads.  ``lookup`` rows count only until a
-    committed reprocess took their load over; ``final`` rows (which no
-    reprocess reads) stay where they were written.  ``cls`` restricts to one
-    class (a partition filter, so the other class is not read)."""
-    commits = read_commits(spark, hold_path)
-    gone, _ = sized_broadcast(commits.where(F.col("supersedes").isNotNull())
-                              .select(F.col("supersedes").alias("_gone")).distinct())
+def current_hold(spark: SparkSession, hold_path: str, cls: str | None = None,
+                 buckets: Sequence[int] | None = None) -> DataFrame:
+    """Held rows of committed loads.  A leaf (load and bucket) counts until a committed
+    run replaced it; ``final`` rows, which no reprocess reads, are replaced by a
+    compaction of their whole load only.  ``cls`` and ``buckets`` restrict to partitions
+    (others are not read)."""
+    gone, _ = sized_broadcast(superseded_leaves(spark, hold_path).select(
+        F.col("load_id").alias("_gone"), F.col("bucket").alias("_bucket")))
     held = read_partitioned(spark, hold_path)
     if cls is not None:
         held = held.where(F.col("hold_class") == cls)
+    if buckets is not None:
+        held = held.where(F.col("hold_bucket").isin([int(b) for b in buckets]))
     held = only_committed(held, hold_path)
-    return held.join(gone, (F.col("load_id") == F.col("_gone"))
-                     & (F.col("hold_class") == "lookup"), "left_anti")
+    return held.join(gone, (F.col("load_id") == F.col("_gone")) & (
+        F.col("_bucket").isNull() | (F.col("hold_bucket") == F.col("_bucket"))), "left_anti")
 
 
 def create_partitioned_table(spark: SparkSession, name: str, schema: T.StructType,

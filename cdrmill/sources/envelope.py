@@ -93,19 +93,23 @@ def _small(df: DataFrame, lines: DataFrame, head: int, tail: int) -> DataFrame:
     return sized_broadcast(df)[0]
 
 
-def header_orders(positions: DataFrame, columns: Sequence[str], header_line: int = 2,
-                  sep: str = ",") -> DataFrame:
-    """(file_path, width, order) of the files whose header is another than
-    ``columns``: its number of fields and the place (1, ...) of each expected
-    column in it, 0 for a missing one; NULL where no header was found."""
+def file_heads(positions: DataFrame, columns: Sequence[str], header_line: int = 2,
+               sep: str = ",") -> DataFrame:
+    """One row per file: ``_envelope`` (positions of its envelope lines) and, where the
+    header is another than ``columns``, ``_other`` with the header's number of
+    fields (``_width``) and the place (1, ...) of each expected column in it, 0 for
+    a missing one (``_order``; NULL where no header was found)."""
+    per_file = positions.groupBy("file_path").agg(
+        F.collect_list("_pos").alias("_envelope"),
+        F.max(F.when(F.col("_env") == header_line, F.col("header"))).alias("header"),
+        F.count_if(F.col("_env") == header_line).alias("n"))
     names = F.transform(F.split(F.upper("header"), sep), lambda x: F.trim(F.translate(x, '"', "")))
-    heads = positions.where(F.col("_env") == header_line)
-    return (heads.where(F.col("header").isNull()
-                        | (F.trim("header") != F.lit(sep.join(columns))))
-            .select("file_path", F.size(names).alias("_width"), F.when(
-                F.col("header").isNotNull(),
-                F.array(*[F.array_position(names, F.lit(c.upper())).cast("int")
-                          for c in columns])).alias("_order"), F.lit(True).alias("_other")))
+    other = (F.col("n") > 0) & (F.col("header").isNull()
+                                | (F.trim("header") != F.lit(sep.join(columns))))
+    order = F.array(*[F.array_position(names, F.lit(c.upper())).cast("int") for c in columns])
+    return per_file.select(
+        "file_path", "_envelope", other.alias("_other"), F.size(names).alias("_width"),
+        F.when(other & F.col("header").isNotNull(), order).alias("_order"))
 
 
 def strip_envelope(lines: DataFrame, head: int = 2, tail: int = 2) -> DataFrame:
@@ -145,15 +149,16 @@ def envelope_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS
                      sep: str = ",") -> DataFrame:
     """Positioned lines (``read_lines_with_position``) -> parsed records.
 
-    ``value`` is the record line in the order of ``columns``.  ``line_problem`` is
+    ``value`` is the record line in the order of ``columns``, ``line_id`` tells lines
+    of one read apart.  ``line_problem`` is
     NULL, ``ragged`` (another number of fields than the header) or ``bad_header``
     (the file has no header line, or not all columns in it).
     """
-    positions = envelope_positions(lines, head, tail)
-    tagged = lines.join(_small(positions.drop("header"), lines, head, tail), POSITION, "left")
-    body = spread_if_unsplittable(tagged.where(F.col("_env").isNull()).drop("_env"), lines)
-    orders = header_orders(positions, columns, header_line, sep)
-    body = body.join(_small(orders, lines, head, tail), "file_path", "left")
+    # the few envelope lines and the header come per file in one join: two scans in all
+    heads = file_heads(envelope_positions(lines, head, tail), columns, header_line, sep)
+    tagged = lines.join(_small(heads, lines, head, tail), "file_path", "left")
+    body = spread_if_unsplittable(
+        tagged.where(~F.coalesce(F.array_contains("_envelope", F.col("_pos")), F.lit(False))), lines)
     fields = F.split(F.col("value"), FIELD_COMMA if sep == "," else re.escape(sep), -1)
     lacking = F.col("_order").isNull() | F.array_contains("_order", 0)
     ordered = F.concat_ws(sep, F.transform("_order", lambda i: F.when(
@@ -161,7 +166,7 @@ def envelope_records(lines: DataFrame, columns: Sequence[str] = ENRICHED_COLUMNS
     other = F.coalesce("_other", F.lit(False))
     body = body.select(
         F.when(other & F.col("_order").isNotNull(), ordered).otherwise(F.col("value")).alias("value"),
-        "file_path", "file_name",
+        "file_path", "file_name", F.col("_pos").alias("line_id"),
         F.when(other & lacking, "bad_header")
         .when(other & (F.size(fields) != F.col("_width")), "ragged").alias("line_problem"))
     parsed = parse_csv_records(body, columns, sep, broken="broken")

@@ -1,39 +1,52 @@
-"""Incremental MED loading with Structured Streaming.
+"""Incremental loading with Structured Streaming.
 
-The file stream source remembers which files it has already offered (its
-checkpoint), which is the input-file duplicate check done natively.  With
-``log_path`` the processed-file log is shared with the batch jobs: each
-micro-batch reads it anew, skips the files in it and logs its own.  Each
-micro-batch runs the same enrichment as the batch job and writes its output under
-its own ``load_id`` leaf (stream, checkpoint, batch id).  A replayed batch
-overwrites its own earlier attempt, or does nothing if that was committed.
+New files make a micro-batch.  It takes the files of the folder that the
+processed-file log does not have, which is shared with the batch jobs, and loads them
+exactly as a batch job would: same sinks, audit, table, log (also of empty files),
+commit and conflict check.  Logged files are not read, and a batch that was offered
+files which a batch job has loaded meanwhile loads nothing.  A replayed batch does
+nothing if some attempt at it was committed.
 
 Within a micro-batch the duplicate check is the batch one (deterministic
-winner).  With ``keys_dir`` set, calls already kept by an earlier batch or
-load are dropped as well: each batch appends the keys it kept (partitioned
-by event date) and anti-joins the keys of its own event dates; across batches
-the first loaded copy wins.
+winner).  Repeats of earlier batches are dropped in two ways:
+
+* ``keys_dir``: against the store of all keys ever loaded, however old;
+* ``repeats_within``: by the stream's own state, for calls that began no longer ago
+  than that.  The state store keeps the keys of that span only.  No call is lost:
+  records of older calls, or without a valid time, pass by the state, and times in the
+  future count as now, so they can't move the watermark.  Which copy stays among
+  several in one micro-batch is not determined here.  Such a stream reads its files
+  through the stream source, whose checkpoint then is the file memory; it shares no log.
+
+ICT extracts are loaded once their trailer is there; until then they wait, and later
+batches look at them again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+import time
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from cdrmill.operators.files import new_files
+from cdrmill.functions.parse import parse_fixed_width
+from cdrmill.operators.lookup import sized_broadcast
 from cdrmill.operators.mapping import Clock
-from cdrmill.plans.med import finish_med, med_legs, original_date, parse_records
-from cdrmill.sinks.commits import commit_load, is_committed
-from cdrmill.sinks.keys import loaded_keys, write_keys
-from cdrmill.sinks.writers import write_enriched, write_hold
-from cdrmill.sources.listing import without_logged
-from cdrmill.sources.log import log_files, read_log
-from cdrmill.sources.text import plain, spread_if_unsplittable
+from cdrmill.plans.jobs import ICT, MED, JobConfig, load_files
+from cdrmill.plans.med import blanked_keys, filled_keys
+from cdrmill.schema import CDR_USED, MED_DEDUP_KEYS
+from cdrmill.sinks.commits import is_committed, latest_version, until_committed
+from cdrmill.sources.listing import InputFile, new_input_files, scan_groups
+from cdrmill.sources.log import read_log
+from cdrmill.sources.text import plain, read_lines_with_position
+from cdrmill.streaming.metrics import BatchMetrics
 
 
 @dataclass
@@ -48,12 +61,39 @@ class IncrementalConfig:
     keys_dir: str | None = None  # set: also drop calls loaded by earlier batches
     log_path: str | None = None  # set: share the processed-file log with batch jobs
     date_mode: str = "regex"
+    audit_path: str | None = None
+    table: str | None = None
+    per_file_path: str | None = None
+    metrics_path: str | None = None    # set: a row of counts and times per micro-batch
+    repeats_within: str | None = None  # e.g. "2 days": drop repeats by the stream's state (MED,
+                                       # without log_path)
+    trailer: str = "EOF"               # how the last line of a finished extract begins (ICT)
 
-    def load_id(self, batch_id: int) -> str:
+    def batch_name(self, batch_id: int) -> str:
         """The same for every attempt at a batch, and no other stream's."""
         place = hashlib.sha1(self.checkpoint_dir.encode()).hexdigest()[:10]
         return f"{self.name}-{place}-{batch_id}"
 
+    def job(self, masters) -> JobConfig:
+        """The batch job that a micro-batch is.  Without a log of its own the stream
+        keeps one beside the hold store."""
+        if self.repeats_within and self.log_path:
+            raise ValueError("repeats_within keeps its own file memory: leave log_path unset")
+        log = self.log_path or f"{self.hold_dir.rstrip('/')}/_stream_log"
+        return JobConfig(self.input_dir, masters, self.output_dir, self.hold_dir, log,
+                         audit_path=self.audit_path, date_mode=self.date_mode,
+                         source_col=self.source_col, keys_dir=self.keys_dir, table=self.table,
+                         per_file_path=self.per_file_path)
+
+
+@dataclass
+class _Given:
+    """Masters that are built already, where ``MasterPaths`` is expected."""
+    masters: object
+
+    def load(self, spark: SparkSession):
+        return self.masters
+
 
 def stream_lines(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
     r = spark.readStream.format("text")
@@ -67,74 +107,160 @@ def stream_lines(spark: SparkSession, cfg: IncrementalConfig) -> DataFrame:
                      name.alias("file_name"))
 
 
-def _without_logged(lines: DataFrame, log: DataFrame) -> DataFrame:
-    """Lines of files that are not in the log, by path (see ``listing``)."""
-    named = lines.withColumns({"path": F.col("file_path"), "name": F.col("file_name")})
-    return without_logged(named, log).drop("path", "name")
+def first_in_state(lines: DataFrame, within: str) -> DataFrame:
+    """Parsed records of a stream without those whose call was met before in the span
+    ``within`` of event time (``dropDuplicatesWithinWatermark``).
+
+    The time of a record is its call's begin, but not after the batch's own time.
+    Records of calls that began longer ago than ``within``, or have no valid time, get a
+    key of their own and the batch's time: they are neither compared nor dropped as late.
+    """
+    parsed = parse_fixed_width(lines, keep=CDR_USED, drop_value=False)
+    began = F.try_to_timestamp(F.concat("event_start_date", F.substring("event_start_time", 1, 6)),
+                               F.lit("yyyyMMddHHmmss"))
+    now = F.current_timestamp()
+    old = began.isNull() | (began < now - F.expr(f"INTERVAL {within}"))
+    timed = filled_keys(parsed).withColumns({
+        "seen_at": F.when(old, now).otherwise(F.least(began, now)),
+        "own": F.when(old, F.concat("file_path", F.lit("#"), "value")).otherwise("")})
+    met = timed.withWatermark("seen_at", within).dropDuplicatesWithinWatermark(
+        [*MED_DEDUP_KEYS, "own"])
+    return blanked_keys(met).select(*[c for c in parsed.columns if c not in ("value", "file_path")])
+
+
+def finished(spark: SparkSession, files: list[InputFile], cfg: IncrementalConfig) -> list[InputFile]:
+    """The extracts whose last line is a trailer's last line."""
+    done = set()
+    for paths, base, _ in scan_groups(files, cfg.source_col):
+        lines = read_lines_with_position(spark, paths, cfg.source_col, base)
+        last = lines.groupBy("file_path").agg(F.max(F.struct("_blk", "_pos", "value")).alias("l"))
+        done |= {r["path"] for r in last.where(F.startswith("l.value", F.lit(cfg.trailer)))
+                 .select(plain(F.col("file_path")).alias("path")).collect()}  # a row a file
+    return [f for f in files if re.sub(r"^file:/+", "file:/", f.path) in
+            {re.sub(r"^file:/+", "file:/", p) for p in done}]
 
 
-def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, masters,
-                  log: DataFrame | None, clock: Clock, batches: list):
-    """The per-micro-batch MED load.  ``masters`` is a built ``Masters`` or
-    anything with ``load(spark) -> Masters`` (e.g. ``MasterPaths``), which is
-    then re-read every micro-batch so newer master snapshots apply at once."""
+def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, source, masters,
+                  skip: DataFrame | None, clock: Clock, batches: list,
+                  metrics: BatchMetrics | None) -> Callable[[DataFrame, int], None]:
+    """The per-micro-batch load.  ``masters`` is a built ``Masters`` or anything with
+    ``load(spark) -> Masters`` (e.g. ``MasterPaths``), which is then re-read every
+    micro-batch so newer master snapshots apply at once.  ``skip`` names files
+    (``filename``) that are not to be loaded."""
+    job = cfg.job(masters if hasattr(masters, "load") else _Given(masters))
+    job.count_lines = cfg.metrics_path is not None
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_id = cfg.load_id(batch_id)
-        if is_committed(spark, cfg.hold_dir, load_id):
+        name = cfg.batch_name(batch_id)
+        if is_committed(spark, cfg.hold_dir, name):
             return  # a replay of a batch that was done
-        m = masters.load(spark) if hasattr(masters, "load") else masters
-        lines = new_files(batch, log) if log is not None else batch
-        if cfg.log_path:
-            known = read_log(spark, cfg.log_path, cfg.hold_dir)
-            lines = _without_logged(lines, known)
-            files = (lines.select(F.col("file_path").alias("path"), F.col("file_name").alias("name"))
-                     .distinct())
-        records = parse_records(spread_if_unsplittable(lines, batch))
-        bclock = clock.resolved(spark)  # one processing time per micro-batch
-        loaded = (loaded_keys(spark, cfg.keys_dir, cfg.hold_dir, records, load_id)
-                  if cfg.keys_dir else None)
-        # the leg rows feed two or three writes: computed once per micro-batch
-        legs = med_legs(records, m, bclock, cfg.date_mode, loaded_keys=loaded).persist(
-            StorageLevel.MEMORY_AND_DISK)
+        held_rows = batch.persist(StorageLevel.MEMORY_AND_DISK) if cfg.repeats_within else None
+
+        def attempt():
+            t0, bclock = time.time(), clock.resolved(spark)  # one time per attempt
+            seen = latest_version(spark, cfg.hold_dir)
+            load_id = f"{name}-{uuid.uuid4().hex[:8]}"
+            if held_rows is not None:
+                if held_rows.isEmpty():
+                    return None
+                return load_files(spark, source, [], job, bclock, load_id, seen, t0, name, held_rows)
+            files = _unlogged(spark, cfg, job, source, skip)[:cfg.max_files_per_trigger]
+            return load_files(spark, source, files, job, bclock, load_id, seen, t0,
+                              name) if files else None
+
         try:
-            enriched, held = finish_med(legs, bclock)
-            write_enriched(enriched, cfg.output_dir, load_id)
-            write_hold(held, cfg.hold_dir, load_id)
-            if cfg.keys_dir:
-                write_keys(legs, cfg.keys_dir, load_id)
-            if cfg.log_path:
-                log_files(files, cfg.log_path, original_date("name", cfg.date_mode), bclock.date(),
-                          load_id)
-            commit_load(spark, cfg.hold_dir, load_id)
+            done = until_committed(attempt)
         finally:
-            legs.unpersist()
+            if held_rows is not None:
+                held_rows.unpersist()
+        if metrics is not None:
+            metrics.counted(batch_id, done.metrics if done else {})
         batches.append(batch_id)
 
     return load
 
 
+def _unlogged(spark: SparkSession, cfg: IncrementalConfig, job: JobConfig, source,
+              skip: DataFrame | None = None) -> list[InputFile]:
+    """The files of the folder that the log does not have; of extracts the finished ones."""
+    files = new_input_files(spark, cfg.input_dir, read_log(spark, job.log_path, cfg.hold_dir),
+                            cfg.source_col)
+    if skip is not None and files:
+        files = _not_named(spark, files, skip)
+    return finished(spark, files, cfg) if source is ICT and files else files
+
+
+def _not_named(spark: SparkSession, files: list[InputFile], skip: DataFrame) -> list[InputFile]:
+    rows = spark.createDataFrame([(f.path, f.name) for f in files], "path string, filename string")
+    gone, _ = sized_broadcast(skip.select("filename").where("filename is not null").distinct())
+    kept = {r["path"] for r in rows.join(gone, "filename", "left_anti").collect()}
+    return [f for f in files if f.path in kept]
+
+
+def _start(spark: SparkSession, cfg: IncrementalConfig, load, trigger: dict) -> StreamingQuery:
+    rows = stream_lines(spark, cfg)
+    if cfg.repeats_within:
+        rows = first_in_state(rows, cfg.repeats_within)
+    return (rows.writeStream.foreachBatch(load).option("checkpointLocation", cfg.checkpoint_dir)
+            .trigger(**trigger).queryName(f"cdrmill-{cfg.batch_name(0)}").start())
+
+
+def _metrics(spark: SparkSession, cfg: IncrementalConfig) -> BatchMetrics | None:
+    if not cfg.metrics_path:
+        return None
+    metrics = BatchMetrics(spark, cfg.metrics_path, f"cdrmill-{cfg.batch_name(0)}")
+    spark.streams.addListener(metrics)
+    return metrics
+
+
 def start_med_stream(spark: SparkSession, cfg: IncrementalConfig, masters,
                      log: DataFrame | None = None, clock: Clock = Clock(),
                      interval: str = "1 minute") -> StreamingQuery:
     """A long-running incremental load: a micro-batch every ``interval``
     over the files that arrived since the last one.  Returns the query."""
-    load = _batch_loader(spark, cfg, masters, log, clock, [])
-    return (stream_lines(spark, cfg).writeStream.foreachBatch(load)
-            .option("checkpointLocation", cfg.checkpoint_dir)
-            .trigger(processingTime=interval).queryName(f"cdrmill-{cfg.name}").start())
+    load = _batch_loader(spark, cfg, MED, masters, log, clock, [], _metrics(spark, cfg))
+    return _start(spark, cfg, load, {"processingTime": interval})
+
+
+def _run(spark: SparkSession, cfg: IncrementalConfig, source, masters, log, clock) -> int:
+    batches: list = []
+    metrics = _metrics(spark, cfg)
+    load = _batch_loader(spark, cfg, source, masters, log, clock, batches, metrics)
+    try:
+        q = _start(spark, cfg, load, {"availableNow": True})
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+        if metrics is not None:
+            metrics.wait()
+    finally:
+        if metrics is not None:
+            spark.streams.removeListener(metrics)
+    return len(batches)
 
 
 def run_med_incremental(spark: SparkSession, cfg: IncrementalConfig, masters,
                         log: DataFrame | None = None, clock: Clock = Clock()) -> int:
     """Process every file not yet seen, then stop (``availableNow``).
     Returns the number of micro-batches run."""
-    batches: list = []
-    load = _batch_loader(spark, cfg, masters, log, clock, batches)
-    q = (stream_lines(spark, cfg).writeStream.foreachBatch(load)
-         .option("checkpointLocation", cfg.checkpoint_dir)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return len(batches)
+    return _run(spark, cfg, MED, masters, log, clock)
+
+
+def run_ict_incremental(spark: SparkSession, cfg: IncrementalConfig, masters,
+                        clock: Clock = Clock()) -> int:
+    """The same for ICT extracts.  Those without their trailer wait; they are looked at
+    again by every later batch and, as an extract that grows is no new file, once more
+    after the last one.  Returns the number of micro-batches that ran."""
+    n = _run(spark, cfg, ICT, masters, None, clock)
+    job = cfg.job(masters if hasattr(masters, "load") else _Given(masters))
+
+    def sweep():
+        seen = latest_version(spark, cfg.hold_dir)
+        files = _unlogged(spark, cfg, job, ICT)
+        if files:
+            t0, at = time.time(), clock.resolved(spark)
+            load_id = f"{cfg.batch_name(n)}-waited-{uuid.uuid4().hex[:8]}"
+            load_files(spark, ICT, files, job, at, load_id, seen, t0)
+
+    until_committed(sweep)
+    return n
