@@ -17,9 +17,14 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -30,7 +35,7 @@ from cdrmill.llm.common import checkpointed, fresh, stored, table, text_key
 
 # Documented bounds of the fit; what is scored has none.
 MAX_LABELLED = 20_000
-MAX_TERMS = 20_000
+HELD_TERMS = 50_000    # counts that a task holds before it hands them on
 FOLDS = 5              # fold 0 is held out
 LEXICON_FOLDS = (1, 2, 3, 4)
 TREE_FOLDS, CURVE_FOLD = (1, 2, 3), 4
@@ -114,10 +119,14 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
 
 def feature_column(text: Column, fold: Column, lexicons: dict[int, dict[str, float]]) -> Column:
     """``features`` of a text with the lexicon for its fold (0: the whole one)."""
-    @F.pandas_udf("array<double>")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, folds in parts:
-            yield pd.Series([features(t, lexicons[f]) for t, f in zip(texts, folds)])
+    @F.arrow_udf("array<double>")
+    def run(texts: pa.Array, folds: pa.Array) -> pa.Array:
+        flat = array("d")  # one text at a time, no list of all texts beside the batch
+        for t, f in zip(texts, folds):
+            flat.extend(features(t.as_py(), lexicons[f.as_py()]))
+        n = len(FEATURES)
+        return pa.ListArray.from_arrays(pa.array(range(0, len(flat) + 1, n), pa.int32()),
+                                        pa.array(np.frombuffer(flat, np.float64)))
     return run(text, fold)
 
 
@@ -145,45 +154,67 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _term_counts(rows: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """(term, fold, toxic, texts): in how many texts a term occurs."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            found = []
-            for text, toxic, fold in zip(part["text"], part["toxic"], part["fold"]):
-                terms = {t for w in set(WORD.findall(text.lower())) for t in terms_of(w)}
-                terms = terms if wanted is None else terms & wanted
-                found += [(t, fold, toxic) for t in terms]
-            yield pd.DataFrame(found, columns=["term", "fold", "toxic"])
-
-    return (rows.mapInPandas(run, "term string, fold int, toxic int")
-            .groupBy("term", "fold", "toxic").agg(F.count(F.lit(1)).alias("texts")))
+    """(term, fold, toxic, texts): in how many texts a term occurs.  Tasks count as
+    they go and hand on their counts whenever ``HELD_TERMS`` are held."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def handed() -> pa.RecordBatch:
+            keys = list(held)
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], pa.string()),
+                 pa.array([k[1] for k in keys], pa.int32()),
+                 pa.array([k[2] for k in keys], pa.int32()),
+                 pa.array(held.values(), pa.int64())], ["term", "fold", "toxic", "texts"])
+            held.clear()
+            return out
+
+        for batch in batches:
+            for text, toxic, fold in zip(*(batch.column(c) for c in ("text", "toxic", "fold"))):
+                toxic, fold = toxic.as_py(), fold.as_py()
+                terms = {t for w in set(WORD.findall(text.as_py().lower())) for t in terms_of(w)}
+                held.update((t, fold, toxic) for t in (terms if wanted is None else terms & wanted))
+                if len(held) >= HELD_TERMS:
+                    yield handed()
+        if held:
+            yield handed()
+
+    return (rows.select("text", "toxic", "fold")
+            .mapInArrow(run, "term string, fold int, toxic int, texts long")
+            .groupBy("term", "fold", "toxic").agg(F.sum("texts").alias("texts")))
 
 
 def mine_lexicons(rows: DataFrame) -> dict[int, dict[str, float]]:
     """Term weights (log odds of being in a toxic rather than a clean text), once
     from all training folds (key 0) and once without each.  Terms are sought in
-    toxic texts, then counted in all; ``MAX_TERMS`` of them reach the driver."""
+    toxic texts, then counted in all.  What reaches the driver is bounded by the
+    training rows: terms that ``MIN_TOXIC_TEXTS`` of them share, and the weights of
+    those that pass."""
     totals = {(r["fold"], r["toxic"]): r["n"] for r in
               rows.groupBy("fold", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     often = (_term_counts(rows.where("toxic = 1"), None).groupBy("term")
-             .agg(F.sum("texts").alias("n")).where(F.col("n") >= MIN_TOXIC_TEXTS)
-             .orderBy(F.desc("n"), "term").limit(MAX_TERMS))
-    wanted = frozenset(r["term"] for r in often.collect())
-    counts: dict[str, dict[tuple[int, int], int]] = {t: {} for t in wanted}
-    for r in _term_counts(rows, wanted).collect():  # MAX_TERMS x 8 at most
-        counts[r["term"]][r["fold"], r["toxic"]] = r["texts"]
-    out = {}
-    for left_out in (0, *LEXICON_FOLDS):
+             .agg(F.sum("texts").alias("n")).where(F.col("n") >= MIN_TOXIC_TEXTS))
+    wanted = frozenset(r["term"] for r in often.select("term").toLocalIterator())
+    met = lambda f, c: (F.col("fold") == f) & (F.col("toxic") == c)
+    counts = _term_counts(rows, wanted).groupBy("term").agg(
+        *[F.coalesce(F.sum(F.when(met(f, c), F.col("texts"))), F.lit(0)).alias(f"n{f}_{c}")
+          for f in LEXICON_FOLDS for c in (0, 1)])
+    left_outs = (0, *LEXICON_FOLDS)
+    weights = []
+    for left_out in left_outs:
         folds = [f for f in LEXICON_FOLDS if f != left_out]
         in_all = [sum(totals.get((f, c), 0) for f in folds) for c in (0, 1)]
-        lexicon = {}
-        for term, found in counts.items():
-            clean, toxic = (sum(found.get((f, c), 0) for f in folds) for c in (0, 1))
-            odds = (math.log((toxic + 0.5) / (in_all[1] + 1))
-                    - math.log((clean + 0.5) / (in_all[0] + 1)))
-            if toxic >= MIN_TOXIC_TEXTS and odds >= MIN_LOG_ODDS:
-                lexicon[term] = min(odds, 8.0)
-        out[left_out] = lexicon
+        clean, toxic = (reduce(add, [F.col(f"n{f}_{c}") for f in folds]) for c in (0, 1))
+        odds = F.log((toxic + 0.5) / (in_all[1] + 1)) - F.log((clean + 0.5) / (in_all[0] + 1))
+        weights.append(F.when((toxic >= MIN_TOXIC_TEXTS) & (odds >= MIN_LOG_ODDS),
+                              F.least(odds, F.lit(8.0))).alias(f"w{left_out}"))
+    passed = counts.select("term", *weights).where(
+        F.coalesce(*[F.col(f"w{i}") for i in left_outs]).isNotNull())
+    out: dict[int, dict[str, float]] = {i: {} for i in left_outs}
+    for r in passed.toLocalIterator():
+        for i in left_outs:
+            if r[f"w{i}"] is not None:
+                out[i][r["term"]] = r[f"w{i}"]
     return out
 
 
