@@ -24,6 +24,7 @@ class InputFile:
     path: str
     name: str    # base name, or the folder partition that names the logical file
     length: int
+    modified: float = 0.0
 
     @property
     def splittable(self) -> bool:
@@ -39,11 +40,12 @@ def logical_name(path, source_col: str | None):
 
 def list_files(spark: SparkSession, paths: str | Sequence[str],
                source_col: str | None = None) -> DataFrame:
-    """``path, name, length`` of the input files, folders listed to the bottom; no
-    content is read."""
+    """``path, name, length, modificationTime`` of the input files, folders listed to the
+    bottom; no content is read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-            .select("path", logical_name(F.col("path"), source_col).alias("name"), "length"))
+            .select("path", logical_name(F.col("path"), source_col).alias("name"), "length",
+                    "modificationTime"))
 
 
 def without_logged(files: DataFrame, log: DataFrame) -> DataFrame:
@@ -62,8 +64,8 @@ def new_input_files(spark: SparkSession, paths: str | Sequence[str],
     plans scans from)."""
     files = list_files(spark, paths, source_col)
     files = files if log is None else without_logged(files, log)
-    return sorted((InputFile(r["path"], r["name"], r["length"]) for r in files.collect()),
-                  key=lambda f: f.path)
+    return sorted((InputFile(r["path"], r["name"], r["length"], r["modificationTime"].timestamp())
+                   for r in files.collect()), key=lambda f: f.path)
 
 
 def literal(path: str) -> str:

@@ -182,9 +182,10 @@ def _batch_loader(spark: SparkSession, cfg: IncrementalConfig, source, masters,
 
 def _unlogged(spark: SparkSession, cfg: IncrementalConfig, job: JobConfig, source,
               skip: DataFrame | None = None) -> list[InputFile]:
-    """The files of the folder that the log does not have; of extracts the finished ones."""
-    files = new_input_files(spark, cfg.input_dir, read_log(spark, job.log_path, cfg.hold_dir),
-                            cfg.source_col)
+    """The files of the folder that the log does not have, oldest first; of extracts the
+    finished ones."""
+    files = sorted(new_input_files(spark, cfg.input_dir, read_log(
+        spark, job.log_path, cfg.hold_dir), cfg.source_col), key=lambda f: (f.modified, f.path))
     if skip is not None and files:
         files = _not_named(spark, files, skip)
     return finished(spark, files, cfg) if source is ICT and files else files

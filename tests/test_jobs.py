@@ -49,7 +49,7 @@ def test_med_job_rerun_hold_and_backdating(spark, tmp_path):
     cfg = JobConfig(f"{root}/in/*/*.cdr", masters, f"{root}/out", f"{root}/hold", f"{root}/log",
                     audit_path=f"{root}/audit")
     r1 = run_med(spark, cfg, DAY1)
-    assert r1.metrics == {"leg_rows": 4, "matched": 3, "held": 1, "master_rows_dropped": 0,
+    assert r1.metrics == {"leg_rows": 4, "matched": 3, "held": 1, "records": 4, "master_rows_dropped": 0,
                           "rows_per_sec": r1.metrics["rows_per_sec"], "shuffle_partitions": 8, "files": 2}
     out = read_partitioned(spark, f"{root}/out")
     assert out.count() == 3
@@ -115,7 +115,8 @@ def test_ict_job(spark, tmp_path):
     assert spark.table("ict_processed").count() == 2
     assert os.path.isdir(f"{root}/per_file/INPUTFILENAME=ICT_20240701.csv")
     spark.sql("DROP TABLE ict_processed")
-    assert r.metrics == {"leg_rows": 3, "matched": 2, "held": 1, "files": 1, "bad_headers": 0}
+    counts = {k: r.metrics[k] for k in ("leg_rows", "matched", "held", "records", "files", "bad_headers")}
+    assert counts == {"leg_rows": 3, "matched": 2, "held": 1, "records": 2, "files": 1, "bad_headers": 0}
     out = read_partitioned(spark, f"{root}/out").collect()
     assert {x.leg for x in out} == {"I", "O"}
     assert all(x.poi_id == "POI1" and x.EVENT_START_TIME == "102030" and x.SOURCETYPE == "ICT"
