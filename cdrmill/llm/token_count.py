@@ -34,6 +34,7 @@ from cdrmill.llm.common import table
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 # table entries kept per Python worker; a full table is emptied and filled anew
+LONG_WORD = 256  # symbols; longer words keep no prefixes, whose memory grows with the square
 WORDS_KEPT, PREFIXES_KEPT, PAIRS_KEPT = 400_000, 800_000, 400_000
 END = "</w>"
 # White space as the vocabulary's pattern means it, written out inside brackets:
@@ -107,13 +108,16 @@ class PrefixCounter:
         self._fits[left, right] = fits
         return fits
 
-    def _step(self, prefix: str, suffix: str) -> tuple[str, int]:
-        """Last token and count of ``prefix`` + ``suffix`` from the table before."""
-        tokens, opened, fits, n = self.tokens, self._open, self._fits, len(prefix)
+    def _step(self, prefix: str, suffix: str, by_place: list | None = None,
+              n: int | None = None) -> tuple[str, int]:
+        """Last token and count of ``prefix`` + ``suffix`` from the table before:
+        of prefixes, or ``by_place`` (then of the first ``n`` symbols of ``prefix``)."""
+        tokens, opened, fits = self.tokens, self._open, self._fits
+        n = len(prefix) if n is None else n
         for j in range(max(0, n - self.longest), n):
-            t = prefix[j:] + suffix
+            t = prefix[j:n] + suffix
             if t in tokens:
-                before, count = opened[prefix[:j]]
+                before, count = opened[prefix[:j]] if by_place is None else by_place[j]
                 if not j:
                     return t, 1
                 ok = fits.get((before, t))
@@ -121,7 +125,7 @@ class PrefixCounter:
                     ok = self._pair_fits(before, t)
                 if ok:
                     return t, count + 1
-        raise ValueError(f"no encoding for {prefix!r}")
+        raise ValueError(f"no encoding for {prefix[:n]!r}")
 
     def _opened(self, prefix: str) -> None:
         """Fill the table for all prefixes of ``prefix``."""
@@ -136,9 +140,19 @@ class PrefixCounter:
         for i in range(known + 1, n + 1):
             opened[prefix[:i]] = self._step(prefix[:i], "")
 
+    def _places(self, word: str) -> list[tuple[str, int]]:
+        """The table of a long word by position: one entry a symbol, kept nowhere."""
+        out = [("", 0)]
+        for n in range(1, len(word) + 1):
+            out.append(self._step(word, "", out, n))
+        return out
+
     def table(self, word: str) -> list[int]:
         """Token counts of every byte prefix of ``word`` (byte symbols) as a word
         that ends there, from 0 bytes on."""
+        if len(word) > LONG_WORD:
+            places = self._places(word)
+            return [0, *(self._step(word, END, places, n)[1] for n in range(1, len(word) + 1))]
         self._opened(word)
         return [0, *(self._step(word[:i], END)[1] for i in range(1, len(word) + 1))]
 
@@ -149,6 +163,8 @@ class PrefixCounter:
     def total(self, word: str) -> int:
         """Tokens of a whole word: the last entry of its table."""
         word = self.as_symbols(word)
+        if len(word) > LONG_WORD:
+            return self._step(word, END, self._places(word[:-1]), len(word))[1]
         self._opened(word[:-1])
         return self._step(word, END)[1]
 
@@ -201,6 +217,8 @@ class _Totals(dict):
 
     def __missing__(self, word: str | None) -> int:
         n = 1 if word is None else self.counter.total(word)
+        if word is not None and len(word) > LONG_WORD:
+            return n
         if len(self) >= WORDS_KEPT:
             self.clear()
         self[word] = n
@@ -230,7 +248,8 @@ def _counting(path: str, limit: int):
 def token_counts(docs: DataFrame, limit: int = LIMIT, path: str | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit, cut_word, cut_byte`` of each row.
 
-    ``cut_word`` and ``cut_byte`` say where a text over ``limit`` tokens is to be
+    Texts and words of any length count whole, a word in memory in proportion to its
+    length.  ``cut_word`` and ``cut_byte`` say where a text over ``limit`` tokens is to be
     cut: after so many whole words and so many bytes (of the folded, lower-cased
     form) of the next one; both NULL for texts within the limit.  NULL texts
     count as empty (0 bytes, 0 tokens); repeated rows give repeated rows; other

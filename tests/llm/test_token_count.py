@@ -91,3 +91,24 @@ def test_odd_rows(odd_docs, no_docs, library):
     assert [r["over_limit"] for r in out if r["doc_id"] == 7] == [True]
     assert C.token_counts(no_docs).count() == 0
     assert C.prefix_table(odd_docs).where(C.fits(C.F.col("prefix_counts"), 0)).count() >= 3
+
+
+def test_one_very_long_word_in_bounded_memory(library):
+    """One word of 200,000 letters takes less than 500 MB; long words are exact."""
+    import resource
+    word = "".join(chr(97 + i * i * 7 % 26) for i in range(200_000))
+    counter = C.PrefixCounter(C.vocabulary_path())
+    for n in (C.LONG_WORD, C.LONG_WORD + 1, 3000):
+        assert counter.count(word[:n]) == n_tokens(library, word[:n])
+        assert counter.table(word[:300]) == [0, *(n_tokens(library, word[:i]) for i in range(1, 301))]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert counter.count(word) > 10_000
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 500
+
+
+def test_long_words_by_position_equal_the_kept_prefixes(monkeypatch):
+    counter = C.PrefixCounter(C.vocabulary_path())
+    words = ["abcabcabd" * 20, "\u4e2d\u6587" * 30, "x" * 200]
+    kept = [(counter.total(w), counter.table(counter.as_symbols(w))) for w in words]
+    monkeypatch.setattr(C, "LONG_WORD", 8)
+    assert [(counter.total(w), counter.table(counter.as_symbols(w))) for w in words] == kept
