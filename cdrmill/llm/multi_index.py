@@ -31,7 +31,7 @@ BLOCK_ROWS = 2048
 TOP = 10
 # Share of all vectors a query ranks.  The vectors here are nearly isotropic in 64
 # dimensions, where no index can look at much less for a recall of 0.9.
-SHARE, LEAST = 0.45, 2000
+SHARE = 0.45
 
 
 def usable(vector: Column) -> Column:
@@ -84,7 +84,7 @@ def build_index(vectors: DataFrame) -> MultiIndex | None:
     """Index the usable rows of ``vectors`` (``vec_id`` integer, ``embedding``
     array of numbers).  Rows with a NULL id, an unusable vector, or another length
     than most vectors take no part.  None if no row is left."""
-    rows = (vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    rows = (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
             .where(F.col("vec_id").isNotNull() & usable(F.col("v"))))
     common = (rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.desc("n"), F.desc("dim")).first())
@@ -205,14 +205,14 @@ def _rank(dim: int, top: int):
     return run
 
 
-def search(index: MultiIndex, queries: DataFrame, top: int = TOP, share: float = SHARE,
-           least: int = LEAST) -> DataFrame:
+def search(index: MultiIndex, queries: DataFrame, top: int = TOP,
+           share: float = SHARE) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``top`` nearest vectors found for each
     of ``queries`` (rows of the index: vec_id, v), nearest first, ties to the
     smaller id; ``score`` is the Euclidean distance in double precision.  A
     query is no candidate of its own; fewer candidates give fewer rows.  Repeated
     ids are one candidate (the nearest) and one query."""
-    enough = max(least, int(np.ceil(share * index.size)))
+    enough = max(top + 1, int(np.ceil(share * index.size)))
     probes = queries.dropDuplicates(["vec_id"]).select("vec_id", "v").mapInArrow(
         _probe(index, enough), "c1 int, block int, role int, id long, mask long, v binary")
     per_c1 = F.element_at(F.array(*[F.lit(index.blocks[i]) for i in range(K)]), F.col("c1") + 1)

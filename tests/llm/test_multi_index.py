@@ -39,9 +39,8 @@ def test_recall_and_exact_scores(spark, sf):
 
 
 @pytest.mark.parametrize("rows", [2000, 12_000])
-def test_recall_without_the_floor(spark, rows):
-    """The index on its own: ``least`` would rank all of a table of 2,000 rows.  The
-    larger table is drawn with the mean and covariance of the smaller one."""
+def test_recall_on_larger_tables(spark, rows):
+    """The larger table is drawn with the mean and covariance of the smaller one."""
     vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     index = M.build_index(vectors)
     x = {r["vec_id"]: np.frombuffer(bytes(r["v"])) for r in index.rows.collect()}
@@ -57,7 +56,7 @@ def test_recall_without_the_floor(spark, rows):
     every = rows // 200
     found = {}
     queries = index.rows.where(f"vec_id % {every} = 0")
-    for r in M.search(index, queries, least=0).collect():
+    for r in M.search(index, queries).collect():
         found.setdefault(r["query_id"], set()).add(r["vec_id"])
     matrix = np.array([x[i] for i in ids])
     hit = total = 0
@@ -117,3 +116,11 @@ def test_a_hot_centroid_is_split(spark, monkeypatch):
 def test_all_rows_are_indexed(spark):
     df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     assert M.build_index(df).size == df.count()
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "bigint"])
+def test_ids_of_every_integer_type(spark, kind):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(30)],
+                               f"vec_id {kind}, embedding array<float>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in M.nearest(df, every=10).collect()}
+    assert got[10, 1] == (9, 1.0) and got[10, 2] == (11, 1.0) and got[0, 1] == (1, 1.0)
