@@ -50,6 +50,7 @@ RARITY_ROWS = 3               # tables that must all have met a shingle again in
 AGREE = 0.5                   # share of samples that a later-round candidate must agree on
 MEMBERS_PER_TASK_SLICE = 256
 CROWD = 64                    # from so many members on a bucket's pairs are filtered first
+PAIRS_SLICE = 512             # rows of one key that a task pairs with the others at a time
 COLUMNS_AT_ONCE = 4096
 BLOCKS, BLOCK_BYTES = 512, 8 << 20  # blocks of documents: at least, and text for one
 PARTS, PART_BYTES = 64, 24 << 20    # ranges of the hash space: at least, and text for one
@@ -419,18 +420,20 @@ def _rarest(idf, rarity, threshold: float):
 
 def _across(rows: DataFrame, on: str, possible: Column) -> DataFrame:
     """Pairs (a, b) of ``rows`` (on, text_key, root, ...) that agree in ``on`` and
-    differ in root, where ``possible`` holds (of columns ``a_...``, ``b_...``).
-    Rows of one root are never paired with each other."""
-    kinds = rows.select(on, "root").distinct()
-    crossing = (kinds.withColumnRenamed("root", "a_root")
-                .join(kinds.withColumnRenamed("root", "b_root"), on).where("a_root < b_root"))
+    differ in root, where ``possible`` holds (of columns ``a_...``, ``b_...``).  It is
+    part of the join, so only pairs that pass are made.  A key that many rows have is cut
+    into slices: each row meets all others of its key, a slice at a time."""
+    keys = (rows.groupBy(on).agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("x"),
+                                 F.max("root").alias("y")).where("x < y")
+            .select(on, F.ceil(F.col("n") / PAIRS_SLICE).cast("int").alias("slices")))
     rest = [c for c in rows.columns if c != on]
-    side = lambda s: rows.select(on, *[F.col(c).alias(f"{s}_{c}") for c in rest])
-    pairs = crossing.join(side("a"), [on, "a_root"])
-    b = side("b").withColumnRenamed("b_root", "root_b")
-    b = b.withColumnRenamed(on, "on_b")
-    return (pairs.join(b, (F.col(on) == F.col("on_b")) & (F.col("b_root") == F.col("root_b"))
-                       & possible)
+    held = rows.join(keys, on)
+    side = lambda s, cut: held.select(
+        F.col(on).alias(f"{s}_on"), cut.alias(f"{s}_slice"), *[F.col(c).alias(f"{s}_{c}") for c in rest])
+    a = side("a", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    b = side("b", F.pmod(F.xxhash64("text_key"), F.col("slices")).cast("int"))
+    return (a.join(b, (F.col("a_on") == F.col("b_on")) & (F.col("a_slice") == F.col("b_slice"))
+                   & (F.col("a_root") < F.col("b_root")) & possible)
             .select(F.least("a_text_key", "b_text_key").alias("a"),
                     F.greatest("a_text_key", "b_text_key").alias("b")).distinct())
 
@@ -598,13 +601,14 @@ def one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kept = checkpointed(found.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n")))
     key = fresh(docs, "text_key")
     rows = docs.withColumn(key, text_key(F.col("text")))
+    kept_id, kept_key = fresh(rows, "_kept_id"), fresh(rows, "_kept_key")
 
     def chosen(which: DataFrame) -> DataFrame:
-        which, _ = sized_broadcast(which.select(F.col("doc_id").alias("_kept_id"),
-                                                F.col("text_key").alias("_kept_key")),
+        which, _ = sized_broadcast(which.select(F.col("doc_id").alias(kept_id),
+                                                F.col("text_key").alias(kept_key)),
                                    BROADCAST_BYTES)
-        return rows.join(which, (rows[key] == F.col("_kept_key"))
-                         & rows["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+        return rows.join(which, (rows[key] == F.col(kept_key))
+                         & rows["doc_id"].eqNullSafe(F.col(kept_id)), "left_semi")
 
     out = rows.where(F.col(key).isNull()).unionByName(chosen(kept.where("n = 1")))
     if kept.where("n > 1").limit(1).count():
