@@ -1,9 +1,12 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts per (source, language, topic) cell are raked until the cell
-weights have the target marginals in all three dimensions; a cell can't give
-more tokens than it has.  Documents are then sampled with their cell's
-calibrated probability, by a hash of the row, so a rerun draws the same rows.
+weights have the target marginals in all three dimensions.  A cell can't give
+more tokens than it has, so the mix is as large as the scarcest cell allows:
+the targets are met, and that cell is taken whole.  (A larger mix can be asked
+for; it meets the targets only as far as the cells go.)  Documents are then
+sampled with their cell's calibrated probability, by a hash of the row, so a
+rerun draws the same rows.
 
 The corpus is aggregated once (map-side combined, so a hot source is a few
 partial sums).  The raking runs on the cell table only (its size is the product
@@ -23,8 +26,7 @@ from cdrmill.operators.lookup import sized_broadcast
 
 DIMS = ("source", "lang", "topic")
 NO_VALUE = "(none)"
-ALPHA = 0.85        # default targets: token shares to this power
-KEEP = 0.85         # share of all tokens that the mix shall hold
+ALPHA = 0.95        # default targets: token shares to this power
 TOLERANCE = 1e-6
 MAX_SWEEPS = 40
 SEED = 17
@@ -78,28 +80,33 @@ def tempered_targets(cells: DataFrame, alpha: float = ALPHA) -> dict[str, DataFr
     return out
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP,
+def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float | None = None,
          tolerance: float = TOLERANCE, max_sweeps: int = MAX_SWEEPS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``share``, the part of the mix
-    a cell shall have, and ``probability``, with which its documents are drawn.
+    a cell shall have, ``probability``, with which its documents are drawn, and
+    ``converged``: whether the last sweep moved no share by more than ``tolerance``.
 
     Each sweep scales the shares to the targets of one dimension after the
-    other, then cuts a cell at what it holds; sweeps go on until no share moves
-    by more than ``tolerance`` (targets that can't all be met leave the nearest
-    shares of the last sweep).  Values without a target, and cells without
-    tokens, get share 0 and probability 0, except that documents without tokens
-    are always drawn.
+    other.  Without ``keep``, the mix is as large as the cells allow: the share
+    of all tokens at which the first cell gives all it has.  With ``keep``, the
+    mix shall hold that share, and each sweep cuts a cell at what it holds;
+    targets that can't all be met then leave the nearest shares of the last
+    sweep (:func:`marginals` shows how near).  Values without a target, and cells
+    without tokens, get share 0 and probability 0, except that documents without
+    tokens are always drawn.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     if not total:
-        return cells.withColumns({"share": F.lit(0.0), "probability": F.lit(1.0)})
-    most = F.col("tokens") / float(total) / keep
-    state = cells.withColumn("share", F.col("tokens") / float(total))
+        return cells.withColumns({"share": F.lit(0.0), "probability": F.lit(1.0),
+                                  "converged": F.lit(True)})
+    part = F.col("tokens") / float(total)
+    state = cells.withColumn("share", part)
     for d in DIMS:
         state = state.join(targets[d].withColumnRenamed("target", f"{d}_target"), d, "left")
     state = checkpointed(state)
     # few cells: one task, in which the marginal sums need no shuffle
     small = state.count() <= CELLS_PER_TASK
+    converged = False
     for _ in range(max_sweeps):
         new = (state.coalesce(1) if small else state).withColumn("before", F.col("share"))
         for d in DIMS:
@@ -107,14 +114,32 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP,
             new = new.withColumn("share", F.when(
                 margin > 0, F.col("share") * F.coalesce(f"{d}_target", F.lit(0.0)) / margin)
                 .otherwise(0.0))
-        new = checkpointed(new.withColumn("share", F.least(F.col("share"), most)))
+        if keep:
+            new = new.withColumn("share", F.least(F.col("share"), part / keep))
+        new = checkpointed(new)
         moved = new.agg(F.max(F.abs(F.col("share") - F.col("before")))).first()[0]
         state = new.drop("before")
-        if moved <= tolerance:
+        if converged := moved <= tolerance:
             break
     state = state.drop(*[f"{d}_target" for d in DIMS])
+    if not keep:
+        keep = state.where("share > 0").agg(F.min(part / F.col("share"))).first()[0] or 1.0
     return state.withColumn("probability", F.when(F.col("tokens") > 0, F.least(
-        F.lit(1.0), F.col("share") / most)).otherwise(1.0))
+        F.lit(1.0), F.col("share") * keep / part)).otherwise(1.0)).withColumn(
+        "converged", F.lit(converged))
+
+
+def marginals(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """Target and expected share of the drawn tokens (``dimension, value, target,
+    achieved``) for the raked ``cells``; a value on one side only has 0 on the other."""
+    drawn = cells.withColumn("drawn", F.col("tokens") * F.col("probability"))
+    whole = drawn.agg(F.sum("drawn")).first()[0] or 1.0
+    return reduce(DataFrame.unionByName, [
+        drawn.groupBy(d).agg((F.sum("drawn") / whole).alias("achieved"))
+        .join(targets[d], d, "full")
+        .select(F.lit(d).alias("dimension"), F.col(d).alias("value"),
+                *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("target", "achieved")])
+        for d in DIMS])
 
 
 def _cell_table(rows: DataFrame) -> DataFrame:
@@ -122,23 +147,24 @@ def _cell_table(rows: DataFrame) -> DataFrame:
 
 
 def calibrated(docs: DataFrame, targets: dict[str, DataFrame] | None = None,
-               keep: float = KEEP, topic: Column | None = None) -> DataFrame:
+               keep: float | None = None, topic: Column | None = None) -> DataFrame:
     """All rows as ``doc_id, source, lang, topic, tokens, share, probability,
-    drawn``.  NULL sources, languages and topics form a value of their own;
+    converged, drawn``.  NULL sources, languages and topics form a value of their own;
     rows without tokens are drawn; repeated rows (same id and text) are drawn
-    together; an empty table gives an empty result."""
+    together; very long texts count with all their tokens; an empty table gives an
+    empty result."""
     rows = stored(docs.select("doc_id", *[c.alias(n) for n, c in _keyed(docs, topic).items()]),
                   "mixing")
     cells = _cell_table(rows)
     cells = rake(cells, targets or tempered_targets(cells), keep).drop("tokens")
     cells, _ = sized_broadcast(checkpointed(cells), BROADCAST_BYTES)
     return (rows.join(cells, list(DIMS))
-            .select("doc_id", *DIMS, "tokens", "share", "probability",
+            .select("doc_id", *DIMS, "tokens", "share", "probability", "converged",
                     ((F.col("u") < F.col("probability")) | (F.col("tokens") == 0)).alias("drawn")))
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP,
-        topic: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None,
+        keep: float | None = None, topic: Column | None = None) -> DataFrame:
     """The drawn rows of ``docs`` with all their columns."""
     keys = _keyed(docs, topic)
     names = {n: fresh(docs, f"mix_{n}") for n in keys}

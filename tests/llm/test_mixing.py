@@ -95,10 +95,51 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert "(none)" in set(out["source"])
     assert M.mix(odd_docs).columns == odd_docs.columns
     assert M.calibrated(no_docs).count() == 0 and M.mix(no_docs).count() == 0
-    blank = spark.createDataFrame([(1, None, None, None, *[None] * 13)], DOCS)
+    blank = spark.createDataFrame([(1, *[None] * DOCS.count(","))], DOCS)
     assert M.mix(blank).count() == 1
 
 
 def test_no_python_in_the_plan(small_docs):
     plan = M.mix(small_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_targets_are_met_at_production_parameters(small_docs):
+    """The mix of the query meets its own targets, taking the scarcest cell whole."""
+    rows = small_docs.select(*[c.alias(n) for n, c in M._keyed(small_docs, None).items()])
+    cells = M._cell_table(rows)
+    targets = M.tempered_targets(cells)
+    out = M.rake(cells, targets)
+    got = out.toPandas()
+    assert got["converged"].all()
+    assert got[got["tokens"] > 0]["probability"].max() == pytest.approx(1.0)
+    for r in M.marginals(out, targets).collect():
+        assert r["achieved"] == pytest.approx(r["target"], abs=1e-5), r
+    # plain raking, without limits
+    plain = [{r[0]: r[1] for r in targets[d].collect()} for d in M.DIMS]
+    at = {tuple(c): n for *c, n in cells.select(*M.DIMS, "tokens").collect() if n}
+    total = sum(at.values())
+    free = rake_by_hand(at, plain, 1e-9)       # no limit is met
+    free = {c: p * at[c] / total for c, p in free.items()}
+    most = max(free[c] / at[c] for c in at)
+    want = {c: free[c] / at[c] / most for c in at}
+    have = {(r.source, r.lang, r.topic): r.probability for r in got.itertuples() if r.tokens}
+    assert have == pytest.approx(want, abs=1e-4)
+
+
+def test_an_unfinished_raking_says_so(spark, cells):
+    df = frame(spark, cells)
+    targets = M.tempered_targets(df, alpha=0.3)
+    assert not M.rake(df, targets, max_sweeps=1).first()["converged"]
+    assert M.rake(df, targets).first()["converged"]
+
+
+def test_marginals_show_what_is_missed(spark):
+    df = frame(spark, {("a", "en", "x"): 90, ("b", "en", "x"): 10})
+    t = lambda d, rows: spark.createDataFrame(rows, f"{d} string, target double")
+    targets = {"source": t("source", [("a", 0.5), ("b", 0.5)]), "lang": t("lang", [("en", 1.0)]),
+               "topic": t("topic", [("x", 1.0)])}
+    share = lambda keep: {r["value"]: r["achieved"] for r in M.marginals(
+        M.rake(df, targets, keep), targets).where("dimension = 'source'").collect()}
+    assert share(None) == pytest.approx({"a": 0.5, "b": 0.5})
+    assert share(0.5)["b"] < 0.3  # half of all tokens can't hold so many of b
