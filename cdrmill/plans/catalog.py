@@ -27,6 +27,7 @@ from cdrmill.operators.mapping import FIXED_CLOCK, Clock, map_med
 from cdrmill.operators.split import split_transit
 from cdrmill.plans.hold import reprocess_ict_hold, reprocess_med_hold
 from cdrmill.plans.ict import enrich_ict
+from cdrmill.plans.job_queries import extract_parts, write_extracts, write_lines
 from cdrmill.plans.med import dedup_records, enrich_med, med_legs, original_date, parse_records
 from cdrmill.session import scratch_path
 from cdrmill.sinks.writers import (convert_separator, read_hold, read_partitioned,
@@ -282,8 +283,8 @@ def write_cdr_files(spark, sf_dir) -> str:
     """Stand-in call-record files: one folder per logical file, each written
     by every task (record order inside a CDR file carries no meaning)."""
     root = scratch_path(spark, "cdr-in")
-    (fx.cdr_lines(spark, sf_dir).select("value", F.col("file_name").alias("source"))
-     .write.partitionBy("source").text(root))
+    write_lines(fx.cdr_lines(spark, sf_dir).select(
+        "value", F.col("file_name").alias("source")), root, "source")
     return root
 
 
@@ -301,17 +302,15 @@ def q_incremental_load(spark, sf_dir):
 
 # ------------------------------------------------------------ ICT workflow
 def _write_ict_files(spark, sf_dir) -> str:
-    """Envelope extract files, one folder per file, lines in file order."""
+    """Envelope extract files, one folder per extract, lines in file order."""
     root = scratch_path(spark, "ict-in")
-    (fx.ict_envelope_lines(spark, sf_dir).repartition("source")
-     .sortWithinPartitions("source", "section").select("value", "source")
-     .write.partitionBy("source").text(root))
+    write_extracts(fx.ict_envelope_lines(spark, sf_dir), extract_parts(spark, sf_dir), root)
     return root
 
 
 def _ict_records(spark, sf_dir) -> DataFrame:
     root = _write_ict_files(spark, sf_dir)
-    return read_envelope_csv(spark, root, source_col="source", base_path=root)
+    return read_envelope_csv(spark, root, source_col="source", base_path=root, spread=False)
 
 
 def q_envelope_csv(spark, sf_dir):
