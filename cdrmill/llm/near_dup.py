@@ -46,6 +46,7 @@ BANDS, ROWS = 12, 3           # a pair at 0.8 shares a bucket with probability 0
 HASHES = BANDS * ROWS
 DF_BITS = 20
 DF_BLOCK = 1 << 14
+BLOCK_JOBS = 8                # parts in which the driver fetches a table of frequencies
 RARITY_ROWS = 3               # tables that must all have met a shingle again in a crowd
 AGREE = 0.5                   # share of samples that a later-round candidate must agree on
 MEMBERS_PER_TASK_SLICE = 256
@@ -211,23 +212,39 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           "counts": pa.array([b.tobytes()], pa.binary())})
 
 
+def _damped(n: int):
+    """Damped inverse frequencies in ``n`` documents of summed blocks, as float32."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                df = np.frombuffer(raw.as_buffer(), np.int64)
+                idf = np.log((1.0 + n) / np.minimum(np.maximum(df, 1), n)) / np.log(1.0 + n)
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([i], pa.int32()),
+                    "idf": pa.array([idf.astype(np.float32).tobytes()], pa.binary())})
+    return run
+
+
 def idf_table(docs: DataFrame, rows: int = 1) -> np.ndarray:
     """Damped inverse document frequency per hash bucket, in (0, 1]: 1 for a
     bucket seen once, near 0 for one in every document.  ``rows`` tables of other
     hash bits stand one after another; a shingle is at least as rare as the rarest
     of its buckets says.  Partitions count into arrays that are added up block by
-    block; 8 MB a row reach the driver."""
+    block; 4 MB a row reach the driver, a few blocks at a time."""
     schema = "block int, counts binary"
-    sums = (docs.select("text").mapInArrow(_count_partition(rows), schema)
-            .repartition(64, "block").mapInArrow(_add_blocks, schema).collect())
-    got = {r["block"]: np.frombuffer(bytes(r["counts"]), np.int64) for r in sums}
-    if not got:
-        return np.ones(rows << DF_BITS, np.float32)
     n_blocks = (rows << DF_BITS) // DF_BLOCK
-    df = np.concatenate([got[i] for i in range(n_blocks)])
-    n = int(got[n_blocks][0])
-    return (np.log((1.0 + n) / (np.minimum(np.maximum(df, 1), n) + 0.0)) / np.log(1.0 + n)
-            ).astype(np.float32)
+    sums = checkpointed(docs.select("text").mapInArrow(_count_partition(rows), schema)
+                        .repartition(64, "block").mapInArrow(_add_blocks, schema))
+    counted = sums.where(F.col("block") == n_blocks).first()
+    out = np.ones(rows << DF_BITS, np.float32)
+    if counted is None:
+        return out
+    n = int(np.frombuffer(bytes(counted["counts"]), np.int64)[0])
+    idf = (sums.where(F.col("block") < n_blocks).coalesce(BLOCK_JOBS)
+           .mapInArrow(_damped(n), "block int, idf binary"))
+    for r in idf.toLocalIterator():
+        out[r["block"] * DF_BLOCK:(r["block"] + 1) * DF_BLOCK] = np.frombuffer(r["idf"], np.float32)
+    return out
 
 
 def _distinct(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -553,6 +570,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rare = stored(crowd.mapInArrow(
             _rarest(n, rarity, threshold),
             "shingle long, text_key binary, root binary, total double, rest double"), "near-rare")
+        rarity.destroy()  # what it was for is stored
         # similarity t needs an overlap of t / (1 + t) of both weights together
         enough = (F.least("a_rest", "b_rest") * (1 + 1e-9)
                   >= threshold / (1 + threshold) * (F.col("a_total") + F.col("b_total")))
