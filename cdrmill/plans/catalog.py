@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,11 +196,11 @@ def q_med_held(spark, sf_dir):
     return comparable(_med_run(spark, sf_dir).held)
 
 
-def _held_and_reprocessed(spark, sf_dir):
-    """Held rows go to the hold store; a later run with corrected masters
+def _held_and_reprocessed(spark, sf_dir, run=None):
+    """Held rows (of ``run``) go to the hold store; a later run with corrected masters
     reads the store and enriches what now matches."""
     hold = scratch_path(spark, "hold")
-    write_hold(_med_run(spark, sf_dir).held, hold, "first")
+    write_hold((run or _med_run(spark, sf_dir)).held, hold, "first")
     held = read_hold(spark, hold).where(F.col("hold_class") == "lookup")
     done, still = reprocess_med_hold(held, _fixed_masters(spark, sf_dir), REPROCESS_CLOCK)
     return done, still
@@ -229,8 +230,13 @@ def q_backdated_partitions(spark, sf_dir):
     of its held rows runs a day later but lands in the original partitions
     beside the first load's rows."""
     out_root = scratch_path(spark, "enriched")
-    write_enriched(_med_run(spark, sf_dir).enriched, out_root, "first")
-    done, _ = _held_and_reprocessed(spark, sf_dir)
+    run = _med_run(spark, sf_dir)
+    legs = run.legs.persist(StorageLevel.MEMORY_AND_DISK)  # for the matched and the held rows
+    try:
+        write_enriched(run.enriched, out_root, "first")
+        done, _ = _held_and_reprocessed(spark, sf_dir, run)
+    finally:
+        legs.unpersist()
     write_enriched(done, out_root, "reprocess")
     back = read_partitioned(spark, out_root)
     return (back.groupBy("original_date", F.col("processing_date").cast("string")
